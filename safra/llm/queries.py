@@ -1,10 +1,11 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import exact_dedup, mixing
+from . import byte_bpe, exact_dedup, mixing
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op7_source_mix": mixing.op7_source_mix,
+    "op8_byte_bpe": byte_bpe.op8_byte_bpe,
 }
 
 ORACLE_SQL = {
