@@ -304,5 +304,19 @@ def round_trip(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encoded(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode_documents`` with the digests of ``round_trip`` beside the ids, from one encoding."""
+    shared = docs.sparkSession.sparkContext.broadcast(codec)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, sha = shared.value, hashlib.sha256
+        for batch in batches:
+            ids = batch.column(2).to_pylist()
+            made = [pa.array([sha(x).hexdigest() for x in ids], pa.string()), pa.array([sha(own.decode(x)).hexdigest() for x in ids], pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+
+    return encode_documents(docs, codec, id_col, text_col).mapInArrow(decode, "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), load_codec())

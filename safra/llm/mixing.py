@@ -177,6 +177,20 @@ def mix(
     )
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` in the mix, each as often as ``taken / size`` rounded half up.
+
+    A row without words is never taken. Rows that share an id share the largest count.
+    """
+    taken = mix(docs, id_col, text_col, source_col, **options)
+    times = F.expr("(2 * taken + size) div (2 * size)")
+    copies = taken.where("size > 0").select(F.col("doc_id").alias("_id"), times.alias("_times")).where("_times > 0")
+    copies = copies.groupBy("_id").agg(F.max("_times").alias("_times"))
+    row = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_doc"))
+    repeated = row.join(copies, F.col("_doc").eqNullSafe(F.col("_id"))).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    return repeated.select("_row.*")
+
+
 #: Rows of (source, numbers) that are broadcast at most; beyond it Spark joins by shuffle.
 BROADCAST_ROWS = 10_000
 
