@@ -1,10 +1,12 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import byte_bpe, exact_dedup, jaccard_join, language_id, mixing
+from . import byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, secret_scan
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_language_id": language_id.op5_language_id,
+    "op6_license_scan": license_scan.op6_license_scan,
     "op7_source_mix": mixing.op7_source_mix,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
