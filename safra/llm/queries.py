@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, secret_scan
+from . import ann, byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, secret_scan
 
 QUERIES = {
+    "op2_ann_dimension_scan": ann.op2_ann_dimension_scan,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_language_id": language_id.op5_language_id,
