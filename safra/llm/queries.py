@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import ann, byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, secret_scan
+from . import ann, byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, secret_scan
 
 QUERIES = {
     "op2_ann_dimension_scan": ann.op2_ann_dimension_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_source_mix": mixing.op7_source_mix,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
+    "op10_packed_ids": packing.op10_packed_ids,
 }
 
 ORACLE_SQL = {
