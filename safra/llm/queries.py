@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import ann, byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, secret_scan
+from . import ann, byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, mixing, packing, secret_scan
 
 QUERIES = {
+    "op1_lm_score": lm_scoring.op1_lm_score,
     "op2_ann_dimension_scan": ann.op2_ann_dimension_scan,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_secret_scan": secret_scan.op4_secret_scan,
