@@ -39,6 +39,8 @@ BLOCK = 1024
 #: A sketch of 128 tokens underrates a similarity of 0.8 by 0.16 or more once in 30,000 pairs.
 SLACK = 0.16
 BATCH_BYTES = 1 << 20
+#: Ids of documents to verify that are broadcast at most (4 MB); more are joined by a shuffle.
+BROADCAST_IDS = 500_000
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -194,14 +196,17 @@ def _likeness(big: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.mapInArrow(compare, "path long, like double").groupBy("path").agg(F.avg("like").alias("like"))
 
 
-def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int) -> DataFrame:
-    """``class, path, held``: the final buckets of two records or more and the classes in them."""
+def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """``class, path, held``: the final buckets of two records or more and the classes in them; and the nodes of
+    those classes, the only ones that later steps read."""
     rows = _step(nodes.select("class", "sketch"), picks, runs)
     done: list[DataFrame] = []
     for level in range(depth):
         rows = materialize(rows, f"walk{level}")
         held = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         live = materialize(rows.join(held, "path"), f"live{level}")
+        if not level:
+            nodes = materialize(nodes.join(live.select("class").distinct(), "class", "left_semi"), "met")
         big = live.where(F.col("held") > limit)
         if level + 1 == depth or not big.limit(1).count():
             done.append(live)
@@ -214,7 +219,7 @@ def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int)
     out = done[0].select("class", "path", "held")
     for more in done[1:]:
         out = out.unionByName(more.select("class", "path", "held"))
-    return materialize(out, "buckets")
+    return materialize(out, "buckets"), nodes
 
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
@@ -332,7 +337,9 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     wanted = active.select("class").distinct()
     chosen = wanted.join(nodes.select("class", "first_id"), "class")
     texts = docs.select(F.col(id_col).cast("long").alias("first_id"), binary_text(F.col(text_col)).alias("text"))
-    texts = texts.join(chosen.select("first_id").distinct(), "first_id", "left_semi")
+    ids = materialize(chosen.select("first_id").distinct(), "ids")
+    few = ids.count() <= BROADCAST_IDS
+    texts = texts.join(F.broadcast(ids) if few else ids, "first_id", "left_semi")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,7 +353,8 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
                 yield pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), pa.array([sets[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.binary())], ["class", "elements"])
 
     full = materialize(texts.select("text").mapInArrow(whole, "class binary, elements binary"), "full")
-    full = full.dropDuplicates(["class"]).join(wanted, "class", "left_semi")
+    if full.count() > full.select("class").distinct().count():  # ids that several rows have
+        full = full.dropDuplicates(["class"])
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         rows, columns, good = _candidates(group, lowest)
@@ -419,8 +427,8 @@ def jaccard_classes(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     nodes = materialize(nodes, "nodes")
-    buckets = _buckets(nodes, picks, runs, limit, depth)
-    links = _links(buckets, nodes, docs, id_col, text_col, width, similarity, block)
+    buckets, met = _buckets(nodes, picks, runs, limit, depth)
+    links = _links(buckets, met, docs, id_col, text_col, width, similarity, block)
     sums = links.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(links.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     roots = materialize(roots, "roots")
