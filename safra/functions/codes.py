@@ -63,7 +63,7 @@ class CodeQuery:
                 hit = (own >= left) & (head >= left) & (head <= right)
         else:
             hit = own.startswith(node)
-        return F.coalesce(hit, F.lit(False))
+        return own.isNotNull() & hit
 
     def any_of(self, codes: Column) -> Column:
         return F.coalesce(F.exists(codes, lambda c: self.matches(c)), F.lit(False))

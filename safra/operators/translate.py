@@ -68,8 +68,8 @@ def resolve(variables: DataFrame, registry: DataFrame) -> DataFrame:
     hits = v.join(wide, (F.upper("variable") == F.col("name")) & F.col("rs").isin("GLOBAL") | ((F.upper("variable") == F.col("name")) & (F.col("vs") == F.col("rs"))))
     rank = F.when(F.col("rs") == F.col("vs"), F.col("by")).otherwise(F.col("by") + 2)
     best = Window.partitionBy("scope", "variable").orderBy(rank, F.desc("pos"))
-    top = hits.withColumn("r", F.row_number().over(best)).where("r = 1").select("scope", "variable", "kind", "label")
-    return variables.join(top, (variables["variable"] == top["variable"]) & variables["scope"].eqNullSafe(top["scope"]), "left").drop(top["variable"]).drop(top["scope"])
+    top = hits.withColumn("r", F.row_number().over(best)).where("r = 1").select(F.col("scope").alias("_scope"), F.col("variable").alias("_variable"), "kind", "label")
+    return variables.join(top, (F.col("variable") == F.col("_variable")) & F.col("scope").eqNullSafe(F.col("_scope")), "left").drop("_scope", "_variable")
 
 
 def coverage(variables: DataFrame, registry: DataFrame) -> DataFrame:
