@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_slices, read_table
+from .common import byte_slices, materialize, read_table
 
 KINDS = ("assign", "access", "hex")
 #: Base patterns of the contract (fixed values); the second group of the first is the value.
@@ -54,10 +54,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             out += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     if "AKIA" in text:
         out += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
-    if DIGIT.search(text) is not None:
-        out += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
-    elif HEX.search(text) is not None:
-        out += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
+    out += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     return sorted(out)
 
 
@@ -156,6 +153,7 @@ def labelled_values(docs: DataFrame, text_col: str, sample: int) -> list[tuple[i
             yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(value, pa.string())], ["kind", "value"])
 
     found = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(values, "kind int, value string").distinct()
+    found = materialize(found, "labelled")
     out = []
     for k in range(len(KINDS)):
         out += [(k, r.value) for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
