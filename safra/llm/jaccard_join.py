@@ -36,6 +36,8 @@ LIMIT = 256
 DENSE = 0.5
 DEPTH = 10
 BLOCK = 1024
+#: Leading tokens of a sketch by which a bucket's likeness is judged.
+BRIEF = 16
 #: A sketch of 128 tokens underrates a similarity of 0.8 by 0.16 or more once in 30,000 pairs.
 SLACK = 0.16
 BATCH_BYTES = 1 << 20
@@ -172,6 +174,8 @@ def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if start:  # copies walk alike
+                batch = batch.take(pa.array(sorted({k: i for i, k in enumerate(batch.column(0).to_pylist())}.values()), pa.int64()))
             sketch = _sketches(batch.column(1))
             for a in range(0, len(sketch), 4096):
                 own, keys = sketch[a : a + 4096], batch.column(0).slice(a, 4096)
@@ -183,30 +187,34 @@ def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
 
 
 def _likeness(big: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``path, like``: mean share of tokens that a bucket's records have in common with one of them."""
-    pivot = big.groupBy("path").agg(F.min(F.struct(F.xxhash64("class", "path").alias("h"), "class")).alias("p"))
-    pivot = pivot.select("path", F.col("p.class").alias("class")).join(nodes.select("class", F.col("sketch").alias("pivot")), "class").select("path", "pivot")
-    pairs = big.join(nodes.select("class", "sketch"), "class").join(pivot, "path").select("path", "sketch", "pivot")
+    """``path, like``: mean share of the leading tokens that a bucket's records have in common with one of them."""
+    brief = F.substring("sketch", 1, 4 * BRIEF).alias("brief")
+    own = big.join(nodes.select("class", brief), "class").select("path", F.xxhash64("class", "path").alias("h"), "brief")
+    pivot = own.groupBy("path").agg(F.min(F.struct("h", "brief")).alias("p")).select("path", F.col("p.brief").alias("pivot"))
+    pairs = own.join(pivot, "path").select("path", "brief", "pivot")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            like = (_sketches(batch.column(1)) == _sketches(batch.column(2))).mean(1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(like)], ["path", "like"])
+            a, b = (flat_bytes(batch.column(i))[0].view("<u4").reshape(-1, BRIEF) for i in (1, 2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((a == b).mean(1))], ["path", "like"])
 
     return pairs.mapInArrow(compare, "path long, like double").groupBy("path").agg(F.avg("like").alias("like"))
 
 
-def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
-    """``class, path, held``: the final buckets of two records or more and the classes in them; and the nodes of
-    those classes, the only ones that later steps read."""
-    rows = _step(nodes.select("class", "sketch"), picks, runs)
-    done: list[DataFrame] = []
+def _buckets(sets: DataFrame, picks: float, runs: int, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """``class, path, held``: the final buckets of two classes or more and the classes in them; and
+    ``class, sketch, copies, first_id`` of those classes, the only ones that later steps read."""
+    rows = _step(sets.select("class", "sketch"), picks, runs)
+    nodes, done = None, []
     for level in range(depth):
         rows = materialize(rows, f"walk{level}")
-        held = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        live = materialize(rows.join(held, "path"), f"live{level}")
-        if not level:
-            nodes = materialize(nodes.join(live.select("class").distinct(), "class", "left_semi"), "met")
+        name = F.xxhash64("class")
+        shared = rows.groupBy("path").agg(F.min(name).alias("lo"), F.max(name).alias("hi")).where("lo != hi").select("path")
+        live = materialize(rows.join(shared, "path", "left_semi").distinct(), f"live{level}")
+        if nodes is None:
+            every = sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"))
+            nodes = materialize(every.join(live.select("class").distinct(), "class", "left_semi"), "met")
+        live = live.join(live.groupBy("path").agg(F.count(F.lit(1)).alias("held")), "path")
         big = live.where(F.col("held") > limit)
         if level + 1 == depth or not big.limit(1).count():
             done.append(live)
@@ -214,7 +222,7 @@ def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int)
         like = materialize(_likeness(big, nodes), f"like{level}")
         judged = live.join(like, "path", "left")
         splits = (F.col("held") > limit) & (F.coalesce("like", F.lit(1.0)) < DENSE)
-        done.append(judged.where(~splits).select("class", "path", "held"))
+        done.append(judged.where(~splits))
         rows = _step(judged.where(splits).select("class", "path").join(nodes.select("class", "sketch"), "class").select("class", "sketch", "path"), picks, runs)
     out = done[0].select("class", "path", "held")
     for more in done[1:]:
@@ -246,25 +254,36 @@ def _earlier(paths: list, path: int) -> np.ndarray:
     return out[:, counts > 1]
 
 
-def _candidates(group: pd.DataFrame, lowest: float) -> np.ndarray:
-    """Boolean matrix (upper triangle, or near x far) of pairs to verify in this part."""
-    sketch = np.frombuffer(b"".join(group["sketch"]), "<u4").reshape(len(group), -1)
+def _first_met(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Near and far rows of this part, and the boolean matrix (upper triangle, or near x far) of pairs in no earlier bucket."""
     block, (a, b) = group["block"].to_numpy(), (group["part"].iloc[0]["a"], group["part"].iloc[0]["b"])
-    path = group["path"].iloc[0]
     rows, columns = np.flatnonzero(block == a), np.flatnonzero(block == b)
-    equal = np.zeros((len(rows), len(columns)), np.int16)
-    for k in range(sketch.shape[1]):
-        equal += sketch[rows, k][:, None] == sketch[columns, k][None, :]
-    good = equal >= lowest * sketch.shape[1]
+    good = np.ones((len(rows), len(columns)), bool)
     if a == b:
         good = np.triu(good, 1)
-    if good.any():
-        before = _earlier([np.asarray(x) for x in group["paths"]], path)
-        if before.shape[1]:
-            good &= (before[rows] @ before[columns].T) == 0
+    before = _earlier([np.asarray(x) for x in group["paths"]], group["path"].iloc[0])
+    if before.shape[1]:
+        good &= (before[rows] @ before[columns].T) == 0
     return rows, columns, good
 
 
+def _alike(sketch: np.ndarray, rows: np.ndarray, columns: np.ndarray, good: np.ndarray, lowest: float) -> np.ndarray:
+    """Those of the pairs whose sketches have a share of ``lowest`` or more in common."""
+    tokens = sketch.shape[1]
+    if good.mean() < 0.2:
+        left, right = np.nonzero(good)
+        kept = np.zeros_like(good)
+        for i in range(0, len(left), 16384):
+            x, y = left[i : i + 16384], right[i : i + 16384]
+            kept[x, y] = (sketch[rows[x]] == sketch[columns[y]]).sum(1) >= lowest * tokens
+        return kept
+    equal = np.zeros(good.shape, np.uint8)
+    near, far = np.ascontiguousarray(sketch[rows].T), np.ascontiguousarray(sketch[columns].T)
+    for k in range(tokens):
+        equal += near[k][:, None] == far[k][None, :]
+    return good & (equal >= lowest * tokens)
+
+
 def _overlaps(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Sizes of the intersections rows x columns: a product for common elements, pair by pair for the others."""
     which = np.unique(np.concatenate([rows, columns]))
@@ -321,16 +340,17 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     """``class, links`` (a class's weight of links found) and ``other`` (forest edges, links 0)."""
     lowest = similarity - SLACK
     paths = buckets.groupBy("class").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    info = nodes.select("class", "sketch", "n", "copies", "first_id").join(paths, "class")
-    members = materialize(_in_blocks(buckets.join(info, "class"), block), "members")
+    info = nodes.select("class", "sketch", "copies").join(paths, "class")
+    members = _in_blocks(buckets.join(info, "class"), block).drop("held")
+    kept = ["class", "path", "part", "block", "paths", "copies"]
 
     def near(group: pd.DataFrame) -> pd.DataFrame:
-        rows, columns, good = _candidates(group, lowest)
+        rows, columns, good = _first_met(group)
+        good = _alike(np.frombuffer(b"".join(group["sketch"]), "<u4").reshape(len(group), -1), rows, columns, good, lowest)
         at = np.unique(np.concatenate([rows[good.any(1)], columns[good.any(0)]]))
-        return group.iloc[at][["class", "path", "part"]]
+        return group.iloc[at][kept]
 
-    slim = members.select("class", "path", "part", "block", "sketch", "paths")
-    active = slim.groupBy("path", "part").applyInPandas(near, "class binary, path long, part struct<a:int,b:int>")
+    active = members.groupBy("path", "part").applyInPandas(near, "class binary, path long, part struct<a:int,b:int>, block int, paths array<long>, copies long")
     active = materialize(active, "active")
 
     # The full sets of the classes that have a partner by their sketches, from one document of each.
@@ -357,7 +377,7 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
         full = full.dropDuplicates(["class"])
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
-        rows, columns, good = _candidates(group, lowest)
+        rows, columns, good = _first_met(group)
         sets = [np.frombuffer(x, np.uint64) for x in group["elements"]]
         shared = _overlaps(sets, rows, columns)
         size = np.array([len(x) for x in sets], np.float64)
@@ -374,8 +394,7 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
         out = [(name[i], int(links[i]), None) for i in some.tolist()] + [(name[x], 0, name[y]) for x, y in edges]
         return pd.DataFrame(out, columns=["class", "links", "other"])
 
-    ready = active.join(members.withColumnRenamed("part", "_part"), ["class", "path"]).where("part = _part").drop("_part")
-    ready = ready.select("class", "path", "part", "block", "sketch", "paths", "copies").join(full, "class")
+    ready = active.join(full, "class")
     return materialize(ready.groupBy("path", "part").applyInPandas(verify, "class binary, links long, other binary"), "links")
 
 
@@ -423,16 +442,13 @@ def jaccard_classes(
     empty table gives an empty result.
     """
     sets = materialize(_sets(docs, id_col, text_col, width), "sets")
-    nodes = sets.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
-    )
-    nodes = materialize(nodes, "nodes")
-    buckets, met = _buckets(nodes, picks, runs, limit, depth)
+    worded = sets.where("class is not null")
+    buckets, met = _buckets(worded, picks, runs, limit, depth)
     links = _links(buckets, met, docs, id_col, text_col, width, similarity, block)
     sums = links.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(links.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     roots = materialize(roots, "roots")
-    small = nodes.select("class", "first_id", "copies")
+    small = worded.groupBy("class").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     rooted = small.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
     told = rooted.join(named, "root").join(sums, "class", "left").select("class", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
@@ -449,7 +465,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` whose id names their class: one document of each group."""
     found = jaccard_classes(docs, id_col, text_col)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
