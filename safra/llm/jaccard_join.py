@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binary_text, byte_slices, flat_bytes, materialize, read_table
@@ -41,8 +41,8 @@ BRIEF = 16
 #: A sketch of 128 tokens underrates a similarity of 0.8 by 0.16 or more once in 30,000 pairs.
 SLACK = 0.16
 BATCH_BYTES = 1 << 20
-#: Ids of documents to verify that are broadcast at most (4 MB); more are joined by a shuffle.
-BROADCAST_IDS = 500_000
+#: Keys of rows to verify that are broadcast at most (4 MB); more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -144,12 +144,17 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _key(text: Column) -> Column:
+    """What tells a row from others of its id, or without one: a hash of its text."""
+    return F.xxhash64(binary_text(text))
+
+
 def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``doc_id, class`` (16 bytes that name the set; null without words), ``n, sketch``."""
+    """``doc_id, key, class`` (16 bytes that name the set; null without words), ``n, sketch``."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, offsets = flat_bytes(batch.column(1))
+            flat, offsets = flat_bytes(batch.column(2))
             for a, b in byte_slices(np.diff(offsets), BATCH_BYTES):
                 sets, at = shingles(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
                 n = np.diff(at)
@@ -162,10 +167,10 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
                 name, tokens = [None] * (b - a), [None] * (b - a)
                 for k, i in enumerate(full.tolist()):
                     name[i], tokens[i] = names[k].tobytes(), sketch[k].tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(name, pa.binary()), pa.array(n), pa.array(tokens, pa.binary())], ["doc_id", "class", "n", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(name, pa.binary()), pa.array(n), pa.array(tokens, pa.binary())], ["doc_id", "key", "class", "n", "sketch"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), binary_text(F.col(text_col)).alias("text"))
-    return rows.mapInArrow(build, "doc_id long, class binary, n long, sketch binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _key(F.col(text_col)).alias("key"), binary_text(F.col(text_col)).alias("text"))
+    return rows.mapInArrow(build, "doc_id long, key long, class binary, n long, sketch binary")
 
 
 def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
@@ -203,7 +208,7 @@ def _likeness(big: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _buckets(sets: DataFrame, picks: float, runs: int, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
     """``class, path, held``: the final buckets of two classes or more and the classes in them; and
-    ``class, sketch, copies, first_id`` of those classes, the only ones that later steps read."""
+    ``class, sketch, copies, row`` (a hash of one row's id and text) of those classes, the only ones that later steps read."""
     rows = _step(sets.select("class", "sketch"), picks, runs)
     nodes, done = None, []
     for level in range(depth):
@@ -212,7 +217,7 @@ def _buckets(sets: DataFrame, picks: float, runs: int, limit: int, depth: int) -
         shared = rows.groupBy("path").agg(F.min(name).alias("lo"), F.max(name).alias("hi")).where("lo != hi").select("path")
         live = materialize(rows.join(shared, "path", "left_semi").distinct(), f"live{level}")
         if nodes is None:
-            every = sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"))
+            every = sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"), F.min(F.xxhash64("doc_id", "key")).alias("row"))
             nodes = materialize(every.join(live.select("class").distinct(), "class", "left_semi"), "met")
         live = live.join(live.groupBy("path").agg(F.count(F.lit(1)).alias("held")), "path")
         big = live.where(F.col("held") > limit)
@@ -353,27 +358,30 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     active = members.groupBy("path", "part").applyInPandas(near, "class binary, path long, part struct<a:int,b:int>, block int, paths array<long>, copies long")
     active = materialize(active, "active")
 
-    # The full sets of the classes that have a partner by their sketches, from one document of each.
+    # The full sets of the classes that have a partner by their sketches, from one row of each.
     wanted = active.select("class").distinct()
-    chosen = wanted.join(nodes.select("class", "first_id"), "class")
-    texts = docs.select(F.col(id_col).cast("long").alias("first_id"), binary_text(F.col(text_col)).alias("text"))
-    ids = materialize(chosen.select("first_id").distinct(), "ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = texts.join(F.broadcast(ids) if few else ids, "first_id", "left_semi")
+    chosen = materialize(wanted.join(nodes.select("class", "row"), "class").select("row").distinct(), "chosen")
+    texts = docs.select(F.xxhash64(F.col(id_col).cast("long"), _key(F.col(text_col))).alias("row"), binary_text(F.col(text_col)).alias("text"))
+    few = chosen.count() <= BROADCAST_KEYS
+    texts = texts.join(F.broadcast(chosen) if few else chosen, "row", "left_semi")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()
         for batch in batches:
             flat, offsets = flat_bytes(batch.column(0))
             for a, b in byte_slices(np.diff(offsets), BATCH_BYTES):
                 sets, at = shingles(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
-                name = []
+                name, elements = [], []
                 for i in range(b - a):
                     own = sets[at[i] : at[i + 1]]
-                    name.append(np.array([_mix(own + _K2).sum(), _mix(own ^ _K3).sum()], np.uint64).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), pa.array([sets[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.binary())], ["class", "elements"])
+                    own_name = np.array([_mix(own + _K2).sum(), _mix(own ^ _K3).sum()], np.uint64).tobytes()
+                    if own_name not in met:
+                        met.add(own_name)
+                        name.append(own_name), elements.append(own.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), pa.array(elements, pa.binary())], ["class", "elements"])
 
     full = materialize(texts.select("text").mapInArrow(whole, "class binary, elements binary"), "full")
-    if full.count() > full.select("class").distinct().count():  # ids that several rows have
+    if full.count() > full.select("class").distinct().count():  # rows of the same id and text in several tasks
         full = full.dropDuplicates(["class"])
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
@@ -420,6 +428,25 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return work.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
 
 
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, similarity: float, width: int, picks: float, runs: int, limit: int, block: int, depth: int
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``_sets``; and ``class, first, copies, links``, ``first`` being the row that stands
+    for the class's component: ``unnamed`` (its id is null), ``doc_id, key``, the smallest."""
+    sets = materialize(_sets(docs, id_col, text_col, width), "sets")
+    worded = sets.where("class is not null")
+    buckets, met = _buckets(worded, picks, runs, limit, depth)
+    links = _links(buckets, met, docs, id_col, text_col, width, similarity, block)
+    sums = links.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
+    roots = components(links.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
+    roots = materialize(roots, "roots")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    small = worded.groupBy("class").agg(F.min(row).alias("own"), F.count(F.lit(1)).alias("copies"))
+    rooted = small.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    named = rooted.groupBy("root").agg(F.min("own").alias("first"))
+    return sets, rooted.join(named, "root").join(sums, "class", "left").select("class", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def jaccard_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -441,20 +468,10 @@ def jaccard_classes(
     copies of each other. Null ids are no class's name unless all its ids are null. An
     empty table gives an empty result.
     """
-    sets = materialize(_sets(docs, id_col, text_col, width), "sets")
-    worded = sets.where("class is not null")
-    buckets, met = _buckets(worded, picks, runs, limit, depth)
-    links = _links(buckets, met, docs, id_col, text_col, width, similarity, block)
-    sums = links.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
-    roots = components(links.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
-    roots = materialize(roots, "roots")
-    small = worded.groupBy("class").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    rooted = small.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    told = rooted.join(named, "root").join(sums, "class", "left").select("class", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    sets, told = _grouped(docs, id_col, text_col, similarity, width, picks, runs, limit, block, depth)
     return sets.select("doc_id", "class", "n").join(told, "class", "left").select(
         "doc_id",
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
         F.col("n").alias("n_shingles"),
@@ -462,10 +479,25 @@ def jaccard_classes(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their class: one document of each group."""
-    found = jaccard_classes(docs, id_col, text_col)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    """One row of ``docs`` of each component of links, and all rows without a word.
+
+    A component keeps a row of its smallest id, a null id only where all its ids are null.
+    Rows are told apart by id and text: an id that repeats with other texts loses only
+    those that another row stands for, and of rows equal in both one stays.
+    """
+    sets, told = _grouped(docs, id_col, text_col, SIMILARITY, WIDTH, PICKS, RUNS, LIMIT, BLOCK, DEPTH)
+    rows = sets.join(told, "class").select("doc_id", "key", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))).alias("stays"))
+    apart = materialize(rows.groupBy("doc_id", "key").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("times")).where("not stays or times > 1"), "apart")
+
+    def of(some: DataFrame, how: str) -> DataFrame:
+        return docs.join(some, docs[id_col].cast("long").eqNullSafe(some["doc_id"]) & (_key(docs[text_col]) == some["key"]), how)
+
+    once = of(apart, "left_anti")
+    twice = apart.where("stays")
+    if not twice.limit(1).count():
+        return once
+    again = of(twice, "left_semi").select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), _key(F.col(text_col)).alias("key"))
+    return once.unionByName(again.dropDuplicates(["doc_id", "key"]).select("row.*"))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

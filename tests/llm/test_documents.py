@@ -102,6 +102,18 @@ def test_jaccard_join_in_large_groups(spark):
     assert sum(got.values()) >= 0.99 * sum(want) and all(got[i] <= n for i, n in enumerate(want))
 
 
+def test_jaccard_join_tells_rows_without_an_id_of_their_own_apart(spark):
+    one, two, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(None, one), (None, one + " fim"), (1, two), (2, two + " fim"), (2, other), (None, two + " um"), (5, other + " fim"), (7, "só isto"), (7, "só isto"), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter(map(tuple, jaccard_join.jaccard_classes(docs).select("doc_id", "class_id", "n_links").collect()))
+    assert found == Counter([(None, None, 1)] * 2 + [(1, 1, 2), (2, 1, 2), (None, 1, 2), (2, 2, 1), (5, 2, 1)] + [(7, 7, 1)] * 2 + [(None, None, 0)] * 2)
+    kept = [tuple(r) for r in jaccard_join.one_of_each(docs).collect()]
+    unnamed = [x for x in kept if x[0] is None and x[1]]
+    assert len(unnamed) == 1 and unnamed[0] in rows[:2]
+    assert Counter(x for x in kept if x not in unnamed) == Counter([(1, two), (2, other), (7, "só isto"), (None, ""), (None, None)])
+
+
 def test_bpe_is_that_of_the_public_library(docs, none):
     tiktoken, public_tokenizers = pytest.importorskip("tiktoken"), pytest.importorskip("public_tokenizers")
     codec = byte_bpe.load_codec()
