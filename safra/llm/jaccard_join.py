@@ -2,13 +2,15 @@
 
 Every text becomes the set of its ``WIDTH``-word shingles and an embedding of
 ``TOKENS`` min-hash tokens; two sets of similarity s share a token with probability s.
-A record starts ``RUNS`` independent walks. At each step it follows the tokens whose hash,
+A record starts as many walks as the target recall takes. At each step it follows the tokens whose hash,
 salted with the path so far, is among the chosen ones (``PICKS`` expected): records that
 share a chosen token land in the same bucket. Buckets above ``LIMIT`` split again on further
 tokens; buckets whose records resemble each other, which splitting would not shrink, and
 small ones are searched by brute force, large ones in pairs of blocks. A pair of
-similarity 0.8 meets in a run with probability 0.8 at the first step and about 0.7 over
-several; four runs reach a recall of 0.99 there, and more above.
+similarity 0.8 meets in a run with probability 0.80 at the first step, 0.72 over two, 0.69
+over three and 0.65 over ten. ``runs_for`` derives the number of walks from the target
+``RECALL`` at the similarity asked for and the survival over ``DEPTH`` steps, the worst
+that a bucket can ask for; pairs above that similarity are found more surely.
 
 Sets that are equal are one class from the start. A pair of classes is examined only in the
 first of their common buckets, its full shingle sets decide, and what leaves a bucket are
@@ -17,6 +19,7 @@ counts and a spanning forest, never the pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +34,8 @@ WIDTH = 5
 SIMILARITY = 0.8
 TOKENS = 128
 PICKS = 2.0
-RUNS = 4
+#: Least probability with which a pair of the similarity asked for is found.
+RECALL = 0.998
 LIMIT = 256
 DENSE = 0.5
 DEPTH = 10
@@ -135,6 +139,26 @@ def _children(path: np.ndarray, sketch: np.ndarray, picks: float) -> tuple[np.nd
     return row, _mix(h[h < np.uint64(min(1.0, picks / tokens) * (2**64 - 2**12))] + _K3)
 
 
+def runs_for(recall: float, similarity: float, picks: float = PICKS, tokens: int = TOKENS, depth: int = DEPTH) -> int:
+    """Walks after which a pair of ``similarity`` is found with probability ``recall``, however deep its buckets split.
+
+    Walks of a pair are independent only given the number of tokens that its sketches have
+    in common: what is lost is averaged over that number, which also has to pass ``SLACK``.
+    """
+    common = np.arange(tokens + 1)
+    weight = np.array([math.comb(tokens, k) * similarity**k * (1 - similarity) ** (tokens - k) for k in range(tokens + 1)])
+    weight[common < (similarity - SLACK) * tokens] = 0
+    lost = np.zeros(tokens + 1)
+    for _ in range(depth):
+        lost = (1 - min(1.0, picks / tokens) * (1 - lost)) ** common
+    if recall >= weight[lost < 1].sum():
+        raise ValueError(f"no number of walks reaches a recall of {recall} at a similarity of {similarity}")
+    runs = 1
+    while (weight * (1 - lost**runs)).sum() < recall:
+        runs += 1
+    return runs
+
+
 def _sketches(column: pa.Array) -> np.ndarray:
     flat, offsets = flat_bytes(column)
     return flat.view("<u4").reshape(len(offsets) - 1, -1) if len(flat) else np.zeros((0, TOKENS), np.uint32)
@@ -429,13 +453,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def _grouped(
-    docs: DataFrame, id_col: str, text_col: str, similarity: float, width: int, picks: float, runs: int, limit: int, block: int, depth: int
+    docs: DataFrame, id_col: str, text_col: str, similarity: float, width: int, picks: float, recall: float, limit: int, block: int, depth: int
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of ``_sets``; and ``class, first, copies, links``, ``first`` being the row that stands
     for the class's component: ``unnamed`` (its id is null), ``doc_id, key``, the smallest."""
     sets = materialize(_sets(docs, id_col, text_col, width), "sets")
     worded = sets.where("class is not null")
-    buckets, met = _buckets(worded, picks, runs, limit, depth)
+    buckets, met = _buckets(worded, picks, runs_for(recall, similarity, picks, TOKENS, depth), limit, depth)
     links = _links(buckets, met, docs, id_col, text_col, width, similarity, block)
     sums = links.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(links.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
@@ -454,7 +478,7 @@ def jaccard_classes(
     similarity: float = SIMILARITY,
     width: int = WIDTH,
     picks: float = PICKS,
-    runs: int = RUNS,
+    recall: float = RECALL,
     limit: int = LIMIT,
     block: int = BLOCK,
     depth: int = DEPTH,
@@ -463,12 +487,12 @@ def jaccard_classes(
 
     ``class_id`` is the smallest doc_id of the row's connected component of links;
     ``n_links`` the number of other rows of similarity ``similarity`` or more, equal sets
-    included; ``n_copies`` the rows with the same set, itself included. Texts without a
+    included, each found with probability ``recall`` at least; ``n_copies`` the rows with the same set, itself included. Texts without a
     word (null, empty) link to nothing and are classes of their own. Repeated rows are
     copies of each other. Null ids are no class's name unless all its ids are null. An
     empty table gives an empty result.
     """
-    sets, told = _grouped(docs, id_col, text_col, similarity, width, picks, runs, limit, block, depth)
+    sets, told = _grouped(docs, id_col, text_col, similarity, width, picks, recall, limit, block, depth)
     return sets.select("doc_id", "class", "n").join(told, "class", "left").select(
         "doc_id",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
@@ -485,7 +509,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows are told apart by id and text: an id that repeats with other texts loses only
     those that another row stands for, and of rows equal in both one stays.
     """
-    sets, told = _grouped(docs, id_col, text_col, SIMILARITY, WIDTH, PICKS, RUNS, LIMIT, BLOCK, DEPTH)
+    sets, told = _grouped(docs, id_col, text_col, SIMILARITY, WIDTH, PICKS, RECALL, LIMIT, BLOCK, DEPTH)
     rows = sets.join(told, "class").select("doc_id", "key", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))).alias("stays"))
     apart = materialize(rows.groupBy("doc_id", "key").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("times")).where("not stays or times > 1"), "apart")
 

@@ -114,6 +114,25 @@ def test_jaccard_join_tells_rows_without_an_id_of_their_own_apart(spark):
     assert Counter(x for x in kept if x not in unnamed) == Counter([(1, two), (2, other), (7, "só isto"), (None, ""), (None, None)])
 
 
+def test_jaccard_join_walks_reach_the_target_recall_at_full_depth():
+    """Pairs of similarity 0.8, their common paths drawn through ``DEPTH`` steps as if every bucket split."""
+    pairs, rng = 20_000, np.random.default_rng(11)
+    common = rng.binomial(jaccard_join.TOKENS, jaccard_join.SIMILARITY, pairs)
+
+    def met():
+        paths = np.ones(pairs, np.int64)
+        for _ in range(jaccard_join.DEPTH):
+            paths = rng.binomial(paths * common, jaccard_join.PICKS / jaccard_join.TOKENS)
+        return paths > 0
+
+    runs = jaccard_join.runs_for(jaccard_join.RECALL, jaccard_join.SIMILARITY)
+    walks = [met() for _ in range(runs)]
+    assert np.any(walks, axis=0).mean() >= jaccard_join.RECALL - 0.001
+    assert np.any(walks[:4], axis=0).mean() < 0.99
+    with pytest.raises(ValueError):
+        jaccard_join.runs_for(1.0, jaccard_join.SIMILARITY)
+
+
 def test_bpe_is_that_of_the_public_library(docs, none):
     tiktoken, public_tokenizers = pytest.importorskip("tiktoken"), pytest.importorskip("public_tokenizers")
     codec = byte_bpe.load_codec()
