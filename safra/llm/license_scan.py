@@ -5,6 +5,10 @@ may be absent, ``<<var;most=N>>`` stands for up to N words of any kind. It is co
 once into an automaton over words; a text has the license where the automaton accepts,
 that is where all mandatory wording stands in order, word for word. The longest mandatory
 run of a template is searched first, so automata run only where it occurs.
+
+A license's own label (``mit``, ``isc``, ``bsd-2-clause``, ``bsd-3-clause``) takes its whole
+wording, conditions and warranty text included. Labels in ``-grant`` and ``-notice`` say no
+more than that the sentence of that kind stands there. Apache and the GPL have only such labels.
 """
 
 from __future__ import annotations
@@ -23,22 +27,60 @@ from .common import binary_text, byte_slices, read_table
 #: Phrases and their labels (fixed values of the contract).
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
+_MIT_GRANT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+    "<<beginOptional>>the software<<endOptional>> to deal in the software without restriction including without limitation the rights to use "
+    "copy modify merge publish distribute sublicense and or sell copies of the software"
+)
+_BSD_GRANT = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+_BSD_CONDITIONS = (
+    " <<var;most=1>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "<<var;most=1>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+    "in the documentation and or other materials provided with the distribution"
+)
+_BSD_NAMES = (
+    " <<var;most=1>> neither the name of <<var;most=12>> nor the names of <<var;most=12>> contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission"
+)
+_BSD_WARRANTY = (
+    " this software is provided by <<var;most=12>> as is and any express or implied warranties including but not limited to the implied warranties "
+    "of merchantability and fitness for a particular purpose are disclaimed in no event shall <<var;most=12>> be liable for any direct indirect "
+    "incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use "
+    "data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including "
+    "negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
+_ISC_GRANT = "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted"
+
 #: License wording with optional and replaceable regions (fixed texts of public licenses and notices).
 TEMPLATES = (
     ("mit-notice", "<<beginOptional>>this work is<<endOptional>> <<var;most=1>> under the mit license"),
+    ("mit-grant", _MIT_GRANT),
     (
         "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
-        "<<beginOptional>>the software<<endOptional>> to deal in the software without restriction including without limitation the rights to use "
-        "copy modify merge publish distribute sublicense and or sell copies of the software",
+        _MIT_GRANT + " and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice <<beginOptional>>including the next paragraph<<endOptional>> shall be included in all "
+        "copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but "
+        "not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall <<var;most=12>> be "
+        "liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with "
+        "the software or the use or other dealings in the software",
     ),
     ("apache-notice", "<<beginOptional>>this work is<<endOptional>> licensed under the apache license <<beginOptional>>version<<endOptional>> 2 0"),
     ("gpl-notice", "<<beginOptional>>this work is<<endOptional>> licensed under the gnu general public license <<beginOptional>>version <<var;most=2>><<endOptional>>"),
     ("gpl-grant", "you can redistribute it and or modify it under the terms of the gnu <<beginOptional>>lesser<<endOptional>> general public license as published by the free software foundation"),
     ("cc-by-nc", "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>creative commons<<endOptional>> cc by nc <<var;most=2>>"),
     ("cc-by-sa", "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>creative commons<<endOptional>> cc by sa <<var;most=2>>"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc", "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd-grant", _BSD_GRANT),
+    ("bsd-2-clause", _BSD_GRANT + _BSD_CONDITIONS + _BSD_WARRANTY),
+    ("bsd-3-clause", _BSD_GRANT + _BSD_CONDITIONS + _BSD_NAMES + _BSD_WARRANTY),
+    ("isc-grant", _ISC_GRANT),
+    (
+        "isc",
+        _ISC_GRANT + " provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and "
+        "<<var;most=12>> disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no "
+        "event shall <<var;most=12>> be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss "
+        "of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+        "performance of this software",
+    ),
     ("copyright", "copyright <<beginOptional>>c<<endOptional>> <<var;most=8>> all rights reserved"),
 )
 
