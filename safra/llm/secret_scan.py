@@ -76,16 +76,24 @@ class Automaton:
             self.seen[state][""] += n
         self._merge(alpha)
 
-    def _alike(self, a: int, b: int, alpha: float, depth: int = 0) -> bool:
-        """Hoeffding test of every continuation, then of the states reached."""
-        x, y = self.seen[a], self.seen[b]
-        m, n = sum(x.values()), sum(y.values())
-        if not m or not n:
-            return True
-        bound = math.sqrt(0.5 * math.log(2 / alpha)) * (1 / math.sqrt(m) + 1 / math.sqrt(n))
-        if any(abs(x[c] / m - y[c] / n) > bound for c in x.keys() | y.keys()):
-            return False
-        return depth >= 6 or all(self._alike(s, self.next[b][c], alpha, depth + 1) for c, s in self.next[a].items() if c in self.next[b])
+    def _alike(self, a: int, b: int, alpha: float) -> bool:
+        """Hoeffding test of every continuation, then of the states reached, over the whole subtree."""
+        todo, met = [(a, b)], set()
+        while todo:
+            pair = todo.pop()
+            if pair in met:
+                continue
+            met.add(pair)
+            a, b = pair
+            x, y = self.seen[a], self.seen[b]
+            m, n = sum(x.values()), sum(y.values())
+            if not m or not n:
+                continue
+            bound = math.sqrt(0.5 * math.log(2 / alpha)) * (1 / math.sqrt(m) + 1 / math.sqrt(n))
+            if any(abs(x[c] / m - y[c] / n) > bound for c in x.keys() | y.keys()):
+                return False
+            todo += [(s, self.next[b][c]) for c, s in self.next[a].items() if c in self.next[b]]
+        return True
 
     def _fold(self, into: int, state: int) -> None:
         todo = [(into, state)]

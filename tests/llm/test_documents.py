@@ -305,3 +305,10 @@ def test_license_labels_take_the_whole_wording():
         assert labels("x " + text + " y") == {own, grant}
         words = text.split()
         assert labels(" ".join(words[: len(words) // 2])) == labels(" ".join(words[:-1])) == labels(text.replace("IN NO EVENT SHALL", "IN ANY EVENT SHALL")) == {grant}
+
+
+def test_secret_states_that_differ_late_are_not_merged():
+    """Two branches alike for ten symbols, whose values end in digits after the one, in capitals after the other."""
+    auto = secret_scan.Automaton({"d" + "l" * 10 + "d" * 4: 500, "U" + "l" * 10 + "U" * 4: 500})
+    assert auto.next[0]["d"] != auto.next[0]["U"]
+    assert auto.score("d" + "l" * 10 + "d" * 4) > auto.score("d" + "l" * 10 + "U" * 4) + 1
