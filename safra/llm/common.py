@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,16 +39,29 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/safra-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held.written_at = path
+    return held
 
 
-def release() -> None:
-    """Delete what ``materialize`` has written; results that still read it become invalid."""
-    while _written:
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialize`` has written for ``df``, once nothing reads it any more."""
+    path = df.written_at
+    _written[:] = [x for x in _written if x[1] != path]
+    _delete(df.sparkSession, path)
+
+
+def release(since: int = 0) -> None:
+    """Delete what ``materialize`` has written, but for the first ``since``; results that still read it become invalid."""
+    while len(_written) > since:
         spark, path = _written.pop()
         try:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(spark, path)
         except Exception:  # the JVM has gone
             return
 
@@ -89,6 +103,11 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, off - off[0]
 
 
+def text_sizes(column: pa.Array) -> np.ndarray:
+    """Bytes of each text of an Arrow column; null: 0."""
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+
+
 def byte_slices(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Runs of consecutive items of about ``most`` bytes, one item at least."""
     out, start, held = [], 0, 0

@@ -23,12 +23,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_text, byte_slices, flat_bytes, materialize, read_table
+from .common import binary_text, byte_slices, discard, flat_bytes, materialize, read_table
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -39,8 +38,10 @@ RECALL = 0.998
 LIMIT = 256
 DENSE = 0.5
 DEPTH = 10
-BLOCK = 1024
-#: Leading tokens of a sketch by which a bucket's likeness is judged.
+BLOCK = 512
+#: Records that a task compares at once: whole parts of buckets, 2 * BLOCK at most each.
+PART_ROWS = 8192
+#: Leading tokens of a sketch (their lowest bytes) by which a bucket's likeness is judged.
 BRIEF = 16
 #: A sketch of 128 tokens underrates a similarity of 0.8 by 0.16 or more once in 30,000 pairs.
 SLACK = 0.16
@@ -159,9 +160,17 @@ def runs_for(recall: float, similarity: float, picks: float = PICKS, tokens: int
     return runs
 
 
+def _packed(sketch: np.ndarray) -> np.ndarray:
+    """Tokens as bytes, planes of equal significance together: the first ``TOKENS`` bytes are the lowest of each."""
+    return np.ascontiguousarray(sketch.astype("<u4").view(np.uint8).reshape(len(sketch), -1, 4).transpose(0, 2, 1)).reshape(len(sketch), -1)
+
+
 def _sketches(column: pa.Array) -> np.ndarray:
     flat, offsets = flat_bytes(column)
-    return flat.view("<u4").reshape(len(offsets) - 1, -1) if len(flat) else np.zeros((0, TOKENS), np.uint32)
+    if not len(flat):
+        return np.zeros((0, TOKENS), np.uint32)
+    planes = flat.reshape(len(offsets) - 1, 4, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[:, :, 0]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -187,7 +196,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
                 if len(full):
                     names[:, 0] = np.add.reduceat(_mix(sets + _K2), at[:-1][full])
                     names[:, 1] = np.add.reduceat(_mix(sets ^ _K3), at[:-1][full])
-                sketch = embed(sets, at)
+                sketch = _packed(embed(sets, at))
                 name, tokens = [None] * (b - a), [None] * (b - a)
                 for k, i in enumerate(full.tolist()):
                     name[i], tokens[i] = names[k].tobytes(), sketch[k].tobytes()
@@ -203,8 +212,6 @@ def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if start:  # copies walk alike
-                batch = batch.take(pa.array(sorted({k: i for i, k in enumerate(batch.column(0).to_pylist())}.values()), pa.int64()))
             sketch = _sketches(batch.column(1))
             for a in range(0, len(sketch), 4096):
                 own, keys = sketch[a : a + 4096], batch.column(0).slice(a, 4096)
@@ -215,137 +222,196 @@ def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
     return rows.mapInArrow(walk, "class binary, path long")
 
 
-def _likeness(big: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``path, like``: mean share of the leading tokens that a bucket's records have in common with one of them."""
-    brief = F.substring("sketch", 1, 4 * BRIEF).alias("brief")
-    own = big.join(nodes.select("class", brief), "class").select("path", F.xxhash64("class", "path").alias("h"), "brief")
-    pivot = own.groupBy("path").agg(F.min(F.struct("h", "brief")).alias("p")).select("path", F.col("p.brief").alias("pivot"))
-    pairs = own.join(pivot, "path").select("path", "brief", "pivot")
+def _nodes(sets: DataFrame) -> DataFrame:
+    """The classes: ``class, sketch, copies, row`` (a hash of one row's id and text)."""
+    return sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"), F.min(F.xxhash64("doc_id", "key")).alias("row"))
+
+
+def _few(df: DataFrame) -> bool:
+    return df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+
+
+def _likeness(members: DataFrame, big: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``path, like`` of each bucket of ``big``: mean share of the leading tokens that its records have in common with one of them.
+
+    ``big`` has one row a bucket and is broadcast if it is small, so a bucket's records stay where they are.
+    """
+    brief = F.substring("sketch", 1, BRIEF)
+    pivots = big.join(nodes.select(F.xxhash64("class").alias("lowest"), brief.alias("pivot")), "lowest").groupBy("path").agg(F.min("pivot").alias("pivot"))
+    pivots = materialize(pivots, "pivots")
+    own = members.join(F.broadcast(pivots) if _few(pivots) else pivots, "path").join(nodes.select("class", brief.alias("brief")), "class").select("path", "brief", "pivot")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (flat_bytes(batch.column(i))[0].view("<u4").reshape(-1, BRIEF) for i in (1, 2))
+            a, b = (flat_bytes(batch.column(i))[0].reshape(-1, BRIEF) for i in (1, 2))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((a == b).mean(1))], ["path", "like"])
 
-    return pairs.mapInArrow(compare, "path long, like double").groupBy("path").agg(F.avg("like").alias("like"))
+    return own.mapInArrow(compare, "path long, like double").groupBy("path").agg(F.avg("like").alias("like"))
 
 
-def _buckets(sets: DataFrame, picks: float, runs: int, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
-    """``class, path, held``: the final buckets of two classes or more and the classes in them; and
-    ``class, sketch, copies, row`` (a hash of one row's id and text) of those classes, the only ones that later steps read."""
-    rows = _step(sets.select("class", "sketch"), picks, runs)
-    nodes, done = None, []
+def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int) -> DataFrame:
+    """``class, path, held``: the final buckets of two classes or more and the classes in them."""
+    rows, done = _step(nodes.select("class", "sketch"), picks, runs), None
     for level in range(depth):
-        rows = materialize(rows, f"walk{level}")
-        name = F.xxhash64("class")
-        shared = rows.groupBy("path").agg(F.min(name).alias("lo"), F.max(name).alias("hi")).where("lo != hi").select("path")
-        live = materialize(rows.join(shared, "path", "left_semi").distinct(), f"live{level}")
-        if nodes is None:
-            every = sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"), F.min(F.xxhash64("doc_id", "key")).alias("row"))
-            nodes = materialize(every.join(live.select("class").distinct(), "class", "left_semi"), "met")
-        live = live.join(live.groupBy("path").agg(F.count(F.lit(1)).alias("held")), "path")
-        big = live.where(F.col("held") > limit)
+        rows = materialize(rows, "walk")
+        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held"), F.min(F.xxhash64("class")).alias("lowest")).where("held > 1")
+        sizes = materialize(sizes, "sizes")
+        # One row a bucket against its records: a bucket of very many is split by Spark, as nothing above the join asks for its key.
+        live = materialize(rows.join(sizes.select("path", "held").hint("merge"), "path"), "live")
+        discard(rows)
+        big = sizes.where(F.col("held") > limit)
         if level + 1 == depth or not big.limit(1).count():
-            done.append(live)
+            done = live if done is None else done.unionByName(live)
             break
-        like = materialize(_likeness(big, nodes), f"like{level}")
-        judged = live.join(like, "path", "left")
-        splits = (F.col("held") > limit) & (F.coalesce("like", F.lit(1.0)) < DENSE)
-        done.append(judged.where(~splits))
-        rows = _step(judged.where(splits).select("class", "path").join(nodes.select("class", "sketch"), "class").select("class", "sketch", "path"), picks, runs)
-    out = done[0].select("class", "path", "held")
-    for more in done[1:]:
-        out = out.unionByName(more.select("class", "path", "held"))
-    return materialize(out, "buckets"), nodes
+        like = materialize(_likeness(live.where(F.col("held") > limit), big, nodes), "like")
+        splits = like.where(F.col("like") < DENSE).select("path")
+        splits = F.broadcast(splits) if _few(splits) else splits
+        stay, go = live.join(splits, "path", "left_anti"), live.join(splits, "path", "left_semi")
+        done = stay if done is None else done.unionByName(stay)
+        rows = _step(go.select("class", "path").join(nodes.select("class", "sketch"), "class").select("class", "sketch", "path"), picks, runs)
+    return done.select("class", "path", "held")
 
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
-    """Adds ``part, near, far``: every unordered pair of blocks of a bucket; a record is near, far or both in its parts."""
+    """Adds ``a, b, block``: every unordered pair of blocks of a bucket; a record is of block a or b in its parts."""
     blocks = F.ceil(F.col("held") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("class", "path"), blocks).cast("int")
-    with_own = members.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    part = F.struct(F.least("_own", "_other").alias("a"), F.greatest("_own", "_other").alias("b"))
-    return with_own.withColumn("part", part).withColumn("block", F.col("_own")).drop("_own", "_other")
-
-
-def _earlier(paths: list, path: int) -> np.ndarray:
-    """Records x buckets that come before ``path`` among those that two records or more have."""
-    at, code = [], []
-    for i, own in enumerate(paths):
-        own = own[own < path]
-        at.append(np.full(len(own), i))
-        code.append(own)
-    at, code = np.concatenate(at), np.concatenate(code)
-    values, inverse, counts = np.unique(code, return_inverse=True, return_counts=True)
-    keep = counts[inverse] > 1
-    out = np.zeros((len(paths), len(values)), np.float32)
-    out[at[keep], inverse[keep]] = 1
-    return out[:, counts > 1]
-
-
-def _first_met(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Near and far rows of this part, and the boolean matrix (upper triangle, or near x far) of pairs in no earlier bucket."""
-    block, (a, b) = group["block"].to_numpy(), (group["part"].iloc[0]["a"], group["part"].iloc[0]["b"])
-    rows, columns = np.flatnonzero(block == a), np.flatnonzero(block == b)
-    good = np.ones((len(rows), len(columns)), bool)
-    if a == b:
-        good = np.triu(good, 1)
-    before = _earlier([np.asarray(x) for x in group["paths"]], group["path"].iloc[0])
-    if before.shape[1]:
-        good &= (before[rows] @ before[columns].T) == 0
-    return rows, columns, good
-
-
-def _alike(sketch: np.ndarray, rows: np.ndarray, columns: np.ndarray, good: np.ndarray, lowest: float) -> np.ndarray:
-    """Those of the pairs whose sketches have a share of ``lowest`` or more in common."""
-    tokens = sketch.shape[1]
-    if good.mean() < 0.2:
-        left, right = np.nonzero(good)
-        kept = np.zeros_like(good)
-        for i in range(0, len(left), 16384):
-            x, y = left[i : i + 16384], right[i : i + 16384]
-            kept[x, y] = (sketch[rows[x]] == sketch[columns[y]]).sum(1) >= lowest * tokens
-        return kept
-    equal = np.zeros(good.shape, np.uint8)
-    near, far = np.ascontiguousarray(sketch[rows].T), np.ascontiguousarray(sketch[columns].T)
-    for k in range(tokens):
-        equal += near[k][:, None] == far[k][None, :]
-    return good & (equal >= lowest * tokens)
-
-
-def _overlaps(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections rows x columns: a product for common elements, pair by pair for the others."""
-    which = np.unique(np.concatenate([rows, columns]))
-    flat = np.concatenate([sets[i] for i in which])
-    owner = np.repeat(which, [len(sets[i]) for i in which])
-    values, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    out = np.zeros((len(rows), len(columns)), np.float32)
-    place_r, place_c = np.full(len(sets), -1), np.full(len(sets), -1)
-    place_r[rows], place_c[columns] = np.arange(len(rows)), np.arange(len(columns))
-    common = np.flatnonzero(counts > 24)
-    for c in range(0, len(common), 2048):
-        some = common[c : c + 2048]
-        at = np.searchsorted(some, inverse)
-        at[at == len(some)] = 0
-        hit = some[at] == inverse
-        table = np.zeros((len(sets), len(some)), np.float32)
-        table[owner[hit], at[hit]] = 1
-        out += table[rows] @ table[columns].T
-    rare = (counts[inverse] > 1) & (counts[inverse] <= 24)
-    owner, code = owner[rare], inverse[rare]
-    order = np.argsort(code, kind="stable")
-    owner, code = owner[order], code[order]
-    start = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    size = np.diff(np.append(start, len(code)))
-    for n in np.unique(size):
-        own = owner[start[size == n][:, None] + np.arange(n)[None, :]]
-        r, c = place_r[own], place_c[own]
-        left, right = np.repeat(r, n, axis=1).ravel(), np.tile(c, (1, n)).ravel()
-        ok = (left >= 0) & (right >= 0)
-        np.add.at(out, (left[ok], right[ok]), 1)
+    return members.withColumn("block", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"a": F.least("block", "_other"), "b": F.greatest("block", "_other")}).drop("_other", "held")
+
+
+def _whole_parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Runs of whole parts (equal ``path, a, b``, sorted), of ``rows`` records or a little more; and the edges of the parts."""
+
+    def edges(t: pa.Table) -> np.ndarray:
+        new = np.zeros(len(t), bool)
+        new[:1] = True
+        for c in ("path", "a", "b"):
+            x = t.column(c).to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(new)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            table = pa.Table.from_batches(held)
+            at = edges(table)
+            if len(at) > 1:
+                yield table.slice(0, at[-1]), at
+                held = table.slice(at[-1]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        if len(table):
+            yield table, np.append(edges(table), len(table))
+
+
+def _pairs(edges: np.ndarray, block: np.ndarray, a: np.ndarray, b: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Record numbers of all pairs within each part, about ``most`` at a time."""
+    size, first = np.diff(edges), edges[:-1]
+    same = a[first] == b[first]
+    for n in np.unique(size[same & (size <= 64)]).tolist():
+        x, y = np.triu_indices(n, 1)
+        own = first[same & (size == n)]
+        step = max(1, most // max(1, len(x)))
+        for i in range(0, len(own), step):
+            yield (own[i : i + step, None] + x).ravel(), (own[i : i + step, None] + y).ravel()
+    for i in np.flatnonzero(~same | (size > 64)).tolist():
+        at = np.arange(edges[i], edges[i + 1])
+        if same[i]:
+            near = far = at
+        else:
+            near, far = at[block[at] == a[at]], at[block[at] == b[at]]
+        if not len(far):
+            continue
+        step = max(1, most // len(far))
+        for k in range(0, len(near), step):
+            x, y = np.repeat(near[k : k + step], len(far)), np.tile(far, len(near[k : k + step]))
+            if same[i]:
+                later = y > x
+                x, y = x[later], y[later]
+            yield x, y
+
+
+def _earlier(paths: pa.Array, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each record's buckets before its own ``path`` in two matrices, filled up with different numbers."""
+    offsets = paths.offsets.to_numpy().astype(np.int64)
+    flat = paths.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    owner = np.repeat(np.arange(len(path)), np.diff(offsets))
+    keep = flat < path[owner]
+    flat, owner = flat[keep], owner[keep]
+    n = np.bincount(owner, minlength=len(path))
+    place = np.arange(len(flat)) - (np.cumsum(n) - n)[owner]
+    top = np.iinfo(np.int64).max
+    one = np.full((len(path), int(n.max(initial=0))), top)
+    one[owner, place] = flat
+    two = one.copy()
+    two[two == top] = top - 1
+    return one, two
+
+
+def _met_before(one: np.ndarray, two: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs have an earlier bucket in common."""
+    out = np.zeros(len(x), bool)
+    width = one.shape[1]
+    step = max(1, (1 << 18) // max(1, width))
+    for i in range(0, len(x), step):
+        left, right = one[x[i : i + step]], two[y[i : i + step]]
+        for k in range(width):
+            out[i : i + step] |= (left[:, k : k + 1] == right).any(1)
+    return out
+
+
+def _near(table: pa.Table, edges: np.ndarray, lowest: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of each part that are alike by their sketches and in no earlier bucket."""
+    column = {c: table.column(c).combine_chunks() for c in ("path", "a", "b", "block", "low", "paths")}
+    low = flat_bytes(column["low"])[0].reshape(len(table), -1)
+    path, a, b, block = (column[c].to_numpy() for c in ("path", "a", "b", "block"))
+    one, two = _earlier(column["paths"], path)
+    for x, y in _pairs(edges, block, a, b):
+        good = np.concatenate([(low[x[i : i + 8192]] == low[y[i : i + 8192]]).sum(1, dtype=np.uint8) for i in range(0, len(x), 8192)] or [np.zeros(0, np.uint8)]) >= lowest * low.shape[1]
+        x, y = x[good], y[good]
+        fresh = ~_met_before(one, two, x, y)
+        yield x[fresh], y[fresh]
+
+
+def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of pairs of sorted sets."""
+    out = np.empty(len(x), np.int64)
+    for i, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+        few, many = (sets[a], sets[b]) if len(sets[a]) < len(sets[b]) else (sets[b], sets[a])
+        at = np.searchsorted(many, few)
+        at[at == len(many)] = 0
+        out[i] = np.count_nonzero(many[at] == few)
     return out
 
 
+def _common_dense(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The same for many pairs of few sets, by matrix products over ranges of elements of bounded size."""
+    which = np.unique(np.concatenate([x, y]))
+    place = np.full(len(sets), -1)
+    place[which] = np.arange(len(which))
+    own = [sets[i] for i in which.tolist()]
+    ranges = max(1, -(-sum(map(len, own)) // (1 << 19)))
+    bounds = (np.arange(1, ranges) * ((1 << 64) // ranges)).astype(np.uint64) if ranges > 1 else np.zeros(0, np.uint64)
+    cuts = np.array([[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in own])
+    shared = np.zeros((len(own), len(own)), np.float32)
+    for r in range(ranges):
+        parts = [s[c[r] : c[r + 1]] for s, c in zip(own, cuts, strict=True)]
+        owner = np.repeat(np.arange(len(own)), [len(q) for q in parts])
+        _, code, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        several = np.flatnonzero(counts > 1)
+        number = np.full(len(counts), -1)
+        number[several] = np.arange(len(several))
+        at = number[code]
+        for c in range(0, len(several), 2048):
+            hit = (at >= c) & (at < c + 2048)
+            table = np.zeros((len(own), min(2048, len(several) - c)), np.float32)
+            table[owner[hit], at[hit] - c] = 1
+            shared += table @ table.T
+    return shared[place[x], place[y]].astype(np.int64)
+
+
 def _forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the links."""
     parent = list(range(n))
@@ -368,84 +434,98 @@ def _forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]
 def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float, block: int) -> DataFrame:
     """``class, links`` (a class's weight of links found) and ``other`` (forest edges, links 0)."""
     lowest = similarity - SLACK
-    paths = buckets.groupBy("class").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    info = nodes.select("class", "sketch", "copies").join(paths, "class")
-    members = _in_blocks(buckets.join(info, "class"), block).drop("held")
-    kept = ["class", "path", "part", "block", "paths", "copies"]
-
-    def near(group: pd.DataFrame) -> pd.DataFrame:
-        rows, columns, good = _first_met(group)
-        good = _alike(np.frombuffer(b"".join(group["sketch"]), "<u4").reshape(len(group), -1), rows, columns, good, lowest)
-        at = np.unique(np.concatenate([rows[good.any(1)], columns[good.any(0)]]))
-        return group.iloc[at][kept]
-
-    active = members.groupBy("path", "part").applyInPandas(near, "class binary, path long, part struct<a:int,b:int>, block int, paths array<long>, copies long")
+    own = buckets.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("path", "held"))).alias("own"))
+    known = nodes.select("class", F.substring("sketch", 1, TOKENS).alias("low"), "copies")
+    members = own.join(known.hint("merge"), "class").select("class", "low", "copies", F.col("own.path").alias("paths"), F.explode("own").alias("at"))
+    members = _in_blocks(members.select("class", "low", "copies", "paths", "at.path", "at.held"), block)
+    part, kept = ["path", "a", "b"], ["class", "path", "a", "b", "block", "copies", "low", "paths"]
+    types = "class binary, path long, a int, b int, block int, copies long, low binary, paths array<long>"
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _whole_parts(batches, PART_ROWS):
+            active = np.zeros(len(table), bool)
+            for x, y in _near(table, edges, lowest):
+                active[x] = active[y] = True
+            yield from table.take(pa.array(np.flatnonzero(active))).combine_chunks().to_batches()
+
+    # A part has 2 * block records at most, however large its bucket.
+    active = members.select(*kept).repartition(*part).sortWithinPartitions(*part).mapInArrow(near, types)
     active = materialize(active, "active")
 
     # The full sets of the classes that have a partner by their sketches, from one row of each.
     wanted = active.select("class").distinct()
-    chosen = materialize(wanted.join(nodes.select("class", "row"), "class").select("row").distinct(), "chosen")
+    chosen = materialize(wanted.join(nodes.select("class", "row").hint("merge"), "class").select("row").distinct(), "chosen")
     texts = docs.select(F.xxhash64(F.col(id_col).cast("long"), _key(F.col(text_col))).alias("row"), binary_text(F.col(text_col)).alias("text"))
-    few = chosen.count() <= BROADCAST_KEYS
-    texts = texts.join(F.broadcast(chosen) if few else chosen, "row", "left_semi")
+    texts = texts.join(F.broadcast(chosen) if _few(chosen) else chosen, "row", "left_semi")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met = set()
         for batch in batches:
             flat, offsets = flat_bytes(batch.column(0))
             for a, b in byte_slices(np.diff(offsets), BATCH_BYTES):
                 sets, at = shingles(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
-                name, elements = [], []
+                found = {}
                 for i in range(b - a):
                     own = sets[at[i] : at[i + 1]]
-                    own_name = np.array([_mix(own + _K2).sum(), _mix(own ^ _K3).sum()], np.uint64).tobytes()
-                    if own_name not in met:
-                        met.add(own_name)
-                        name.append(own_name), elements.append(own.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), pa.array(elements, pa.binary())], ["class", "elements"])
+                    found[np.array([_mix(own + _K2).sum(), _mix(own ^ _K3).sum()], np.uint64).tobytes()] = own.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["class", "elements"])
 
     full = materialize(texts.select("text").mapInArrow(whole, "class binary, elements binary"), "full")
-    if full.count() > full.select("class").distinct().count():  # rows of the same id and text in several tasks
+    if full.count() > full.select("class").distinct().count():  # rows of the same id and text
         full = full.dropDuplicates(["class"])
 
-    def verify(group: pd.DataFrame) -> pd.DataFrame:
-        rows, columns, good = _first_met(group)
-        sets = [np.frombuffer(x, np.uint64) for x in group["elements"]]
-        shared = _overlaps(sets, rows, columns)
-        size = np.array([len(x) for x in sets], np.float64)
-        union = size[rows][:, None] + size[columns][None, :] - shared
-        good &= shared >= similarity * union - 1e-9
-        weight = group["copies"].to_numpy().astype(np.float64)
-        links = np.zeros(len(group))
-        np.add.at(links, rows, good @ weight[columns])
-        np.add.at(links, columns, good.T @ weight[rows])
-        left, right = np.nonzero(good)
-        edges = _forest(len(group), rows[left], columns[right])
-        name = group["class"].tolist()
-        some = np.flatnonzero(links)
-        out = [(name[i], int(links[i]), None) for i in some.tolist()] + [(name[x], 0, name[y]) for x, y in edges]
-        return pd.DataFrame(out, columns=["class", "links", "other"])
-
-    ready = active.join(full, "class")
-    return materialize(ready.groupBy("path", "part").applyInPandas(verify, "class binary, links long, other binary"), "links")
-
-
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """``node, root``: the smallest node of each component, by alternating large and small stars.
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _whole_parts(batches, block):
+            flat, offsets = flat_bytes(table.column("elements").combine_chunks())
+            elements = flat.view(np.uint64)
+            sets = [elements[a:b] for a, b in zip(offsets[:-1] // 8, offsets[1:] // 8, strict=True)]
+            size = np.diff(offsets) // 8
+            weight = table.column("copies").to_numpy()
+            links = np.zeros(len(table), np.int64)
+            pairs = list(_near(table, edges, lowest))
+            x, y = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, np.int64) for i in (0, 1))
+            # Sets of which one is smaller than the similarity allows need no comparison.
+            fits = np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y]) - 1e-9
+            x, y = x[fits], y[fits]
+            own = np.searchsorted(edges, x, side="right") - 1
+            many = np.bincount(own, minlength=len(edges) - 1) > 8 * np.diff(edges)
+            shared = np.zeros(len(x), np.int64)
+            few = ~many[own]
+            shared[few] = _common(sets, x[few], y[few])
+            for part_no in np.flatnonzero(many).tolist():
+                at = own == part_no
+                shared[at] = _common_dense(sets, x[at], y[at])
+            good = shared >= similarity * (size[x] + size[y] - shared) - 1e-9
+            x, y = x[good], y[good]
+            np.add.at(links, x, weight[y])
+            np.add.at(links, y, weight[x])
+            name = table.column("class").to_pylist()
+            some = np.flatnonzero(links).tolist()
+            edges = _forest(len(table), x, y)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name[i] for i in some] + [name[x] for x, _ in edges], pa.binary()), pa.array(links[some].tolist() + [0] * len(edges), pa.int64()), pa.array([None] * len(some) + [name[y] for _, y in edges], pa.binary())], ["class", "links", "other"]
+            )
+
+    ready = active.join(full.hint("merge"), "class").repartition(*part).sortWithinPartitions(*part)
+    return materialize(ready.select(*kept, "elements").mapInArrow(verify, "class binary, links long, other binary"), "links")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node, root``: the smallest node of each component, by alternating large and small stars until nothing changes.
 
     ``edges`` has ``a, b``. Each round writes its edges to the shared folder; a vertex sends its
     edges to its smallest neighbour, so no vertex gathers a component.
     """
     work = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    for i in range(rounds):
+    while True:
         both = work.unionByName(work.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        large = materialize(large, f"large{i}")
+        large = materialize(large, "large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        small = materialize(small, f"small{i}")
+        small = materialize(small, "small")
         same = small.count() == work.count() and not small.join(work, ["a", "b"], "left_anti").limit(1).count()
+        discard(large), discard(work)
         work = small
         if same:
             break
@@ -459,8 +539,9 @@ def _grouped(
     for the class's component: ``unnamed`` (its id is null), ``doc_id, key``, the smallest."""
     sets = materialize(_sets(docs, id_col, text_col, width), "sets")
     worded = sets.where("class is not null")
-    buckets, met = _buckets(worded, picks, runs_for(recall, similarity, picks, TOKENS, depth), limit, depth)
-    links = _links(buckets, met, docs, id_col, text_col, width, similarity, block)
+    nodes = materialize(_nodes(worded), "nodes")
+    buckets = _buckets(nodes, picks, runs_for(recall, similarity, picks, TOKENS, depth), limit, depth)
+    links = _links(buckets, nodes, docs, id_col, text_col, width, similarity, block)
     sums = links.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(links.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     roots = materialize(roots, "roots")

@@ -4,13 +4,13 @@ Model: for each language the smoothed log probability of hashed byte 4-grams wit
 words, from counts over every labelled training row (no sample). Inference: a text is a
 bag of segments of ``SEGMENT`` words, each drawn from one language; expectation-
 maximisation estimates the text's language proportions from the segments' n-gram
-likelihoods. Nested language sets (by proportion, up to ``MOST``) compete by
-likelihood penalised by ``(k - 1) / 2 * log(segments) + (k - 1) * MARGIN``.
+likelihoods. The language set starts with the likeliest language and grows, in order of
+proportion, while the likelihood penalised by ``(k - 1) / 2 * log(segments) + (k - 1) * MARGIN`` improves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import byte_slices, crc_mod, flat_bytes, read_table
+from .common import byte_slices, crc_mod, read_table, text_sizes
 
 BUCKETS = 1 << 16
 SEGMENT = 4
-MOST = 3
 MARGIN = 4.0
 ROUNDS = 12
 SMOOTH = 0.5
 BATCH_BYTES = 1 << 20
+#: What an inference adds to a row.
+FOUND = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("languages", ArrayType(StringType())), StructField("proportions", ArrayType(DoubleType())), StructField("n_segments", LongType())]
 
 
 def _grams(flat: np.ndarray) -> np.ndarray:
@@ -120,8 +121,9 @@ class LanguageModel:
         result[every, alone.argmax(1)] = 1
         k_best = np.ones(len(live), np.int64)
         order = np.argsort(-full, axis=1, kind="stable")
-        for k in range(2, min(MOST, k_all) + 1):
-            docs = np.flatnonzero((n[live] >= k) & (np.take_along_axis(full, order[:, k - 1 : k], 1)[:, 0] > 0))
+        for k in range(2, k_all + 1):
+            # A set grows by one language as long as that gained in likelihood after the penalty.
+            docs = np.flatnonzero((k_best == k - 1) & (n[live] >= k) & (np.take_along_axis(full, order[:, k - 1 : k], 1)[:, 0] > 0))
             if not len(docs):
                 break
             allowed = np.zeros((len(docs), k_all))
@@ -140,10 +142,11 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> La
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in byte_slices(np.array([len(t) for t in texts]), BATCH_BYTES):
+            langs = batch.column(1).to_pylist()
+            for a, b in byte_slices(text_sizes(batch.column(0)), BATCH_BYTES):
+                texts = batch.column(0).slice(a, b - a).to_pylist()
                 for lang in set(langs[a:b]):
-                    flat = np.frombuffer(b"".join(_prepare([t for t, x in zip(texts[a:b], langs[a:b], strict=True) if x == lang])), np.uint8)
+                    flat = np.frombuffer(b"".join(_prepare([t for t, x in zip(texts, langs[a:b], strict=True) if x == lang])), np.uint8)
                     space = flat == 32
                     scored = ~space
                     scored[1:] |= ~space[:-1]
@@ -168,19 +171,24 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list[str], text_col:
 
     ``lang_pred`` is the language of largest proportion (the first in code-point order of
     equals), ``score`` its proportion. A null text, or one without a letter, is ``und``
-    with score 0; so is every text when the model has no language.
+    with score 0; so is every text when the model has no language. Repeated rows repeat, an
+    empty table gives no rows, and columns not asked for are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     carried = docs.select(*[F.col(c) for c in columns], F.col(text_col).alias("_text"))
-    made_types = [("lang_pred", StringType()), ("score", DoubleType()), ("languages", ArrayType(StringType())), ("proportions", ArrayType(DoubleType())), ("n_segments", LongType())]
-    out = StructType([*docs.select(*columns).schema.fields, *[StructField(*x) for x in made_types]])
+    out = StructType([*docs.select(*columns).schema.fields, *FOUND])
+    return _inferred(carried, model, out, lambda batch: batch.column(batch.num_columns - 1), len(columns))
+
+
+def _inferred(carried: DataFrame, model: LanguageModel, out: StructType, text_of: Callable[[pa.RecordBatch], pa.Array], n_kept: int) -> DataFrame:
+    """The first ``n_kept`` columns and the inference from the text that ``text_of`` finds in a batch."""
+    shared = carried.sparkSession.sparkContext.broadcast(model)
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in byte_slices(np.array([len(t) if t else 0 for t in texts]), BATCH_BYTES):
-                share, size, n = own.mixtures(_prepare(texts[a:b]))
+            column = text_of(batch)
+            for a, b in byte_slices(text_sizes(column), BATCH_BYTES):
+                share, size, n = own.mixtures(_prepare(column.slice(a, b - a).to_pylist()))
                 names, scores, sets, parts = [], [], [], []
                 for row, k in zip(share, size.tolist(), strict=True):
                     if k == 0:
@@ -192,13 +200,17 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list[str], text_col:
                     sets.append([own.languages[i] for i in top])
                     parts.append([float(row[i]) for i in top])
                 made = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float64())), pa.array(n, pa.int64())]
-                kept = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
+                kept = [batch.column(i).slice(a, b - a) for i in range(n_kept)]
                 yield pa.RecordBatch.from_arrays(kept + made, out.names)
 
     return carried.mapInArrow(infer, out)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``documents``; the model learns from labelled rows that are not held out.
+
+    A null id counts as the empty text in crc32; repeated rows repeat; without labelled rows all is ``und``.
+    """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
     model = train(docs.where(~held_out))
@@ -206,8 +218,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(rows, model, ["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score", "languages", "proportions", "n_segments")
 
 
-def identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is in some language: texts without a letter go."""
-    model = train(labelled)
-    found = predict(docs.select(F.struct("*").alias("row"), "text"), model, ["row"])
-    return found.where(F.col("lang_pred") != "und").select("row.*")
+def identified(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text is in some language, with their columns; a null ``lang_col`` takes the predicted language.
+
+    Rows without a text or with no letter in it go. The model learns from ``labelled``; where that has no
+    row with a language, every row with a letter stays as it is. Repeated rows repeat; an empty table stays empty.
+    A row crosses to the worker once, as a whole, so its columns may have any names.
+    """
+    model = train(labelled, text_col, lang_col)
+    if not model.languages:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
+    carried = docs.select(F.struct("*").alias("row"))
+    found = _inferred(carried, model, StructType([*carried.schema.fields, *FOUND]), lambda batch: batch.column(0).field(text_col), 1)
+    found = found.where(F.col("lang_pred") != "und")
+    return found.select(*[F.coalesce(F.col("row")[c], F.col("lang_pred")).alias(c) if c == lang_col else F.col("row")[c].alias(c) for c in docs.columns])
