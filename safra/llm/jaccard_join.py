@@ -45,7 +45,7 @@ PART_ROWS = 8192
 BRIEF = 16
 #: A sketch of 128 tokens underrates a similarity of 0.8 by 0.16 or more once in 30,000 pairs.
 SLACK = 0.16
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 #: Keys of rows to verify that are broadcast at most (4 MB); more are joined by a shuffle.
 BROADCAST_KEYS = 500_000
 
@@ -70,6 +70,22 @@ def _seeds(n: int, salt: int) -> np.ndarray:
 _INVERSE = np.uint64(pow(int(_K1), -1, 1 << 64))
 
 
+_kept_powers: dict[int, np.ndarray] = {}
+
+
+def _powers(n: int, base: np.uint64) -> np.ndarray:
+    """The first ``n`` powers; those that a slice of texts needs are kept."""
+    most = max(n, 2 * BATCH_BYTES)
+    kept = _kept_powers.get(int(base))
+    if kept is None or len(kept) < n:
+        kept = np.full(most, base)
+        kept[0] = 1
+        kept = np.multiply.accumulate(kept)
+        if most == 2 * BATCH_BYTES:
+            _kept_powers[int(base)] = kept
+    return kept[:n]
+
+
 def shingles(flat: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted, end to end; and their n+1 offsets.
 
@@ -88,13 +104,8 @@ def shingles(flat: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple
     ends = ~space
     ends[:-1] &= space[1:] | edge[1:-1]
     begin, end = np.flatnonzero(begins), np.flatnonzero(ends)
-    power = np.full(len(flat), _K1)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    total = np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)
-    inverse = np.full(len(flat), _INVERSE)
-    inverse[0] = 1
-    inverse = np.multiply.accumulate(inverse)
+    total = np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * _powers(len(flat), _K1), dtype=np.uint64)
+    inverse = _powers(len(flat), _INVERSE)
     word = total[end]
     word[1:] -= total[begin[1:] - 1]
     if len(begin) and begin[0] > 0:
@@ -126,9 +137,12 @@ def embed(sets: np.ndarray, offsets: np.ndarray, tokens: int = TOKENS) -> np.nda
     full = np.flatnonzero(np.diff(offsets))
     out = np.empty((len(full), tokens), np.uint32)
     if len(full):
-        start = offsets[:-1][full]
+        start, high, hashed = offsets[:-1][full], sets >> np.uint64(31), np.empty_like(sets)
         for k, seed in enumerate(_seeds(tokens, 5)):
-            out[:, k] = np.minimum.reduceat((sets ^ seed) * seed ^ (sets >> np.uint64(31)), start) >> np.uint64(32)
+            np.bitwise_xor(sets, seed, out=hashed)
+            np.multiply(hashed, seed, out=hashed)
+            np.bitwise_xor(hashed, high, out=hashed)
+            out[:, k] = np.minimum.reduceat(hashed, start) >> np.uint64(32)
     return out
 
 
