@@ -4,10 +4,14 @@ Base patterns find credentials of three kinds. From the values that they match (
 credentials, at most ``SAMPLE`` distinct values a kind, those of smallest hash) one
 probabilistic automaton a kind is inferred: a prefix tree whose states are merged, in
 breadth-first order, when the frequencies of their continuations are statistically
-compatible (Hoeffding bounds, recursively). Every candidate of every text, a run of the
-credential alphabet of ``SHORTEST`` characters or more, is then scored by its
-log-likelihood a character under each automaton against a model of ordinary words;
-candidates above the threshold become spans beside those of the base patterns.
+compatible over their whole subtrees (Hoeffding bounds). The tree's symbols are what the
+values have in common: a character that most values have at a place, punctuation, or else
+the narrowest character set of the whole value, within which the characters have
+frequencies of their own. Every candidate of every text, a run of the credential alphabet
+of ``SHORTEST`` characters or more, is then scored by the logarithm of its likelihood under
+each automaton, its end included, over that under the language of the whole corpus, a model of
+character pairs counted over all texts outside the base spans. Candidates above the threshold,
+which their length sets, become spans beside those of the base patterns.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_slices, materialize, read_table
+from .common import byte_slices, materialize, read_table, text_sizes
 
 KINDS = ("assign", "access", "hex")
 #: Base patterns of the contract (fixed values); the second group of the first is the value.
@@ -31,18 +35,67 @@ ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][D
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT = re.compile(r"[0-9]")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_][A-Za-z0-9+/_.=-]{4,}[A-Za-z0-9+/_=]")
 
 SAMPLE = 500
-SHORTEST = 16
+SHORTEST = 6
+#: Visits that a state needs before its continuations are tested, or one of its characters stands for itself.
+EVIDENCE = 8
 ALPHA = 0.05
-#: Log-likelihood ratio a character, and share of digits, that a candidate must exceed.
-THRESHOLD = 0.75
-#: Characters fold to these classes before they are learnt.
-_CLASS = {**{c: "d" for c in "0123456789"}, **{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"}, **{c: "U" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}, **{c: "p" for c in "+/_.=-"}}
-_FOLD = {ord(c): k for c, k in _CLASS.items()}
-SYMBOLS = "dhlUp"
+#: Weight, in visits, of overall frequencies in those of a state that is compared, and in those after a character of the corpus.
+PRIOR, PAIR_PRIOR = 0.5, 64
+#: Log-likelihood ratio that a candidate must exceed, in all and for each character.
+TOTAL, EACH = 25.0, 1.0
+#: Judged candidates that a task remembers.
+REMEMBERED = 1 << 18
+#: Character sets from narrow to wide; a value's is the first that holds all its letters and digits.
+SETS = {
+    "<digit>": "0123456789",
+    "<hex>": "0123456789abcdef",
+    "<HEX>": "0123456789ABCDEF",
+    "<lower>": "abcdefghijklmnopqrstuvwxyz",
+    "<upper>": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "<lower+digit>": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "<upper+digit>": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "<letter>": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "<any>": "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ",
+}
+_SETS = [(name, frozenset(chars)) for name, chars in SETS.items()]
+PUNCTUATION = "+/_.=-"
+ALPHABET = SETS["<any>"] + PUNCTUATION
+_CODE = np.zeros(256, np.int64)
+_CODE[[ord(c) for c in ALPHABET]] = np.arange(1, len(ALPHABET) + 1)
+_WIDTH = len(ALPHABET) + 1
+
+
+def character_set(value: str) -> str:
+    own = set(value).difference(PUNCTUATION)
+    return next(name for name, chars in _SETS if own <= chars)
+
+
+def symbols(values: dict[str, int]) -> list[tuple[list[str], int]]:
+    """Each value as symbols. A character stands for itself at a place where half of the values with the same symbols before it have it."""
+    out: list[tuple[list[str], int]] = []
+    todo: list[tuple[list[str], list[tuple[str, str, int]]]] = [([], [(v, character_set(v), n) for v, n in sorted(values.items())])]
+    while todo:
+        before, group = todo.pop()
+        at = len(before)
+        if len(group) == 1 and group[0][2] < EVIDENCE:
+            (v, name, n), = group
+            out.append(([*before, *(c if c in PUNCTUATION else name for c in v[at:])], n))
+            continue
+        out += [(before, n) for v, _, n in group if len(v) == at]
+        group = [x for x in group if len(x[0]) > at]
+        total = sum(n for _, _, n in group)
+        seen: Counter = Counter()
+        for v, _, n in group:
+            seen[v[at]] += n
+        literal = {c for c, n in seen.items() if c in PUNCTUATION or (total >= EVIDENCE and 2 * n >= total)}
+        following: dict[str, list[tuple[str, str, int]]] = {}
+        for x in group:
+            following.setdefault(x[0][at] if x[0][at] in literal else x[1], []).append(x)
+        todo += [([*before, c], following[c]) for c in sorted(following)]
+    return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -59,12 +112,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Automaton:
-    """Probabilistic automaton over symbol classes, inferred by merging prefix-tree states."""
+    """Probabilistic automaton over symbols, inferred by merging prefix-tree states; "" is the end of a value."""
 
-    def __init__(self, words: dict[str, int], alpha: float = ALPHA):
+    def __init__(self, words: list[tuple[list[str], int]], alpha: float = ALPHA):
         self.next: list[dict[str, int]] = [{}]
         self.seen: list[Counter] = [Counter()]
-        for word, n in sorted(words.items()):
+        for word, n in sorted(words):
             state = 0
             for c in word:
                 self.seen[state][c] += n
@@ -74,6 +127,10 @@ class Automaton:
                     self.seen.append(Counter())
                 state = self.next[state][c]
             self.seen[state][""] += n
+        overall: Counter = Counter()
+        for x in self.seen:
+            overall.update(x)
+        self.overall = {c: n / overall.total() for c, n in overall.items()}
         self._merge(alpha)
 
     def _alike(self, a: int, b: int, alpha: float) -> bool:
@@ -86,8 +143,8 @@ class Automaton:
             met.add(pair)
             a, b = pair
             x, y = self.seen[a], self.seen[b]
-            m, n = sum(x.values()), sum(y.values())
-            if not m or not n:
+            m, n = x.total(), y.total()
+            if min(m, n) < EVIDENCE:
                 continue
             bound = math.sqrt(0.5 * math.log(2 / alpha)) * (1 / math.sqrt(m) + 1 / math.sqrt(n))
             if any(abs(x[c] / m - y[c] / n) > bound for c in x.keys() | y.keys()):
@@ -107,8 +164,16 @@ class Automaton:
                 else:
                     self.next[a][c] = s
 
+    def _cost(self, seen: Counter, state: int) -> float:
+        """Code length of some continuations at a state."""
+        own, n = self.seen[state], self.seen[state].total()
+        return -sum(k * math.log((own[c] + PRIOR * self.overall[c]) / (n + PRIOR)) for c, k in seen.items())
+
     def _merge(self, alpha: float) -> None:
-        """Red states are final; each blue one, breadth first, joins the first compatible red or turns red."""
+        """Red states are final; each blue one, breadth first, joins the compatible red that tells its continuations best, or turns red.
+
+        A state of too few visits for the test stays as it is, and nothing joins it.
+        """
         red, fixed = [0], {0}
         queue = deque((0, c) for c in sorted(self.next[0]))
         while queue:
@@ -116,12 +181,13 @@ class Automaton:
             state = self.next[parent].get(c)
             if state is None or state in fixed:
                 continue
-            for r in red:
-                if self._alike(r, state, alpha):
-                    self.next[parent][c] = r
-                    self._fold(r, state)
-                    queue.extend((r, k) for k, s in sorted(self.next[r].items()) if s not in fixed)
-                    break
+            tested = self.seen[state].total() >= EVIDENCE
+            alike = [r for r in red if tested and self.seen[r].total() >= EVIDENCE and self._alike(r, state, alpha)]
+            if alike:
+                r = min(alike, key=lambda r: (self._cost(self.seen[state], r), r))
+                self.next[parent][c] = r
+                self._fold(r, state)
+                queue.extend((r, k) for k, s in sorted(self.next[r].items()) if s not in fixed)
             else:
                 red.append(state)
                 fixed.add(state)
@@ -131,82 +197,137 @@ class Automaton:
     def _compact(self, red: list[int]) -> None:
         number = {s: i for i, s in enumerate(red)}
         following = [{c: number[s] for c, s in self.next[r].items() if s in number} for r in red]
-        counts = [self.seen[r] for r in red]
-        self.next, self.seen = following, counts
-        self.log = []
-        for c in counts:
-            n = sum(c.values())
-            self.log.append({k: math.log((c[k] + 0.1) / (n + 0.1 * (len(SYMBOLS) + 1))) for k in (*SYMBOLS, "")})
-
-    def score(self, word: str) -> float:
-        """Log-likelihood a character; a continuation never seen stays in its state, at the smoothed price."""
+        self.next, self.seen = following, [self.seen[r] for r in red]
+        self.log = [{c: math.log(n / x.total()) for c, n in x.items()} for x in self.seen]
+
+
+class Format:
+    """The automaton of a kind, and the frequencies of characters within each set."""
+
+    def __init__(self, values: dict[str, int]):
+        words = symbols(values)
+        self.automaton = Automaton(words)
+        within: dict[str, Counter] = {}
+        for value, n in values.items():
+            own = within.setdefault(character_set(value), Counter())
+            for c in value:
+                own[c] += n
+        self.within = {name: {c: math.log((own[c] + 0.5) / (sum(own[x] for x in SETS[name]) + 0.5 * len(SETS[name]))) for c in SETS[name]} for name, own in within.items()}
+
+    def score(self, value: str, name: str) -> float:
+        """Log-likelihood of a value and its end, given its character set; minus infinity if the automaton does not accept it."""
+        within, log, following = self.within.get(name, {}), self.automaton.log, self.automaton.next
         state, total = 0, 0.0
-        for c in word:
-            total += self.log[state][c]
-            state = self.next[state].get(c, state)
-        return total / max(1, len(word))
+        for c in value:
+            own = following[state]
+            if c in own:
+                total += log[state][c]
+                state = own[c]
+            elif name in own and c in within:
+                total += log[state][name] + within[c]
+                state = own[name]
+            else:
+                return -math.inf
+        return total + log[state].get("", -math.inf)
 
 
-def labelled_values(docs: DataFrame, text_col: str, sample: int) -> list[tuple[int, str]]:
-    """(kind, value) of base matches: of each kind at most ``sample`` distinct values."""
+def _pair_counts(texts: list[str]) -> np.ndarray:
+    """Counts of the pairs of characters within and at the ends of runs of the credential alphabet."""
+    code = _CODE[np.frombuffer(("\n" + "\n".join(texts) + "\n").encode(), np.uint8)]
+    return np.bincount(code[:-1] * _WIDTH + code[1:], minlength=_WIDTH * _WIDTH)
 
-    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def learn(docs: DataFrame, text_col: str, sample: int) -> tuple[list[tuple[int, str]], np.ndarray]:
+    """(kind, value) of base matches, of each kind at most ``sample`` distinct values; and pair counts of all texts without the base spans."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(_WIDTH * _WIDTH, np.int64)
         for batch in batches:
-            kind, value = [], []
-            for text in batch.column(0).to_pylist():
-                for start, end, k in base_spans(text):
-                    own = ASSIGN.match(text, start, end)[2] if k == 0 else text[start:end]
-                    if len(own) <= 256:
-                        kind.append(k), value.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(value, pa.string())], ["kind", "value"])
-
-    found = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(values, "kind int, value string").distinct()
-    found = materialize(found, "labelled")
-    out = []
+            values: Counter = Counter()
+            for a, b in byte_slices(text_sizes(batch.column(0)), 1 << 20):
+                texts = batch.column(0).slice(a, b - a).to_pylist()
+                spans: list[str] = []
+                for text in texts:
+                    for start, end, k in base_spans(text):
+                        values[(k, ASSIGN.match(text, start, end)[2] if k == 0 else text[start:end])] += 1
+                        spans.append(text[start:end])
+                pairs += _pair_counts(texts)
+                pairs -= _pair_counts(spans)
+            yield _learnt([k for k, _ in values], [v for _, v in values], list(values.values()))
+        at = np.flatnonzero(pairs)
+        yield _learnt([-1] * len(at), list(map(str, at.tolist())), pairs[at].tolist())
+
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(gather, "kind int, value string, n long")
+    found = materialize(rows.groupBy("kind", "value").agg(F.sum("n").alias("n")), "labelled")
+    values = []
     for k in range(len(KINDS)):
-        out += [(k, r.value) for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
-    return out
+        values += [(k, r.value) for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
+    pairs = np.zeros(_WIDTH * _WIDTH)
+    told = found.where("kind = -1").select(F.col("value").cast("int").alias("pair"), "n").toArrow()  # _WIDTH squared at most
+    pairs[told.column("pair").to_numpy()] = told.column("n").to_numpy()
+    return values, np.maximum(pairs, 0).reshape(_WIDTH, _WIDTH)
+
+
+def _learnt(kind: list[int], value: list[str], n: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(value, pa.string()), pa.array(n, pa.int64())], ["kind", "value", "n"])
 
 
 class Grammar:
-    """An automaton a kind, and the share of classes in ordinary long words."""
+    """The formats of the kinds, and the model of character pairs that they compete with."""
 
-    def __init__(self, values: list[tuple[int, str]]):
-        self.automata: dict[int, Automaton] = {}
+    def __init__(self, values: list[tuple[int, str]], pairs: np.ndarray | None = None):
+        self.formats: dict[int, Format] = {}
         for k in range(len(KINDS)):
-            own = Counter(v.translate(_FOLD) for kind, v in values if kind == k)
+            own = Counter(v for kind, v in values if kind == k)
             if own:
-                self.automata[k] = Automaton(own)
-        #: Log probability of a class in words of natural language (letters by far).
-        self.plain = {"d": math.log(0.02), "h": math.log(0.33), "l": math.log(0.59), "U": math.log(0.04), "p": math.log(0.02)}
-
-    def judge(self, value: str) -> tuple[int, float]:
-        """Kind of the best automaton, and the log-likelihood ratio a character."""
-        folded = value.translate(_FOLD)
-        if not self.automata:
-            return 0, -math.inf
-        plain = sum(self.plain[c] for c in folded) / len(folded)
-        best = max(self.automata, key=lambda k: (self.automata[k].score(folded), -k))
-        return best, self.automata[best].score(folded) - plain
+                self.formats[k] = Format(own)
+        pairs = np.zeros((_WIDTH, _WIDTH)) if pairs is None else pairs.astype(np.float64)
+        single = pairs.sum(0) + 0.5
+        pairs = pairs + PAIR_PRIOR * single / single.sum()
+        pairs[0, 0] = 0  # between runs
+        self.plain = np.log(pairs / pairs.sum(1, keepdims=True), where=pairs > 0, out=np.full_like(pairs, -math.inf))
+        #: Values judged so far, and the verdicts on those taken for credentials.
+        self.judged: set[str] = set()
+        self.taken: dict[str, tuple[int, float]] = {}
+
+    def ratio(self, value: str) -> tuple[int, float]:
+        """Kind of the best format, and the log-likelihood ratio of the value."""
+        name = character_set(value)
+        scores = {k: f.score(value, name) for k, f in self.formats.items()}
+        best = max(scores, key=lambda k: (scores[k], -k), default=0)
+        if not scores or scores[best] == -math.inf:
+            return best, -math.inf
+        code = _CODE[np.frombuffer(value.encode(), np.uint8)]
+        return best, scores[best] - float(self.plain[np.append(0, code), np.append(code, 0)].sum())
+
+    def judge(self, value: str) -> tuple[int, float] | None:
+        """Kind and log-likelihood ratio a character, if the value is taken for a credential."""
+        kind, ratio = self.ratio(value)
+        return (kind, ratio / len(value)) if ratio > max(TOTAL, EACH * len(value)) else None
+
+    def accepted(self, values: list[str]) -> set[str]:
+        """Those of the values that are; verdicts are remembered."""
+        if len(self.judged) > REMEMBERED:
+            self.judged.clear()
+            self.taken.clear()
+        found = set(values)
+        for value in found - self.judged:
+            verdict = self.judge(value)
+            if verdict:
+                self.taken[value] = verdict
+        self.judged |= found
+        return found & self.taken.keys() if self.taken else set()
 
 
 def scan_text(text: str, grammar: Grammar) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float]]]:
-    """Base spans, and (start, end, kind, score) of the candidates that the grammars accept outside them.
-
-    A candidate holds both a digit and a letter: runs of digits only are numbers, of letters only words.
-    """
+    """Base spans, and (start, end, kind, score) of the candidates that the grammars accept outside them."""
     base = base_spans(text)
     extra = []
-    if DIGIT.search(text) is not None:
+    taken = grammar.accepted(CANDIDATE.findall(text))
+    if taken:
         for m in CANDIDATE.finditer(text):
-            value = m[0]
-            if not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
-                continue
-            if any(s < m.end() and m.start() < e for s, e, _ in base):
-                continue
-            kind, score = grammar.judge(value)
-            if score > THRESHOLD:
-                extra.append((m.start(), m.end(), kind, score))
+            if m[0] in taken and not any(s < m.end() and m.start() < e for s, e, _ in base):
+                extra.append((m.start(), m.end(), *grammar.taken[m[0]]))
     return base, extra
 
 
@@ -222,17 +343,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start, then kind.
     ``n_inferred`` counts those that only the grammars find, ``top_score`` is their best
-    score (null without). Without any base match in ``docs`` nothing is inferred. Null
+    score, the log-likelihood ratio a character (null without). Without any base match in ``docs`` nothing is inferred. Null
     texts count as empty; repeated rows repeat; other columns are ignored.
     """
-    grammar = Grammar(labelled_values(docs, text_col, sample))
+    grammar = Grammar(*learn(docs, text_col, sample))
+    shared = docs.sparkSession.sparkContext.broadcast(grammar)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grammar = shared.value
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in byte_slices(np.array([len(t) for t in texts]), 1 << 22):
+            for a, b in byte_slices(text_sizes(batch.column(1)), 1 << 20):
                 rows = []
-                for text in texts[a:b]:
+                for text in batch.column(1).slice(a, b - a).to_pylist():
                     base, extra = scan_text(text, grammar)
                     n = Counter(k for _, _, k in base)
                     digest = hashlib.sha256(_told(base).encode()).hexdigest()
