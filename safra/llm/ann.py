@@ -2,9 +2,14 @@
 
 Vectors are scaled to length one and turned by a random rotation, so that any few
 leading dimensions estimate a distance without bias. They are filed in lists around
-centroids fitted on a bounded sample. A query probes the nearest lists; within each it
+centroids fitted on a bounded sample; there are about as many lists as the root of the rows, so
+both filing and searching grow by the power 1.5. How many lists are probed is measured:
+for some vectors the true neighbours are found in one pass over all rows, and the
+lists that hold ``RECALL`` of them suffice.
+
+A query first reads its nearest list whole, which gives it a k-th distance to beat. In every other probed list it
 scans the candidates in column blocks and after each block abandons those whose partial
-distance, by a hypothesis test, puts them beyond the query's current k-th neighbour.
+distance, by a hypothesis test, puts them beyond that distance.
 What is left is measured exactly, in double precision, on the original vectors.
 """
 
@@ -21,15 +26,16 @@ from pyspark.sql import functions as F
 from .common import materialize, read_table
 
 K = 5
-#: Rows that centroids are fitted on, at most: those of smallest seeded hash.
-SAMPLE = 16_384
-#: Rows a list holds on average, rows a task scans at once, and the share of lists that is probed (8 at least).
-LIST_ROWS = 256
+#: Rows that centroids are fitted on, at most, and a list on average: those of smallest seeded hash.
+SAMPLE, SAMPLE_PER_LIST = 1 << 17, 32
+#: Rows, and queries, of a list that a task holds at once.
 PART_ROWS = 4096
-PROBES = 0.7
+#: Vectors whose true neighbours are found to measure how many lists to probe, and the share of those to reach.
+MEASURED, RECALL = 128, 0.97
+LEAST_PROBES = 4
 COLUMNS = 16
 #: Standard errors of the test that abandons a candidate.
-EPSILON = 2.1
+EPSILON = 2.0
 SEED = 7
 
 
@@ -76,32 +82,35 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / np.sqrt((a * a).sum(1) * (b * b).sum(1))
 
 
-def scan_list(query: np.ndarray, turned: np.ndarray, k: int, columns: int = COLUMNS, epsilon: float = EPSILON) -> tuple[np.ndarray, int]:
-    """Rows of ``turned`` that may be among the ``k`` nearest to ``query`` (both unit and rotated), and the components read.
+def slack(stop: int, dim: int, epsilon: float = EPSILON) -> float:
+    """Multiple of the distance to beat that the scaled partial distance over ``stop`` of ``dim`` dimensions must exceed for a candidate to go.
 
-    The ``4 k`` rows that are nearest over the first columns set the threshold. Squared
-    distance over d of D dimensions, scaled by D / d, exceeds threshold * (1 + epsilon / sqrt(d))^2 only for a row that is
-    farther, up to the test's error.
+    Over a random rotation the share of a squared distance in d of D dimensions has mean d / D and relative variance
+    2 (D - d) / (d (D + 2)).
     """
+    return 1 + epsilon * np.sqrt(2 * (dim - stop) / (stop * (dim + 2))) if stop < dim else 1 + 1e-5
+
+
+def scan_lists(queries: np.ndarray, limits: np.ndarray, turned: np.ndarray, columns: int = COLUMNS, epsilon: float = EPSILON) -> tuple[list[np.ndarray], int]:
+    """For each of ``queries`` the rows of ``turned`` (unit and rotated, like them) that may be within its squared distance ``limits``; and the components read."""
     dim = turned.shape[1]
-    if len(turned) <= 4 * k:
-        return np.arange(len(turned)), turned.size
-    alive, limit, read = np.arange(len(turned)), np.inf, 0
-    partial = np.zeros(len(turned))
-    for start in range(0, dim, columns):
-        stop = min(dim, start + columns)
-        partial += ((turned[alive, start:stop] - query[start:stop]) ** 2).sum(1)
-        read += len(alive) * (stop - start)
-        if not start:
-            first = np.argpartition(partial, 4 * k)[: 4 * k]
-            limit = np.partition(((turned[first] - query) ** 2).sum(1), k - 1)[k - 1]
-            read += first.size * dim
-        slack = (1 + epsilon / np.sqrt(stop)) ** 2 if stop < dim else 1 + 1e-5
-        keep = partial * (dim / stop) <= limit * slack + 1e-6
-        alive, partial = alive[keep], partial[keep]
-        if stop == dim:
-            break
-    return alive, read
+    first = min(columns, dim)
+    x, q = turned[:, :first], queries[:, :first]
+    begun = (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2 * (q @ x.T)
+    keep = begun * (dim / first) <= (limits * slack(first, dim, epsilon) + 1e-6)[:, None]
+    read = begun.size * first
+    out = []
+    for own, limit, partial, kept in zip(queries, limits, begun, keep, strict=True):
+        alive = np.flatnonzero(kept)
+        partial = partial[alive]
+        for start in range(first, dim, columns):
+            stop = min(dim, start + columns)
+            partial = partial + ((turned[alive, start:stop] - own[start:stop]) ** 2).sum(1)
+            read += len(alive) * (stop - start)
+            still = partial * (dim / stop) <= limit * slack(stop, dim, epsilon) + 1e-6
+            alive, partial = alive[still], partial[still]
+        out.append(alive)
+    return out, read
 
 
 def nearest(
@@ -110,9 +119,9 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = K,
-    probes: float = PROBES,
-    list_rows: int = LIST_ROWS,
-    sample: int = SAMPLE,
+    recall: float = RECALL,
+    probes: int | None = None,
+    lists: int | None = None,
     part_rows: int = PART_ROWS,
     epsilon: float = EPSILON,
 ) -> DataFrame:
@@ -123,7 +132,7 @@ def nearest(
     components take no part, nor do rows without an id, or vectors of another length than
     most. Equal vectors are filed once, with their ``k + 1`` smallest ids: the others
     cannot be among the nearest of anything. Repeated rows count once. Empty tables
-    give an empty result.
+    give an empty result. ``lists`` and ``probes`` are chosen from the rows and the measured ``recall`` if not given.
     """
     spark = table.sparkSession
     good = table.where(_usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
@@ -133,18 +142,20 @@ def nearest(
     if shape is None:
         return spark.createDataFrame([], out)
     dim, rows = shape["dim"], shape["count"]
-    good, asked = good.where(F.size("v") == dim), asked.where(F.size("q") == dim)
+    good, asked = good.where(F.size("v") == dim), asked.where(F.size("q") == dim).distinct()
 
     # Equal vectors are filed once.
     distinct = materialize(_smallest_ids(good, k + 1), "vectors")
 
-    lists = max(1, round(rows / list_rows))
-    picked = distinct.orderBy(F.xxhash64("v"), "v").limit(sample).select("v").toArrow()
+    wanted = lists or max(1, round(float(rows) ** 0.5))
+    picked = distinct.orderBy(F.xxhash64("v"), "v").limit(min(SAMPLE, SAMPLE_PER_LIST * wanted)).select("v").toArrow()
     turn = rotation(dim)
     points = _unit(_vectors(picked.column("v").combine_chunks())) @ turn
-    centroids = fit_centroids(points, min(lists, max(1, len(points) // 8), 4096))
-    probed = min(len(centroids), max(8, round(probes * len(centroids))))
+    centroids = fit_centroids(points, min(wanted, max(1, len(points) // 8)))
     index = spark.sparkContext.broadcast((turn, centroids))
+    if probes is None:
+        probes = _probes_for(distinct, points[:MEASURED], index, k, recall)
+    probed = min(len(centroids), max(LEAST_PROBES, probes))
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn, centre = index.value
@@ -155,7 +166,6 @@ def nearest(
                 yield pa.RecordBatch.from_arrays([pa.array(at), batch.column(0), batch.column(1)], ["list", "v", "ids"])
 
     filed = materialize(distinct.select("v", "ids").mapInArrow(file, "list int, v array<double>, ids array<long>"), "lists")
-    parts = filed.groupBy("list").count().select("list", F.greatest(F.lit(1), F.ceil(F.col("count") / F.lit(part_rows))).cast("int").alias("parts"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn, centre = index.value
@@ -164,34 +174,82 @@ def nearest(
             if len(x):
                 near = np.argsort(-(_unit(x) @ turn @ centre.T), axis=1, kind="stable")[:, :probed].astype(np.int32)
                 row = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), batch.column(0).take(row), batch.column(1).take(row)], ["list", "query_id", "q"])
+                order = pa.array(np.tile(np.arange(near.shape[1], dtype=np.int32), len(x)))
+                yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), order, batch.column(0).take(row), batch.column(1).take(row)], ["list", "near", "query_id", "q"])
 
-    held = filed.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).drop("parts")
-    probing = asked.select("query_id", "q").mapInArrow(probe, "list int, query_id long, q array<double>").join(parts, "list")
-    probing = probing.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    probing = materialize(asked.select("query_id", "q").mapInArrow(probe, "list int, near int, query_id long, q array<double>"), "probes")
 
     def scan(held: pd.DataFrame, probing: pd.DataFrame) -> pd.DataFrame:
+        types = {"query_id": "int64", "vec_id": "int64", "score": "float64", "limit": "float64"}
         if not len(held) or not len(probing):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return pd.DataFrame({c: [] for c in types}).astype(types)
         turn, _ = index.value
         x, q = np.stack(held["v"].to_numpy()), np.stack(probing["q"].to_numpy())
-        turned, asked = _unit(x) @ turn, _unit(q) @ turn
+        turned, own = _unit(x) @ turn, _unit(q) @ turn
+        limits = probing["limit"].to_numpy(np.float64)
         ids = held["ids"].tolist()
-        found: list[tuple[int, int, float]] = []
-        for name, own, original in zip(probing["query_id"].tolist(), asked, q, strict=True):
-            # k + 1 different vectors: one of them may be the query itself
-            near, _ = scan_list(own, turned, k + 1, COLUMNS, epsilon)
-            score = cosine(x[near], np.broadcast_to(original, (len(near), x.shape[1])))
-            best = sorted(((-s, i) for s, row in zip(score.tolist(), near.tolist(), strict=True) for i in ids[row] if i != name))[:k]
-            found += [(name, i, -s) for s, i in best]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    hits = held.groupBy("list", "part").cogroup(probing.groupBy("list", "part")).applyInPandas(scan, "query_id long, vec_id long, score double")
+        found: list[tuple[int, int, float, float]] = []
+        for at in range(0, len(own), 256):
+            part = slice(at, at + 256)
+            near, _ = scan_lists(own[part], limits[part], turned, COLUMNS, epsilon)
+            for name, original, limit, few in zip(probing["query_id"].tolist()[part], q[part], limits[part].tolist(), near, strict=True):
+                score = cosine(x[few], np.broadcast_to(original, (len(few), x.shape[1])))
+                if limit == np.inf and len(score) > k:
+                    # k + 1 different vectors: one of them may be the query itself
+                    limit = 2 - 2 * float(np.partition(score, len(score) - k - 1)[len(score) - k - 1])
+                best = sorted(((-s, i) for s, row in zip(score.tolist(), few.tolist(), strict=True) for i in ids[row] if i != name))[:k]
+                found += [(name, i, -s, limit) for s, i in best]
+        return pd.DataFrame(found, columns=list(types)).astype(types)
+
+    def search(some: DataFrame) -> DataFrame:
+        """Parts of a list, by its rows and by its queries, meet each other: as many tables of two numbers a list as there are lists are broadcast, ``SAMPLE / 8`` rows at most."""
+        of = filed.groupBy("list").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(part_rows))).cast("int").alias("parts"))
+        asking = some.groupBy("list").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(part_rows))).cast("int").alias("turns"))
+        sizes = F.broadcast(of.join(asking, "list"))
+        up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        rows_ = filed.join(sizes, "list").select("list", "v", "ids", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), up_to("turns").alias("turn"))
+        own = some.join(sizes, "list").select("list", "query_id", "q", "limit", F.pmod(F.xxhash64("query_id"), F.col("turns")).cast("int").alias("turn"), up_to("parts").alias("part"))
+        return rows_.groupBy("list", "part", "turn").cogroup(own.groupBy("list", "part", "turn")).applyInPandas(scan, "query_id long, vec_id long, score double, limit double")
+
+    first = materialize(search(probing.where("near = 0").withColumn("limit", F.lit(float("inf")))), "first")
+    limits = first.groupBy("query_id").agg(F.min("limit").alias("limit"))
+    others = probing.where("near > 0").join(limits, "query_id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+    hits = first.select("query_id", "vec_id", "score").unionByName(search(materialize(others, "others")).select("query_id", "vec_id", "score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _probes_for(distinct: DataFrame, some: np.ndarray, index, k: int, recall: float) -> int:
+    """How many lists, nearest first, hold the share ``recall`` of the ``k`` nearest of ``some`` vectors among all rows."""
+    asked = distinct.sparkSession.sparkContext.broadcast(some)
+
+    def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn, centre = index.value
+        own = asked.value
+        place = np.argsort(np.argsort(-(own @ centre.T), axis=1, kind="stable"), axis=1)
+        top = np.full((len(own), k + 1), -np.inf)
+        rank = np.zeros((len(own), k + 1), np.int64)
+        for batch in batches:
+            x = _vectors(batch.column(0))
+            for a in range(0, len(x), 2048):
+                turned = _unit(x[a : a + 2048]) @ turn
+                at = (turned @ centre.T).argmax(1)
+                score = np.concatenate([top, own @ turned.T], axis=1)
+                ranks = np.concatenate([rank, place[:, at]], axis=1)
+                best = np.argpartition(-score, k, axis=1)[:, : k + 1]
+                top, rank = np.take_along_axis(score, best, 1), np.take_along_axis(ranks, best, 1)
+        query = np.repeat(np.arange(len(own)), k + 1)
+        real = np.flatnonzero(top.ravel() > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(query[real]), pa.array(top.ravel()[real]), pa.array(rank.ravel()[real])], ["query", "score", "near"])
+
+    found = distinct.select("v").mapInArrow(brute, "query long, score double, near long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "near")
+    ranks = found.withColumn("r", F.row_number().over(best)).where(F.col("r").between(2, k + 1)).select("near").toArrow()  # the vector itself comes first
+    near = np.sort(ranks.column("near").to_numpy())
+    return int(near[min(len(near) - 1, int(np.ceil(recall * len(near))) - 1)]) + 1 if len(near) else 1
+
+
 def _smallest_ids(good: DataFrame, most: int) -> DataFrame:
     """``v, ids``: each distinct vector with its ``most`` smallest ids.
 

@@ -21,7 +21,7 @@ def test_recall(spark):
     centre = rng.standard_normal((20, 32))
     x = (centre[rng.integers(0, 20, 3000)] + 0.7 * rng.standard_normal((3000, 32))).astype(np.float32)
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    got = ann.nearest(table, table.where("vec_id % 50 = 0"), list_rows=64).collect()
+    got = ann.nearest(table, table.where("vec_id % 50 = 0")).collect()
     unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
     hit = 0
     for q in range(0, 3000, 50):
@@ -32,3 +32,31 @@ def test_recall(spark):
         assert sorted(r["rank"] for r in own) == [1, 2, 3, 4, 5] and all(abs(r.score - score[r.vec_id]) < 1e-9 for r in own)
         hit += len(best & {r.vec_id for r in own})
     assert hit / 300 >= 0.9
+
+
+def test_the_scan_abandons_and_loses_little():
+    """Unit vectors around centres and on the whole sphere, one list, the limit that the rows themselves set."""
+    rng = np.random.default_rng(4)
+    for spread in (0.5, 9.0):
+        centre = rng.standard_normal((40, 64))
+        x = ann._unit(centre[rng.integers(0, 40, 4000)] + spread * rng.standard_normal((4000, 64))) @ ann.rotation(64)
+        distance = ((x[:100, None, :] - x[None, :, :]) ** 2).sum(2)
+        limits = np.partition(distance[:, :300], 5, axis=1)[:, 5]  # as a first list of 300 rows would set it
+        found, read = ann.scan_lists(x[:100], limits, x)
+        true = np.argsort(distance, axis=1)[:, :6]
+        hit = sum(len(np.intersect1d(a, b)) for a, b in zip(found, true, strict=True))
+        assert hit >= 0.97 * true.size and read <= 0.6 * 100 * x.size
+
+
+def test_recall_where_nothing_clusters(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((4000, 64)).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = ann.nearest(table, table.where("vec_id % 50 = 0")).collect()
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 4000, 50):
+        score = unit @ unit[q]
+        score[q] = -9
+        hit += len(set(np.argsort(-score)[:5].tolist()) & {r.vec_id for r in got if r.query_id == q})
+    assert hit / 400 >= 0.9
