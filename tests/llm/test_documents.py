@@ -191,13 +191,39 @@ def test_secret_scan_base(docs, none):
     assert secret_scan.scan_secrets(none).count() == 0
 
 
-def test_grammar_tells_keys_from_words():
-    rng = np.random.default_rng(5)
-    keys = ["".join(rng.choice(list("abcdef0123456789"), 32)) for _ in range(60)]
-    grammar = secret_scan.Grammar([(2, k) for k in keys[:50]])
-    assert all(grammar.judge(k)[1] > secret_scan.THRESHOLD for k in keys[50:])
-    assert all(grammar.judge(w)[1] < secret_scan.THRESHOLD for w in ("internationalization", "responsabilidades", "Verantwortungsbewusstsein"))
-    assert len(grammar.automata[2].next) < 50  # merged, not the prefix tree
+def keys_and_words(seed=5, n=120):
+    rng = np.random.default_rng(seed)
+    hexes = ["".join(rng.choice(list("abcdef0123456789"), 32)) for _ in range(n)]
+    tokens = ["sk_live_" + "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 24)) for _ in range(n)]
+    words = "the quick brown fox jumps over the lazy dog internationalization responsabilidades Verantwortungsbewusstsein 2024-01-15 10:30 1234567890123456 a1b2 isto é uma frase".split()
+    prose = [" ".join(rng.choice(words, 40)) for _ in range(200)]
+    return hexes, tokens, prose
+
+
+def test_grammars_have_structure_and_tell_keys_from_words():
+    hexes, tokens, prose = keys_and_words()
+    grammar = secret_scan.Grammar([(2, k) for k in hexes[20:]] + [(0, t) for t in tokens[20:]], secret_scan._pair_counts(prose).reshape(secret_scan._WIDTH, -1))
+    for kind, fmt in grammar.formats.items():
+        assert 8 < len(fmt.automaton.next) < 200, kind  # neither one state nor the prefix tree
+        total = [sum(math.exp(x) for x in log.values()) for log in fmt.automaton.log]
+        assert all(abs(t - 1) < 1e-9 for t in total)  # a distribution in every state, the end included
+    assert all(grammar.judge(k)[0] == 2 for k in hexes[:20]) and all(grammar.judge(t)[0] == 0 for t in tokens[:20])
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    assert not any(grammar.judge(w) for w in ("internationalization", "responsabilidades", "Verantwortungsbewusstsein", "1234567890123456", "2024-01-15", uuid, "sk_live_", "deadbeef"))
+
+
+def test_secret_scan_finds_keys_that_no_pattern_matches(spark):
+    hexes, tokens, prose = keys_and_words()
+    rows = [f'{p} api_key = "{t}" {p}' for p, t in zip(prose, tokens[5:], strict=False)] + prose + [f"{prose[0]} {t} {prose[1]}" for t in tokens[:5]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in secret_scan.scan_secrets(docs).collect()}
+    for i, text in enumerate(rows):
+        found = got[i]
+        if i < len(rows) - 5:
+            assert found.n_inferred == 0 and found.spans.count("assign") == (i < len(tokens) - 5), text
+        else:
+            at = text.index("sk_live_")
+            assert found.n_assign == 0 and found.spans == f"assign:{at}:{at + 32}" and found.top_score > secret_scan.EACH
 
 
 def test_license_scan(docs, none):
@@ -308,7 +334,75 @@ def test_license_labels_take_the_whole_wording():
 
 
 def test_secret_states_that_differ_late_are_not_merged():
-    """Two branches alike for ten symbols, whose values end in digits after the one, in capitals after the other."""
-    auto = secret_scan.Automaton({"d" + "l" * 10 + "d" * 4: 500, "U" + "l" * 10 + "U" * 4: 500})
+    """Two branches alike for ten symbols, whose values end in one letter after the one, in another after the other."""
+    auto = secret_scan.Automaton([(list("d" + "l" * 10 + "x" * 4), 500), (list("U" + "l" * 10 + "y" * 4), 500)])
     assert auto.next[0]["d"] != auto.next[0]["U"]
-    assert auto.score("d" + "l" * 10 + "d" * 4) > auto.score("d" + "l" * 10 + "U" * 4) + 1
+    after = auto.next[0]["d"]
+    for _ in range(10):
+        after = auto.next[after]["l"]
+    assert "x" in auto.log[after] and "y" not in auto.log[after]
+
+
+def test_lm_is_a_distribution():
+    """Over the words with leaves of their own, the words of all shared leaves and an unknown one in each, after any history."""
+    rng = np.random.default_rng(8)
+    own = [f"w{i}".encode() for i in range(40)]
+    counts = rng.integers(1, 500, 60).tolist()
+    unlisted = [f"rare{i}".encode() for i in range(20)]
+    shared = (lm_scoring.BRANCH - lm_scoring.OWN) * lm_scoring.BRANCH**2
+    words, types = np.zeros(shared), np.zeros(shared)
+    for t, n in zip(own + unlisted, counts, strict=True):
+        c = crc32(t[-lm_scoring.ENDING :]) % shared
+        words[c] += n
+        types[c] += 1
+    vocabulary = lm_scoring.Vocabulary(list(own), counts[:40], 3, words, types)
+    model = lm_scoring.Model(3, rng.standard_normal((12, lm_scoring.BRANCH, lm_scoring.ROWS)).astype(np.float32) * 0.3)
+
+    def last(leaf):
+        key = np.array([crc32(b"a"), crc32(b"b"), 7], np.uint32)
+        return 10 ** model.log10(vocabulary, key, np.array([0, 1, leaf]), np.array([3]))[2]
+
+    total = sum(last(int(leaf)) for leaf in vocabulary.leaf[:40])
+    mass = np.full(shared, 0.5)
+    for t, n in zip(unlisted, counts[40:], strict=True):
+        mass[crc32(t[-lm_scoring.ENDING :]) % shared] += n + 0.5
+    total += sum(last(vocabulary.first_shared + c) * m for c, m in enumerate(mass.tolist()))
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_lm_learns_what_counts_cannot_tell(spark):
+    """In each text words follow one another in a fixed order from a random start: a model of history beats single counts."""
+    rng = np.random.default_rng(9)
+    ring = [f"wort{i}" for i in rng.permutation(50)]
+    texts = [" ".join(ring[(s + k) % 50] for k in range(60)) for s in rng.integers(0, 50, 300)]
+    rows = lm_scoring.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)).collect()
+    out = [r for r in rows if r.held_out]
+    assert sum(r.score for r in out) > 0.75 * sum(r.base_score for r in out)
+
+
+def test_language_mixture_is_that_of_plain_expectation_maximisation():
+    """Texts of two languages by turns, against loops over segments."""
+    alphabets = ("aeiou", "bcdfg", "klmnp")
+    rng = np.random.default_rng(12)
+    word = lambda k: "".join(rng.choice(list(alphabets[k]), 5))
+    training = [" ".join(word(k) for _ in range(200)) for k in range(3)]
+    counts = np.zeros((language_id.BUCKETS, 3))
+    for k, text in enumerate(training):
+        flat = np.frombuffer(language_id._prepare([text])[0], np.uint8)
+        counts[:, k] = np.bincount(language_id._grams(flat)[1:], minlength=language_id.BUCKETS)
+    model = language_id.LanguageModel(["a", "b", "c"], counts)
+    texts = [" ".join(word(k) for k in pattern) for pattern in ([0] * 24, [0] * 16 + [1] * 8, [2] * 8 + [1] * 8 + [0] * 8)]
+    share, size, n = model.mixtures(language_id._prepare(texts))
+    assert size.tolist() == [1, 2, 3] and n.tolist() == [6, 6, 6]
+    for i, text in enumerate(texts):
+        scores, _ = model.segments(language_id._prepare([text]))
+        allowed = np.flatnonzero(share[i])
+        own = np.full(len(allowed), 1 / len(allowed))
+        for _ in range(language_id.ROUNDS):
+            total = np.zeros(len(allowed))
+            for row in scores[:, allowed]:
+                joint = np.exp(row - row.max()) * own
+                total += joint / joint.sum()
+            own = total / len(scores)
+        assert np.allclose(share[i][allowed], own, atol=1e-6)
+    assert np.allclose(share[1], [2 / 3, 1 / 3, 0], atol=1e-3) and np.allclose(share[2], 1 / 3, atol=1e-3)
