@@ -12,9 +12,9 @@ AUXILIARY = ["TABELAS", "DOCS", "DOCUMENTOS", "TABWIN", "DOC", "AUXILIAR", "AUXI
 EXCLUDED = "/IBGE/"
 STAGING = ["PRELIM", "HOMOL"]
 REFERENCE_WORDS = ["manual", "dicionario", "leia-me", "layout", "estrutura", "dic_dados", "instrucoes"]
-UF = "AC AL AP AM BA CE DF ES GO MA MT MS MG PA PB PR PE PI RJ RN RS RO RR SC SP SE TO".split()
+UF = ["AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA", "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO"]
 DATE_GRAMMARS = [("PREFIX_GEO_YYMM", r"\d{4}"), ("PREFIX_GEO_YY", r"\d{2}"), ("PREFIX_GEO_DATE", r"\d{2,8}")]
-EXTENSION_RANK = {".parquet": 0, ".csv": 1, ".json": 2, ".xml": 3, ".dbf": 4, ".dbc": 5}
+EXTENSION_RANK = {".json": 0, ".parquet": 1, ".xml": 2, ".csv": 3, ".dbf": 4, ".dbc": 5}
 
 
 def some(text: Column, pattern: str, group: int = 1) -> Column:
@@ -147,7 +147,8 @@ def tree_distance(a: Column, b: Column) -> Column:
     return F.size(a) + F.size(b) - 2 * common
 
 
-LIST_LINE = r"^([a-z-])[rwxstST-]{9}\s+\d+\s+\S+\s+\S+\s+(\d+)\s+(\w{3})\s+(\d{1,2})\s+([\d:]{4,5})\s+(.+)$"
+# Fixed value: a line of a Unix listing (mode, links, owner, group, size, month, day, time or year, name).
+LIST_LINE = r"^([bcdlps-])[rwx-]{9}\s+\d+\s+\S+\s+\S+\s+(\d+)\s+([A-Z][a-z]{2})\s+(\d{1,2})\s+([\d:]{4,5})\s+(.+)$"
 
 
 def parse_list_line(line: Column) -> Column:

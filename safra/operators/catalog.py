@@ -124,3 +124,40 @@ def period_order(periods_: DataFrame) -> DataFrame:
 def show(catalog: dict[str, DataFrame], table_id: int) -> dict[str, DataFrame]:
     """What there is about one table, by catalogue table."""
     return {name: df.where(F.col("id" if name == "agregados" else "agregado_id") == table_id) for name, df in catalog.items()}
+
+
+#: Localities and periods of one request; localities that make a table nation-wide.
+LOCALITIES, PERIODS = 25, 12
+NATIONAL = 25 * 200
+
+
+def request_shards(requests: DataFrame, localities: int = LOCALITIES, periods: int = PERIODS) -> DataFrame:
+    """Each request (``aggregate_id, variable_id, localities, periods``) as the product of bounded pieces of its two lists; an empty list is one empty piece."""
+
+    def pieces(c: str, n: int) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(c) / F.lit(n)).cast("int") - 1, F.lit(0)))
+        return F.transform(starts, lambda i: F.slice(F.col(c), i * n + 1, n))
+
+    by_place = requests.select("aggregate_id", "variable_id", "periods", F.posexplode(pieces("localities", localities)).alias("_l", "_localities"))
+    both = by_place.select("aggregate_id", "variable_id", "_l", F.col("_localities").alias("localities"), F.posexplode(pieces("periods", periods)).alias("_p", "_periods"))
+    return both.select("aggregate_id", "variable_id", F.col("_l").alias("locality_shard"), F.col("_p").alias("period_shard"), "localities", F.col("_periods").alias("periods"))
+
+
+def national(levels: DataFrame, level: str = "N6", least: int = NATIONAL) -> DataFrame:
+    """``agregado_id, localities, covers_national``: whether a table has so many localities of a level that it covers the nation."""
+    n = F.coalesce(F.try_element_at("counts", F.lit(level)), F.lit(0)).cast("long")
+    return level_counts(levels).select("agregado_id", n.alias("localities"), (n >= least).alias("covers_national"))
+
+
+def candidates(tables: DataFrame, subject: str | None = None, survey: str | None = None) -> DataFrame:
+    """The tables whose subject and survey contain the given texts, letters' marks and case aside."""
+    out = tables
+    for column, text in (("assunto", subject), ("pesquisa", survey)):
+        if text:
+            out = out.where(F.contains(x.normalize_basic(F.col(column)), x.normalize_basic(F.lit(text))))
+    return out
+
+
+def table_text(tables: DataFrame) -> DataFrame:
+    """``agregado_id, text``: what names a table, a line each; blanks left out."""
+    return tables.select(F.col("id").alias("agregado_id"), F.concat_ws("\n", *[F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in ("id", "nome", "pesquisa", "assunto", "freq")]).alias("text"))

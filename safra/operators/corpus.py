@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as p
 from ..functions import periods as t
-from .graph import connected_components
+from .graph import cut
 
 MIN_FILES = 5
 MIN_UFS = 20
+SAMPLE_FILES = 10
 SEMANTIC_RANK = {"[Primary]": 0, "[Legacy Archive]": 1, "[Staging]": 2}
 
 
@@ -49,6 +50,19 @@ def path_semantic(dir_path: Column, overall: Column, own: Column, fmt: Column) -
     return F.when(F.upper(dir_path).rlike("|".join(p.STAGING)), "[Staging]").when(old, "[Legacy Archive]").otherwise("[Primary]")
 
 
+def with_path_semantic(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``path_semantic`` of each row's directory within its group of ``keys``; null where nothing there has a date. Needs ``period, date_format, directory``."""
+    good = F.nullif(F.col("period"), F.lit(0))
+    by_dir = rows.groupBy(*keys, "directory").agg(F.max(good).alias("_own"), F.first("date_format").alias("_format"))
+    by_dir = by_dir.withColumn("_all", F.max("_own").over(Window.partitionBy(*keys)))
+    meaning = F.when(F.col("_own").isNotNull(), path_semantic(F.col("directory"), F.col("_all"), F.col("_own"), F.col("_format")))
+    told = by_dir.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("directory").alias("_directory"), meaning.alias("path_semantic"))
+    on = rows["directory"] == told["_directory"]
+    for k in keys:
+        on = on & rows[k].eqNullSafe(told[f"_{k}"])
+    return rows.join(told, on, "left").drop("_directory", *[f"_{k}" for k in keys])
+
+
 def dated(files: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``date_format`` of the group and ``period`` of the row."""
     formats = files.groupBy(*keys).agg(t.date_format(F.col("date_code")).alias("date_format"))
@@ -84,8 +98,9 @@ def physical_groups(files: DataFrame) -> DataFrame:
     groups = rows.groupBy("system_guess", "series_prefix").agg(
         F.sort_array(F.collect_set("geo_code")).alias("geo_coverage"), F.first("date_format").alias("date_format"), F.min(good).alias("time_min"), F.max(good).alias("time_max"),
         F.count(F.lit(1)).alias("file_count"), F.sort_array(F.collect_set("directory")).alias("source_paths"), F.sort_array(F.collect_set("format_family")).alias("format_families"),
-        F.sort_array(F.collect_set("primary_extension")).alias("primary_extensions"),
+        F.collect_set("primary_extension").alias("primary_extensions"), F.slice(F.sort_array(F.collect_set("path")), 1, SAMPLE_FILES).alias("sample_files"),
     )
+    groups = groups.withColumn("primary_extensions", by_extension(F.col("primary_extensions")))
     groups = groups.withColumn("partition_type", partition_type(F.col("geo_coverage")))
     return groups.withColumn("group_id", F.concat_ws("|", F.coalesce("system_guess", F.lit("")), "series_prefix"))
 
@@ -104,10 +119,29 @@ def compatible_groups(groups: DataFrame) -> DataFrame:
     return l.join(r, cond).select(c("l.group_id").alias("a"), c("r.group_id").alias("b"))
 
 
+def interval_clusters(rows: DataFrame, keys: list[str], name: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
+    """``name, component``: rows of equal keys whose intervals of whole numbers chain by overlapping or touching; the component is its smallest name.
+
+    Along the lower ends a new chain begins where no earlier interval reaches, so one ordered pass finds what the
+    closure of all compatible pairs would. A row without an interval stands alone.
+    """
+    real = F.when(F.col(lo).isNotNull() & F.col(hi).isNotNull(), True)
+    own = Window.partitionBy(*keys, "_real").orderBy(lo, hi, name)
+    reach = F.max(hi).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.col("_real").isNull() | reach.isNull() | (F.col(lo) > reach + 1)
+    marked = rows.withColumn("_real", real).withColumn("_chain", F.sum(begins.cast("int")).over(own))
+    return marked.select(name, F.min(name).over(Window.partitionBy(*keys, "_real", "_chain")).alias("component"))
+
+
 def families(files: DataFrame) -> DataFrame:
-    """Dataset families: clusters of compatible groups with five files or more, ranked within their prefix."""
-    groups = physical_groups(files)
-    cluster = connected_components(groups.select(F.col("group_id").alias("node")), compatible_groups(groups))
+    """Dataset families: clusters of compatible groups with five files or more, ranked within their prefix.
+
+    The groups, few beside the files, are written once. Those alike in all but their periods chain where the periods overlap or touch.
+    """
+    groups = cut(physical_groups(files))
+    c = F.col
+    alike = groups.select("group_id", "series_prefix", "partition_type", "date_format", F.array_join("geo_coverage", ",").alias("geo"), t.ordinal(c("time_min"), c("date_format")).alias("lo"), t.ordinal(c("time_max"), c("date_format")).alias("hi"))
+    cluster = interval_clusters(alike, ["series_prefix", "partition_type", "date_format", "geo"], "group_id").withColumnRenamed("group_id", "node")
     grouped = groups.join(cluster, groups["group_id"] == cluster["node"])
     rows = grouped.groupBy("series_prefix", "component").agg(
         F.sort_array(F.collect_set("system_guess")).alias("source_systems"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("geo_coverage")))).alias("geo_coverage"),
@@ -129,22 +163,90 @@ def family_ids(rows: DataFrame, prefix: str, order: list[Column]) -> DataFrame:
     return rows.withColumn("family_id", F.when(many, F.concat(prefix, F.lit("__"), k.cast("string"))).otherwise(F.col(prefix)))
 
 
-def preferred_files(files: DataFrame, keys: list[str]) -> DataFrame:
-    """Best file of each period: by extension, meaning of the directory, system, directory, path. Needs ``period, path_semantic``."""
+def _preference() -> list[Column]:
+    """Best first: extension, meaning of the directory, system, directory, path."""
     ranks = F.create_map(*[F.lit(x) for kv in SEMANTIC_RANK.items() for x in kv])
     meaning = F.coalesce(F.try_element_at(ranks, F.col("path_semantic")), F.lit(9))
-    best = Window.partitionBy(*keys, "period").orderBy(p.extension_rank(F.col("primary_extension")), meaning, F.coalesce("system_guess", F.lit("")), "directory", "path")
+    return [p.extension_rank(F.col("primary_extension")).alias("_extension"), meaning.alias("_meaning"), F.coalesce("system_guess", F.lit("")).alias("_system"), F.col("directory"), F.col("path")]
+
+
+def preferred_files(files: DataFrame, keys: list[str]) -> DataFrame:
+    """Best file of each period: by extension, meaning of the directory, system, directory, path. Needs ``period, path_semantic``."""
+    best = Window.partitionBy(*keys, "period").orderBy(*_preference())
     return files.where("period > 0").withColumn("_r", F.row_number().over(best)).where("_r = 1").drop("_r")
 
 
-def segments(chosen: DataFrame, keys: list[str], signature: list[str]) -> DataFrame:
-    """Runs of consecutive periods of equal signature: ``first_period, last_period, files``."""
+#: What the files of a segment have in common.
+SIGNATURE = ["primary_extension", "format_family", "system_guess", "path_semantic"]
+
+
+def by_extension(extensions: Column) -> Column:
+    """Distinct extensions by preference, then name."""
+    ranked = F.transform(F.array_distinct(F.array_compact(extensions)), lambda e: F.struct(p.extension_rank(e).alias("r"), e.alias("e")))
+    return F.transform(F.sort_array(ranked), lambda s: s["e"])
+
+
+def segments(chosen: DataFrame, keys: list[str], signature: list[str] = SIGNATURE) -> DataFrame:
+    """Runs of consecutive periods of equal signature: ``first_period, last_period, files``, the files in order and their directories."""
     own = Window.partitionBy(*keys).orderBy("period")
     n = t.ordinal(F.col("period"), F.col("date_format"))
     sig = F.struct(*signature)
     begins = F.coalesce((F.lag(n).over(own) + 1 != n) | ~F.lag(sig).over(own).eqNullSafe(sig), F.lit(True))
     marked = chosen.withColumn("_new", begins.cast("int")).withColumn("segment", F.sum("_new").over(own).cast("int"))
-    return marked.groupBy(*keys, "segment", *signature).agg(F.min("period").alias("first_period"), F.max("period").alias("last_period"), F.count(F.lit(1)).alias("files"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("period", "path"))), lambda s: s["path"])
+    runs = marked.groupBy(*keys, "segment", *signature).agg(
+        F.min("period").alias("first_period"), F.max("period").alias("last_period"), F.count(F.lit(1)).alias("files"), in_order.alias("selected_files"), F.sort_array(F.collect_set("directory")).alias("source_paths")
+    )
+    return runs.withColumn("time_range_display", t.display_range(F.col("first_period"), F.col("last_period")))
+
+
+def working_series(files: DataFrame, keys: list[str]) -> DataFrame:
+    """The preferred working series of each group of ``keys``: ``strategy, coverage_complete, coverage_gaps,
+    selected_file_count, selected_files, selected_primary_extensions, selected_format_families, segment_count, segments``.
+
+    A group with dated files takes the best file of each period: ``single_format`` or ``stitched`` by how many extensions those
+    have. One without takes all its files, best first, as one segment: ``undated_full_family``. Needs ``period,
+    date_format, path_semantic`` beside the columns of the inventory.
+    """
+    found = cut(preferred_files(files, keys))
+    parts = segments(found, keys).withColumnRenamed("files", "file_count")
+    of = ["time_range_display", "primary_extension", "format_family", "system_guess", "path_semantic", "file_count", "selected_files", "source_paths"]
+    listed = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("segment", *of))).alias("_s"))
+    listed = listed.select(*keys, F.transform("_s", lambda s: F.struct(*[s[c].alias(c) for c in of])).alias("segments"))
+    gaps = missing_periods(found, keys).groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list("period")), t.display).alias("coverage_gaps"))
+    names = F.transform(F.sort_array(F.collect_list(F.struct("period", "path"))), lambda s: s["path"])
+    whole = found.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("selected_file_count"), names.alias("selected_files"), by_extension(F.collect_set("primary_extension")).alias("selected_primary_extensions"), F.sort_array(F.collect_set("format_family")).alias("selected_format_families")
+    )
+    none = F.array().cast("array<string>")
+    dated_ = _beside(_beside(whole, listed, keys), gaps, keys).withColumn("coverage_gaps", F.coalesce("coverage_gaps", none))
+    dated_ = dated_.withColumns({"strategy": F.when(F.size("selected_primary_extensions") <= 1, "single_format").otherwise("stitched"), "coverage_complete": F.size("coverage_gaps") == 0, "segment_count": F.size("segments")})
+
+    some = files.groupBy(*keys).agg(F.max(F.coalesce("period", F.lit(0))).alias("_latest")).where("_latest = 0").drop("_latest")
+    undated = files.join(some, [files[k].eqNullSafe(some[k]) for k in keys], "left_semi")
+    best = F.sort_array(F.collect_list(F.struct(*_preference(), "format_family", "primary_extension", "path_semantic")))
+    held = undated.groupBy(*keys).agg(best.alias("_b"))
+    paths = F.transform("_b", lambda b: b["path"])
+    top = F.col("_b")[0]
+    one = F.struct(
+        F.lit(None).cast("string").alias("time_range_display"), top["primary_extension"].alias("primary_extension"), top["format_family"].alias("format_family"), F.nullif(top["_system"], F.lit("")).alias("system_guess"), top["path_semantic"].alias("path_semantic"),
+        F.size("_b").cast("long").alias("file_count"), paths.alias("selected_files"), F.sort_array(F.array_distinct(F.transform("_b", lambda b: b["directory"]))).alias("source_paths"),
+    )
+    undated_ = held.select(
+        *keys, F.lit("undated_full_family").alias("strategy"), F.lit(True).alias("coverage_complete"), none.alias("coverage_gaps"), F.size("_b").cast("long").alias("selected_file_count"), paths.alias("selected_files"),
+        by_extension(F.transform("_b", lambda b: b["primary_extension"])).alias("selected_primary_extensions"), F.sort_array(F.array_distinct(F.transform("_b", lambda b: b["format_family"]))).alias("selected_format_families"),
+        F.lit(1).alias("segment_count"), F.array(one).alias("segments"),
+    )
+    return dated_.select(*undated_.columns).unionByName(undated_)
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be null; the keys stay once."""
+    other = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(other[f"_{k}"])
+    return left.join(other, on, "left").drop(*[f"_{k}" for k in keys])
 
 
 def missing_periods(chosen: DataFrame, keys: list[str]) -> DataFrame:
@@ -211,36 +313,95 @@ def best_grammar(stems: DataFrame) -> DataFrame:
     return stems.withColumn("best", best)
 
 
-def greedy_candidates(files: DataFrame, per_family: int = 3) -> DataFrame:
-    """Up to ``per_family`` files of each family, each next one adding most: new place, new period, primary path, recency, name.
+def candidate_files(files: DataFrame, per_family: int = 3) -> DataFrame:
+    """Up to ``per_family`` files of each family: ``family_id, path, selection_rank, selection_reason``.
+
+    The first is the latest (of a mixed family the latest nation-wide one, if it has any); each next one adds most to
+    those before it: a new place, a new period, then a primary path, recency, name. Needs ``family_id, partition_type, path, filename,
+    geo_code, period, path_semantic, primary_extension``. A family first shrinks to ``per_family`` files of each place and
+    period, which loses no choice; each pick is then one ranking over the family.
+    """
+    c = F.col
+    rank = F.when(c("path_semantic") == "[Primary]", 2).when(c("path_semantic") == "[Legacy Archive]", 1).otherwise(0)
+    rows = files.select("family_id", "partition_type", "path", "filename", F.coalesce("geo_code", F.lit("")).alias("geo"), c("period").cast("long").alias("period"), rank.alias("rank"), "path_semantic", "primary_extension")
+    few = Window.partitionBy("family_id", "geo", "period").orderBy(F.desc("rank"), F.desc("filename"), F.desc("path"))
+    rows = rows.withColumn("_r", F.row_number().over(few)).where(c("_r") <= per_family).drop("_r")
+    family = Window.partitionBy("family_id")
+    recent = F.coalesce("period", F.lit(-1))
+    nation = c("geo") == "BR"
+    started = (c("partition_type") == "Mixed-Partition") & F.max(nation).over(family)
+    first = [F.desc(started & nation), F.desc(recent), F.desc("rank"), F.desc((c("partition_type") != "State-Partitioned") & nation), F.desc("filename"), F.desc("path")]
+    rows = rows.withColumn("selection_rank", F.row_number().over(family.orderBy(*first))).withColumn("selection_rank", F.when(c("selection_rank") == 1, 1))
+    rows = rows.withColumns({"new_place": F.when(c("selection_rank") == 1, False), "new_period": F.when(c("selection_rank") == 1, False)})
+    for k in range(2, per_family + 1):
+        taken = c("selection_rank").isNotNull()
+        places, dates = F.collect_set(F.when(taken, c("geo"))).over(family), F.collect_set(F.when(taken, c("period"))).over(family)
+        rows = rows.withColumns({"_place": ~F.array_contains(places, c("geo")), "_date": F.coalesce(~F.array_contains(dates, c("period")), F.lit(True))})
+        order = family.orderBy(taken, F.desc("_place"), F.desc("_date"), F.desc("rank"), F.desc(recent), F.desc("filename"), F.desc("path"))
+        picked = (F.row_number().over(order) == 1) & ~taken
+        rows = rows.withColumn("_now", picked)
+        rows = rows.withColumns({
+            "selection_rank": F.when(c("_now"), k).otherwise(c("selection_rank")),
+            "new_place": F.when(c("_now"), c("_place") & (c("geo") != "")).otherwise(c("new_place")),
+            "new_period": F.when(c("_now"), c("_date") & c("period").isNotNull()).otherwise(c("new_period")),
+        }).drop("_place", "_date", "_now")
+    chosen = rows.where("selection_rank is not null")
+    opening = (
+        F.when((c("partition_type") == "Mixed-Partition") & nation, "latest nation-wide member in mixed family")
+        .when(c("partition_type") == "Nation-Wide", "latest nation-wide family member").otherwise("most recent family member")
+    )
+    told = F.concat_ws(
+        "; ", F.when(c("selection_rank") == 1, opening), F.when(c("new_place"), F.concat(F.lit("adds geo coverage ("), c("geo"), F.lit(")"))), F.when(c("new_period"), "adds time coverage"),
+        F.when(c("rank") == 2, "preferred primary path"), F.when(c("primary_extension") != "", F.concat(F.lit("format="), F.ltrim(c("primary_extension"), F.lit(".")))),
+    )
+    return chosen.select("family_id", "path", "selection_rank", F.coalesce(F.nullif(told, F.lit("")), F.lit("best remaining recent candidate")).alias("selection_reason"))
+
+
+def candidate_docs(docs: DataFrame, per_family: int = 5) -> DataFrame:
+    """Up to ``per_family`` documents of each family by score, each URL once. Needs ``family_id, url, filename, score``."""
+    score = F.coalesce(F.col("score").cast("double"), F.lit(0.0))
+    name = F.coalesce(F.nullif("filename", F.lit("")), F.col("url"))
+    told = docs.where("url != ''").select("family_id", "url", F.coalesce("filename", p.file_name(F.col("url"))).alias("filename"), "score", score.alias("_score"), name.alias("_name"))
+    once = told.withColumn("_r", F.row_number().over(Window.partitionBy("family_id", "url").orderBy(F.desc("_score"), F.desc("_name")))).where("_r = 1")
+    best = Window.partitionBy("family_id").orderBy(F.desc("_score"), F.desc("_name"), "url")
+    ranked = once.withColumn("selection_rank", F.row_number().over(best)).where(F.col("selection_rank") <= per_family)
+    return ranked.select("family_id", "url", "filename", "score", "selection_rank", F.lit("top associated document by relevance score").alias("selection_reason"))
+
+
+def registry(families_: DataFrame, fields: DataFrame) -> DataFrame:
+    """Families with ``variable_count`` and ``variables``: the upper-case field names of their profiled member files.
+
+    ``families_`` has ``family_id, member_files``; ``fields`` has ``path, name`` and, if a path was profiled more than once, ``position``: its last profile counts.
+    """
+    named = fields.where("trim(name) != ''").select("path", F.upper("name").alias("name"), *(["position"] if "position" in fields.columns else []))
+    if "position" in fields.columns:
+        last = Window.partitionBy("path")
+        named = named.withColumn("_last", F.max("position").over(last)).where("position = _last")
+    members = families_.select("family_id", F.explode("member_files").alias("path")).distinct()
+    has = members.join(named.select("path", "name").distinct(), "path").groupBy("family_id").agg(F.sort_array(F.collect_set("name")).alias("variables"))
+    return families_.join(has, "family_id", "left").withColumn("variables", F.coalesce("variables", F.array().cast("array<string>"))).withColumn("variable_count", F.size("variables"))
+
+
+def summary(files: DataFrame, families_: DataFrame) -> DataFrame:
+    """Counters over an inventory and its families as ``section, item, n``: files by fate, families by partition, date format, number of systems, strategy, extension.
 
-    Inherently sequential within a family; a family first shrinks to its best file of each
-    (place, period), ``per_family`` places of each period at most, which loses no choice.
+    ``families_`` has ``family_id, partition_type, date_format, source_systems, strategy, selected_primary_extensions, gap_count, doc_count``.
     """
-    import pandas as pd
-
-    rank = F.when(F.col("path_semantic") == "[Primary]", 2).when(F.col("path_semantic") == "[Legacy Archive]", 1).otherwise(0)
-    ranked = files.select("family_id", "partition_type", "path", "filename", F.coalesce("geo_code", F.lit("")).alias("geo_code"), F.coalesce("period", F.lit(-1)).alias("period"), rank.alias("rank"))
-    order = Window.partitionBy("family_id", "geo_code", "period").orderBy(F.desc("rank"), F.desc("filename"), F.desc("path"))
-    top = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_family).drop("_r")
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        left = group.to_dict("records")
-        places, dates, out = set(), set(), []
-        mixed = bool(left) and left[0]["partition_type"] == "Mixed-Partition" and any(r["geo_code"] == "BR" for r in left)
-        prefer = bool(left) and left[0]["partition_type"] != "State-Partitioned"
-        while left and len(out) < per_family:
-            if not out:
-                pool = [r for r in left if r["geo_code"] == "BR"] if mixed else left
-                pick = max(pool, key=lambda r: (r["period"], r["rank"], prefer and r["geo_code"] == "BR", r["filename"]))
-            else:
-                pick = max(left, key=lambda r: (r["geo_code"] not in places, r["period"] not in dates, r["rank"], r["period"], r["filename"]))
-            out.append((pick["family_id"], pick["path"], len(out) + 1, pick["geo_code"] not in places, pick["period"] not in dates))
-            places.add(pick["geo_code"]), dates.add(pick["period"])
-            left = [r for r in left if r["path"] != pick["path"]]
-        return pd.DataFrame(out, columns=["family_id", "path", "selection_rank", "new_place", "new_period"])
-
-    return top.groupBy("family_id").applyInPandas(choose, "family_id string, path string, selection_rank int, new_place boolean, new_period boolean")
+    fate = with_discard_reason(files).groupBy(F.coalesce("discard_reason", F.lit("eligible")).alias("item")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("files").alias("section"), "item", "n")
+
+    def by(section: str, item: Column) -> DataFrame:
+        return families_.select(item.alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n")).select(F.lit(section).alias("section"), "item", "n")
+
+    kept = families_.select(F.explode("selected_primary_extensions").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n")).select(F.lit("preferred_extension").alias("section"), "item", "n")
+    gaps = families_.where("gap_count > 0").groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit("families").alias("section"), F.lit("with_gaps").alias("item"), "n")
+    bare = families_.where("doc_count = 0").groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit("families").alias("section"), F.lit("without_docs").alias("item"), "n")
+    parts = [
+        by("partition", F.coalesce("partition_type", F.lit("Unknown"))), by("date_format", F.coalesce("date_format", F.lit("None"))), by("system_shape", F.when(F.size("source_systems") <= 1, "single_system").otherwise("multi_system")),
+        by("strategy", F.coalesce("strategy", F.lit("none"))), kept, gaps, bare,
+    ]
+    for part in parts:
+        fate = fate.unionByName(part)
+    return fate
 
 
 def download_plan(files: DataFrame, root: str, base_url: str) -> DataFrame:

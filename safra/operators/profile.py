@@ -17,11 +17,14 @@ TOP_VALUES = 12
 
 
 def long_form(rows: DataFrame, source: str, sample_rows: int | None = SAMPLE_ROWS, order: str | None = None) -> DataFrame:
-    """``path, name, row_number, value`` (trimmed text) of a table's first rows, in the order of a column if one is given."""
+    """``path, name, position, value`` (trimmed text): the cells of a table, or of its first rows.
+
+    ``position`` orders the rows: the column ``order``, a number without repeats, or else the order of reading. No row is
+    numbered anew, so a whole table (``sample_rows=None``) stays where it is.
+    """
     head = rows.orderBy(order).limit(sample_rows) if order and sample_rows else rows.limit(sample_rows) if sample_rows else rows
-    numbered = head.withColumn("row_number", F.row_number().over(Window.orderBy(order or F.monotonically_increasing_id())))
-    text = numbered.select("row_number", *[F.trim(F.col(c).cast("string")).alias(c) for c in rows.columns])
-    return text.unpivot(["row_number"], rows.columns, "name", "value").select(F.lit(source).alias("path"), "name", "row_number", F.nullif("value", F.lit("")).alias("value"))
+    placed = head.select((F.col(order).cast("long") if order else F.monotonically_increasing_id()).alias("_position"), *[F.trim(F.col(c).cast("string")).alias(c) for c in rows.columns])
+    return placed.unpivot(["_position"], rows.columns, "name", "value").select(F.lit(source).alias("path"), "name", F.col("_position").alias("position"), F.nullif("value", F.lit("")).alias("value"))
 
 
 def primitive_type(name: Column, s: dict[str, Column]) -> Column:
@@ -39,19 +42,20 @@ def field_profiles(cells: DataFrame) -> DataFrame:
     """One row per (path, name): counts, distinct among the first thousand values, the twelve most frequent
     values (ties by first appearance), an inferred type and signals."""
     keys = ["path", "name"]
-    order = Window.partitionBy(*keys, F.col("value").isNull()).orderBy("row_number")
     v = F.col("value")
-    numbered = cells.withColumn("k", F.row_number().over(order))
-    full = v.isNotNull()
     plain = F.regexp_replace(v, "[-/]", "")
-    head = lambda n: full & (F.col("k") <= n)
-    facts = numbered.groupBy(*keys).agg(
-        F.count_if(full).alias("non_null"), F.count_if(~full).alias("nulls"), F.countDistinct(F.when(head(DISTINCT_HEAD), v)).alias("distinct_seen"),
-        F.bool_and(F.when(full, v.rlike("^[0-9]+$"))).alias("digits"), F.max(F.when(head(100), F.length(v))).alias("len100"), F.min(F.when(head(100), F.length(v))).alias("short100"),
-        F.countDistinct(F.when(head(50), v)).alias("distinct50"), F.countDistinct(F.when(head(100), v)).alias("distinct100"),
-        F.bool_and(F.when(head(50), plain.rlike("^([0-9]{6}|[0-9]{8})$"))).alias("dates50"), F.bool_and(F.when(head(50), x.lenient_double(v).isNotNull())).alias("floats50"),
+    counts = cells.groupBy(*keys).agg(F.count(v).alias("non_null"), F.count_if(v.isNull()).alias("nulls"), F.bool_and(F.when(v.isNotNull(), v.rlike("^[0-9]+$"))).alias("digits"))
+    # Only the first thousand values of a field are numbered: each task hands on no more than so many.
+    first = Window.partitionBy(*keys).orderBy("position")
+    head = cells.where(v.isNotNull()).withColumn("k", F.row_number().over(first)).where(F.col("k") <= DISTINCT_HEAD)
+    of = lambda n: F.col("k") <= n
+    early = head.groupBy(*keys).agg(
+        F.countDistinct(v).alias("distinct_seen"), F.max(F.when(of(100), F.length(v))).alias("len100"), F.min(F.when(of(100), F.length(v))).alias("short100"),
+        F.countDistinct(F.when(of(50), v)).alias("distinct50"), F.countDistinct(F.when(of(100), v)).alias("distinct100"),
+        F.bool_and(F.when(of(50), plain.rlike("^([0-9]{6}|[0-9]{8})$"))).alias("dates50"), F.bool_and(F.when(of(50), x.lenient_double(v).isNotNull())).alias("floats50"),
     )
-    seen = numbered.where(full).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("at"))
+    facts = counts.join(early, keys, "left").withColumn("distinct_seen", F.coalesce("distinct_seen", F.lit(0)))
+    seen = cells.where(v.isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("at"))
     best = Window.partitionBy(*keys).orderBy(F.desc("n"), "at")
     top = seen.withColumn("r", F.row_number().over(best)).where(F.col("r") <= TOP_VALUES)
     samples = top.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "value"))), lambda s: s["value"]).alias("samples"))
@@ -93,13 +97,24 @@ def variable_catalog(profiles: DataFrame, members: DataFrame | None = None, per_
 
 
 def jaccard_pairs(members: DataFrame, item: str, value: str, least: float = 0.0) -> DataFrame:
-    """``a, b, shared, similarity`` of the items that share a value, by an inverted index; pairs without a common value have similarity 0 and no row."""
+    """``a, b, shared, similarity`` of the items that share a value and are ``least`` or more alike, by an inverted index.
+
+    With values in order from rare to frequent, two sets of similarity ``least`` or more share one of the first
+    ``n - ceil(least * n) + 1`` values of each, so only those are joined: a value that most items have, which comes
+    last, makes no pairs. Sizes bound the pairs as well. Pairs without a common value have similarity 0 and no row.
+    """
     each = members.select(F.col(item).alias("i"), F.col(value).alias("v")).where("i is not null and v is not null").distinct()
-    size = each.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    l, r = each.alias("l"), each.alias("r")
-    shared = l.join(r, (F.col("l.v") == F.col("r.v")) & (F.col("l.i") < F.col("r.i"))).groupBy(F.col("l.i").alias("a"), F.col("r.i").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    sized = shared.join(size.select(F.col("i").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("i").alias("b"), F.col("n").alias("nb")), "b")
-    out = sized.withColumn("similarity", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))
+    often = each.groupBy("v").agg(F.count(F.lit(1)).alias("f"))
+    sets = each.join(often, "v").groupBy("i").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))
+    sets = sets.select("i", F.transform("s", lambda e: e["v"]).alias("s"), F.size("s").alias("n"))
+    reach = F.col("n") - F.greatest(F.ceil(F.col("n") * F.lit(least) - 1e-9), F.lit(1)).cast("int") + 1
+    index = sets.select("i", "n", F.explode(F.slice("s", 1, reach)).alias("v"))
+    l, r = index.alias("l"), index.alias("r")
+    sized = F.least("l.n", "r.n") >= F.lit(least) * F.greatest("l.n", "r.n") - 1e-9
+    met = l.join(r, (F.col("l.v") == F.col("r.v")) & (F.col("l.i") < F.col("r.i")) & sized).select(F.col("l.i").alias("a"), F.col("r.i").alias("b")).distinct()
+    side = lambda s: sets.select(F.col("i").alias(s), F.col("s").alias(f"s{s}"))
+    both = met.join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.size(F.array_intersect("sa", "sb")).cast("long"))
+    out = both.withColumn("similarity", F.col("shared") / (F.size("sa") + F.size("sb") - F.col("shared")))
     return out.where(F.col("similarity") >= least).select("a", "b", "shared", "similarity")
 
 
@@ -109,20 +124,34 @@ def family_clusters(members: DataFrame, item: str, value: str, threshold: float
     return connected_components(items, jaccard_pairs(members, item, value, threshold).select("a", "b"))
 
 
-def variable_pairs(values: DataFrame, clusters: DataFrame, by_name: float = 0.85, by_value: float = 0.6) -> DataFrame:
-    """``component, a, b, name_similarity, value_similarity`` of variables of a family cluster that no family has both of.
+def variable_pairs(profiles: DataFrame, members: DataFrame, clusters: DataFrame, by_name: float = 0.85, by_value: float = 0.6) -> DataFrame:
+    """``component, a, b, name_similarity, value_similarity`` of variables of a family cluster that no family has both of and whose
+    names and frequent values are alike.
 
-    ``values`` has ``family_id, variable, value``, ``clusters`` ``node, component``. Names are
-    compared where their keys share a three-letter piece or values overlap.
+    ``profiles`` has ``path, name, samples``, ``members`` ``path, family_id``, ``clusters`` ``node, component``. A variable's values are
+    the samples of all its fields, a dozen each. Pairs are made where values are shared; the name ratio, the slow part, comes last.
     """
-    v = values.join(clusters.select(F.col("node").alias("family_id"), "component"), "family_id")
-    held = v.groupBy("component", "variable").agg(F.collect_set("family_id").alias("families"), F.collect_set("value").alias("space"))
-    held = held.withColumn("key", x.name_key(F.col("variable")))
-    pieces = held.select("component", "variable", F.explode(F.array_union(x.grams(F.col("key")), F.slice(F.transform("space", lambda s: F.concat(F.lit("="), s)), 1, 1_000_000))).alias("piece"))
+    fields = profiles.join(members.select("path", "family_id").distinct(), "path").join(clusters.select(F.col("node").alias("family_id"), "component"), "family_id")
+    fields = fields.withColumn("variable", F.upper("name")).where("variable != ''")
+    held = fields.groupBy("component", "variable").agg(F.collect_set("family_id").alias("families"), F.array_distinct(F.flatten(F.collect_list("samples"))).alias("space"))
+    pieces = held.select("component", "variable", F.explode("space").alias("piece"))
     l, r = pieces.alias("l"), pieces.alias("r")
     near = l.join(r, (F.col("l.component") == F.col("r.component")) & (F.col("l.piece") == F.col("r.piece")) & (F.col("l.variable") < F.col("r.variable")))
     near = near.select(F.col("l.component").alias("component"), F.col("l.variable").alias("a"), F.col("r.variable").alias("b")).distinct()
-    side = lambda s: held.select("component", F.col("variable").alias(s), F.col("families").alias(f"f{s}"), F.col("space").alias(f"s{s}"), F.col("key").alias(f"k{s}"))
+    side = lambda s: held.select("component", F.col("variable").alias(s), F.col("families").alias(f"f{s}"), F.col("space").alias(f"s{s}"), x.name_key(F.col("variable")).alias(f"k{s}"))
     both = near.join(side("a"), ["component", "a"]).join(side("b"), ["component", "b"]).where(~F.arrays_overlap("fa", "fb"))
-    scored = both.withColumns({"name_similarity": x.sequence_ratio("ka", "kb"), "value_similarity": x.jaccard(F.col("sa"), F.col("sb"))})
-    return scored.where((F.col("name_similarity") >= by_name) | (F.col("value_similarity") >= by_value)).select("component", "a", "b", F.round("name_similarity", 4).alias("name_similarity"), F.round("value_similarity", 4).alias("value_similarity"))
+    alike = both.withColumn("value_similarity", x.jaccard(F.col("sa"), F.col("sb"))).where(F.col("value_similarity") >= by_value)
+    scored = alike.withColumn("name_similarity", x.sequence_ratio("ka", "kb")).where(F.col("name_similarity") >= by_name)
+    return scored.select("component", "a", "b", F.round("name_similarity", 4).alias("name_similarity"), F.round("value_similarity", 4).alias("value_similarity"))
+
+
+def variable_clusters(pairs: DataFrame, profiles: DataFrame, members: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Variables chained by ``variable_pairs`` within a family cluster: ``component, variables, families, strongest_name_similarity, strongest_value_similarity``."""
+    node = lambda v: F.concat_ws("\x01", "component", v)
+    ends = pairs.select("component", F.explode(F.array("a", "b")).alias("variable")).distinct()
+    parts = connected_components(ends.select(node("variable").alias("node")), pairs.select(node("a").alias("a"), node("b").alias("b"))).withColumnRenamed("component", "part")
+    placed = ends.withColumn("node", node("variable")).join(parts, "node").select("component", "variable", "part")
+    has = profiles.select("path", F.upper("name").alias("variable")).join(members.select("path", "family_id").distinct(), "path").join(clusters.select(F.col("node").alias("family_id"), "component"), "family_id")
+    wide = placed.join(has.select("component", "variable", "family_id").distinct(), ["component", "variable"]).groupBy("component", "part").agg(F.sort_array(F.collect_set("variable")).alias("variables"), F.sort_array(F.collect_set("family_id")).alias("families"))
+    strong = pairs.join(placed.withColumnRenamed("variable", "a"), ["component", "a"]).groupBy("component", "part").agg(F.max("name_similarity").alias("strongest_name_similarity"), F.max("value_similarity").alias("strongest_value_similarity"))
+    return wide.join(strong, ["component", "part"]).drop("part")

@@ -72,10 +72,11 @@ def resolve(variables: DataFrame, registry: DataFrame) -> DataFrame:
     return variables.join(top, (F.col("variable") == F.col("_variable")) & F.col("scope").eqNullSafe(F.col("_scope")), "left").drop("_scope", "_variable")
 
 
-def coverage(variables: DataFrame, registry: DataFrame) -> DataFrame:
-    """``covered, variables`` over distinct upper-case names that are not blank."""
-    names = variables.select(F.upper(F.trim("variable")).alias("variable")).where("variable != ''").distinct().withColumn("scope", F.lit(None).cast("string"))
-    out = resolve(names, registry).select("variable", F.col("kind").isNotNull().alias("covered"))
+def coverage(variables: DataFrame, registry: DataFrame, scopes: list[str] | None = None) -> DataFrame:
+    """``covered, n, variables`` over distinct upper-case names that are not blank: whether an entry resolves in one of the scopes or globally."""
+    names = variables.select(F.upper(F.trim("variable")).alias("variable")).where("variable != ''").distinct()
+    tried = F.array(F.lit(None).cast("string"), *[F.lit(s) for s in scopes or [] if s])
+    out = resolve(names.withColumn("scope", F.explode(tried)), registry).groupBy("variable").agg(F.max(F.col("kind").isNotNull()).alias("covered"))
     return out.groupBy("covered").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("variable")), ",").alias("variables"))
 
 

@@ -113,7 +113,7 @@ def _names(spark, d):
 
 
 def translate_coverage(spark, d):
-    return t.coverage(_names(spark, d), _registry(spark))
+    return t.coverage(_names(spark, d), _registry(spark), ["PART"])
 
 
 def registry_merge(spark, d):
@@ -151,7 +151,7 @@ SQL = {
         ('GLOBAL', 'C_NATIONKEY', 'num', 'Nation', 0, 'ibge6', ''), ('CUSTOMER', 'C_NATIONKEY', 'num', 'Nation of a customer', 0, '', '')) t(scope, variable, kind, label, "values", rules, aliases)""",
     "translate_values": """SELECT CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE o_orderstatus END AS "STATUS", left('12' || o_orderkey, 3) AS code, upper(replace(o_orderpriority, '.', '')) AS "P_BRAND", count(*) AS n FROM orders GROUP BY 1, 2, 3""",
     "translate_coverage": """WITH v AS (SELECT DISTINCT upper(column_name) AS v FROM information_schema.columns WHERE table_name IN ('part', 'customer', 'orders'))
-        SELECT v IN ('O_ORDERSTATUS', 'C_NAME', 'C_NATIONKEY') AS covered, count(*) AS n, string_agg(v, ',' ORDER BY v) AS variables FROM v GROUP BY 1""",
+        SELECT v IN ('O_ORDERSTATUS', 'C_NAME', 'C_NATIONKEY', 'P_BRAND') AS covered, count(*) AS n, string_agg(v, ',' ORDER BY v) AS variables FROM v GROUP BY 1""",
     "registry_merge": """SELECT * FROM (VALUES ('GLOBAL', 'O_ORDERSTATUS', 'cat', 'Order status'), ('PART', 'P_BRAND', 'code', 'Brand of a part'), ('GLOBAL', 'C_NAME', 'id', 'Customer'), ('GLOBAL', 'C_NATIONKEY', 'num', 'Nation'), ('CUSTOMER', 'C_NATIONKEY', 'num', 'Nation of a customer'), ('GLOBAL', 'L_TAX', 'num', 'Tax')) t(scope, variable, kind, label)""",
     "registry_lint": """SELECT * FROM (VALUES ('GLOBAL', 'O_ORDERSTATUS', '', ''), ('PART', 'P_BRAND', '', ''), ('GLOBAL', 'C_NAME', 'duplicate_key', ''), ('GLOBAL', 'C_NATIONKEY', '', ''), ('CUSTOMER', 'C_NATIONKEY', '', ''), ('GLOBAL', 'c_name', 'duplicate_key,unknown_kind', ''), ('GLOBAL', 'KIND_', '', 'cat_without_value_map')) t(scope, variable, errors, warnings)""",
 }

@@ -17,7 +17,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     date = F.col("o_orderdate").cast("date")
     return rows.select(
         F.struct(F.col("n_name").alias("municipality"), F.year(date).alias("year"), F.month(date).alias("month"), date.alias("date")).alias("support"),
@@ -63,20 +63,18 @@ files AS (
     CASE WHEN o_orderpriority = '1-URGENT' AND p_type IN ('PROMO','LARGE') THEN 'BR' ELSE {UF_LIST}[(c_nationkey + (o_orderkey % 3) * 9) % 27 + 1] END AS geo,
     right(CAST(year(o_orderdate) AS VARCHAR), 2) || CASE WHEN p_type = 'SMALL' THEN '' ELSE lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') END AS code,
     CASE WHEN o_orderstatus = 'P' THEN 'PRELIM' ELSE 'FINAL' END AS stage,
+    CASE WHEN p_type IN ('PROMO','STANDARD') THEN 'SYSA' WHEN p_type <> 'MEDIUM' THEN 'SYSB' WHEN year(o_orderdate) <= 1992 THEN 'SYSA' WHEN year(o_orderdate) <= 1995 THEN 'SYSB' ELSE 'SYSC' END AS sys_,
     CASE WHEN o_orderkey % 7 = 0 THEN '.csv' WHEN o_orderkey % 11 = 0 THEN '.json.zip' ELSE '.dbc' END AS ext
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  WHERE l_linenumber = 1
 ), manifest AS (
-  SELECT '/public/data/' || CASE WHEN prefix IN ('PROMO','STANDARD') THEN 'SYSA' ELSE 'SYSB' END || '/' || stage || '/' AS dir_, prefix, geo, code, ext,
-    '/public/data/' || CASE WHEN prefix IN ('PROMO','STANDARD') THEN 'SYSA' ELSE 'SYSB' END || '/' || stage AS directory,
-    '/public/data/' || CASE WHEN prefix IN ('PROMO','STANDARD') THEN 'SYSA' ELSE 'SYSB' END || '/' || stage || '/' || prefix || geo || code || ext AS path
+  SELECT prefix, geo, code, ext, '/public/data/' || sys_ || '/' || stage AS directory, '/public/data/' || sys_ || '/' || stage || '/' || prefix || geo || code || ext AS path
   FROM files
 )"""
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``path``: names like PROMOSP9803.dbc in directories of two systems, from the order lines."""
-    line = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_partkey")
+    """``path``: names like PROMOSP9803.dbc in directories of three systems, from the order lines. One prefix moves from system to system over the years."""
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -87,6 +85,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.when(F.col("p_type") == "SMALL", "").otherwise(F.date_format("o_orderdate", "MM"))
     stage = F.when(F.col("o_orderstatus") == "P", "PRELIM").otherwise("FINAL")
     ext = F.when(key % 7 == 0, ".csv").when(key % 11 == 0, ".json.zip").otherwise(".dbc")
-    system = F.when(F.col("p_type").isin("PROMO", "STANDARD"), "SYSA").otherwise("SYSB")
+    year = F.year("o_orderdate")
+    system = F.when(F.col("p_type").isin("PROMO", "STANDARD"), "SYSA").when(F.col("p_type") != "MEDIUM", "SYSB").when(year <= 1992, "SYSA").when(year <= 1995, "SYSB").otherwise("SYSC")
     name = F.concat("p_type", geo, F.date_format("o_orderdate", "yy"), month, ext)
     return rows.select(F.concat_ws("/", F.lit("/public/data"), system, stage, name).alias("path")).distinct()

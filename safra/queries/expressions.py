@@ -83,12 +83,10 @@ def aggregate_to_record(spark, d):
 
 
 def string_metrics(spark, d):
-    part = table(spark, d, "part").select("p_name").distinct()
-    a, b = part.withColumnRenamed("p_name", "a"), part.withColumnRenamed("p_name", "b")
-    pairs = a.join(b, (F.substring("a", 1, 1) == F.substring("b", 1, 1)) & (F.col("a") < F.col("b")))
-    x, y = text.grams(F.col("a")), text.grams(F.col("b"))
-    both = F.size(F.array_intersect(x, y))
-    return pairs.select("a", "b", F.levenshtein("a", "b").alias("edits"), F.round(text.jaccard(x, y), 6).alias("jaccard"), F.round(2 * both / (F.size(x) + F.size(y)), 6).alias("dice"), F.round(both / F.least(F.size(x), F.size(y)), 6).alias("overlap"))
+    from ..operators import strings
+
+    rounded = lambda c: F.round(c, 6).alias(c)
+    return strings.metrics(strings.similar_names(table(spark, d, "part").select("p_name"), "p_name", 0.5)).select("a", "b", "edits", "hamming", rounded("jaccard"), rounded("dice"), rounded("overlap"), rounded("cosine"), rounded("spread"))
 
 
 def signatures(spark, d):
@@ -96,13 +94,12 @@ def signatures(spark, d):
 
 
 def column_summary(spark, d):
-    part = table(spark, d, "part").where("p_partkey % 13 != 0 or p_partkey is null")
+    part = table(spark, d, "part")
     v = F.when(F.col("p_partkey") % 5 != 0, F.col("p_retailprice"))
-    q = lambda p: F.percentile(v, F.lit(p))
-    return part.groupBy("p_type").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(v.isNull().cast("int")), 9).alias("na_rate"), F.min(v).alias("low"), F.round(q(0.25), 6).alias("q1"), F.round(q(0.5), 6).alias("median"),
-        F.round(F.avg(v), 6).alias("mean"), F.round(q(0.75), 6).alias("q3"), F.max(v).alias("high"),
-    )
+    from ..operators import strings
+
+    told = strings.column_summary(part, ["p_type"], v)
+    return told.withColumns({"na_rate": F.round("na_rate", 9)} | {c: F.round(c, 6) for c in ("q1", "median", "mean", "q3")})
 
 
 def list_lines(spark, d):
@@ -149,10 +146,11 @@ SQL = {
     "payload_normalize": """SELECT event_id, CASE event_id % 5 WHEN 0 THEN CAST(json_extract_string(props, '$.k') || '.5' AS DOUBLE) WHEN 4 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS value FROM events""",
     "aggregate_to_record": """SELECT lpad(CAST(user_id AS VARCHAR), 7, '3') AS municipality, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, value IS NOT NULL AS included, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1,2,3,4""",
     "string_metrics": """WITH p AS (SELECT DISTINCT p_name AS n FROM part), g AS (SELECT n, list_distinct([substr(n, i, 3) FOR i IN range(1, length(n) - 1)]) AS g FROM p),
-        k AS (SELECT x.n AS a, y.n AS b, len(list_intersect(x.g, y.g)) AS i, len(x.g) AS u, len(y.g) AS v FROM g x JOIN g y ON left(x.n, 1) = left(y.n, 1) AND x.n < y.n)
-        SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS edits, round(CAST(i AS DOUBLE) / (u + v - i), 6) AS jaccard, round(2.0 * i / (u + v), 6) AS dice, round(CAST(i AS DOUBLE) / least(u, v), 6) AS overlap FROM k""",
+        k AS (SELECT x.n AS a, y.n AS b, len(list_intersect(x.g, y.g)) AS i, len(x.g) AS u, len(y.g) AS v FROM g x JOIN g y ON x.n < y.n),
+        m AS (SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS edits, CASE WHEN length(a) = length(b) THEN CAST(hamming(a, b) AS INTEGER) END AS hamming, CAST(i AS DOUBLE) / (u + v - i) AS jaccard, 2.0 * i / (u + v) AS dice, CAST(i AS DOUBLE) / least(u, v) AS overlap, i / sqrt(u * v) AS cosine FROM k WHERE CAST(i AS DOUBLE) / (u + v - i) >= 0.5)
+        SELECT a, b, edits, hamming, round(jaccard, 6) AS jaccard, round(dice, 6) AS dice, round(overlap, 6) AS overlap, round(cosine, 6) AS cosine, round(list_stddev_pop([jaccard, dice, overlap, cosine]), 6) AS spread FROM m""",
     "signatures": "SELECT n_nationkey, left(sha1('n_name|' || n_name), 16) AS signature, sha256(n_name) AS sha256 FROM nation",
-    "column_summary": """WITH p AS (SELECT p_type, CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END AS v FROM part WHERE p_partkey % 13 <> 0)
+    "column_summary": """WITH p AS (SELECT p_type, CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END AS v FROM part)
         SELECT p_type, count(*) AS n, round(avg(CASE WHEN v IS NULL THEN 1 ELSE 0 END), 9) AS na_rate, min(v) AS low, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS median, round(avg(v), 6) AS mean, round(quantile_cont(v, 0.75), 6) AS q3, max(v) AS high FROM p GROUP BY 1""",
     "list_lines": """SELECT n_nationkey, CASE WHEN n_nationkey = 7 THEN NULL WHEN n_nationkey % 3 = 0 THEN 'dir' ELSE 'file' END AS entry_type, CASE WHEN n_nationkey <> 7 THEN CAST(n_nationkey * 100 AS BIGINT) END AS size,
         CASE WHEN n_nationkey <> 7 THEN 'Jan 0' || (n_nationkey % 9 + 1) || ' 12:30' END AS modified, CASE WHEN n_nationkey <> 7 THEN n_name || ' x.dbc' END AS name FROM nation""",

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from ..operators import graph
 from ..operators import profile as p
+from ..operators.graph import cut
 from .common import table
 
 TABLES = {"part": "p_partkey", "customer": "c_custkey", "supplier": "s_suppkey", "nation": "n_nationkey"}
 
 
 def _cells(spark, d):
-    return reduce(lambda a, b: a.unionByName(b), [p.long_form(table(spark, d, t), t, 400, key) for t, key in TABLES.items()])
+    return reduce(lambda a, b: a.unionByName(b), [p.long_form(table(spark, d, t), t, None, key) for t, key in TABLES.items()])
 
 
 def field_profile(spark, d):
@@ -31,36 +32,48 @@ def schema_signature(spark, d):
     return p.schema_signature(p.field_profiles(_cells(spark, d)))
 
 
-def _brands(spark, d):
-    part = table(spark, d, "part").select("p_partkey", "p_brand")
-    line = table(spark, d, "lineitem").select("l_suppkey", "l_partkey")
-    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_suppkey", "p_brand").distinct()
-
-
 def _sets(spark, d):
-    """Brands that a supplier sold over 40 units of at once: few enough for the sets to differ."""
+    """What an order holds: brand, quantity class and flag of each of its lines."""
     part = table(spark, d, "part").select("p_partkey", "p_brand")
-    line = table(spark, d, "lineitem").where("l_quantity >= 50").select("l_suppkey", "l_partkey")
-    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_suppkey", "p_brand").distinct()
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
+    item = F.concat_ws("|", "p_brand", "l_returnflag", F.floor(F.col("l_quantity") / 10).cast("string")).alias("item")
+    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", item).distinct()
 
 
 def family_jaccard(spark, d):
-    return p.jaccard_pairs(_sets(spark, d), "l_suppkey", "p_brand", 0.3).withColumn("similarity", F.round("similarity", 9))
+    return p.jaccard_pairs(_sets(spark, d), "l_orderkey", "item", 0.6).withColumn("similarity", F.round("similarity", 9))
 
 
 def components(spark, d):
-    pairs = p.jaccard_pairs(_sets(spark, d), "l_suppkey", "p_brand", 0.62).select("a", "b")
-    return graph.connected_components(_sets(spark, d).select(F.col("l_suppkey").alias("node")).distinct(), pairs)
+    sets = cut(_sets(spark, d))
+    pairs = p.jaccard_pairs(sets, "l_orderkey", "item", 0.7).select("a", "b")
+    return graph.connected_components(sets.select(F.col("l_orderkey").alias("node")).distinct(), pairs)
+
+
+def _seasons(spark, d):
+    """Profiles of the orders of each nation and season as files of one family a nation; the columns are named by the season."""
+    customer = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, d, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    season = F.quarter("o_orderdate").cast("string")
+    cells = orders.select(F.concat_ws("/", F.col("c_nationkey").cast("string"), season).alias("path"), F.explode(F.array(
+        F.struct(F.concat(F.lit("priority_code"), season).alias("name"), F.col("o_orderpriority").alias("value")), F.struct(F.concat(F.lit("status_code"), season).alias("name"), F.col("o_orderstatus").alias("value")),
+    )).alias("c"), F.col("o_orderkey").alias("position"))
+    profiles = cut(p.field_profiles(cells.select("path", "c.name", "position", "c.value")))
+    members = profiles.select("path", F.col("path").alias("family_id")).distinct()
+    return profiles, members, members.select(F.col("family_id").alias("node"), F.substring_index("family_id", "/", 1).alias("component"))
 
 
 def variable_similarity(spark, d):
-    cells = _cells(spark, d).where("value is not null").select(F.col("path").alias("family_id"), F.upper(F.regexp_replace("name", "^[a-z]+_", "")).alias("variable"), "value")
-    renamed = cells.withColumn("variable", F.when(F.col("family_id") == "supplier", F.concat("variable", F.lit("X"))).otherwise(F.col("variable")))
-    clusters = renamed.select(F.col("family_id").alias("node")).distinct().withColumn("component", F.lit("all"))
-    return p.variable_pairs(renamed, clusters)
+    return p.variable_pairs(*_seasons(spark, d))
+
+
+def variable_clusters(spark, d):
+    profiles, members, clusters = _seasons(spark, d)
+    found = p.variable_clusters(cut(p.variable_pairs(profiles, members, clusters)), profiles, members, clusters)
+    return found.withColumns({"variables": F.array_join("variables", ","), "families": F.array_join("families", ",")})
 
 
-QUERIES = {f.__name__: f for f in (field_profile, variable_catalog, schema_signature, family_jaccard, components, variable_similarity)}
+QUERIES = {f.__name__: f for f in (field_profile, variable_catalog, schema_signature, family_jaccard, components, variable_similarity, variable_clusters)}
 
 _COLUMNS = {
     "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
@@ -75,22 +88,27 @@ def _shown(c):
 
 
 _CELLS = "cells AS (" + " UNION ALL ".join(
-    f"SELECT '{t}' AS path, '{c}' AS name, row_number() OVER (ORDER BY {TABLES[t]}) AS k, nullif(trim(CAST({c} AS VARCHAR)), '') AS v FROM (SELECT * FROM {t} ORDER BY {TABLES[t]} LIMIT 400)" for t, cs in _COLUMNS.items() for c in cs
+    f"SELECT '{t}' AS path, '{c}' AS name, row_number() OVER (ORDER BY {TABLES[t]}) AS k, nullif(trim(CAST({c} AS VARCHAR)), '') AS v FROM (SELECT * FROM {t} ORDER BY {TABLES[t]})" for t, cs in _COLUMNS.items() for c in cs
 ) + ")"
 _FACTS = f"""{_CELLS}, ranked AS (SELECT path, name, v, n, row_number() OVER (PARTITION BY path, name ORDER BY n DESC, first_at) AS r FROM (SELECT path, name, v, count(*) AS n, min(k) AS first_at FROM cells GROUP BY 1, 2, 3)),
     tops AS (SELECT path, name, string_agg(v, '|' ORDER BY r) AS samples FROM ranked WHERE r <= 12 GROUP BY 1, 2),
-    facts AS (SELECT path, name, count(v) AS non_null, count(*) - count(v) AS nulls, count(DISTINCT v) AS distinct_seen, bool_and(regexp_full_match(v, '[0-9]+')) AS digits, max(length(v)) FILTER (WHERE k <= 100) AS len100,
+    facts AS (SELECT path, name, count(v) AS non_null, count(*) - count(v) AS nulls, count(DISTINCT v) FILTER (WHERE k <= 1000) AS distinct_seen, bool_and(regexp_full_match(v, '[0-9]+')) AS digits, max(length(v)) FILTER (WHERE k <= 100) AS len100,
       count(DISTINCT v) FILTER (WHERE k <= 50) AS d50, count(DISTINCT v) FILTER (WHERE k <= 100) AS d100, bool_and(regexp_full_match(replace(replace(v, '-', ''), '/', ''), '[0-9]{{6}}|[0-9]{{8}}')) FILTER (WHERE k <= 50) AS dates,
       bool_and(try_cast(v AS DOUBLE) IS NOT NULL) FILTER (WHERE k <= 50) AS floats FROM cells GROUP BY 1, 2),
     typed AS (SELECT *, CASE WHEN digits THEN CASE WHEN len100 <= 2 AND d50 <= 20 THEN 'categorical_code' ELSE 'integer' END WHEN dates THEN 'date' WHEN floats THEN 'numeric' WHEN d100 <= 20 THEN 'categorical_text' ELSE 'text' END AS primitive_type FROM facts)"""
 _SIG = ", ".join(f"('{t}', '{'|'.join(sorted(cs))}', {len(cs)})" for t, cs in _COLUMNS.items())
-_SUP = """e AS (SELECT DISTINCT l_suppkey AS i, p_brand AS v FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 50), n AS (SELECT i, count(*) AS n FROM e GROUP BY 1),
+_SUP = """e AS (SELECT DISTINCT l_orderkey AS i, p_brand || '|' || l_returnflag || '|' || CAST(CAST(floor(l_quantity / 10) AS BIGINT) AS VARCHAR) AS v FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT i, count(*) AS n FROM e GROUP BY 1),
     s AS (SELECT l.i AS a, r.i AS b, count(*) AS shared FROM e l JOIN e r ON l.v = r.v AND l.i < r.i GROUP BY 1, 2), j AS (SELECT a, b, shared, CAST(shared AS DOUBLE) / (x.n + y.n - shared) AS similarity FROM s JOIN n x ON x.i = a JOIN n y ON y.i = b)"""
 SQL = {
     "field_profile": f"WITH {_FACTS} SELECT path, name, primitive_type, non_null, nulls, distinct_seen, samples FROM typed JOIN tops USING (path, name)",
     "variable_catalog": f"""WITH {_FACTS}, m(path, family_id) AS (VALUES ('part', 'A'), ('part', 'B'), ('customer', 'A'), ('supplier', 'B'))
         SELECT upper(name) AS variable, count(DISTINCT family_id) AS family_count, count(DISTINCT path) AS file_count, min(primitive_type) AS primitive_types FROM typed LEFT JOIN m USING (path) GROUP BY 1""",
     "schema_signature": f"SELECT path, left(sha1(names), 16) AS schema_signature, CAST(n AS BIGINT) AS fields FROM (VALUES {_SIG}) t(path, names, n)",
-    "family_jaccard": f"WITH {_SUP} SELECT a, b, shared, round(similarity, 9) AS similarity FROM j WHERE similarity >= 0.3",
-    "components": f"""WITH RECURSIVE {_SUP}, l AS (SELECT a, b FROM j WHERE similarity >= 0.62 UNION SELECT b, a FROM j WHERE similarity >= 0.62), w AS (SELECT i AS a, i AS b FROM n UNION SELECT w.a, l.b FROM w JOIN l ON w.b = l.a) SELECT a AS node, min(b) AS component FROM w GROUP BY 1""",
+    "family_jaccard": f"WITH {_SUP} SELECT a, b, shared, round(similarity, 9) AS similarity FROM j WHERE similarity >= 0.6",
+    "variable_similarity": """WITH q AS (SELECT DISTINCT c_nationkey AS n, quarter(o_orderdate) AS s FROM orders JOIN customer ON o_custkey = c_custkey),
+        v AS (SELECT DISTINCT c_nationkey AS n, quarter(o_orderdate) AS s, unnest([{'k': 'PRIORITY_CODE', 'v': o_orderpriority}, {'k': 'STATUS_CODE', 'v': o_orderstatus}]) AS c FROM orders JOIN customer ON o_custkey = c_custkey),
+        x AS (SELECT n, s, c.k AS k, list(DISTINCT c.v) AS space FROM v GROUP BY 1, 2, 3),
+        j AS (SELECT l.n, l.k, l.s AS ls, r.s AS rs, CAST(len(list_intersect(l.space, r.space)) AS DOUBLE) / len(list_distinct(l.space || r.space)) AS w FROM x l JOIN x r ON l.n = r.n AND l.k = r.k AND l.s < r.s)
+        SELECT CAST(n AS VARCHAR) AS component, k || ls AS a, k || rs AS b, round(2.0 * (length(k) - 1) / (2 * length(k)), 4) AS name_similarity, round(w, 4) AS value_similarity FROM j WHERE w >= 0.6""",
+    "components": f"""WITH RECURSIVE {_SUP}, l AS (SELECT a, b FROM j WHERE similarity >= 0.7 UNION SELECT b, a FROM j WHERE similarity >= 0.7), w AS (SELECT i AS a, i AS b FROM n UNION SELECT w.a, l.b FROM w JOIN l ON w.b = l.a) SELECT a AS node, min(b) AS component FROM w GROUP BY 1""",
 }

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.graph import shared_folder
 from ..sources import files
 from ..streaming import ingest
 from .common import table
 
 
 def _folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="safra-")
-    return f"{root.rstrip('/')}/io-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/io-{uuid.uuid4().hex}"
 
 
 def stream_dedup_ingest(spark, d):
