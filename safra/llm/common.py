@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +22,13 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``. Where that is unset, a temporary one if Spark runs in one process, else an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    master, app = spark.sparkContext.master, spark.sparkContext.applicationId
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="safra-")
     return _own_dirs[app]
@@ -103,6 +108,28 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, off - off[0]
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def handing_back(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """For the function of ``mapInArrow``: when a task ends, its worker gives freed memory back to the system.
+
+    A worker waits for its next task beside an executor that may need the room meanwhile.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def text_sizes(column: pa.Array) -> np.ndarray:
     """Bytes of each text of an Arrow column; null: 0."""
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_text, byte_slices, discard, flat_bytes, materialize, read_table
+from .common import binary_text, byte_slices, discard, flat_bytes, handing_back, materialize, read_table
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -199,6 +199,7 @@ def _key(text: Column) -> Column:
 def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """``doc_id, key, class`` (16 bytes that name the set; null without words), ``n, sketch``."""
 
+    @handing_back
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offsets = flat_bytes(batch.column(2))
@@ -224,6 +225,7 @@ def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
     """``class, path`` one step on from ``class, sketch, path``, or from the start where there is no path."""
     start = "path" not in rows.columns
 
+    @handing_back
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sketch = _sketches(batch.column(1))
@@ -255,6 +257,7 @@ def _likeness(members: DataFrame, big: DataFrame, nodes: DataFrame) -> DataFrame
     pivots = materialize(pivots, "pivots")
     own = members.join(F.broadcast(pivots) if _few(pivots) else pivots, "path").join(nodes.select("class", brief.alias("brief")), "class").select("path", "brief", "pivot")
 
+    @handing_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (flat_bytes(batch.column(i))[0].reshape(-1, BRIEF) for i in (1, 2))
@@ -455,6 +458,7 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     part, kept = ["path", "a", "b"], ["class", "path", "a", "b", "block", "copies", "low", "paths"]
     types = "class binary, path long, a int, b int, block int, copies long, low binary, paths array<long>"
 
+    @handing_back
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in _whole_parts(batches, PART_ROWS):
             active = np.zeros(len(table), bool)
@@ -472,6 +476,7 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     texts = docs.select(F.xxhash64(F.col(id_col).cast("long"), _key(F.col(text_col))).alias("row"), binary_text(F.col(text_col)).alias("text"))
     texts = texts.join(F.broadcast(chosen) if _few(chosen) else chosen, "row", "left_semi")
 
+    @handing_back
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offsets = flat_bytes(batch.column(0))
@@ -487,6 +492,7 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     if full.count() > full.select("class").distinct().count():  # rows of the same id and text
         full = full.dropDuplicates(["class"])
 
+    @handing_back
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in _whole_parts(batches, block):
             flat, offsets = flat_bytes(table.column("elements").combine_chunks())

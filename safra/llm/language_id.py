@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import byte_slices, crc_mod, read_table, text_sizes
+from .common import byte_slices, crc_mod, handing_back, read_table, text_sizes
 
 BUCKETS = 1 << 16
 SEGMENT = 4
@@ -139,6 +139,7 @@ class LanguageModel:
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """From every row with a text and a language. The model has ``BUCKETS`` numbers a language, whatever the input."""
 
+    @handing_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -183,6 +184,7 @@ def _inferred(carried: DataFrame, model: LanguageModel, out: StructType, text_of
     """The first ``n_kept`` columns and the inference from the text that ``text_of`` finds in a batch."""
     shared = carried.sparkSession.sparkContext.broadcast(model)
 
+    @handing_back
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
