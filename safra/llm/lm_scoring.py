@@ -1,13 +1,17 @@
 """Language-model scoring by a hashed maximum-entropy model with class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class, history). The class is a softmax over
-hashed features of the history: the previous word, the previous two, and two skips (the
-word before the previous one, and the one before that). ``HEADS`` classes hold the
-``HEADS * INNER`` most frequent words, within which a second softmax uses the previous
-word; ``RESTS`` classes, told by a word's ending, hold all other words, weighted by their
-smoothed counts. Weights are of fixed size; they are trained by rounds of distributed gradient
-updates: every task descends over its rows from the round's weights, and the tasks'
-changes, weighted by how often each row of weights was updated, are averaged.
+Every word has a path of ``levels`` digits below ``BRANCH`` in a tree of classes:
+P(word | history) is the product, over the path, of P(digit | digits so far, history), each a
+softmax over the sum of hashed feature rows of the history: the previous word, the
+previous two, and two skips (the word before the previous one, and the one before
+that), each crossed with the digits so far. Twelve sixteenths of the leaves hold one frequent
+word each; each other leaf holds the words of some endings, weighted by their
+smoothed counts. The depth of the tree grows with the number of distinct words, so a leaf
+holds about as many words at any size; the feature rows are hashed into tables of fixed size.
+
+Weights are trained by rounds of distributed gradient updates: every task descends over its
+rows from the round's weights, and the tasks' changes, weighted by how often each row of
+weights was updated, are averaged in the order of the tasks, so reruns over the same files agree.
 
 Counts are of all training rows. The ``KNOWN`` most frequent words (a bounded table) are
 broadcast; the counts of all others come by a shuffled join, so the vocabulary may be
@@ -28,20 +32,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_text, crc_mod, materialize, read_table
+from .common import binary_text, crc_mod, handing_back, materialize, read_table, text_sizes
 
 END = b"\n"  # no word holds a line break
 KNOWN = 1 << 17
 KNOWN_BYTES = 64
-HEADS, INNER, RESTS = 32, 64, 32
-CLASSES = HEADS + RESTS
-#: log2 of the rows of weights of each history feature, and of the inner softmax.
-FEATURE_BITS = (13, 13, 12, 12)
-INNER_BITS = 13
+BRANCH = 16
+#: Of the ``BRANCH`` top classes, those whose leaves hold one word each.
+OWN = 12
+#: Bytes of a word that choose its leaf, if it has none of its own.
+ENDING = 3
+#: The tree deepens until a leaf stands for as many distinct words at most.
+LEAF_WORDS = 256
+FEATURES = 4
+#: Rows of each table of weights: one table a level and feature.
+ROWS = 1 << 14
 BLOCK = 256
 ROUNDS = 2
-RATE = 0.15
-BATCH = 4096
+RATE = 0.2
+BATCH = 32_768
 CHUNK = 1 << 16
 DISTINCT = 200_000
 _MULT = np.uint32(2654435761)
@@ -55,12 +64,14 @@ def words_of(text: bytes) -> list[bytes]:
 def count_tokens(rows: DataFrame) -> DataFrame:
     """``token, n`` over a binary column ``text``: words, and one end a row."""
 
+    @handing_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(words_of(text))
-                held[END] += 1
+            for _, _, texts in _chunks(batch.column(0)):
+                for text in texts:
+                    held.update(words_of(text))
+                held[END] += len(texts)
                 if len(held) > DISTINCT:
                     yield _counted(held)
                     held = Counter()
@@ -74,43 +85,56 @@ def _counted(held: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "n"])
 
 
-def rest_class(token: bytes) -> int:
-    return HEADS + crc32(token[-2:]) % RESTS
+def levels_for(distinct: int) -> int:
+    """Depth of the class tree for so many distinct words: 3 at least."""
+    levels = 3
+    while BRANCH**levels * LEAF_WORDS < distinct:
+        levels += 1
+    return levels
 
 
 class Vocabulary:
-    """The most frequent words with their counts, classes and places; figures of the rest classes."""
+    """The most frequent words with their counts and leaves; the words and types of every shared leaf."""
 
-    def __init__(self, tokens: list[bytes], counts: list[int], total: int, distinct: int, rest_words: np.ndarray, rest_types: np.ndarray):
-        if END in tokens:  # the end is a modelled word, however rare
+    def __init__(self, tokens: list[bytes], counts: list[int], levels: int, shared_words: np.ndarray, shared_types: np.ndarray):
+        if END in tokens:  # the end has a leaf of its own, however rare
             at = tokens.index(END)
             tokens.insert(0, tokens.pop(at)), counts.insert(0, counts.pop(at))
+        self.levels = levels
+        self.total, self.distinct = int(shared_words.sum()), int(shared_types.sum())
         self.ids = {t: i for i, t in enumerate(tokens)}
-        self.total, self.distinct = total, distinct
-        n = np.array(counts + [0], np.float64)
+        n = np.array([*counts, 0], np.float64)
         self.log_count = np.log10(n + 0.5)
         self.key = np.array([crc32(t) for t in tokens] + [0], np.uint32)
-        modelled = min(len(tokens), HEADS * INNER)
-        self.cls = np.array([i % HEADS if i < modelled else rest_class(t) for i, t in enumerate(tokens)] + [0], np.int64)
-        self.inner = np.array([i // HEADS if i < modelled else -1 for i in range(len(tokens))] + [-1], np.int64)
-        # Rest classes hold what is not modelled: the given figures are of all words by ending.
-        words, types = rest_words.astype(np.float64).copy(), rest_types.astype(np.float64).copy()
-        for i in range(modelled):
-            c = rest_class(tokens[i]) - HEADS
-            words[c] -= n[i]
-            types[c] -= 1
-        self.rest_log = np.log10(words + 0.5 * (types + 1))
-        mass = np.full(CLASSES, 0.5)
-        mass[HEADS:] += words
-        inner = np.full((HEADS, INNER), 0.5)
-        for i in range(modelled):
-            inner[i % HEADS, i // HEADS] += n[i]
-        mass[:HEADS] += inner.sum(1)
-        self.class_bias = np.log(mass / mass.sum()).astype(np.float32)
-        self.inner_bias = np.log(inner / inner.sum(1, keepdims=True)).astype(np.float32)
-
-    def encode(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens, their numbers (-1: unlisted), hash keys, classes, places, and the token count of each text."""
+        each = BRANCH ** (levels - 1)
+        self.first_shared, self.n_shared = OWN * each, (BRANCH - OWN) * each
+        own = min(len(tokens), self.first_shared)
+        rank = np.arange(own)
+        leaf, rest = rank % OWN, rank // OWN  # digits lowest first, so that frequent words are spread over all classes
+        for _ in range(levels - 1):
+            leaf, rest = leaf * BRANCH + rest % BRANCH, rest // BRANCH
+        self.leaf = np.array([*leaf.tolist(), *(self.shared_leaf(t) for t in tokens[own:]), 0], np.int64)
+        # Shared leaves hold what has no leaf of its own: the given figures are of all words.
+        words, types = shared_words.astype(np.float64), shared_types.astype(np.float64)
+        at = np.array([self.shared_leaf(t) for t in tokens[:own]], np.int64) - self.first_shared
+        np.subtract.at(words, at, n[:own])
+        np.subtract.at(types, at, 1)
+        mass = np.zeros(BRANCH**levels)
+        mass[leaf] = n[:own] + 0.5
+        mass[self.first_shared :] = words + 0.5 * (types + 1)
+        self.log_shared = np.log10(mass[self.first_shared :])
+        #: Logits of each level without features, nodes x BRANCH; a leaf without a word has none.
+        self.bias = []
+        for level in range(levels):
+            split = mass.reshape(BRANCH**level, BRANCH, -1).sum(2)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                self.bias.append(np.log(split / split.sum(1, keepdims=True)).astype(np.float32))
+
+    def shared_leaf(self, token: bytes) -> int:
+        return self.first_shared + crc32(token[-ENDING:]) % self.n_shared
+
+    def encode(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens, their numbers (-1: unlisted), hash keys and leaves, and the token count of each text."""
         tokens: list[bytes] = []
         sizes = []
         for text in texts:
@@ -119,175 +143,175 @@ class Vocabulary:
             tokens.append(END)
             sizes.append(len(own) + 1)
         ids = np.fromiter(map(self.ids.get, tokens, repeat(-1)), np.int64, len(tokens))
-        key, cls, inner = self.key[ids], self.cls[ids], self.inner[ids]
+        key, leaf = self.key[ids], self.leaf[ids]
         rare = np.flatnonzero(ids < 0)
         own = [tokens[i] for i in rare.tolist()]
         key[rare] = np.fromiter(map(crc32, own), np.uint32, len(own))
-        cls[rare] = np.fromiter((HEADS + crc32(t[-2:]) % RESTS for t in own), np.int64, len(own))
-        return tokens, ids, key, cls, inner, np.array(sizes)
+        leaf[rare] = np.fromiter(map(self.shared_leaf, own), np.int64, len(own))
+        return tokens, ids, key, leaf, np.array(sizes)
 
 
-def _features(key: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Rows of weights of each token's history, for the four features; words before the text are key 1."""
+def _histories(key: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """A hash of each token's history for each feature; words before the text are key 1."""
     start = np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.arange(len(key)) - start
     back = []
     for d in (1, 2, 3):
         x = np.concatenate([np.ones(min(d, len(key)), np.uint32), key[:-d]])
         back.append(np.where(at >= d, x, np.uint32(1)))
-    mixes = (back[0] * _MULT, (back[0] * np.uint32(40503) ^ back[1] * np.uint32(2246822519)) * _MULT, (back[1] ^ np.uint32(0x5BD1E995)) * _MULT, (back[2] ^ np.uint32(0x1B873593)) * _MULT)
-    return [(m ^ (m >> np.uint32(15))) * np.uint32(3266489917) >> np.uint32(32 - bits) for m, bits in zip(mixes, FEATURE_BITS, strict=True)] + [back[0]]
+    return [back[0] * _MULT, (back[0] * np.uint32(40503) ^ back[1] * np.uint32(2246822519)) * _MULT, (back[1] ^ np.uint32(0x5BD1E995)) * _MULT, (back[2] ^ np.uint32(0x1B873593)) * _MULT]
 
 
-def _inner_rows(previous: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    m = (previous ^ cls.astype(np.uint32) * np.uint32(374761393)) * _MULT
-    return (m ^ (m >> np.uint32(15))) * np.uint32(3266489917) >> np.uint32(32 - INNER_BITS)
+def _rows(history: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Row of weights of a history crossed with a node of the tree."""
+    m = history ^ node.astype(np.uint32) * np.uint32(374761393)
+    m ^= m >> np.uint32(15)
+    m *= np.uint32(3266489917)
+    return (m >> np.uint32(32 - int(ROWS).bit_length() + 1)).astype(np.uint16)
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
+    """Over the first axis, in place."""
+    z -= z.max(0)
+    z -= np.log(np.exp(z).sum(0))
     return z
 
 
-def _spread(rows: np.ndarray, grad: np.ndarray, table: np.ndarray, seen: np.ndarray, rate: float) -> None:
-    """Descend: sums of ``grad`` by row of the table, steps shrinking with the root of a row's uses."""
-    order = np.argsort(rows, kind="stable")
-    own = rows[order]
-    edge = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    at, total = own[edge], np.add.reduceat(grad[order], edge, axis=0)
-    n = np.diff(np.append(edge, len(own))).astype(np.float32)
-    seen[at] += n
-    table[at] -= (rate / np.sqrt(seen[at]))[:, None] * total
-
-
 class Model:
-    """Tables of weights of fixed size, one after the other."""
-
-    sizes = [1 << b for b in (*FEATURE_BITS, INNER_BITS)]
-
-    def __init__(self, weights: np.ndarray | None = None):
-        self.weights = np.zeros((sum(self.sizes), 64), np.float32) if weights is None else weights
-        edges = np.cumsum([0, *self.sizes])
-        self.tables = [self.weights[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-
-    def class_logits(self, vocabulary: Vocabulary, rows: list[np.ndarray], part: slice) -> np.ndarray:
-        z = self.tables[0][rows[0][part]]
-        for table, own in zip(self.tables[1:4], rows[1:4], strict=True):
-            z += table[own[part]]
-        z += vocabulary.class_bias
-        return z
-
-    def log10(self, vocabulary: Vocabulary, key: np.ndarray, cls: np.ndarray, inner: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """log10 P of every token, without the smoothed count of a word of a rest class."""
-        rows = _features(key, sizes)
-        out = np.empty(len(key))
+    """One table of weights a level and feature, ROWS x BRANCH each; ``ROWS`` is 65,536 at most."""
+
+    def __init__(self, levels: int, weights: np.ndarray | None = None):
+        self.levels = levels
+        self.weights = np.zeros((levels * FEATURES, ROWS, BRANCH), np.float32) if weights is None else weights
+
+    def _level(self, vocabulary: Vocabulary, level: int, histories: list[np.ndarray], leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Log probabilities of the digits (BRANCH x tokens), the digits that came, the rows used."""
+        below = BRANCH ** (self.levels - level - 1)
+        node, digit = leaf // (below * BRANCH), leaf // below % BRANCH
+        rows = [_rows(h, node) for h in histories]
+        z = vocabulary.bias[level].take(node, axis=0)
+        for f, own in enumerate(rows):
+            z += self.weights[level * FEATURES + f].take(own, axis=0)
+        return _log_softmax(np.ascontiguousarray(z.T)), digit, rows
+
+    def log10(self, vocabulary: Vocabulary, key: np.ndarray, leaf: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """log10 P of every token, without the smoothed count of a word of a shared leaf."""
+        histories = _histories(key, sizes)
+        out = np.zeros(len(key))
         for a in range(0, len(key), BATCH):
             part = slice(a, a + BATCH)
-            z = _log_softmax(self.class_logits(vocabulary, rows, part))
-            own = z[np.arange(len(z)), cls[part]].astype(np.float64)
-            head = np.flatnonzero(inner[part] >= 0)
-            if len(head):
-                c = cls[part][head]
-                y = self.tables[4][_inner_rows(rows[4][part][head], c)]
-                y += vocabulary.inner_bias[c]
-                own[head] += _log_softmax(y)[np.arange(len(head)), inner[part][head]]
-            out[part] = own
+            own = [h[part] for h in histories]
+            for level in range(self.levels):
+                z, digit, _ = self._level(vocabulary, level, own, leaf[part])
+                out[part] += z[digit, np.arange(len(digit))]
         out /= math.log(10)
-        rest = inner < 0
-        out[rest] -= vocabulary.rest_log[cls[rest] - HEADS]
+        shared = leaf >= vocabulary.first_shared
+        out[shared] -= vocabulary.log_shared[leaf[shared] - vocabulary.first_shared]
         return out
 
-    def learn(self, vocabulary: Vocabulary, key: np.ndarray, cls: np.ndarray, inner: np.ndarray, sizes: np.ndarray, seen: np.ndarray, rate: float) -> None:
-        rows = _features(key, sizes)
-        edges = np.cumsum([0, *self.sizes])
-        uses = [seen[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    def learn(self, vocabulary: Vocabulary, key: np.ndarray, leaf: np.ndarray, sizes: np.ndarray, seen: np.ndarray, rate: float) -> None:
+        """Descend by batches: the gradients of a row's uses are summed, and its steps shrink with the root of all its uses."""
+        histories, total = _histories(key, sizes), np.empty((BRANCH, ROWS))
         for a in range(0, len(key), BATCH):
             part = slice(a, a + BATCH)
-            g = np.exp(_log_softmax(self.class_logits(vocabulary, rows, part)))
-            g[np.arange(len(g)), cls[part]] -= 1
-            for k in range(4):
-                _spread(rows[k][part], g, self.tables[k], uses[k], rate)
-            head = np.flatnonzero(inner[part] >= 0)
-            if len(head):
-                c = cls[part][head]
-                own = _inner_rows(rows[4][part][head], c)
-                y = self.tables[4][own]
-                y += vocabulary.inner_bias[c]
-                y = np.exp(_log_softmax(y))
-                y[np.arange(len(head)), inner[part][head]] -= 1
-                _spread(own, y, self.tables[4], uses[4], rate)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, list[bytes]]]:
-    """Runs of rows of about ``CHUNK`` words (six bytes a word)."""
-    for batch in batches:
-        texts = batch.column(column).to_pylist()
-        start = held = 0
-        for i, t in enumerate(texts):
-            if i > start and held + len(t) > 6 * CHUNK:
-                yield batch, start, i, texts[start:i]
-                start, held = i, 0
-            held += len(t)
-        if start < len(texts):
-            yield batch, start, len(texts), texts[start:]
+            own = [h[part] for h in histories]
+            for level in range(self.levels):
+                z, digit, rows = self._level(vocabulary, level, own, leaf[part])
+                g = np.exp(z)
+                g[digit, np.arange(len(digit))] -= 1
+                for f, row in enumerate(rows):
+                    t, at = level * FEATURES + f, row.astype(np.intp)
+                    for b in range(BRANCH):
+                        total[b] = np.bincount(at, g[b], ROWS)
+                    seen[t] += np.bincount(at, minlength=ROWS)
+                    np.multiply(total, rate / np.sqrt(np.maximum(seen[t], 1)), out=total)
+                    self.weights[t] -= total.T
+
+
+def _chunks(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Runs of texts of about ``CHUNK`` words (six bytes a word), one text at least."""
+    sizes = text_sizes(column).tolist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > 6 * CHUNK:
+            yield start, i, column.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes), column.slice(start).to_pylist()
 
 
 def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> Model:
     """Rounds of gradient updates over the rows' texts; a row (``text``, ``part`` 0 to rounds - 1) has its turn in one round."""
     spark = rows.sparkSession
     words = spark.sparkContext.broadcast(vocabulary)
-    model = Model()
-    blocks = len(model.weights) // BLOCK
+    levels = vocabulary.levels
+    model = Model(levels)
+    per_table = ROWS // BLOCK
     for turn in range(rounds):
         begun = spark.sparkContext.broadcast(model.weights)
 
+        @handing_back
         def descend(batches: Iterator[pa.RecordBatch], begun=begun) -> Iterator[pa.RecordBatch]:
-            own = Model(begun.value.copy())
-            seen = np.zeros(len(own.weights), np.float32)
-            for _, _, _, texts in _chunks(batches, 0):
-                _, _, key, cls, inner, sizes = words.value.encode(texts)
-                own.learn(words.value, key, cls, inner, sizes, seen, rate)
-            change = (own.weights - begun.value) * seen[:, None]
-            for b in range(blocks):
-                at = slice(b * BLOCK, (b + 1) * BLOCK)
-                if seen[at].any():
-                    scale = max(1.0, float(np.abs(change[at]).max()) / 1000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([b], pa.int32()), pa.array([scale], pa.float64()), pa.array([seen[at].tobytes()], pa.binary()), pa.array([(change[at] / scale).astype(np.float16).tobytes()], pa.binary())], ["block", "scale", "seen", "change"]
-                    )
-
+            own = Model(levels, begun.value.copy())
+            seen = np.zeros((len(own.weights), ROWS), np.float32)
+            for batch in batches:
+                for _, _, texts in _chunks(batch.column(0)):
+                    _, _, key, leaf, sizes = words.value.encode(texts)
+                    own.learn(words.value, key, leaf, sizes, seen, rate)
+            context = TaskContext.get()
+            task = context.partitionId() if context else 0
+            for t in range(len(own.weights)):
+                change = (own.weights[t] - begun.value[t]) * seen[t][:, None]
+                for k in range(per_table):
+                    at = slice(k * BLOCK, (k + 1) * BLOCK)
+                    if seen[t, at].any():
+                        scale = max(1.0, float(np.abs(change[at]).max()) / 1000)
+                        values = [t * per_table + k, task, scale, seen[t, at].tobytes(), (change[at] / scale).astype(np.float16).tobytes()]
+                        yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, (pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.binary()), strict=True)], ["block", "task", "scale", "seen", "change"])
+
+        @handing_back
         def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total: dict[int, list[np.ndarray]] = {}
+            block, n, total = None, np.zeros(BLOCK), np.zeros((BLOCK, BRANCH))
+
+            def mean() -> pa.RecordBatch:
+                value = (total / np.maximum(n, 1)[:, None]).astype(np.float32)
+                return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([value.tobytes()], pa.binary())], ["block", "mean"])
+
             for batch in batches:
-                for b, scale, seen, change in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    held = total.setdefault(b, [np.zeros(BLOCK), np.zeros((BLOCK, 64))])
-                    held[0] += np.frombuffer(seen, np.float32)
-                    held[1] += np.frombuffer(change, np.float16).reshape(BLOCK, 64).astype(np.float64) * scale
-            for b, (n, change) in total.items():
-                mean = (change / np.maximum(n, 1)[:, None]).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([mean.tobytes()], pa.binary())], ["block", "mean"])
-
-        changes = rows.where(F.col("part") == turn).select("text").mapInArrow(descend, "block int, scale double, seen binary, change binary")
-        means = changes.repartition("block").mapInArrow(combine, "block int, mean binary").toArrow()
+                for b, _, scale, seen, change in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if b != block:
+                        if block is not None:
+                            yield mean()
+                        block, n, total = b, np.zeros(BLOCK), np.zeros((BLOCK, BRANCH))
+                    n += np.frombuffer(seen, np.float32)
+                    total += np.frombuffer(change, np.float16).reshape(BLOCK, BRANCH).astype(np.float64) * scale
+            if block is not None:
+                yield mean()
+
+        changes = rows.where(F.col("part") == turn).select("text").mapInArrow(descend, "block int, task int, scale double, seen binary, change binary")
+        means = changes.repartition("block").sortWithinPartitions("block", "task").mapInArrow(combine, "block int, mean binary").toArrow()
         weights = model.weights.copy()
         for b, mean in zip(means.column("block").to_pylist(), means.column("mean").to_pylist(), strict=True):
-            weights[b * BLOCK : (b + 1) * BLOCK] += np.frombuffer(mean, np.float32).reshape(BLOCK, 64)
-        model = Model(weights)
+            k = b % per_table
+            weights[b // per_table, k * BLOCK : (k + 1) * BLOCK] += np.frombuffer(mean, np.float32).reshape(BLOCK, BRANCH)
+        model = Model(levels, weights)
         begun.unpersist()
     return model
 
 
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
-    """From ``token, n``: totals, the ``KNOWN`` most frequent words of ``KNOWN_BYTES`` at most, figures by ending."""
+    """From ``token, n``: the ``KNOWN`` most frequent words of ``KNOWN_BYTES`` at most, and figures of all words by the leaf of their ending."""
     size = F.octet_length("token")
-    ending = F.when(size < 2, F.col("token")).otherwise(F.substring("token", -2, 2))
-    by_ending = counts.groupBy(F.pmod(F.crc32(ending), F.lit(RESTS)).alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()
-    words, types = np.zeros(RESTS), np.zeros(RESTS)
-    for r in by_ending:
-        words[r["c"]], types[r["c"]] = r["n"], r["types"]
+    levels = levels_for(counts.count())
+    shared = (BRANCH - OWN) * BRANCH ** (levels - 1)
+    ending = F.when(size < ENDING, F.col("token")).otherwise(F.substring("token", -ENDING, ENDING))
+    by_leaf = counts.groupBy(F.pmod(F.crc32(ending), F.lit(shared)).alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).toArrow()
+    words, types = np.zeros(shared), np.zeros(shared)
+    at = by_leaf.column("c").to_numpy()
+    words[at], types[at] = by_leaf.column("n").to_numpy(), by_leaf.column("types").to_numpy()
     top = counts.where(size <= KNOWN_BYTES).orderBy(F.desc("n"), "token").limit(KNOWN).toArrow()
-    return Vocabulary([bytes(t) for t in top.column("token").to_pylist()], top.column("n").to_pylist(), int(words.sum()), int(types.sum()), words, types)
+    return Vocabulary([bytes(t) for t in top.column("token").to_pylist()], top.column("n").to_pylist(), levels, words, types)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, fold: int = 1, rounds: int = ROUNDS) -> DataFrame:
@@ -297,7 +321,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weights are learnt from the others. ``base_score`` is the smoothed unigram log10
     probability of the whole text and its end, ``score`` the model's. Null and empty
     texts are their end alone. A null id counts as the empty text in crc32. Repeated
-    rows count and are scored each. Without training rows every token is unknown.
+    rows count and are scored each. Without training rows every token is unknown. An
+    empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     held_out = crc_mod(F.col(id_col), folds) == fold
@@ -309,37 +334,40 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     model = train(learnt, vocabulary, rounds)
     shared = spark.sparkContext.broadcast((vocabulary, model.weights))
 
+    @handing_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weights = shared.value
-        own = Model(weights)
+        own = Model(words.levels, weights)
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 40
-        for batch, a, b, texts in _chunks(batches, 2):
-            tokens, ids, key, cls, inner, sizes = words.encode(texts)
-            start = np.cumsum(sizes) - sizes
-            listed = ids >= 0
-            part = own.log10(words, key, cls, inner, sizes)
-            smooth = np.where(listed, words.log_count[ids], 0.0)
-            part[inner < 0] += smooth[inner < 0]
-            rare: list[list[bytes]] = [[] for _ in texts]
-            doc = np.repeat(np.arange(len(texts)), sizes)
-            at = np.flatnonzero(~listed)
-            for i, d in zip(at.tolist(), doc[at].tolist(), strict=True):
-                rare[d].append(tokens[i])
-            bags = [Counter(x) for x in rare]
-            columns = [
-                pa.array(np.arange(row, row + len(texts))),
-                batch.column(0).slice(a, b - a),
-                batch.column(1).slice(a, b - a),
-                pa.array(sizes.astype(np.int64)),
-                pa.array(np.add.reduceat(listed, start).astype(np.int64)),
-                pa.array(np.add.reduceat(smooth, start)),
-                pa.array(np.add.reduceat(part, start)),
-                pa.array([list(x) for x in bags], pa.list_(pa.binary())),
-                pa.array([list(x.values()) for x in bags], pa.list_(pa.int64())),
-            ]
-            row += len(texts)
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "known", "base", "model", "rare", "times"])
+        for batch in batches:
+            for a, b, texts in _chunks(batch.column(2)):
+                tokens, ids, key, leaf, sizes = words.encode(texts)
+                start = np.cumsum(sizes) - sizes
+                listed = ids >= 0
+                part = own.log10(words, key, leaf, sizes)
+                smooth = np.where(listed, words.log_count[ids], 0.0)
+                ending = leaf >= words.first_shared
+                part[ending] += smooth[ending]
+                rare: list[list[bytes]] = [[] for _ in texts]
+                doc = np.repeat(np.arange(len(texts)), sizes)
+                at = np.flatnonzero(~listed)
+                for i, d in zip(at.tolist(), doc[at].tolist(), strict=True):
+                    rare[d].append(tokens[i])
+                bags = [Counter(x) for x in rare]
+                columns = [
+                    pa.array(np.arange(row, row + len(texts))),
+                    batch.column(0).slice(a, b - a),
+                    batch.column(1).slice(a, b - a),
+                    pa.array(sizes.astype(np.int64)),
+                    pa.array(np.add.reduceat(listed, start).astype(np.int64)),
+                    pa.array(np.add.reduceat(smooth, start)),
+                    pa.array(np.add.reduceat(part, start)),
+                    pa.array([list(x) for x in bags], pa.list_(pa.binary())),
+                    pa.array([list(x.values()) for x in bags], pa.list_(pa.int64())),
+                ]
+                row += len(texts)
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "known", "base", "model", "rare", "times"])
 
     scored = rows.select("doc_id", "held_out", "text").mapInArrow(
         score, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, rare array<binary>, times array<long>"
