@@ -10,8 +10,6 @@ from ..functions import text as x
 
 THRESHOLD = 60.0
 REACH = 4
-#: Rows of a side that is broadcast at most; beyond it the join shuffles.
-SMALL = 50_000
 
 
 def _scopes(parts: Column) -> Column:

@@ -23,10 +23,11 @@ class Observable:
     lineage: dict = field(default_factory=dict)
     uncertainty: dict = field(default_factory=dict)
 
-    def header(self, records: DataFrame) -> DataFrame:
-        """One row: support role and source systems of the records compiled."""
+    def header(self, records: DataFrame, order: str = "provenance.row") -> DataFrame:
+        """One row: the first support role by ``order`` that is not blank, and the source systems, of the records compiled."""
+        role = F.nullif("support_role", F.lit(""))
         return records.agg(
-            F.coalesce(F.first(F.nullif("support_role", F.lit("")), ignorenulls=True), F.lit("unknown")).alias("support_role"),
+            F.coalesce(F.min_by(role, F.when(role.isNotNull(), F.col(order))), F.lit("unknown")).alias("support_role"),
             F.sort_array(F.collect_set(F.coalesce("source.system", F.lit("")))).alias("sources"),
         )
 
@@ -62,15 +63,16 @@ def threshold_counts(records: DataFrame, field_name: str, predicate: Callable[[C
     return counts(records.where(met), family=family, support=support, subgroups=subgroups)
 
 
-def rates(numerator: Observable, denominator: DataFrame, *, family: str, alpha: float = 0.5, beta: float = 0.5) -> Observable:
+def rates(numerator: Observable, denominator: DataFrame, *, family: str, alpha: float = 0.5, beta: float = 0.5, order: str | None = None) -> Observable:
     """(n + alpha) / (d + alpha + beta) over cells that both sides have.
 
     Keys are the numerator's columns but ``value``; null keys match each other. Cells
-    without a positive denominator drop out. Denominators must be unique; of several
-    the largest counts.
+    without a positive denominator drop out. Of several denominators of a cell the last
+    by the column ``order`` counts; without one they must be unique, or the query fails.
     """
     keys = [c for c in numerator.cells.columns if c != "value"]
-    bottom = denominator.groupBy(*keys).agg(F.max("value").alias("denominator"))
+    only = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("several denominators for one cell: name the column that orders them"))).otherwise(F.max("value"))
+    bottom = denominator.groupBy(*keys).agg((F.max_by("value", order) if order else only).cast("double").alias("denominator"))
     on = [F.col(f"n.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys]
     joined = numerator.cells.alias("n").join(bottom.where("denominator > 0").alias("d"), on)
     shrunk = (F.col("n.value") + alpha) / (F.col("d.denominator") + alpha + beta)

@@ -115,17 +115,114 @@ def test_translation_priorities():
     assert translate.resolve_entry(entries, "zz") is None
 
 
-def test_greedy_choice_prefers_new_places_then_new_periods(spark):
-    rows = [("f", "Mixed-Partition", f"/{n}", n, g, p, "[Primary]") for n, g, p in (("BR1", "BR", 202401), ("SP1", "SP", 202402), ("SP2", "SP", 202403), ("RJ1", "RJ", 202401))]
-    files = spark.createDataFrame(rows, "family_id string, partition_type string, path string, filename string, geo_code string, period long, path_semantic string")
-    got = [r["path"] for r in corpus.greedy_candidates(files, 3).orderBy("selection_rank").collect()]
-    assert got == ["/BR1", "/SP2", "/RJ1"]
+def test_candidates_prefer_new_places_then_new_periods(spark):
+    rows = [("f", "Mixed-Partition", f"/{n}", n, g, p, "[Primary]", ".dbc") for n, g, p in (("BR1", "BR", 202401), ("SP1", "SP", 202402), ("SP2", "SP", 202403), ("RJ1", "RJ", 202401))]
+    rows += [("g", "Unknown", "/x", "x", None, None, None, None)]
+    files = spark.createDataFrame(rows, "family_id string, partition_type string, path string, filename string, geo_code string, period long, path_semantic string, primary_extension string")
+    got = [tuple(r) for r in corpus.candidate_files(files, 3).orderBy("family_id", "selection_rank").collect()]
+    assert got == [
+        ("f", "/BR1", 1, "latest nation-wide member in mixed family; preferred primary path; format=dbc"),
+        ("f", "/SP2", 2, "adds geo coverage (SP); adds time coverage; preferred primary path; format=dbc"),
+        ("f", "/RJ1", 3, "adds geo coverage (RJ); preferred primary path; format=dbc"),
+        ("g", "/x", 1, "most recent family member"),
+    ]
+
+
+FILES = "series_prefix string, path string, directory string, system_guess string, primary_extension string, format_family string, date_format string, period long, path_semantic string"
+
+
+def test_working_series_stitches_formats_and_names_gaps(spark):
+    row = lambda name, ext, period, d="/d": ("P", f"{d}/{name}{ext}", d, "S", ext, {".json": "json", ".csv": "csv"}.get(ext, "dbase"), "YYMM", period, "[Primary]")
+    rows = [row("a", ".csv", 202401), row("a", ".json", 202401), row("b", ".csv", 202402), row("b", ".parquet", 202402), row("c", ".json", 202404), row("d", ".json", 202405, "/e")]
+    rows += [("U", f"/u/{n}", "/u", None, ".dbf", "dbase", None, None, None) for n in "ba"]
+    got = {r.series_prefix: r for r in corpus.working_series(spark.createDataFrame(rows, FILES), ["series_prefix"]).collect()}
+    p, u = got["P"], got["U"]
+    assert (p.strategy, p.coverage_complete, p.coverage_gaps, p.selected_primary_extensions) == ("stitched", False, ["Mar 2024"], [".json", ".parquet"])
+    assert p.selected_files == ["/d/a.json", "/d/b.parquet", "/d/c.json", "/e/d.json"]
+    assert [(s.primary_extension, s.time_range_display, s.source_paths) for s in p.segments] == [(".json", "Jan 2024", ["/d"]), (".parquet", "Feb 2024", ["/d"]), (".json", "Apr 2024 to May 2024", ["/d", "/e"])]
+    assert (u.strategy, u.coverage_complete, u.selected_files, u.segment_count, u.segments[0].file_count) == ("undated_full_family", True, ["/u/a", "/u/b"], 1, 2)
+
+
+def test_interval_chains_are_the_closure_of_touching_pairs(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), i, lo, lo + rng.randrange(4)) for i in range(120) for lo in [rng.randrange(200)]] + [("a", 500, None, None), ("a", 501, None, None)]
+    got = {r["n"]: r["component"] for r in corpus.interval_clusters(spark.createDataFrame(rows, "k string, n long, lo long, hi long"), ["k"], "n").collect()}
+    parent = {r[1]: r[1] for r in rows}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for k, a, lo, hi in rows:
+        for m, b, lo2, hi2 in rows:
+            if k == m and None not in (lo, lo2) and lo <= hi2 + 1 and lo2 <= hi + 1:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    assert got == {n: root(n) for n in parent}
+
+
+def test_jaccard_pairs_by_the_rarest_values_lose_none(spark):
+    import random
+
+    rng = random.Random(5)
+    sets = {i: set(rng.sample(range(30), rng.randrange(1, 9))) | {99} for i in range(120)}
+    rows = spark.createDataFrame([(i, v) for i, s in sets.items() for v in s], "i long, v long")
+    for least in (0.0, 0.4, 0.7, 1.0):
+        want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+        got = {(r.a, r.b): r.similarity for r in profile.jaccard_pairs(rows, "i", "v", least).collect()}
+        assert got == {k: pytest.approx(v) for k, v in want.items() if v >= least}
+
+
+def test_coverage_tries_the_scopes_then_all(spark):
+    registry = grammar.registry(spark, grammar.parse("$ RACACOR cat Race\n~ COR_RACA\n= 1 white\n@ S:DN DTOBITO date Day\n> date8\n"))
+    names = spark.createDataFrame([("racacor",), ("DTOBITO",), ("IGNORADO",), (" ",)], "variable string")
+    told = lambda scopes: {r.covered: r.variables for r in translate.coverage(names, registry, scopes).collect()}
+    assert told(["S:DN"]) == {True: "DTOBITO,RACACOR", False: "IGNORADO"} and told(None) == {True: "RACACOR", False: "DTOBITO,IGNORADO"}
+
+
+def test_list_lines_of_other_shapes_are_none(spark):
+    good = "drwxr-xr-x 2 ftp ftp 4096 Jan 01 12:30 a name"
+    bad = [good.replace("d", "x", 1), good.replace("rwx", "rws", 1), good.replace("Jan", "jan"), good.replace("Jan", "J4n"), "total 12"]
+    rows = spark.createDataFrame([(x,) for x in [good, *bad]], "l string").select(paths.parse_list_line(F.col("l")).alias("e")).collect()
+    assert tuple(rows[0].e) == ("dir", 4096, "Jan 01 12:30", "a name") and all(r.e is None for r in rows[1:])
+
+
+def test_rates_of_several_denominators(spark):
+    top = observables.Observable(spark.createDataFrame([("a", 2.0)], "k string, value double"), "f", "count", "extensive", ["k"])
+    twice = spark.createDataFrame([("a", 9.0, 1), ("a", 3.0, 2)], "k string, value double, at int")
+    assert [tuple(r) for r in observables.rates(top, twice, family="f", order="at").cells.collect()] == [("a", 3.0, 2.5 / 4)]
+    with pytest.raises(Exception, match="several denominators"):
+        observables.rates(top, twice, family="f").cells.collect()
+
+
+def test_bundle_has_excerpts_and_documents(spark):
+    from safra.operators import bundle
+
+    families = spark.createDataFrame([("F", "SIM", "DO", 3), ("G", None, None, None)], "family_id string, system_guess string, series_prefix string, file_count long")
+    fields = spark.createDataFrame([("F", "/a", "raca", "text", ["1", "2"], [], 2)], "family_id string, path string, name string, primitive_type string, samples array<string>, signals array<string>, shared long")
+    docs = spark.createDataFrame([("F", "u", 61.0)], "family_id string, url string, score double")
+    excerpts = spark.createDataFrame([("F", "a.txt", "ok", " two\n words "), ("F", "b.txt", None, None)], "family_id string, filename string, extraction_status string, excerpt string")
+    got = {r.family_id: r.text for r in bundle.translation_bundle(families, fields, docs, excerpts).collect()}
+    assert got["F"] == "FAMILY F\nSYSTEM SIM\nPREFIX DO\nFILES 3\n\nDOCS\n- 61.0 u\n\nDOC_EXCERPTS\n- a.txt | ok | two words\n- b.txt | unknown\n\nFIELDS\n- RACA | text | shared=2 | sig= | samp=1, 2\n\nReturn grammar only."
+    assert got["G"] == "FAMILY G\nSYSTEM UNKNOWN\nPREFIX UNKNOWN\nFILES 0\n\nFIELDS\n\n\nReturn grammar only."
+
+
+def test_logical_readings(spark):
+    from safra.operators import logical
+
+    rows = spark.createDataFrame([(s,) for s in ("DNSP2401", "DNBR99", "MALABR2018", "LAYOUT12", "X1", "DNXX9913", "")], "s string")
+    got = [r.r and tuple(r.r) for r in rows.select(logical.reading(F.col("s")).alias("r")).collect()]
+    assert got == [("DN", "yymm", "SP", 202401, True), ("DN", "yy", "BR", 199900, True), ("MALA", "yyyy", "BR", 201800, True), ("LAYOUT", "yy", None, 201200, False), None, ("DNXX99", "yy", None, 201300, False), None]
+    where = spark.createDataFrame([("/dissemin/publicos/Dados_Abertos/SINAN/Malaria/json/x.json.zip",), ("/dissemin/publicos/SIM/CID10/DOCS/manual.pdf",), ("/other/x",)], "p string")
+    c = [(*r.c, r.k) for r in where.select(logical.context(F.col("p")).alias("c"), logical.asset_kind(F.col("p")).alias("k")).collect()]
+    assert c == [("Dados_Abertos", "SINAN", "Malaria", "data"), ("SIM", "SIM", None, "doc"), (None, None, None, "other")]
 
 
 def test_field_types(spark):
     df = spark.createDataFrame([(i, f"2024-01-{i % 28 + 1:02d}", f"{i},5", "ab"[i % 2], "350010") for i in range(60)], "id long, DTX string, v string, k string, CODMUN string")
     got = {r["name"]: r["primitive_type"] for r in profile.field_profiles(profile.long_form(df, "t", None, "id")).collect()}
-    assert got == {"id": got["id"], "DTX": "date", "v": "numeric", "k": "categorical_text", "CODMUN": "municipality_code"}
+    assert got == {"id": "integer", "DTX": "date", "v": "numeric", "k": "categorical_text", "CODMUN": "municipality_code"}
 
 
 def test_no_row_at_a_time_python_in_built_in_queries(spark):
