@@ -143,8 +143,8 @@ def pack(docs: DataFrame, tokens: Tokens, id_col: str = "doc_id", text_col: str
         held: list[tuple[int | None, np.ndarray]] = []
         size = row = 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = tokens.ids(text)
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = tokens.ids(text.as_py())
                 line = np.empty(len(ids) + 1, "<u2")
                 line[:-1], line[-1] = ids, end
                 held.append((doc, line))
@@ -170,8 +170,16 @@ def write_packed(packed: DataFrame, path: str) -> None:
     packed.write.partitionBy("shard").parquet(path)
 
 
-def unpack(packed: DataFrame, end: int = END) -> DataFrame:
-    """``doc_id, ids`` (binary, little-endian uint16, without the end token) of each text packed; ids must be unique."""
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_packed`` has written, whatever shards there are."""
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
+def unpack(packed: DataFrame) -> DataFrame:
+    """``doc_id, ids`` (binary, little-endian uint16, without the end token) of each text packed.
+
+    Ids must be unique and not null: a text longer than a row is put together again by its id and the offsets of its pieces.
+    """
     segment = F.explode(F.arrays_zip("doc_ids", "doc_offsets", F.slice("cu_seqlens", F.lit(1), F.size("doc_ids")).alias("begin"), F.slice("cu_seqlens", F.lit(2), F.size("doc_ids")).alias("stop")))
     parts = packed.select("ids", segment.alias("s"))
     piece = F.substring(F.col("ids"), F.col("s.begin") * 2 + 1, (F.col("s.stop") - F.col("s.begin")) * 2)

@@ -406,3 +406,16 @@ def test_language_mixture_is_that_of_plain_expectation_maximisation():
             own = total / len(scores)
         assert np.allclose(share[i][allowed], own, atol=1e-6)
     assert np.allclose(share[1], [2 / 3, 1 / 3, 0], atol=1e-3) and np.allclose(share[2], 1 / 3, atol=1e-3)
+
+
+def test_packed_rows_are_written_read_and_unpacked(spark, tmp_path):
+    texts = ["", "ein Satz", "viele Wörter hintereinander " * 300, "x", "öffnen 😀"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    tokens = packing.load_tokens()
+    packing.write_packed(packing.pack(docs, tokens, length=64), str(tmp_path / "packed"))
+    back = packing.read_packed(spark, str(tmp_path / "packed"))
+    got = {r.doc_id: np.frombuffer(r.ids, "<u2").tolist() for r in packing.unpack(back).collect()}
+    assert got == {i: tokens.ids(t).tolist() for i, t in enumerate(texts)}
+    shard = back.where("shard = 0").orderBy("row").select("ids").collect()
+    matrix = np.frombuffer(b"".join(r.ids for r in shard), "<u2").reshape(-1, 64)
+    assert len(matrix) == len(shard)
