@@ -23,12 +23,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import byte_slices, handing_back, read_table, text_sizes
 
 #: Characters with the Unicode property White_Space (fixed values).
 SPACES = "\t-\r \x85\xa0  -     　"
 MEMO = 300_000
-BATCH_CHARS = 1 << 20
+BATCH_BYTES = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -245,18 +245,6 @@ class Codec:
         return b"".join([entries[i] for i in memoryview(ids).cast("I")])
 
 
-def text_batches(texts: list[str], most: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
-    """Runs of consecutive texts of about ``most`` characters."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        if i > start and held + len(t) > most:
-            yield start, i
-            start, held = i, 0
-        held += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def load_codec(path: str | None = None, pattern: str | None = None) -> Codec:
     """From a rank file; by default the multilingual one of the public tokenizers."""
     if path is None or pattern is None:
@@ -267,55 +255,47 @@ def load_codec(path: str | None = None, pattern: str | None = None) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 
-def encode_documents(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids`` (binary, little-endian uint32) for each row; null texts encode to no ids."""
+def _encoded(docs: DataFrame, codec: Codec, id_col: str, text_col: str, out: list[str]) -> DataFrame:
+    """``doc_id, n_tokens`` and of ``ids, ids_sha256, decoded_sha256`` those in ``out``, from one encoding in one worker a task."""
     shared = docs.sparkSession.sparkContext.broadcast(codec)
+    sha = hashlib.sha256
 
+    @handing_back
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        made = {
+            "ids": lambda ids: pa.array(ids, pa.binary()),
+            "ids_sha256": lambda ids: pa.array([sha(x).hexdigest() for x in ids], pa.string()),
+            "decoded_sha256": lambda ids: pa.array([sha(own.decode(x)).hexdigest() for x in ids], pa.string()),
+        }
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in text_batches(texts):
-                ids = own.encode(texts[a:b])
-                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            keys, texts = batch.column(0), batch.column(1)
+            for a, b in byte_slices(text_sizes(texts), BATCH_BYTES):
+                ids = own.encode(texts.slice(a, b - a).to_pylist())
+                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), pa.array([len(x) // 4 for x in ids], pa.int64()), *[made[c](ids) for c in out]], ["doc_id", "n_tokens", *out])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
+    types = {"ids": "binary", "ids_sha256": "string", "decoded_sha256": "string"}
+    return rows.mapInArrow(encode, ", ".join(["doc_id long", "n_tokens long", *[f"{c} {types[c]}" for c in out]]))
+
+
+def encode_documents(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids`` (binary, little-endian uint32) for each row; null texts encode to no ids."""
+    return _encoded(docs, codec, id_col, text_col, ["ids"])
 
 
 def round_trip(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encodes each text, decodes the ids, digests both.
 
     One row per row, repeated rows included. A null or empty text has no tokens. Every
-    text is encoded whole, in one worker, whatever its length.
+    text is encoded whole, in one worker, whatever its length. An empty table gives no rows; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(codec)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sha = shared.value, hashlib.sha256
-        for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in text_batches(texts):
-                ids = own.encode(texts[a:b])
-                columns = [[len(x) // 4 for x in ids], [sha(x).hexdigest() for x in ids], [sha(own.decode(x)).hexdigest() for x in ids]]
-                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), *map(pa.array, columns, (pa.int64(), pa.string(), pa.string()))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _encoded(docs, codec, id_col, text_col, ["ids_sha256", "decoded_sha256"])
 
 
 def encoded(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``encode_documents`` with the digests of ``round_trip`` beside the ids, from one encoding."""
-    shared = docs.sparkSession.sparkContext.broadcast(codec)
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sha = shared.value, hashlib.sha256
-        for batch in batches:
-            ids = batch.column(2).to_pylist()
-            made = [pa.array([sha(x).hexdigest() for x in ids], pa.string()), pa.array([sha(own.decode(x)).hexdigest() for x in ids], pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
-
-    return encode_documents(docs, codec, id_col, text_col).mapInArrow(decode, "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string")
+    return _encoded(docs, codec, id_col, text_col, ["ids", "ids_sha256", "decoded_sha256"])
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
