@@ -24,11 +24,13 @@ def inventory(files: DataFrame) -> DataFrame:
     kept = files.where(~p.is_excluded(path))
     if "entry_type" in files.columns:
         kept = kept.where(F.coalesce("entry_type", F.lit("")) != "dir")
-    named = kept.select("path", p.directory(path).alias("directory"), p.file_name(path).alias("filename"), p.name_grammar(p.stem(path)).alias("g"))
-    return named.select(
-        "path", "directory", "filename", p.extension_chain(path).alias("extension"), p.primary_extension(path).alias("primary_extension"), p.format_family(path).alias("format_family"),
-        p.system_guess(F.col("directory")).alias("system_guess"), p.path_type(path).alias("path_type"), "g.pattern_name", "g.series_prefix", "g.geo_code", "g.date_code",
+    told = F.struct(
+        p.directory(path).alias("directory"), p.file_name(path).alias("filename"), p.extension_chain(path).alias("extension"), p.primary_extension(path).alias("primary_extension"), p.format_family(path).alias("format_family"),
+        p.system_guess(p.directory(path)).alias("system_guess"), p.path_type(path).alias("path_type"), p.name_grammar(p.stem(path)).alias("g"),
     )
+    # A row for a row: what follows reads the fields instead of repeating their expressions.
+    named = kept.select("path", F.explode(F.array(told)).alias("t"))
+    return named.select("path", "t.directory", "t.filename", "t.extension", "t.primary_extension", "t.format_family", "t.system_guess", "t.path_type", "t.g.pattern_name", "t.g.series_prefix", "t.g.geo_code", "t.g.date_code")
 
 
 def with_discard_reason(files: DataFrame) -> DataFrame:

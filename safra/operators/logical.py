@@ -26,9 +26,8 @@ KIND_SCORE = {"yymm": 50, "yyyy": 35, "yy": 25}
 QUALITY = {"[Primary]": 0, "[Legacy]": 1, "[Staging]": 2, "[Test]": 3}
 
 
-def context(path: Column) -> Column:
-    """Struct ``distribution_root, system, subsystem``: what follows ``publicos`` in a path, and the last directory that names no format, stage or date."""
-    parts = p.components(p.directory(path))
+def context(parts: Column) -> Column:
+    """Struct ``distribution_root, system, subsystem`` of a path's directories: what follows ``publicos``, and the last one that names no format, stage or date."""
     at = F.array_position(parts, F.lit("publicos")).cast("int")
     tail = F.when(at > 0, F.slice(parts, at + 1, F.greatest(F.size(parts) - at, F.lit(0))))
     root = F.try_element_at(tail, F.lit(1))
@@ -38,9 +37,9 @@ def context(path: Column) -> Column:
     return F.struct(root.alias("distribution_root"), F.when(open_data, F.try_element_at(tail, F.lit(2))).otherwise(root).alias("system"), F.try_element_at(telling, F.lit(-1)).alias("subsystem"))
 
 
-def asset_kind(path: Column) -> Column:
-    """``data, doc, aux`` or ``other`` by extension, directories and words of the file name."""
-    ext, parts, name = F.coalesce(p.primary_extension(path), F.lit("")), F.transform(p.components(path), F.upper), F.lower(p.file_name(path))
+def asset_kind(extension: Column, parts: Column, name: Column) -> Column:
+    """``data, doc, aux`` or ``other`` by primary extension, upper-case components of the path, and words of the lower-case file name."""
+    ext = F.coalesce(extension, F.lit(""))
     among = lambda words: F.arrays_overlap(parts, F.array(*[F.lit(w) for w in words]))
     doc, aux, data, told = among(DOC_DIRS), among(AUX_DIRS), among(DATA_DIRS + FORMAT_DIRS), name.rlike("|".join(DOC_WORDS))
     wrapped = ext.isin(p.WRAPPERS)
@@ -50,8 +49,8 @@ def asset_kind(path: Column) -> Column:
     )
 
 
-def path_semantic(path: Column) -> Column:
-    parts = F.transform(p.components(path), F.upper)
+def path_semantic(parts: Column) -> Column:
+    """By upper-case components of a path."""
     among = lambda *words: F.arrays_overlap(parts, F.array(*[F.lit(w) for w in words]))
     return F.when(among("TESTE", "TESTES"), "[Test]").when(among("PRELIM", "PRELIMINAR", "HOMOLOG", "HOMOLOGACAO"), "[Staging]").otherwise("[Primary]")
 
@@ -69,7 +68,7 @@ def period(token: Column, kind: str) -> Column:
 
 
 def reading(stem: Column) -> Column:
-    """Best of all ways to read a name: struct ``prefix, date_kind, geo_code, period, uses_geo``; null if there is none."""
+    """Best of all ways to read a name: struct ``cost, prefix, date_kind, geo_code, period, uses_geo``; null if there is none."""
     upper, options = F.upper(stem), []
     for kind in KINDS:
         digits = 2 if kind == "yy" else 4
@@ -82,15 +81,22 @@ def reading(stem: Column) -> Column:
             fits = token.isNotNull() & value.isNotNull() & (F.length(prefix) >= 2) & ((F.length(rest) >= 4) & geo.isin([*p.UF, "BR"]) if located else F.lit(True))
             score = KIND_SCORE[kind] + (30 if located else 10) + F.when(F.length(prefix) <= 8, 15).otherwise(0) + F.when(prefix.rlike(r"^\p{L}+$"), 10).otherwise(0)
             options.append(F.when(fits, F.struct((-score).alias("cost"), prefix.alias("prefix"), F.lit(kind).alias("date_kind"), F.when(F.lit(located), geo).alias("geo_code"), value.alias("period"), F.lit(located).alias("uses_geo"))))
-    best = F.array_min(F.array_compact(F.array(*options)))
-    return F.when(best.isNotNull(), F.struct(*[best[c].alias(c) for c in ("prefix", "date_kind", "geo_code", "period", "uses_geo")]))
+    return F.array_min(F.array_compact(F.array(*options)))
 
 
 def inventory(files: DataFrame) -> DataFrame:
-    """One row per file of ``path`` with all that its path and name tell."""
-    path = F.col("path")
-    told = files.select("path", p.directory(path).alias("directory"), p.primary_extension(path).alias("primary_extension"), p.format_family(path).alias("format_family"), asset_kind(path).alias("asset_kind"), context(path).alias("c"), path_semantic(path).alias("path_semantic"), reading(p.stem(path)).alias("r"))
-    return told.select("path", "directory", "primary_extension", "format_family", "asset_kind", "c.*", "path_semantic", "r.*")
+    """One row per file of ``path`` with all that its path and name tell.
+
+    What a name tells goes through ``explode``, a row for a row: projections on both sides of it stay apart, so the
+    long expression is evaluated once a row and not once for each of its fields.
+    """
+    path, c = F.col("path"), F.col
+    cut_ = files.select("path", p.directory(path).alias("directory"), p.components(path).alias("_parts"), F.lower(p.file_name(path)).alias("_name"), F.upper(p.stem(path)).alias("_stem"), p.primary_extension(path).alias("primary_extension"), p.format_family(path).alias("format_family"))
+    cut_ = cut_.withColumns({"_upper": F.transform("_parts", F.upper), "_dirs": F.slice("_parts", F.lit(1), F.size("_parts") - 1)})
+    both = F.struct(context(c("_dirs")).alias("c"), reading(c("_stem")).alias("r"))
+    told = cut_.withColumn("_told", F.explode(F.array(both)))
+    told = told.select("path", "directory", "primary_extension", "format_family", asset_kind(c("primary_extension"), c("_upper"), c("_name")).alias("asset_kind"), c("_told.c").alias("c"), path_semantic(c("_upper")).alias("path_semantic"), c("_told.r").alias("r"))
+    return told.select("path", "directory", "primary_extension", "format_family", "asset_kind", "c.*", "path_semantic", *[c("r")[k].alias(k) for k in ("prefix", "date_kind", "geo_code", "period", "uses_geo")])
 
 
 def coalesce_prefixes(rows: DataFrame) -> DataFrame:

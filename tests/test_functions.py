@@ -212,10 +212,10 @@ def test_logical_readings(spark):
     from safra.operators import logical
 
     rows = spark.createDataFrame([(s,) for s in ("DNSP2401", "DNBR99", "MALABR2018", "LAYOUT12", "X1", "DNXX9913", "")], "s string")
-    got = [r.r and tuple(r.r) for r in rows.select(logical.reading(F.col("s")).alias("r")).collect()]
+    got = [r.r and tuple(r.r)[1:] for r in rows.select(logical.reading(F.col("s")).alias("r")).collect()]
     assert got == [("DN", "yymm", "SP", 202401, True), ("DN", "yy", "BR", 199900, True), ("MALA", "yyyy", "BR", 201800, True), ("LAYOUT", "yy", None, 201200, False), None, ("DNXX99", "yy", None, 201300, False), None]
     where = spark.createDataFrame([("/dissemin/publicos/Dados_Abertos/SINAN/Malaria/json/x.json.zip",), ("/dissemin/publicos/SIM/CID10/DOCS/manual.pdf",), ("/other/x",)], "p string")
-    c = [(*r.c, r.k) for r in where.select(logical.context(F.col("p")).alias("c"), logical.asset_kind(F.col("p")).alias("k")).collect()]
+    c = [(r.distribution_root, r.system, r.subsystem, r.asset_kind) for r in logical.inventory(where.withColumnRenamed("p", "path")).collect()]
     assert c == [("Dados_Abertos", "SINAN", "Malaria", "data"), ("SIM", "SIM", None, "doc"), (None, None, None, "other")]
 
 
