@@ -4,7 +4,7 @@ Every word has a path of ``levels`` digits below ``BRANCH`` in a tree of classes
 P(word | history) is the product, over the path, of P(digit | digits so far, history), each a
 softmax over the sum of hashed feature rows of the history: the previous word, the
 previous two, and two skips (the word before the previous one, and the one before
-that), each crossed with the digits so far. Twelve sixteenths of the leaves hold one frequent
+that), each crossed with the digits so far; deeper levels do without the skips. Twelve sixteenths of the leaves hold one frequent
 word each; each other leaf holds the words of some endings, weighted by their
 smoothed counts. The depth of the tree grows with the number of distinct words, so a leaf
 holds about as many words at any size; the feature rows are hashed into tables of fixed size.
@@ -44,6 +44,7 @@ OWN = 12
 ENDING = 3
 #: The tree deepens until a leaf stands for as many distinct words at most.
 LEAF_WORDS = 256
+#: Features of the first level: the previous word, the previous two, two skips; each level below does without the last one, down to two.
 FEATURES = 4
 #: Rows of each table of weights: one table a level and feature.
 ROWS = 1 << 14
@@ -85,6 +86,15 @@ def _counted(held: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "n"])
 
 
+def features_at(level: int) -> int:
+    return max(2, FEATURES - level)
+
+
+def table_of(level: int, feature: int) -> int:
+    """Number of a level's and feature's table of weights; of feature 0 of the level below the last, how many there are."""
+    return sum(features_at(k) for k in range(level)) + feature
+
+
 def levels_for(distinct: int) -> int:
     """Depth of the class tree for so many distinct words: 3 at least."""
     levels = 3
@@ -170,29 +180,22 @@ def _rows(history: np.ndarray, node: np.ndarray) -> np.ndarray:
     return (m >> np.uint32(32 - int(ROWS).bit_length() + 1)).astype(np.uint16)
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    """Over the first axis, in place."""
-    z -= z.max(0)
-    z -= np.log(np.exp(z).sum(0))
-    return z
-
-
 class Model:
     """One table of weights a level and feature, ROWS x BRANCH each; ``ROWS`` is 65,536 at most."""
 
     def __init__(self, levels: int, weights: np.ndarray | None = None):
         self.levels = levels
-        self.weights = np.zeros((levels * FEATURES, ROWS, BRANCH), np.float32) if weights is None else weights
+        self.weights = np.zeros((table_of(levels, 0), ROWS, BRANCH), np.float32) if weights is None else weights
 
     def _level(self, vocabulary: Vocabulary, level: int, histories: list[np.ndarray], leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Log probabilities of the digits (BRANCH x tokens), the digits that came, the rows used."""
+        """Logits of the digits (BRANCH x tokens), the digits that came, the rows used."""
         below = BRANCH ** (self.levels - level - 1)
         node, digit = leaf // (below * BRANCH), leaf // below % BRANCH
-        rows = [_rows(h, node) for h in histories]
+        rows = [_rows(h, node) for h in histories[: features_at(level)]]
         z = vocabulary.bias[level].take(node, axis=0)
         for f, own in enumerate(rows):
-            z += self.weights[level * FEATURES + f].take(own, axis=0)
-        return _log_softmax(np.ascontiguousarray(z.T)), digit, rows
+            z += self.weights[table_of(level, f)].take(own, axis=0)
+        return np.ascontiguousarray(z.T), digit, rows
 
     def log10(self, vocabulary: Vocabulary, key: np.ndarray, leaf: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 P of every token, without the smoothed count of a word of a shared leaf."""
@@ -203,7 +206,10 @@ class Model:
             own = [h[part] for h in histories]
             for level in range(self.levels):
                 z, digit, _ = self._level(vocabulary, level, own, leaf[part])
-                out[part] += z[digit, np.arange(len(digit))]
+                top = z.max(0)
+                out[part] += z[digit, np.arange(len(digit))] - top
+                z -= top
+                out[part] -= np.log(np.exp(z, out=z).sum(0))
         out /= math.log(10)
         shared = leaf >= vocabulary.first_shared
         out[shared] -= vocabulary.log_shared[leaf[shared] - vocabulary.first_shared]
@@ -217,10 +223,11 @@ class Model:
             own = [h[part] for h in histories]
             for level in range(self.levels):
                 z, digit, rows = self._level(vocabulary, level, own, leaf[part])
-                g = np.exp(z)
+                g = np.exp(z - z.max(0))
+                g /= g.sum(0)
                 g[digit, np.arange(len(digit))] -= 1
                 for f, row in enumerate(rows):
-                    t, at = level * FEATURES + f, row.astype(np.intp)
+                    t, at = table_of(level, f), row.astype(np.intp)
                     for b in range(BRANCH):
                         total[b] = np.bincount(at, g[b], ROWS)
                     seen[t] += np.bincount(at, minlength=ROWS)

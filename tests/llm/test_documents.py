@@ -356,7 +356,7 @@ def test_lm_is_a_distribution():
         words[c] += n
         types[c] += 1
     vocabulary = lm_scoring.Vocabulary(list(own), counts[:40], 3, words, types)
-    model = lm_scoring.Model(3, rng.standard_normal((3 * lm_scoring.FEATURES, lm_scoring.ROWS, lm_scoring.BRANCH)).astype(np.float32) * 0.3)
+    model = lm_scoring.Model(3, rng.standard_normal((lm_scoring.table_of(3, 0), lm_scoring.ROWS, lm_scoring.BRANCH)).astype(np.float32) * 0.3)
 
     def last(leaf):
         key = np.array([crc32(b"a"), crc32(b"b"), 7], np.uint32)
