@@ -73,9 +73,9 @@ def _months(spark, d):
 
 
 def family_clusters(spark, d):
-    """A nation's orders chain into spells of a segment: three months each, longer while they overlap or touch."""
+    """A nation's orders of a segment chain into spells: one to three months each, longer while they overlap or touch."""
     rows = _activity(spark, d).withColumn("lo", t.ordinal(F.col("period"), F.col("date_format")))
-    spans = rows.where("o_orderpriority = '1-URGENT'").select("c_mktsegment", "c_nationkey", F.col("o_orderkey").alias("node"), "lo", (F.col("lo") + F.col("o_orderkey") % 3).alias("hi"))
+    spans = rows.select("c_mktsegment", "c_nationkey", F.col("o_orderkey").alias("node"), "lo", (F.col("lo") + F.col("o_orderkey") % 3).alias("hi"))
     return c.interval_clusters(spans, ["c_mktsegment", "c_nationkey"], "node")
 
 
@@ -293,7 +293,7 @@ SQL = {
     "candidate_docs": """WITH s AS (SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS family_id, url, regexp_extract(url, '([^/]*)/*$', 1) AS filename, CAST(length(html) % 50 AS DOUBLE) AS score FROM pages WHERE url <> ''),
         o AS (SELECT *, row_number() OVER (PARTITION BY family_id, url ORDER BY score DESC, url DESC) AS k FROM s), r AS (SELECT *, row_number() OVER (PARTITION BY family_id ORDER BY score DESC, url DESC) AS selection_rank FROM o WHERE k = 1)
         SELECT family_id, url, filename, score, CAST(selection_rank AS INTEGER) AS selection_rank FROM r WHERE selection_rank <= 3""",
-    "family_clusters": """WITH s AS (SELECT c_mktsegment AS g, c_nationkey AS h, o_orderkey AS node, year(o_orderdate) * 12 + month(o_orderdate) AS lo, year(o_orderdate) * 12 + month(o_orderdate) + o_orderkey % 3 AS hi FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT'),
+    "family_clusters": """WITH s AS (SELECT c_mktsegment AS g, c_nationkey AS h, o_orderkey AS node, year(o_orderdate) * 12 + month(o_orderdate) AS lo, year(o_orderdate) * 12 + month(o_orderdate) + o_orderkey % 3 AS hi FROM orders JOIN customer ON o_custkey = c_custkey),
         r AS (SELECT *, max(hi) OVER (PARTITION BY g, h ORDER BY lo, hi, node ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s), k AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY g, h ORDER BY lo, hi, node) AS chain FROM r)
         SELECT node, min(node) OVER (PARTITION BY g, h, chain) AS component FROM k""",
     "family_rank_ids": """WITH r AS (SELECT c_mktsegment AS g, c_nationkey, CAST(min(year(o_orderdate) * 100 + month(o_orderdate)) AS BIGINT) AS time_min, count(*) AS file_count FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)

@@ -12,7 +12,7 @@ from ..operators import profile as p
 from ..operators.graph import cut
 from .common import MANIFEST_SQL, UF_LIST, manifest, table
 from .corpus import _PERIOD, _PRIMARY, _SHOW
-from .profile import _FACTS, _cells
+from .profile import _FACTS, _SIG, _cells
 
 
 def _files(spark, d):
@@ -142,7 +142,6 @@ _LOGICAL = f"""WITH {MANIFEST_SQL}, i AS (SELECT '/dissemin/publicos' || substr(
       CASE geo WHEN 'SP' THEN prefix || 'XX' ELSE prefix END AS prefix, {_KIND} AS kind, nullif(geo, 'SP') AS geo, {_PERIOD} AS period, {_PRIMARY} AS pe FROM manifest),
     known AS (SELECT DISTINCT sys, own FROM i WHERE geo IS NOT NULL), d AS (SELECT i.*, coalesce(k.own, i.prefix) AS pre FROM i LEFT JOIN known k ON k.sys = i.sys AND k.own = i.own)"""
 _FORMAT = "substr(pe, 2)"
-_VALUES = "CAST({0} AS VARCHAR)"
 SQL = {
     "logical_inventory": f"{_LOGICAL} SELECT path, 'data' AS asset_kind, sys AS distribution_root, sys AS system, CAST(NULL AS VARCHAR) AS subsystem, CASE stage WHEN 'PRELIM' THEN '[Staging]' ELSE '[Primary]' END AS path_semantic, prefix, kind AS date_kind, geo AS geo_code, CAST(period AS BIGINT) AS period, geo IS NOT NULL AS uses_geo FROM i",
     "logical_families": f"""{_LOGICAL}, pp AS (SELECT sys, pre, kind, period, count(*) AS files, len(list_intersect(list(DISTINCT geo), {UF_LIST})) AS states, bool_or(geo IS NOT NULL) AS used FROM d GROUP BY 1, 2, 3, 4),
@@ -184,6 +183,7 @@ SQL = {
     "table_overview": f"WITH {_FACTS} SELECT path, count(*) AS fields, max(non_null + nulls) AS rows, round(sum(nulls) / sum(non_null + nulls), 9) AS missing_share FROM facts GROUP BY 1",
     "vector_cosines": """SELECT x.vec_id AS a, y.vec_id AS b, round(list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])), 6) AS cosine FROM embeddings x JOIN embeddings y ON y.vec_id = x.vec_id + 1""",
     "value_frequencies": "SELECT p_type, p_brand, n, CAST(r AS INTEGER) AS rank FROM (SELECT p_type, p_brand, count(*) AS n, row_number() OVER (PARTITION BY p_type ORDER BY count(*) DESC, p_brand) AS r FROM part GROUP BY 1, 2) WHERE r <= 5",
+    "family_schemas": f"""WITH m(path, family_id) AS (VALUES ('part', 'A'), ('part', 'B'), ('customer', 'A'), ('supplier', 'B')), s(path, names, n) AS (VALUES {_SIG})
+        SELECT family_id, string_agg(left(sha1(names), 16), ',' ORDER BY left(sha1(names), 16)) AS schema_signatures FROM m JOIN s USING (path) GROUP BY 1""",
     "series_by_system": f"{_LOGICAL} SELECT sys AS system, string_agg(DISTINCT prefix, ',' ORDER BY prefix) AS series, count(DISTINCT prefix) AS n_series FROM i GROUP BY 1",
 }
-del _VALUES
