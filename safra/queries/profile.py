@@ -33,10 +33,10 @@ def schema_signature(spark, d):
 
 
 def _sets(spark, d):
-    """What an order holds: brand, quantity class and flag of each of its lines."""
+    """What an order holds: brand and supplier of each of its lines, so the items grow in number with the orders."""
     part = table(spark, d, "part").select("p_partkey", "p_brand")
-    line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
-    item = F.concat_ws("|", "p_brand", "l_returnflag", F.floor(F.col("l_quantity") / 10).cast("string")).alias("item")
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    item = F.concat_ws("|", "p_brand", F.col("l_suppkey").cast("string")).alias("item")
     return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", item).distinct()
 
 
@@ -97,7 +97,7 @@ _FACTS = f"""{_CELLS}, ranked AS (SELECT path, name, v, n, row_number() OVER (PA
       bool_and(try_cast(v AS DOUBLE) IS NOT NULL) FILTER (WHERE k <= 50) AS floats FROM cells GROUP BY 1, 2),
     typed AS (SELECT *, CASE WHEN digits THEN CASE WHEN len100 <= 2 AND d50 <= 20 THEN 'categorical_code' ELSE 'integer' END WHEN dates THEN 'date' WHEN floats THEN 'numeric' WHEN d100 <= 20 THEN 'categorical_text' ELSE 'text' END AS primitive_type FROM facts)"""
 _SIG = ", ".join(f"('{t}', '{'|'.join(sorted(cs))}', {len(cs)})" for t, cs in _COLUMNS.items())
-_SUP = """e AS (SELECT DISTINCT l_orderkey AS i, p_brand || '|' || l_returnflag || '|' || CAST(CAST(floor(l_quantity / 10) AS BIGINT) AS VARCHAR) AS v FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT i, count(*) AS n FROM e GROUP BY 1),
+_SUP = """e AS (SELECT DISTINCT l_orderkey AS i, p_brand || '|' || CAST(l_suppkey AS VARCHAR) AS v FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT i, count(*) AS n FROM e GROUP BY 1),
     s AS (SELECT l.i AS a, r.i AS b, count(*) AS shared FROM e l JOIN e r ON l.v = r.v AND l.i < r.i GROUP BY 1, 2), j AS (SELECT a, b, shared, CAST(shared AS DOUBLE) / (x.n + y.n - shared) AS similarity FROM s JOIN n x ON x.i = a JOIN n y ON y.i = b)"""
 SQL = {
     "field_profile": f"WITH {_FACTS} SELECT path, name, primitive_type, non_null, nulls, distinct_seen, samples FROM typed JOIN tops USING (path, name)",
