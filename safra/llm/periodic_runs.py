@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binary_text, byte_slices, handing_back, materialize, read_table, text_sizes
@@ -201,11 +201,10 @@ def with_planted_runs(docs: DataFrame) -> DataFrame:
     drawn = drawn.withColumn("words", words).withColumn("n", F.size("words"))
     drawn = drawn.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
     drawn = drawn.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
-
-    def word(w: Column, i: Column) -> Column:
-        return F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
-
-    return drawn.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.transform("words", word), " ")).otherwise(F.col("text")).alias("text"))
+    # Slices and repeats, no element by element: an expression that is put in place of a column is evaluated a few times a row at most.
+    tail = F.expr("slice(flatten(array_repeat(slice(words, int(a + 1), int(p)), int((n - a) div p + 1))), 1, int(n - a))")
+    made = F.concat(F.expr("slice(words, 1, int(a))"), tail)
+    return drawn.select("doc_id", F.when(F.col("n") > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
