@@ -12,6 +12,7 @@ AUXILIARY = ["TABELAS", "DOCS", "DOCUMENTOS", "TABWIN", "DOC", "AUXILIAR", "AUXI
 EXCLUDED = "/IBGE/"
 STAGING = ["PRELIM", "HOMOL"]
 REFERENCE_WORDS = ["manual", "dicionario", "leia-me", "layout", "estrutura", "dic_dados", "instrucoes"]
+REFERENCE_DIRS = ["DOC", "TAB"]
 UF = ["AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA", "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO"]
 DATE_GRAMMARS = [("PREFIX_GEO_YYMM", r"\d{4}"), ("PREFIX_GEO_YY", r"\d{2}"), ("PREFIX_GEO_DATE", r"\d{2,8}")]
 EXTENSION_RANK = {".json": 0, ".parquet": 1, ".xml": 2, ".csv": 3, ".dbf": 4, ".dbc": 5}
@@ -136,7 +137,8 @@ def extension_rank(ext: Column) -> Column:
 
 
 def is_reference_pdf(name: Column, dir_path: Column) -> Column:
-    return F.lower(name).rlike("|".join(REFERENCE_WORDS)) | F.exists(components(F.upper(dir_path)), lambda p: p.isin("DOC", "TAB"))
+    """By a word in the file name, or a directory whose name begins with one of ``REFERENCE_DIRS``."""
+    return F.lower(name).rlike("|".join(REFERENCE_WORDS)) | F.upper(dir_path).rlike("/(" + "|".join(REFERENCE_DIRS) + ")")
 
 
 def tree_distance(a: Column, b: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as p
 from ..functions import periods as t
 from .graph import cut
+from .intervals import interval_clusters
 
 MIN_FILES = 5
 MIN_UFS = 20
@@ -77,7 +78,9 @@ def dated(files: DataFrame, keys: list[str]) -> DataFrame:
 
 def series_catalog(files: DataFrame) -> DataFrame:
     """Series by prefix over directories of five pattern files or more; unknown partitions drop out."""
-    crowded = files.where("pattern_name is not null").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("directory"))).where(F.col("n") >= MIN_FILES).drop("n")
+    readable = files.where("pattern_name is not null")
+    busy = readable.groupBy(F.col("directory").alias("_busy")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_FILES)
+    crowded = readable.join(busy, readable["directory"] == busy["_busy"], "left_semi")
     rows = dated(crowded, ["series_prefix"])
     by_dir = rows.groupBy("series_prefix", "directory").agg(F.max("period").alias("own"), F.count(F.lit(1)).alias("files"), F.first("date_format").alias("date_format"))
     overall = Window.partitionBy("series_prefix")
@@ -121,20 +124,6 @@ def compatible_groups(groups: DataFrame) -> DataFrame:
     return l.join(r, cond).select(c("l.group_id").alias("a"), c("r.group_id").alias("b"))
 
 
-def interval_clusters(rows: DataFrame, keys: list[str], name: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """``name, component``: rows of equal keys whose intervals of whole numbers chain by overlapping or touching; the component is its smallest name.
-
-    Along the lower ends a new chain begins where no earlier interval reaches, so one ordered pass finds what the
-    closure of all compatible pairs would. A row without an interval stands alone.
-    """
-    real = F.when(F.col(lo).isNotNull() & F.col(hi).isNotNull(), True)
-    own = Window.partitionBy(*keys, "_real").orderBy(lo, hi, name)
-    reach = F.max(hi).over(own.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.col("_real").isNull() | reach.isNull() | (F.col(lo) > reach + 1)
-    marked = rows.withColumn("_real", real).withColumn("_chain", F.sum(begins.cast("int")).over(own))
-    return marked.select(name, F.min(name).over(Window.partitionBy(*keys, "_real", "_chain")).alias("component"))
-
-
 def families(files: DataFrame) -> DataFrame:
     """Dataset families: clusters of compatible groups with five files or more, ranked within their prefix.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles
+
 
 def representations(value: Column, offset: float = 0.0) -> dict[str, Column]:
     """A number as it is, its logarithm, logit, square root and sign with logarithm; null where one is not defined."""
@@ -17,22 +19,16 @@ def representations(value: Column, offset: float = 0.0) -> dict[str, Column]:
 
 def templates(rows: DataFrame, keys: list[str], value: str, bins: int = 4) -> DataFrame:
     """Mean, variance, and the shares of a group's values in the quantile bins of all values: ``n, mean, variance, bin_1 ...``."""
-    edges = rows.agg(F.percentile(value, F.array(*[F.lit(k / bins) for k in range(1, bins)])).alias("_edges"))
+    edges = quantiles(rows, [], F.col(value), [k / bins for k in range(1, bins)]).select(F.col("quantiles").alias("_edges"))
     placed = rows.where(F.col(value).isNotNull()).crossJoin(F.broadcast(edges)).withColumn("_bin", F.aggregate("_edges", F.lit(1), lambda n, e: n + (F.col(value) > e).cast("int")))
     shares = [F.avg((F.col("_bin") == k).cast("int")).alias(f"bin_{k}") for k in range(1, bins + 1)]
     return placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("variance"), *shares)
 
 
 def lagged(rows: DataFrame, keys: list[str], ordinal: str, value: str, lags: list[int]) -> DataFrame:
-    """Adds ``lag_k``: the value of exactly ``k`` periods before, null where that period is missing."""
-    out = rows
-    for k in lags:
-        past = rows.select(*[F.col(c).alias(f"_{c}") for c in keys], (F.col(ordinal) + k).alias("_at"), F.col(value).alias(f"lag_{k}"))
-        on = out[ordinal] == past["_at"]
-        for c in keys:
-            on = on & out[c].eqNullSafe(past[f"_{c}"])
-        out = out.join(past, on, "left").drop("_at", *[f"_{c}" for c in keys])
-    return out
+    """Adds ``lag_k``: the value of exactly ``k`` periods before, null where that period is missing; one ordering of each key for all lags."""
+    own = Window.partitionBy(*keys).orderBy(ordinal)
+    return rows.withColumns({f"lag_{k}": F.first(value).over(own.rangeBetween(-k, -k)) for k in lags})
 
 
 def latest(files: DataFrame, keys: list[str], order: list[Column], most: int = 3) -> DataFrame:

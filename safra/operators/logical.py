@@ -23,6 +23,8 @@ DOC_WORDS = ["dicionario", "dic_dados", "layout", "manual", "instrucao", "instru
 FIRST_YEAR, LAST_YEAR = 1970, 2035
 KINDS = ["yymm", "yyyy", "yy"]
 KIND_SCORE = {"yymm": 50, "yyyy": 35, "yy": 25}
+COMPLETE, BROAD, PARTIAL = 27, 20, 5  # states of a panel
+TORN, FEW_DEFECTS, NEARLY_ALL, FEW_GAPS = 10, 6, 24, 6
 QUALITY = {"[Primary]": 0, "[Legacy]": 1, "[Staging]": 2, "[Test]": 3}
 
 
@@ -49,6 +51,14 @@ def asset_kind(extension: Column, parts: Column, name: Column) -> Column:
     )
 
 
+def format_family(extension: Column) -> Column:
+    """By the primary extension alone."""
+    return (
+        F.when(extension.isin(".dbf", ".dbc"), "dbase").when(extension.isin(".json", ".xml", ".csv", ".parquet", ".pdf"), F.substring(extension, 2, 10))
+        .when(extension.isin(p.WRAPPERS), "archive").otherwise("unknown")
+    )
+
+
 def path_semantic(parts: Column) -> Column:
     """By upper-case components of a path."""
     among = lambda *words: F.arrays_overlap(parts, F.array(*[F.lit(w) for w in words]))
@@ -91,7 +101,8 @@ def inventory(files: DataFrame) -> DataFrame:
     long expression is evaluated once a row and not once for each of its fields.
     """
     path, c = F.col("path"), F.col
-    cut_ = files.select("path", p.directory(path).alias("directory"), p.components(path).alias("_parts"), F.lower(p.file_name(path)).alias("_name"), F.upper(p.stem(path)).alias("_stem"), p.primary_extension(path).alias("primary_extension"), p.format_family(path).alias("format_family"))
+    cut_ = files.select("path", p.directory(path).alias("directory"), p.components(path).alias("_parts"), F.lower(p.file_name(path)).alias("_name"), F.upper(p.stem(path)).alias("_stem"), p.primary_extension(path).alias("primary_extension"))
+    cut_ = cut_.withColumn("format_family", format_family(c("primary_extension")))
     cut_ = cut_.withColumns({"_upper": F.transform("_parts", F.upper), "_dirs": F.slice("_parts", F.lit(1), F.size("_parts") - 1)})
     both = F.struct(context(c("_dirs")).alias("c"), reading(c("_stem")).alias("r"))
     told = cut_.withColumn("_told", F.explode(F.array(both)))
@@ -99,6 +110,11 @@ def inventory(files: DataFrame) -> DataFrame:
     return told.select("path", "directory", "primary_extension", "format_family", "asset_kind", "c.*", "path_semantic", *[c("r")[k].alias(k) for k in ("prefix", "date_kind", "geo_code", "period", "uses_geo")])
 
 
+def data_files(rows: DataFrame) -> DataFrame:
+    """The files of an inventory that hold data and have a name that can be read."""
+    return rows.where("asset_kind = 'data' and prefix is not null")
+
+
 def coalesce_prefixes(rows: DataFrame) -> DataFrame:
     """A prefix without a place whose beginning, but for two letters, is a prefix with places of the same system and date kind takes that name."""
     known = rows.where("uses_geo").select(F.col("system").alias("_system"), F.col("date_kind").alias("_kind"), F.col("prefix").alias("_short")).distinct()
@@ -127,7 +143,7 @@ def partition(places: Column, uses_geo: Column, implicit: Column) -> Column:
 
 def coverage_status(places: Column, kind: Column) -> Column:
     n = F.size(F.array_intersect(places, F.array(*[F.lit(u) for u in p.UF])))
-    states = F.when(n >= 27, "complete_state_panel").when(n >= 20, "broad_state_panel").when(n >= 5, "partial_state_panel").otherwise("sparse_state_panel")
+    states = F.when(n >= COMPLETE, "complete_state_panel").when(n >= BROAD, "broad_state_panel").when(n >= PARTIAL, "partial_state_panel").otherwise("sparse_state_panel")
     return (
         F.when(kind == "State-Partitioned", states).when(kind == "Nation-Wide", "nationwide").when(kind == "Mixed-Partition", F.concat(F.lit("mixed_br_plus_"), n.cast("string"), F.lit("_ufs")))
         .when(kind == "Geo-Less", "geo_less").otherwise("unresolved")
@@ -145,11 +161,11 @@ FAMILY = ["system", "prefix"]
 
 
 def families(rows: DataFrame) -> DataFrame:
-    """Logical families of an ``inventory``: one per system and prefix, ``system:prefix``, with partition, coverage and gaps.
+    """Logical families of the data files of an ``inventory``: one per system and prefix, ``system:prefix``, with partition, coverage and gaps.
 
     A state-partitioned family misses periods, or places within a period (``partial_panels``); any other one misses periods.
     """
-    data = coalesce_prefixes(rows.where("prefix is not null and system is not null"))
+    data = coalesce_prefixes(data_files(rows).where("system is not null"))
     main = main_kind(data, FAMILY)
     per_period = main.groupBy(*FAMILY, "period").agg(F.count(F.lit(1)).alias("files"), F.collect_set("geo_code").alias("geo"), F.max("uses_geo").alias("geo_used"))
     states = F.array(*[F.lit(u) for u in p.UF])
@@ -182,13 +198,13 @@ def graded_audit(families_: DataFrame, docs: DataFrame) -> DataFrame:
     c = F.col
     panel, nation = c("partition_type") == "State-Partitioned", c("partition_type") == "Nation-Wide"
     issue = lambda when, code, severity: F.when(when, F.struct(code.alias("code"), severity.alias("severity")))
-    torn = c("coverage_status").isin("partial_state_panel", "sparse_state_panel") | (c("least_places") <= 10)
-    slight = (c("partial_panels") <= 6) & (c("least_places") >= 24)
+    torn = c("coverage_status").isin("partial_state_panel", "sparse_state_panel") | (c("least_places") <= TORN)
+    slight = (c("partial_panels") <= FEW_DEFECTS) & (c("least_places") >= NEARLY_ALL)
     found = F.array(
         issue(panel & (c("missing_periods") > 0), F.lit("missing_periods"), F.lit("error")),
         issue(panel & (c("partial_panels") > 0), F.when(torn, "state_panel_fragmented").when(slight, "minor_panel_defects").otherwise("state_panel_incomplete"), F.when(torn, "error").when(slight, "info").otherwise("warning")),
         issue(panel & (c("coverage_status") != "complete_state_panel"), F.lit("incomplete_statewide_coverage"), F.when(c("coverage_status") == "broad_state_panel", "warning").otherwise("error")),
-        issue(nation & (c("missing_periods") > 0), F.lit("national_series_gaps"), F.when(c("missing_periods") <= 6, "warning").otherwise("error")),
+        issue(nation & (c("missing_periods") > 0), F.lit("national_series_gaps"), F.when(c("missing_periods") <= FEW_GAPS, "warning").otherwise("error")),
         issue(c("partition_type").isin("Geo-Coded-Unresolved", "Geo-Less"), F.lit("partition_unresolved"), F.lit("warning")),
         issue(c("_tiers").isNull(), F.lit("no_associated_docs"), F.lit("warning")),
         issue(F.coalesce(~F.array_contains("_tiers", "family_specific"), F.lit(False)), F.lit("docs_generic_only"), F.lit("info")),
@@ -199,7 +215,7 @@ def graded_audit(families_: DataFrame, docs: DataFrame) -> DataFrame:
 def variants(rows: DataFrame) -> DataFrame:
     """Physical variants of each system and prefix: by date kind, places in names, distribution root, subsystem, format."""
     keys = [*FAMILY, "date_kind", "uses_geo", "distribution_root", "subsystem", "format_family"]
-    return rows.where("prefix is not null").groupBy(*keys).agg(
+    return data_files(rows).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("file_count"), F.countDistinct("period").alias("period_count"), t.display_range(F.min("period"), F.max("period")).alias("time_range_display"), F.sort_array(F.collect_set("geo_code")).alias("geo_coverage")
     )
 
@@ -214,6 +230,6 @@ def common_root(rows: DataFrame, keys: list[str], path: str) -> DataFrame:
 
 def panel_files(rows: DataFrame) -> DataFrame:
     """The best file of each family, period and state."""
-    return best_files(rows.where(F.col("geo_code").isin(p.UF)), [*FAMILY, "period", "geo_code"])
+    return best_files(data_files(rows).where(F.col("geo_code").isin(p.UF)), [*FAMILY, "period", "geo_code"])
 
 

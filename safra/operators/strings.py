@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as x
+from .intervals import beside
 from .profile import jaccard_pairs
+from .quantiles import quantiles
 
 
 def similar_names(names: DataFrame, column: str, least: float = 0.5) -> DataFrame:
@@ -23,13 +25,14 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def metrics(pairs: DataFrame) -> DataFrame:
-    """Adds ``edits, hamming, jaccard, dice, overlap, cosine`` of ``a, b`` (the last four over three-letter pieces) and ``spread``, the standard deviation of those four."""
+    """Adds ``edits, damerau, hamming, jaro_winkler, jaccard, dice, overlap, cosine`` of ``a, b`` (the last four over three-letter pieces), whether
+    their match-rating and their New York codes agree, and ``spread``, the standard deviation of the four over pieces; those are null for names too short for a piece."""
     u, v = x.grams(F.col("a")), x.grams(F.col("b"))
     sized = pairs.withColumns({"_u": F.size(u), "_v": F.size(v), "_both": F.size(F.array_intersect(u, v))})
     both = F.col("_both")
     told = sized.withColumns({
-        "edits": F.levenshtein("a", "b"), "hamming": hamming(F.col("a"), F.col("b")), "jaccard": both / (F.col("_u") + F.col("_v") - both), "dice": 2 * both / (F.col("_u") + F.col("_v")),
-        "overlap": both / F.least("_u", "_v"), "cosine": both / F.sqrt(F.col("_u") * F.col("_v")),
+        "edits": F.levenshtein("a", "b"), "damerau": x.damerau("a", "b"), "jaro_winkler": x.jaro_winkler("a", "b"), "match_rating": x.match_rating("a", "b"), "same_sound": x.nysiis("a") == x.nysiis("b"), "hamming": hamming(F.col("a"), F.col("b")), "jaccard": F.try_divide(both, F.col("_u") + F.col("_v") - both), "dice": F.try_divide(2 * both, F.col("_u") + F.col("_v")),
+        "overlap": F.try_divide(both, F.least("_u", "_v")), "cosine": F.try_divide(both, F.sqrt(F.col("_u") * F.col("_v"))),
     })
     four = [F.col(c) for c in ("jaccard", "dice", "overlap", "cosine")]
     mean = sum(four[1:], four[0]) / 4
@@ -51,8 +54,8 @@ def frequencies(rows: DataFrame, keys: list[str], value: str, most: int = 25) ->
 
 
 def column_summary(rows: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    """Count, share of nulls, extremes, quartiles and mean of a number within each group."""
-    q = lambda share: F.percentile(value, F.lit(share))
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value.isNull().cast("int")).alias("na_rate"), F.min(value).alias("low"), q(0.25).alias("q1"), q(0.5).alias("median"), F.avg(value).alias("mean"), q(0.75).alias("q3"), F.max(value).alias("high")
-    )
+    """Count, share of nulls, extremes, quartiles and mean of a number within each group; the quartiles are those of its finite values."""
+    told = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value.isNull().cast("int")).alias("na_rate"), F.min(value).alias("low"), F.avg(value).alias("mean"), F.max(value).alias("high"))
+    found = beside(told, quantiles(rows, keys, value, [0.25, 0.5, 0.75]), keys)
+    q = [F.col("quantiles")[k].alias(name) for k, name in enumerate(("q1", "median", "q3"))]
+    return found.select(*keys, "n", "na_rate", "low", q[0], q[1], "mean", q[2], "high")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import periods as t
-from ..functions.paths import UF, components, is_reference_pdf, without_host
+from ..functions.paths import UF
 from ..functions.text import tokens
 from ..operators import corpus as c
 from ..operators import docs as docs_
@@ -166,12 +166,6 @@ def family_issue_matrix(spark, d):
     return each.groupBy("systems").pivot("i.code", codes).agg(F.count(F.lit(1))).na.fill(0)
 
 
-def pdf_audit(spark, d):
-    pages = table(spark, d, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("host"), F.regexp_replace(without_host(F.col("url")), r"[?#].*$", "").alias("path"))
-    rows = pages.select("host", F.col("path").startswith("/en/").alias("under"), is_reference_pdf(F.col("path"), F.col("path")).alias("reference"), F.try_element_at(components(F.col("path")), F.lit(1)).alias("top"))
-    return rows.groupBy("top").agg(F.count(F.lit(1)).alias("n"), F.count_if("under").alias("under"), F.count_if("reference").alias("reference"), F.countDistinct("host").alias("hosts"))
-
-
 def orphan_documents(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
     return docs.join(table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_anti").groupBy("source").agg(F.count(F.lit(1)).alias("orphans"))
@@ -180,13 +174,7 @@ def orphan_documents(spark, d):
 def doc_token_overlap(spark, d):
     names = table(spark, d, "part").select(F.col("p_type").alias("family"), tokens(F.col("p_name")).alias("words")).select("family", F.explode("words").alias("word")).distinct()
     parts = table(spark, d, "part").select("p_partkey", F.explode(tokens(F.col("p_name"))).alias("word"))
-    return docs_.token_overlap(names, parts, "family", "p_partkey").where("overlap >= 2").groupBy("family").agg(F.count(F.lit(1)).alias("documents"), F.sum("overlap").alias("overlap"))
-
-
-def doc_association(spark, d):
-    series = c.series_catalog(_files(spark, d)).select(F.col("series_prefix").alias("series"), F.explode("source_paths").alias("source_path"))
-    pages = table(spark, d, "pages").select(F.concat(F.lit("/public/data/"), F.when(F.col("page_id") % 2 == 0, "SYSA").otherwise("SYSB"), F.lit("/layout_promo_"), F.col("page_id").cast("string"), F.lit(".pdf")).alias("url"))
-    return docs_.associate(series, pages)
+    return docs_.token_overlap(names, parts, "family", "p_partkey", 2).groupBy("family").agg(F.count(F.lit(1)).alias("documents"), F.sum("overlap").alias("overlap"))
 
 
 def candidate_select(spark, d):
@@ -215,8 +203,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         filename_grammar, discard_reasons, date_format_infer, normalized_periods, partition_classify, series_catalog, physical_groups, dataset_families, family_clusters, family_rank_ids,
-        preferred_series, series_segments, preferred_working_series, family_summary, candidate_docs, group_pairs, coverage_gaps, compress_ranges, state_panel, multi_grammar_parse, scan_diff, family_registry, family_audit, family_issue_matrix, pdf_audit,
-        orphan_documents, doc_token_overlap, doc_association, candidate_select, download_plan,
+        preferred_series, series_segments, preferred_working_series, family_summary, candidate_docs, group_pairs, coverage_gaps, compress_ranges, state_panel, multi_grammar_parse, scan_diff, family_registry, family_audit, family_issue_matrix,
+        orphan_documents, doc_token_overlap, candidate_select, download_plan,
     )
 }
 
@@ -310,8 +298,6 @@ SQL = {
     "family_registry": "SELECT p_type AS family_id, CAST(count(DISTINCT upper(p_brand)) AS INTEGER) AS variable_count, array_to_string(list_sort(list(DISTINCT upper(p_brand))), ',') AS variables FROM part GROUP BY 1",
     "family_audit": f"{_ISSUES} SELECT split_part(c, ':', 1) AS code, split_part(c, ':', 2) AS severity, count(DISTINCT family_id) AS families, array_to_string(list_sort(list(DISTINCT family_id)), ',') AS family_ids FROM i WHERE c IS NOT NULL GROUP BY 1, 2",
     "family_issue_matrix": _ISSUES + " SELECT CAST(l AS INTEGER) AS systems, " + ", ".join(f"count(*) FILTER (WHERE c LIKE '{k}:%') AS {k}" for k in ("coverage_gaps", "missing_date_format", "multi_source_system_family", "no_associated_docs", "stitched_preferred_working_series", "unknown_partition_type")) + " FROM i WHERE c IS NOT NULL GROUP BY 1",
-    "pdf_audit": """WITH p AS (SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host, regexp_replace(regexp_replace(url, '^[a-z]+://[^/]*', ''), '[?#].*$', '') AS path FROM pages)
-        SELECT list_filter(string_split(path, '/'), lambda q: q <> '')[1] AS top, count(*) AS n, count(*) FILTER (WHERE path LIKE '/en/%') AS under, count(*) FILTER (WHERE regexp_matches(lower(path), 'manual|dicionario|leia-me|layout|estrutura|dic_dados|instrucoes') OR list_has_any(string_split(upper(path), '/'), ['DOC', 'TAB'])) AS reference, count(DISTINCT host) AS hosts FROM p GROUP BY 1""",
     "orphan_documents": "SELECT source, count(*) AS orphans FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1",
     "doc_token_overlap": f"""WITH w AS (SELECT p_partkey, p_type, unnest({_WORDS}) AS word FROM part), f AS (SELECT DISTINCT p_type AS family, word FROM w),
         o AS (SELECT family, p_partkey, count(*) AS overlap FROM f JOIN w USING (word) GROUP BY 1, 2 HAVING count(*) >= 2) SELECT family, count(*) AS documents, CAST(sum(overlap) AS BIGINT) AS overlap FROM o GROUP BY 1""",

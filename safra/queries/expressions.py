@@ -86,7 +86,7 @@ def string_metrics(spark, d):
     from ..operators import strings
 
     rounded = lambda c: F.round(c, 6).alias(c)
-    return strings.metrics(strings.similar_names(table(spark, d, "part").select("p_name"), "p_name", 0.5)).select("a", "b", "edits", "hamming", rounded("jaccard"), rounded("dice"), rounded("overlap"), rounded("cosine"), rounded("spread"))
+    return strings.metrics(strings.similar_names(table(spark, d, "part").select("p_name"), "p_name", 0.5)).select("a", "b", "edits", "damerau", "hamming", rounded("jaro_winkler"), rounded("jaccard"), rounded("dice"), rounded("overlap"), rounded("cosine"), rounded("spread"))
 
 
 def signatures(spark, d):
@@ -147,8 +147,8 @@ SQL = {
     "aggregate_to_record": """SELECT lpad(CAST(user_id AS VARCHAR), 7, '3') AS municipality, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, value IS NOT NULL AS included, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1,2,3,4""",
     "string_metrics": """WITH p AS (SELECT DISTINCT p_name AS n FROM part), g AS (SELECT n, list_distinct([substr(n, i, 3) FOR i IN range(1, length(n) - 1)]) AS g FROM p),
         k AS (SELECT x.n AS a, y.n AS b, len(list_intersect(x.g, y.g)) AS i, len(x.g) AS u, len(y.g) AS v FROM g x JOIN g y ON x.n < y.n),
-        m AS (SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS edits, CASE WHEN length(a) = length(b) THEN CAST(hamming(a, b) AS INTEGER) END AS hamming, CAST(i AS DOUBLE) / (u + v - i) AS jaccard, 2.0 * i / (u + v) AS dice, CAST(i AS DOUBLE) / least(u, v) AS overlap, i / sqrt(u * v) AS cosine FROM k WHERE CAST(i AS DOUBLE) / (u + v - i) >= 0.5)
-        SELECT a, b, edits, hamming, round(jaccard, 6) AS jaccard, round(dice, 6) AS dice, round(overlap, 6) AS overlap, round(cosine, 6) AS cosine, round(list_stddev_pop([jaccard, dice, overlap, cosine]), 6) AS spread FROM m""",
+        m AS (SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS edits, CAST(damerau_levenshtein(a, b) AS INTEGER) AS damerau, jaro_winkler_similarity(a, b) AS jw, CASE WHEN length(a) = length(b) THEN CAST(hamming(a, b) AS INTEGER) END AS hamming, CAST(i AS DOUBLE) / (u + v - i) AS jaccard, 2.0 * i / (u + v) AS dice, CAST(i AS DOUBLE) / least(u, v) AS overlap, i / sqrt(u * v) AS cosine FROM k WHERE CAST(i AS DOUBLE) / (u + v - i) >= 0.5)
+        SELECT a, b, edits, damerau, hamming, round(jw, 6) AS jaro_winkler, round(jaccard, 6) AS jaccard, round(dice, 6) AS dice, round(overlap, 6) AS overlap, round(cosine, 6) AS cosine, round(list_stddev_pop([jaccard, dice, overlap, cosine]), 6) AS spread FROM m""",
     "signatures": "SELECT n_nationkey, left(sha1('n_name|' || n_name), 16) AS signature, sha256(n_name) AS sha256 FROM nation",
     "column_summary": """WITH p AS (SELECT p_type, CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END AS v FROM part)
         SELECT p_type, count(*) AS n, round(avg(CASE WHEN v IS NULL THEN 1 ELSE 0 END), 9) AS na_rate, min(v) AS low, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS median, round(avg(v), 6) AS mean, round(quantile_cont(v, 0.75), 6) AS q3, max(v) AS high FROM p GROUP BY 1""",

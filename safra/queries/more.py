@@ -15,10 +15,16 @@ from .corpus import _PERIOD, _PRIMARY, _SHOW
 from .profile import _FACTS, _SIG, _cells
 
 
+#: Files that hold no data: a document of a system and of a subsystem, a table of codes, a program; a number each nation.
+_OTHERS = ["SYSA/DOCS/LAYOUT{}.pdf", "SYSB/ESPECIAL/DOCS/GUIA{}.pdf", "SYSC/TABELAS/CODIGOS{}.cnv", "SYSA/programa{}.exe"]
+
+
 def _files(spark, d):
-    """The manifest below another root; names of one state have two letters that are no place."""
+    """The manifest below another root, with files that are no data; names of one state have two letters that are no place."""
     path = F.regexp_replace(F.regexp_replace("path", "^/public/data/", "/dissemin/publicos/"), r"/([A-Z]+)SP(\d+)\.", "/$1XX$2.")
-    return l.inventory(manifest(spark, d).select(path.alias("path")))
+    number = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
+    others = table(spark, d, "nation").select(F.explode(F.array(*[F.concat(F.lit("/dissemin/publicos/"), F.replace(F.lit(o), F.lit("{}"), number)) for o in _OTHERS])).alias("path"))
+    return l.inventory(manifest(spark, d).select(path.alias("path")).unionByName(others))
 
 
 def logical_inventory(spark, d):
@@ -42,7 +48,7 @@ def panel_files(spark, d):
 
 
 def common_roots(spark, d):
-    return l.common_root(_files(spark, d), ["system"], "path")
+    return l.common_root(l.data_files(_files(spark, d)), ["system"], "path")
 
 
 def _members(spark):
@@ -126,7 +132,7 @@ def family_schemas(spark, d):
 
 
 def series_by_system(spark, d):
-    return e.by_system(_files(spark, d), "system", "prefix").withColumn("series", F.array_join("series", ","))
+    return e.by_system(l.data_files(_files(spark, d)), "system", "prefix").withColumn("series", F.array_join("series", ","))
 
 
 QUERIES = {
@@ -143,7 +149,7 @@ _LOGICAL = f"""WITH {MANIFEST_SQL}, i AS (SELECT '/dissemin/publicos' || substr(
     known AS (SELECT DISTINCT sys, own FROM i WHERE geo IS NOT NULL), d AS (SELECT i.*, coalesce(k.own, i.prefix) AS pre FROM i LEFT JOIN known k ON k.sys = i.sys AND k.own = i.own)"""
 _FORMAT = "substr(pe, 2)"
 SQL = {
-    "logical_inventory": f"{_LOGICAL} SELECT path, 'data' AS asset_kind, sys AS distribution_root, sys AS system, CAST(NULL AS VARCHAR) AS subsystem, CASE stage WHEN 'PRELIM' THEN '[Staging]' ELSE '[Primary]' END AS path_semantic, prefix, kind AS date_kind, geo AS geo_code, CAST(period AS BIGINT) AS period, geo IS NOT NULL AS uses_geo FROM i",
+    "logical_inventory": f"{_LOGICAL} SELECT path, 'data' AS asset_kind, sys AS distribution_root, sys AS system, CAST(NULL AS VARCHAR) AS subsystem, CASE stage WHEN 'PRELIM' THEN '[Staging]' ELSE '[Primary]' END AS path_semantic, prefix, kind AS date_kind, geo AS geo_code, CAST(period AS BIGINT) AS period, geo IS NOT NULL AS uses_geo FROM i UNION ALL SELECT '/dissemin/publicos/' || replace(o.path, '{{}}', lpad(CAST(n_nationkey AS VARCHAR), 2, '0')), o.kind, left(o.path, 4), left(o.path, 4), o.sub, '[Primary]', o.prefix, 'yy', NULL, (2000 + n_nationkey) * 100, false FROM nation, (VALUES ('SYSA/DOCS/LAYOUT{{}}.pdf', 'doc', NULL, 'LAYOUT'), ('SYSB/ESPECIAL/DOCS/GUIA{{}}.pdf', 'doc', 'ESPECIAL', 'GUIA'), ('SYSC/TABELAS/CODIGOS{{}}.cnv', 'aux', NULL, 'CODIGOS'), ('SYSA/programa{{}}.exe', 'other', NULL, 'PROGRAMA')) o(path, kind, sub, prefix)",
     "logical_families": f"""{_LOGICAL}, pp AS (SELECT sys, pre, kind, period, count(*) AS files, len(list_intersect(list(DISTINCT geo), {UF_LIST})) AS states, bool_or(geo IS NOT NULL) AS used FROM d GROUP BY 1, 2, 3, 4),
         g AS (SELECT sys, pre, list_sort(list(DISTINCT geo) FILTER (WHERE geo IS NOT NULL)) AS geos FROM d GROUP BY 1, 2),
         f AS (SELECT sys, pre, kind, CAST(sum(files) AS BIGINT) AS file_count, min(period) AS a, max(period) AS b, count(*) AS periods, max(files) AS most, bool_or(used) AS used, count(*) FILTER (WHERE states BETWEEN 1 AND 26) AS part, count(*) FILTER (WHERE states = 0) AS bare, min(states) FILTER (WHERE states > 0) AS least FROM pp GROUP BY 1, 2, 3),
