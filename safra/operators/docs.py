@@ -40,7 +40,7 @@ def has_word(name: Column) -> Column:
 
 
 def associate(series: DataFrame, files: DataFrame, threshold: float = THRESHOLD, reach: int = REACH) -> DataFrame:
-    """``series, url, distance, bonus, score`` of the PDFs (``url``: paths) near a series (``series, source_path``).
+    """``series, url, distance, bonus, score`` of the PDFs (``url``: paths) near a series (``series, source_path``, and ``name`` if that differs).
 
     Score: .35 proximity + .25 name likeness + .40 context likeness, 25 more for a reference word in the name; the best over
     a series' paths, ``threshold`` or more, with the distance it has there. Places more than ``reach`` steps apart score
@@ -50,13 +50,14 @@ def associate(series: DataFrame, files: DataFrame, threshold: float = THRESHOLD,
     name = F.lower(F.regexp_replace(p.file_name(F.col("url")), r"\.[^.]*$", ""))
     tail = lambda parts: F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), " ")
     pdfs = cut(pdfs.select("url", p.directory(F.col("url")).alias("b"), name.alias("name")))
-    data = cut(series.select("series", F.col("source_path").alias("a")).where("series is not null and a is not null and a != ''").distinct())
+    called = F.col("name" if "name" in series.columns else "series").alias("called")
+    data = cut(series.select("series", called, F.col("source_path").alias("a")).where("series is not null and a is not null and a != ''").distinct())
     near = near_directories(data.select(F.col("a").alias("directory")), pdfs.select(F.col("b").alias("directory")), reach)
     both = near.join(data, "a").join(pdfs, "b")
     likeness = both.withColumns(
         {
-            "by_name": x.partial_ratio(F.lower("series"), F.col("name")),
-            "by_path": x.token_set_ratio(F.lower(F.concat_ws(" ", "series", tail(p.components(F.col("a"))))), F.lower(F.concat_ws(" ", "name", tail(p.components(F.col("b")))))),
+            "by_name": x.partial_ratio(F.lower("called"), F.col("name")),
+            "by_path": x.token_set_ratio(F.lower(F.concat_ws(" ", "called", tail(p.components(F.col("a"))))), F.lower(F.concat_ws(" ", "name", tail(p.components(F.col("b")))))),
         }
     )
     bonus = F.when(has_word(F.col("name")), 25).otherwise(0)

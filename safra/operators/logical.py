@@ -233,3 +233,40 @@ def panel_files(rows: DataFrame) -> DataFrame:
     return best_files(data_files(rows).where(F.col("geo_code").isin(p.UF)), [*FAMILY, "period", "geo_code"])
 
 
+
+
+#: States named for a family's defects at most, and families for a system's.
+TOP_STATES, TOP_FAMILIES = 12, 20
+
+
+def missing_states(rows: DataFrame) -> DataFrame:
+    """``family_id, partial_panels, least_places, most_places, top_missing`` of families with periods that lack some states: ``top_missing`` are the 12 states (``state, n``) that most of those periods lack, ties by state."""
+    data = main_kind(coalesce_prefixes(data_files(rows).where("system is not null")), FAMILY)
+    states = F.array(*[F.lit(u) for u in p.UF])
+    panels = data.groupBy(*FAMILY, "period").agg(F.array_intersect(F.collect_set("geo_code"), states).alias("have")).where(F.size("have").between(1, len(p.UF) - 1))
+    panels = panels.withColumn("family_id", F.concat_ws(":", *FAMILY))
+    told = panels.groupBy("family_id").agg(F.count(F.lit(1)).alias("partial_panels"), F.min(F.size("have")).alias("least_places"), F.max(F.size("have")).alias("most_places"))
+    lacks = panels.select("family_id", F.explode(F.array_except(states, "have")).alias("state")).groupBy("family_id", "state").agg(F.count(F.lit(1)).alias("n"))
+    nth = F.row_number().over(Window.partitionBy("family_id").orderBy(F.desc("n"), "state"))
+    few = lacks.withColumn("r", nth).where(F.col("r") <= TOP_STATES)
+    tops = few.groupBy("family_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "state", "n"))), lambda e: F.struct(e["state"].alias("state"), e["n"].alias("n"))).alias("top_missing"))
+    return told.join(tops, "family_id")
+
+
+def system_rollup(audited: DataFrame) -> DataFrame:
+    """``system, section, item, n``: families of each system by partition, coverage and date kind, those with issues, and how many have each issue; one pass."""
+    said = lambda section, item, when=None: F.when(F.lit(True) if when is None else when, F.struct(F.lit(section).alias("section"), item.alias("item")))
+    fixed = F.array_compact(F.array(said("families", F.lit("all")), said("families", F.lit("problem"), F.size("issues") > 0), said("partition_type", F.col("partition_type")), said("coverage_status", F.col("coverage_status")), said("date_kind", F.col("date_kind"))))
+    each = audited.select("system", F.explode(F.concat(fixed, F.transform("issues", lambda i: F.struct(F.lit("issue").alias("section"), i["code"].alias("item"))))).alias("s"))
+    return each.groupBy("system", "s.section", "s.item").agg(F.count(F.lit(1)).alias("n"))
+
+
+def issue_matrix(audited: DataFrame, codes: list[str]) -> DataFrame:
+    """Families with each issue (a column a code) by system."""
+    return audited.groupBy("system").agg(*[F.count_if(F.array_contains(F.transform("issues", lambda i: i["code"]), k)).alias(k) for k in codes])
+
+
+def worst_families(audited: DataFrame, most: int = TOP_FAMILIES) -> DataFrame:
+    """``system, family_id, issues, rank``: a system's ``most`` families with most issues; ties by id."""
+    rank = F.row_number().over(Window.partitionBy("system").orderBy(F.desc("issues"), "family_id"))
+    return audited.select("system", "family_id", F.size("issues").alias("issues")).where("issues > 0").withColumn("rank", rank).where(F.col("rank") <= most)

@@ -9,6 +9,8 @@ values of a group in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,29 +51,28 @@ def quantiles(rows: DataFrame, keys: list[str], value: Column, shares: list[floa
     few = beside(values, sizes.select(*own, "n"), own).where(F.col("n") <= small).groupBy(*own).agg(F.percentile("v", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
     ends = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in place])))
     open_ = cut(sizes.where(F.col("n") > small).select(*own, F.explode(F.transform(ends, lambda x: x.cast("long"))).alias("rank"), "low", "high", F.lit(0).cast("long").alias("below"), F.col("n").alias("held")))
-    closed = []
+    narrow = []
     while True:
-        one = F.col("low") == F.col("high")
-        closed.append(open_.where(one).select(*own, "rank", F.col("low").alias("v")))
-        few_held = open_.where(~one & (F.col("held") <= small))
-        held = _ranged(values, few_held, own).groupBy(*own, "low", "high").agg(F.sort_array(F.collect_list("v")).alias("vs"))
-        picked = beside(few_held, held, [*own, "low", "high"])
-        closed.append(picked.select(*own, "rank", F.element_at("vs", (F.col("rank") - F.col("below") + 1).cast("int")).alias("v")))
-        wide = open_.where(~one & (F.col("held") > small))
-        if not wide.limit(1).count():
+        wide = (F.col("low") != F.col("high")) & (F.col("held") > small)
+        narrow.append(open_.where(~wide))
+        open_ = open_.where(wide)
+        if not open_.limit(1).count():
             break
         # Halves, so that the width of a range of both signs stays finite.
         at = F.least(F.lit(bins - 1), F.floor((F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * bins)).cast("int")
-        counted = _ranged(values, wide, own).groupBy(*own, "low", "high", at.alias("bin")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("first"), F.max("v").alias("last"))
+        counted = _ranged(values, open_, own).groupBy(*own, "low", "high", at.alias("bin")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("first"), F.max("v").alias("last"))
         before = F.sum("c").over(Window.partitionBy(*own, "low", "high").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
         counted = counted.withColumn("before", F.coalesce(before, F.lit(0)))
-        met = beside(wide, counted.select(*own, "low", "high", "c", "first", "last", "before"), [*own, "low", "high"])
+        met = beside(open_, counted.select(*own, "low", "high", "c", "first", "last", "before"), [*own, "low", "high"])
         rank = F.col("rank") - F.col("below") - F.col("before")
         step = met.where((rank >= 0) & (rank < F.col("c")))
         open_ = cut(step.select(*own, "rank", F.col("first").alias("low"), F.col("last").alias("high"), (F.col("below") + F.col("before")).alias("below"), F.col("c").alias("held")))
-    found = closed[0]
-    for more in closed[1:]:
-        found = found.unionByName(more)
+    ended = cut(reduce(DataFrame.unionByName, narrow))
+    one = F.col("low") == F.col("high")
+    few_held = ended.where(~one)
+    held = _ranged(values, few_held, own).groupBy(*own, "low", "high").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    picked = beside(few_held, held, [*own, "low", "high"]).select(*own, "rank", F.element_at("vs", (F.col("rank") - F.col("below") + 1).cast("int")).alias("v"))
+    found = ended.where(one).select(*own, "rank", F.col("low").alias("v")).unionByName(picked)
     by_rank = found.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("_at"))
     large = sizes.join(by_rank.select(*[F.col(o).alias(f"_s{o}") for o in own], "_at"), [F.col(o).eqNullSafe(F.col(f"_s{o}")) for o in own])
     at = lambda x: F.element_at("_at", x.cast("long"))

@@ -185,20 +185,20 @@ def test_running_sums(spark):
             assert got[g, k] == (total, before)
 
 
-@pytest.mark.parametrize("small", [60, 5000])
+@pytest.mark.parametrize("small", [200, 5000])
 def test_quantiles(spark, small):
     rng = np.random.default_rng(3)
-    groups = {"even": rng.normal(size=900), "few": np.array([3.0]), "same": np.full(700, -2.5), "heavy": np.exp(rng.normal(size=800) * 40), "ties": rng.integers(0, 3, 600).astype(float), "wide": np.array([-1.7e308, 1.7e308] * 300 + [0.0] * 5), None: rng.normal(size=50) * 1e-300}
+    groups = {"even": rng.normal(size=900), "few": np.array([3.0]), "same": np.full(700, -2.5), "heavy": np.exp(rng.normal(size=800) * 40), "ties": rng.integers(0, 3, 600).astype(float), "wide": np.array([-1.7e308, 1.7e308] * 110 + [0.0] * 5), None: rng.normal(size=50) * 1e-300}
     cells = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("few", None), ("few", math.nan), ("few", math.inf), ("none", None)]
     frame = spark.createDataFrame(cells, "g string, v double").repartition(4)
     shares = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = {r.g: r.quantiles for r in quantiles.quantiles(frame, ["g"], F.col("v"), shares, small=small, bins=32).collect()}
+    got = {r.g: r.quantiles for r in quantiles.quantiles(frame, ["g"], F.col("v"), shares, small=small, bins=64).collect()}
     assert set(got) == set(groups)
     for g, vs in groups.items():
         x = np.sort(vs)
         at = [s * (len(x) - 1) for s in shares]
         assert got[g] == pytest.approx([x[math.floor(a)] * (1 - (a - math.floor(a))) + x[math.ceil(a)] * (a - math.floor(a)) for a in at], rel=1e-12)
-    whole = quantiles.quantiles(frame.where("g = 'even'"), [], F.col("v"), [0.5], small=small, bins=32).collect()
+    whole = quantiles.quantiles(frame.where("g = 'even'"), [], F.col("v"), [0.5], small=small, bins=64).collect()
     assert whole[0].quantiles == pytest.approx([float(np.median(groups["even"]))])
     assert quantiles.quantiles(frame.limit(0), ["g"], F.col("v"), [0.5]).count() == 0
     assert strings.column_summary(frame, ["g"], F.col("v")).where("g is null").first().n == 50
@@ -399,3 +399,36 @@ def test_documents_leave_logical_families_unchanged(spark):
         assert rows(made(frame(data + other))) == rows(made(frame(data)))
     kinds = {r.path.rsplit("/", 1)[1]: (r.asset_kind, r.format_family) for r in frame(other).collect()}
     assert kinds == {"LAYOUT12.pdf": ("doc", "pdf"), "CID1096.cnv": ("aux", "unknown"), "DOSP1205.zip": ("doc", "archive"), "programa98.exe": ("other", "unknown")}
+
+
+def test_records_of_families_with_documents(spark):
+    from safra.operators import corpus, records
+
+    paths = [f"/public/SIM/DO/DO{u}{y:02d}.dbc" for u in ("SP", "RJ", "BR") for y in (10, 11, 13)] + ["/public/SIM/DO/DOSP13.csv", "/public/SIM/AUXILIAR/DOSP14.dbc", "/public/SIM/DO/manual_do.pdf", "/public/SIM/far/away/from/it/all/nota.pdf", "/public/SIM/DO/sem_nome.dbc"]
+    files = corpus.inventory(spark.createDataFrame([(q,) for q in paths], "path string"))
+    signatures = spark.createDataFrame([(paths[0], "s1"), (paths[1], "s2"), (paths[2], ""), ("elsewhere", "s9")], "path string, schema_signature string")
+    rec = records.cut(records.family_records(files, signatures))
+    r = rec.collect()
+    assert [x.family_id for x in r] == ["DO"]
+    r = r[0]
+    assert (r.file_count, r.system_guess, r.date_format, r.schema_signatures, r.preferred_working_series.coverage_gaps) == (10, "DO", "YY", ["s1", "s2"], ["2012"])
+    assert r.member_files == sorted(paths[:10]) and [d.filename for d in r.associated_docs] == ["manual_do.pdf"]
+    over = {(x.section, x.item): (x.n, x.listed) for x in records.overview(files, rec).collect()}
+    assert over["discarded", "auxiliary_path"] == (1, [paths[10]]) and over["orphan_docs", "all"] == (1, [paths[12]]) and over["largest", "DO"] == (10, [])
+    assert ("families", "without_docs") not in over and over["families", "with_gaps"] == (1, ["DO"])
+    told = records.record_audit(rec).first()
+    assert [i.code for i in told.issues] == ["coverage_gaps", "stitched_preferred_working_series"] and told.issues[0].summary == "preferred working series has 1 uncovered period(s)" and told.issues[0].detail["gaps"] == "2012" and len(told.recommendations) == 3
+    chosen, docs_ = records.select_candidates(files, rec)
+    assert [x.path for x in chosen.orderBy("selection_rank").collect()][0] == "/public/SIM/DO/DOSP13.csv" and docs_.count() == 1
+    bare = rec.withColumn("preferred_working_series", F.lit(None).cast(rec.schema["preferred_working_series"].dataType))
+    assert {x.path for x in records.select_candidates(files, bare)[0].collect()} <= set(paths[:10])
+
+
+def test_similarity_report(spark):
+    from safra.operators import records
+
+    sets = {"d": "abc", "c": "abcd", "b": "xyz", "a": "xy", "e": "q"}
+    frame = spark.createDataFrame([(k, v) for k, vs in sets.items() for v in vs], "i string, v string")
+    pairs, clusters = records.similarity_report(frame, "i", "v", 0.7)
+    assert [tuple(x) for x in pairs.collect()] == [("c", "d", 0.75, 3, 4, 3), ("a", "b", 0.6667, 2, 2, 3)]
+    assert rows(clusters) == [("family_cluster_1", "a"), ("family_cluster_2", "b"), ("family_cluster_3", "c"), ("family_cluster_3", "d"), ("family_cluster_4", "e")]
