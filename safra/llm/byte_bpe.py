@@ -27,7 +27,8 @@ from .common import byte_slices, handing_back, read_table, text_sizes
 
 #: Characters with the Unicode property White_Space (fixed values).
 SPACES = "\t-\r \x85\xa0  -     　"
-MEMO = 300_000
+#: Pieces and pre-tokens that a worker remembers, and the characters of one at most: 200 MB at the very worst, 60 MB with usual words.
+MEMO, MEMO_LENGTH = 300_000, 32
 BATCH_BYTES = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -183,7 +184,7 @@ class Codec:
         self._ready()
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("find", "inner", "odd", "cut", "tokens", "pieces")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("find", "inner", "odd", "cut", "tokens", "pieces", "long")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -195,6 +196,8 @@ class Codec:
         self.cut = regex.compile(f" (?=[^{SPACES}])").split
         self.tokens: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        #: Long ones, which are forgotten when the texts that hold them are done.
+        self.long: list[tuple[dict[str, bytes], str]] = []
 
     def _learn(self, missing: set[str]) -> None:
         """Ids of pieces (without the space before them) and of their pre-tokens."""
@@ -202,6 +205,7 @@ class Codec:
         split = {p: find(" " + p) for p in missing}
         self._resolve({t for found in split.values() for t in found})
         pieces = self.pieces
+        self.long += [(pieces, p) for p in missing if len(p) > MEMO_LENGTH]
         for p, found in split.items():
             pieces[p] = tokens[found[0]] if len(found) == 1 else b"".join([tokens[t] for t in found])
 
@@ -210,6 +214,7 @@ class Codec:
         new = [t for t in wanted if t not in tokens]
         if not new:
             return
+        self.long += [(tokens, t) for t in new if len(t) > MEMO_LENGTH]
         raw = [t.encode() for t in new]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
         ids = self.hash.find(np.frombuffer(b"".join(raw), np.uint8), offsets)
@@ -238,6 +243,9 @@ class Codec:
             ids = [tokens[t] for t in found]
             ids.extend([known[p] for p in parts[1:]])
             out.append(b"".join(ids))
+        for memo, key in self.long:
+            memo.pop(key, None)
+        self.long.clear()
         return out
 
     def decode(self, ids: bytes) -> bytes:

@@ -96,7 +96,7 @@ def sainte_lague(parties: DataFrame, group: list[str], key: list[str]) -> DataFr
     return p.alias("p").join(moved.alias("m"), cond, "left").select(*kept, (F.col("_start") + F.coalesce("_moved", F.lit(0))).alias("seats"))
 
 
-def mix(
+def _mix(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -108,15 +108,8 @@ def mix(
     shard: int = SHARD_TOKENS,
     seed: int = SEED,
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for each row of ``docs``.
-
-    ``taken`` counts the words that the chosen blocks take from the row, repeats
-    counted: 2 * size at most. Null texts and texts without words have size 0 and
-    take 0. A null source is a source of its own. The order within a shard depends on
-    the seed, the id and the text's size alone; rows equal in both are alike, so
-    reruns agree. No rows give no rows.
-    """
-    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), token_count(F.col(text_col)).alias("size"))
+    """``mix`` with ``text_key``, a hash of the row's text."""
+    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), token_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("text_key"))
     sizes = materialize(sized, "sizes")
     targets = materialize(source_targets(sizes, weights, share, cap), "targets")
 
@@ -127,7 +120,7 @@ def mix(
         F.broadcast(targets.select(F.col("source").alias("_s"), "source_size", "target")) if _few(targets) else targets.select(F.col("source").alias("_s"), "source_size", "target"),
         F.col("source").eqNullSafe(F.col("_s")),
     )
-    placed = one.select("doc_id", "source", "size", "source_size", "target", F.pmod(spread, n_shards).alias("shard"))
+    placed = one.select("doc_id", "text_key", "source", "size", "source_size", "target", F.pmod(spread, n_shards).alias("shard"))
     shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     shards = shards.where("shard_size > 0").withColumn("blocks", F.ceil(F.col("shard_size") / F.lit(block)).cast("long"))
     shards = materialize(shards, "shards")
@@ -138,11 +131,11 @@ def mix(
     # A source's blocks hold words / blocks tokens on average, the last of each shard being short.
     parties = parties.withColumn("votes", F.col("target") * F.col("blocks") / F.col("words"))
     house = F.round(F.sum("votes").over(Window.partitionBy())).cast("long")
-    parties = parties.select("source", "votes", (F.col("blocks") * int(cap)).cast("long").alias("most"), house.alias("house"))
+    parties = parties.select("source", "votes", F.floor(F.col("blocks") * F.lit(float(cap)) + 1e-9).cast("long").alias("most"), house.alias("house"))
     by_source = sainte_lague(parties, [], ["source"])
     house_of = by_source.select(F.col("source").alias("_s"), F.col("seats").alias("house"))
     in_source = shards.join(house_of, F.col("source").eqNullSafe(F.col("_s")))
-    in_source = in_source.select("source", "shard", "shard_size", "blocks", F.col("blocks").cast("double").alias("votes"), (F.col("blocks") * int(cap)).cast("long").alias("most"), "house")
+    in_source = in_source.select("source", "shard", "shard_size", "blocks", F.col("blocks").cast("double").alias("votes"), F.floor(F.col("blocks") * F.lit(float(cap)) + 1e-9).cast("long").alias("most"), "house")
     quotas = sainte_lague(in_source, ["source"], ["shard"])
     start = F.pmod(F.xxhash64("source", "shard", F.lit(seed + 1)), F.col("blocks"))
     quotas = quotas.select(
@@ -159,7 +152,7 @@ def mix(
     quotas = quotas.withColumn("to_b", F.greatest(F.lit(0), F.col("_start") + F.col("_run") - F.col("_blocks")) * block)
     quotas = materialize(quotas.drop("_run", "_start", "_blocks"), "quotas")
 
-    at = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id", "size", "text_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lined = placed.withColumn("_end", F.sum("size").over(at)).withColumn("_begin", F.col("_end") - F.col("size"))
     q = F.broadcast(quotas) if _few(quotas) else quotas
     joined = lined.join(q, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h")), "left")
@@ -174,21 +167,34 @@ def mix(
         F.col("source_size").cast("long").alias("source_size"),
         F.col("target").cast("double").alias("target"),
         F.coalesce(taken, F.lit(0)).cast("long").alias("taken"),
+        "text_key",
     )
 
 
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` for each row of ``docs``.
+
+    ``taken`` counts the words that the chosen blocks take from the row, repeats
+    counted: 2 * size at most. Null texts and texts without words have size 0 and
+    take 0. A null source is a source of its own. The order within a shard depends on
+    the seed, the id, the text's size and its hash alone; rows equal in these are alike, so
+    reruns agree. Options: ``weights, share, cap, block, shard, seed``; ``cap`` may be any number. No rows give no rows.
+    """
+    return _mix(docs, id_col, text_col, source_col, **options).drop("text_key")
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` in the mix, each as often as ``taken / size`` rounded half up.
 
-    A row without words is never taken. Rows that share an id share the largest count.
+    A row without words is never taken. Rows are told apart by id and text; those equal in both share the largest count.
     """
-    taken = mix(docs, id_col, text_col, source_col, **options)
+    taken = _mix(docs, id_col, text_col, source_col, **options)
     times = F.expr("(2 * taken + size) div (2 * size)")
-    copies = taken.where("size > 0").select(F.col("doc_id").alias("_id"), times.alias("_times")).where("_times > 0")
-    copies = copies.groupBy("_id").agg(F.max("_times").alias("_times"))
-    row = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_doc"))
-    repeated = row.join(copies, F.col("_doc").eqNullSafe(F.col("_id"))).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-    return repeated.select("_row.*")
+    copies = taken.where("size > 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), times.alias("_times")).where("_times > 0")
+    copies = copies.groupBy("_id", "_key").agg(F.max("_times").alias("_times"))
+    row = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_text"))
+    met = row.join(copies, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")))
+    return met.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select("_row.*")
 
 
 #: Rows of (source, numbers) that are broadcast at most; beyond it Spark joins by shuffle.

@@ -11,7 +11,9 @@ frequencies of their own. Every candidate of every text, a run of the credential
 of ``SHORTEST`` characters or more, is then scored by the logarithm of its likelihood under
 each automaton, its end included, over that under the language of the whole corpus, a model of
 character pairs counted over all texts outside the base spans. Candidates above the threshold,
-which their length sets, become spans beside those of the base patterns.
+which their length sets, become spans beside those of the base patterns. A run that is none as a
+whole is scored in parts, from every boundary (``BOUNDARY``) to every later one, up to ``PART``
+characters; of parts that overlap the one of the highest ratio is taken.
 """
 
 from __future__ import annotations
@@ -46,8 +48,11 @@ ALPHA = 0.05
 PRIOR, PAIR_PRIOR = 0.5, 64
 #: Log-likelihood ratio that a candidate must exceed, in all and for each character.
 TOTAL, EACH = 25.0, 1.0
-#: Judged candidates that a task remembers.
-REMEMBERED = 1 << 18
+#: Where a part of a run may begin after, or end before; and the characters of a part at most (a whole run has no such bound).
+BOUNDARY = frozenset("=/_-.+")
+PART = 512
+#: Judged runs that a task remembers, and the characters of one at most: 40 MB or so in all.
+REMEMBERED, REMEMBERED_LENGTH = 1 << 18, 64
 #: Character sets from narrow to wide; a value's is the first that holds all its letters and digits.
 SETS = {
     "<digit>": "0123456789",
@@ -230,6 +235,27 @@ class Format:
                 return -math.inf
         return total + log[state].get("", -math.inf)
 
+    def walk(self, run: str, start: int) -> Iterator[tuple[int, float]]:
+        """(end, score) of the parts of a run from ``start`` to a boundary or its end that the automaton accepts; it goes no further than one of the sets lets it."""
+        log, following = self.automaton.log, self.automaton.next
+        for name, within in self.within.items():
+            state, total = 0, 0.0
+            for i in range(start, min(len(run), start + PART) + 1):
+                whole = i == len(run)
+                if i - start >= SHORTEST and (whole or run[i] in BOUNDARY) and "" in log[state] and character_set(run[start:i]) == name:
+                    yield i, total + log[state][""]
+                if whole:
+                    break
+                c, own = run[i], following[state]
+                if c in own:
+                    total += log[state][c]
+                    state = own[c]
+                elif name in own and c in within:
+                    total += log[state][name] + within[c]
+                    state = own[name]
+                else:
+                    break
+
 
 def _pair_counts(texts: list[str]) -> np.ndarray:
     """Counts of the pairs of characters within and at the ends of runs of the credential alphabet."""
@@ -272,6 +298,10 @@ def _learnt(kind: list[int], value: list[str], n: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(value, pa.string()), pa.array(n, pa.int64())], ["kind", "value", "n"])
 
 
+#: Start, end, kind and score of what is taken in a run.
+Part = tuple[int, int, int, float]
+
+
 class Grammar:
     """The formats of the kinds, and the model of character pairs that they compete with."""
 
@@ -286,9 +316,14 @@ class Grammar:
         pairs = pairs + PAIR_PRIOR * single / single.sum()
         pairs[0, 0] = 0  # between runs
         self.plain = np.log(pairs / pairs.sum(1, keepdims=True), where=pairs > 0, out=np.full_like(pairs, -math.inf))
-        #: Values judged so far, and the verdicts on those taken for credentials.
+        #: Runs judged so far, and the parts of those that hold credentials.
         self.judged: set[str] = set()
-        self.taken: dict[str, tuple[int, float]] = {}
+        self.taken: dict[str, list[Part]] = {}
+
+    def _plain(self, run: str, start: int, end: int) -> float:
+        """Log-likelihood of a part of a run as ordinary text, between its neighbours."""
+        code = np.append(np.append(0, _CODE[np.frombuffer(run.encode(), np.uint8)]), 0)
+        return float(self.plain[code[start : end + 1], code[start + 1 : end + 2]].sum())
 
     def ratio(self, value: str) -> tuple[int, float]:
         """Kind of the best format, and the log-likelihood ratio of the value."""
@@ -297,26 +332,53 @@ class Grammar:
         best = max(scores, key=lambda k: (scores[k], -k), default=0)
         if not scores or scores[best] == -math.inf:
             return best, -math.inf
-        code = _CODE[np.frombuffer(value.encode(), np.uint8)]
-        return best, scores[best] - float(self.plain[np.append(0, code), np.append(code, 0)].sum())
+        return best, scores[best] - self._plain(value, 0, len(value))
 
     def judge(self, value: str) -> tuple[int, float] | None:
         """Kind and log-likelihood ratio a character, if the value is taken for a credential."""
         kind, ratio = self.ratio(value)
         return (kind, ratio / len(value)) if ratio > max(TOTAL, EACH * len(value)) else None
 
-    def accepted(self, values: list[str]) -> set[str]:
-        """Those of the values that are; verdicts are remembered."""
+    def parts(self, run: str) -> list[Part]:
+        """What of a run is taken for credentials: all of it or, if not, its best parts between boundaries that do not overlap."""
+        whole = self.judge(run)
+        if whole:
+            return [(0, len(run), *whole)]
+        starts = [i + 1 for i, c in enumerate(run) if c in BOUNDARY]
+        if not starts:
+            return []
+        found = []
+        for start in (0, *starts):
+            for k, f in self.formats.items():
+                for end, score in f.walk(run, start):
+                    ratio = score - self._plain(run, start, end)
+                    if ratio > max(TOTAL, EACH * (end - start)):
+                        found.append((-ratio, k, start, end))
+        out: list[Part] = []
+        for ratio, k, start, end in sorted(found):
+            if all(end <= s or e <= start for s, e, _, _ in out):
+                out.append((start, end, k, -ratio / (end - start)))
+        return sorted(out)
+
+    def accepted(self, runs: list[str]) -> dict[str, list[Part]]:
+        """Those of the runs that hold credentials, with where; what short runs hold is remembered."""
         if len(self.judged) > REMEMBERED:
             self.judged.clear()
             self.taken.clear()
-        found = set(values)
-        for value in found - self.judged:
-            verdict = self.judge(value)
-            if verdict:
-                self.taken[value] = verdict
-        self.judged |= found
-        return found & self.taken.keys() if self.taken else set()
+        found, out = set(runs), {}
+        for run in found:
+            if run in self.judged:
+                if run in self.taken:
+                    out[run] = self.taken[run]
+                continue
+            parts = self.parts(run)
+            if parts:
+                out[run] = parts
+            if len(run) <= REMEMBERED_LENGTH:
+                self.judged.add(run)
+                if parts:
+                    self.taken[run] = parts
+        return out
 
 
 def scan_text(text: str, grammar: Grammar) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float]]]:
@@ -326,8 +388,10 @@ def scan_text(text: str, grammar: Grammar) -> tuple[list[tuple[int, int, int]],
     taken = grammar.accepted(CANDIDATE.findall(text))
     if taken:
         for m in CANDIDATE.finditer(text):
-            if m[0] in taken and not any(s < m.end() and m.start() < e for s, e, _ in base):
-                extra.append((m.start(), m.end(), *grammar.taken[m[0]]))
+            for start, end, kind, score in taken.get(m[0], ()):
+                start, end = m.start() + start, m.start() + end
+                if not any(s < end and start < e for s, e, _ in base):
+                    extra.append((start, end, kind, score))
     return base, extra
 
 

@@ -226,6 +226,53 @@ def test_secret_scan_finds_keys_that_no_pattern_matches(spark):
             assert found.n_assign == 0 and found.spans == f"assign:{at}:{at + 32}" and found.top_score > secret_scan.EACH
 
 
+def test_secret_scan_finds_keys_within_runs(spark):
+    hexes, tokens, prose = keys_and_words()
+    rest = tokens[20:]
+    around = ["auth={}", "?sig={}", "path/{}", "x-{}", "x_{}", "h:{}", "({})", "{}=", "{}.", "https://host.example/a/b?sig={}&x=1", "a=b-{}/c"]
+    none_ = ["123e4567-e89b-12d3-a456-426614174000", "2024-01-15/2024-02-20", "well-known-state-of-the-art-method", "path/to/internationalization/responsabilidades", "sk_live_", "a-" * 3000, "x=" + "/".join("the quick brown fox".split() * 300)]
+    rows = [f'{p} api_key = "{t}" {p}' for p, t in zip(prose, rest, strict=False)] + prose
+    asked = [f"{prose[0]} {a.format(t)} {prose[1]}" for a, t in zip(around, tokens[5:], strict=False)] + [f"{prose[0]} {x} {prose[1]}" for x in none_] + [f"{prose[0]} u={tokens[1]}&v={tokens[2]} auth={tokens[3]}/{tokens[4]} {prose[1]}"]
+    docs = spark.createDataFrame(list(enumerate(rows + asked)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in secret_scan.scan_secrets(docs).collect()}
+    for i, text in enumerate(asked, len(rows)):
+        want = [text.index(t) for t in tokens[:20] if t in text]
+        assert got[i].spans == ",".join(f"assign:{a}:{a + 32}" for a in want), text[:400]
+
+
+def test_secret_scan_remembers_short_runs_only():
+    hexes, tokens, prose = keys_and_words()
+    grammar = secret_scan.Grammar([(2, k) for k in hexes] + [(0, t) for t in tokens], secret_scan._pair_counts(prose).reshape(secret_scan._WIDTH, -1))
+    runs = [*tokens[:3], "word" * 9, "x" * 5000, "-".join(tokens[:4])]
+    assert set(grammar.accepted(runs)) == {*tokens[:3], runs[-1]} and grammar.accepted(runs) == grammar.accepted(runs[::-1])
+    assert grammar.judged == {*tokens[:3], "word" * 9}
+
+
+def test_bpe_forgets_long_pieces():
+    codec = byte_bpe.load_codec()
+    texts = ["curta e " + "漢字" * 2000 + " fim", "x" * 4000, " ".join("漢" * 40 + str(k) for k in range(500))]
+    first = codec.encode(texts)
+    assert max(map(len, codec.pieces)) <= byte_bpe.MEMO_LENGTH and max(map(len, codec.tokens)) <= byte_bpe.MEMO_LENGTH and not codec.long
+    assert codec.encode(texts) == first and [codec.decode(x).decode() for x in first] == texts
+
+
+@pytest.mark.parametrize("cap", [1.5, 1.0, 2.0])
+def test_mix_with_any_cap_and_namesakes(spark, cap):
+    """A cap that is no whole number holds for each source; rows that share an id are taken each by its own text."""
+    rows = [(k % 40 if k % 7 else None, " ".join(f"w{k}" for _ in range(5 + k)), "ab"[k % 3 == 0]) for k in range(160)] + [(None, None, "a"), (None, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    taken = mixing.mix(docs, cap=cap, share=5.0, block=8).collect()
+    size = Counter()
+    for i, t, s in rows:
+        size[s] += len((t or "").split())
+    for s in "ab":
+        own = [r for r in taken if r.source_size == size[s] and r.size]
+        assert sum(r.taken for r in own) == pytest.approx(cap * size[s], abs=8 * 2)
+    times = {(r.doc_id, r.size): (2 * r.taken + r.size) // (2 * r.size) for r in taken if r.size}
+    got = Counter((r.doc_id, len(r.text.split())) for r in mixing.mixed(docs, cap=cap, share=5.0, block=8).collect())
+    assert got == {k: n for k, n in times.items() if n}
+
+
 def test_license_scan(docs, none):
     def words(t):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))
