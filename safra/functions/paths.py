@@ -53,16 +53,16 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(file_name(path), r"^(\.*[^.]+)((?:\.[^.]+)*)$", "$1")
 
 
-def primary_extension(path: Column) -> Column:
-    """The right-most structured suffix, else what a directory says, else the last suffix."""
-    known = F.reverse(F.filter(suffixes(path), lambda s: s.isin(STRUCTURED)))
+def primary_of(own: Column, path: Column) -> Column:
+    """The right-most structured one of a path's suffixes, else what a directory says, else the last suffix."""
+    known = F.reverse(F.filter(own, lambda s: s.isin(STRUCTURED)))
     hint = F.coalesce(*[F.when(F.upper(path).contains(f"/{k.upper()}/"), f".{k}") for k in ("json", "xml", "csv", "parquet")])
-    return F.coalesce(F.try_element_at(known, F.lit(1)), hint, F.try_element_at(F.reverse(suffixes(path)), F.lit(1)))
+    return F.coalesce(F.try_element_at(known, F.lit(1)), hint, F.try_element_at(own, F.lit(-1)))
 
 
-def format_family(path: Column) -> Column:
-    ext = primary_extension(path)
-    wrapped = F.exists(suffixes(path), lambda s: s.isin(WRAPPERS))
+def family_of(ext: Column, own: Column) -> Column:
+    """By primary extension and suffixes."""
+    wrapped = F.exists(own, lambda s: s.isin(WRAPPERS))
     return (
         F.when(ext.isin(".dbf", ".dbc"), "dbase")
         .when(ext.isin(".json", ".xml", ".csv", ".parquet"), F.substring(ext, 2, 10))
@@ -71,6 +71,14 @@ def format_family(path: Column) -> Column:
     )
 
 
+def primary_extension(path: Column) -> Column:
+    return primary_of(suffixes(path), path)
+
+
+def format_family(path: Column) -> Column:
+    return family_of(primary_extension(path), suffixes(path))
+
+
 def is_structured(path: Column) -> Column:
     return F.coalesce(primary_extension(path).isin(STRUCTURED), F.lit(False)) | (format_family(path) == "archive")
 

@@ -25,13 +25,16 @@ def inventory(files: DataFrame) -> DataFrame:
     kept = files.where(~p.is_excluded(path))
     if "entry_type" in files.columns:
         kept = kept.where(F.coalesce("entry_type", F.lit("")) != "dir")
-    told = F.struct(
-        p.directory(path).alias("directory"), p.file_name(path).alias("filename"), p.extension_chain(path).alias("extension"), p.primary_extension(path).alias("primary_extension"), p.format_family(path).alias("format_family"),
-        p.system_guess(p.directory(path)).alias("system_guess"), p.path_type(path).alias("path_type"), p.name_grammar(p.stem(path)).alias("g"),
+    c = F.col
+    # A row for a row, twice: what follows reads fields instead of repeating the expressions that made them.
+    plain = F.struct(p.directory(path).alias("directory"), p.file_name(path).alias("filename"), p.extension_chain(path).alias("extension"), p.suffixes(path).alias("suffixes"), p.stem(path).alias("stem"))
+    cut_ = kept.select("path", F.explode(F.array(plain)).alias("t"))
+    told = F.struct(p.primary_of(c("t.suffixes"), path).alias("primary_extension"), p.name_grammar(c("t.stem")).alias("g"), p.system_guess(c("t.directory")).alias("system_guess"))
+    named = cut_.select("path", "t", F.explode(F.array(told)).alias("u"))
+    return named.select(
+        "path", "t.directory", "t.filename", "t.extension", "u.primary_extension", p.family_of(c("u.primary_extension"), c("t.suffixes")).alias("format_family"), "u.system_guess", p.path_type(path).alias("path_type"),
+        "u.g.pattern_name", "u.g.series_prefix", "u.g.geo_code", "u.g.date_code",
     )
-    # A row for a row: what follows reads the fields instead of repeating their expressions.
-    named = kept.select("path", F.explode(F.array(told)).alias("t"))
-    return named.select("path", "t.directory", "t.filename", "t.extension", "t.primary_extension", "t.format_family", "t.system_guess", "t.path_type", "t.g.pattern_name", "t.g.series_prefix", "t.g.geo_code", "t.g.date_code")
 
 
 def with_discard_reason(files: DataFrame) -> DataFrame:
@@ -88,12 +91,32 @@ def series_catalog(files: DataFrame) -> DataFrame:
     meanings = by_dir.groupBy("series_prefix").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("directory", "meaning")))).alias("path_semantics"))
     series = rows.groupBy("series_prefix").agg(
         F.sort_array(F.collect_set("geo_code")).alias("geo_coverage"), F.min("period").alias("first_period"), F.max("period").alias("last_period"), F.count(F.lit(1)).alias("file_count"),
-        F.sort_array(F.collect_set("directory")).alias("source_paths"), F.first("date_format").alias("date_format"), F.min("system_guess").alias("system_guess"), F.min_by("filename", "path").alias("sample"),
+        F.sort_array(F.collect_set("directory")).alias("source_paths"), F.first("date_format").alias("date_format"), F.min("system_guess").alias("system_guess"),
     )
     series = series.withColumn("partition_type", partition_type(F.col("geo_coverage"))).where("partition_type != 'Unknown'")
     named = series.withColumn("series_id", F.concat_ws(":", F.coalesce("system_guess", F.lit("UNKNOWN")), "series_prefix"))
     shown = F.concat_ws(" to ", t.display(F.col("first_period")), t.display(F.col("last_period")))
-    return named.withColumn("time_range_display", shown).join(meanings, "series_prefix")
+    nth = F.row_number().over(Window.partitionBy("series_prefix").orderBy("path"))
+    first = rows.select("series_prefix", "path", "filename").withColumn("_r", nth).where(F.col("_r") <= SAMPLE_FILES)
+    samples = first.groupBy("series_prefix").agg(F.transform(F.sort_array(F.collect_list(F.struct("_r", "filename"))), lambda s: s["filename"]).alias("file_samples"))
+    return named.withColumn("time_range_display", shown).join(meanings, "series_prefix").join(samples, "series_prefix")
+
+
+# Share of a series' two-letter codes that must be states, and their number.
+STATE_SHARE, STATE_CODES = 0.35, 4
+
+
+def validated_series(files: DataFrame) -> DataFrame:
+    """``series_prefix, partition_type, first_code, last_code, geo_coverage, file_count, source_paths`` of prefixes of structured files, by the share of states among their two-letter codes; unknown ones drop out."""
+    rows = files.where("series_prefix is not null").where(F.col("primary_extension").isin(p.STRUCTURED))
+    series = rows.groupBy("series_prefix").agg(
+        F.sort_array(F.collect_set("geo_code")).alias("geo_coverage"), F.min(F.col("date_code").try_cast("long")).alias("first_code"), F.max(F.col("date_code").try_cast("long")).alias("last_code"), F.count(F.lit(1)).alias("file_count"), F.sort_array(F.collect_set("directory")).alias("source_paths"),
+    )
+    two = F.size(F.filter("geo_coverage", lambda g: F.length(g) == 2))
+    found = F.size(F.array_intersect("geo_coverage", F.array(*[F.lit(u) for u in p.UF])))
+    states, nation = (F.try_divide(found, two) >= STATE_SHARE) & (found >= STATE_CODES), F.array_contains("geo_coverage", "BR")
+    kind = F.when(states & nation, "Mixed-Partition").when(states, "State-Partitioned").when(nation, "Nation-Wide")
+    return series.withColumn("partition_type", kind).where("partition_type is not null")
 
 
 def physical_groups(files: DataFrame) -> DataFrame:

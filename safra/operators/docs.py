@@ -139,6 +139,16 @@ def token_overlap(families: DataFrame, documents: DataFrame, family: str, docume
     return counted.where(F.col("overlap") >= least).select(family, document, "overlap")
 
 
+def matched(docs: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The documents that some family has; ``known`` has their keys."""
+    return docs.join(known.select(key).distinct(), key, "left_semi")
+
+
+def orphans(docs: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The documents that no family has."""
+    return docs.join(known.select(key).distinct(), key, "left_anti")
+
+
 def pdf_audit(files: DataFrame, matched: DataFrame, endpoint: str, most: int = 100, listed: int = 200) -> DataFrame:
     """The PDFs below an endpoint against those that some family is associated with: ``section, item, n, rank``.
 

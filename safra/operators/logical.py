@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as p
 from ..functions import periods as t
+from .intervals import beside
 
 # Directory and file-name words, period bounds, scores of readings of a name.
 DOC_EXTENSIONS = [".pdf", ".txt", ".md", ".doc", ".docx", ".xls", ".xlsx", ".csv", ".zip"]
@@ -101,7 +102,8 @@ def inventory(files: DataFrame) -> DataFrame:
     long expression is evaluated once a row and not once for each of its fields.
     """
     path, c = F.col("path"), F.col
-    cut_ = files.select("path", p.directory(path).alias("directory"), p.components(path).alias("_parts"), F.lower(p.file_name(path)).alias("_name"), F.upper(p.stem(path)).alias("_stem"), p.primary_extension(path).alias("primary_extension"))
+    plain = F.struct(p.directory(path).alias("directory"), p.components(path).alias("_parts"), F.lower(p.file_name(path)).alias("_name"), F.upper(p.stem(path)).alias("_stem"), p.primary_extension(path).alias("primary_extension"))
+    cut_ = files.select("path", F.explode(F.array(plain)).alias("_t")).select("path", "_t.*")
     cut_ = cut_.withColumn("format_family", format_family(c("primary_extension")))
     cut_ = cut_.withColumns({"_upper": F.transform("_parts", F.upper), "_dirs": F.slice("_parts", F.lit(1), F.size("_parts") - 1)})
     both = F.struct(context(c("_dirs")).alias("c"), reading(c("_stem")).alias("r"))
@@ -228,6 +230,28 @@ def common_root(rows: DataFrame, keys: list[str], path: str) -> DataFrame:
     return ends.select(*keys, "count", F.concat(F.lit("/"), F.array_join(shared, "/")).alias("common_prefix"))
 
 
+def compress_paths(rows: DataFrame, keys: list[str], path: str, most: int = 8) -> DataFrame:
+    """``common_root`` with ``tails``: what the first ``most`` distinct paths of each group, in order, have beyond the common beginning ("." for nothing)."""
+    each = rows.select(*keys, F.col(path).alias("_p")).distinct()
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_p"))
+    few = each.withColumn("_r", nth).where(F.col("_r") <= most).groupBy(*keys).agg(F.sort_array(F.collect_list("_p")).alias("_first"))
+    met = beside(common_root(rows, keys, path), few, keys)
+    deep = F.size(p.components(F.col("common_prefix")))
+    tails = F.transform("_first", lambda q: F.coalesce(F.nullif(F.array_join(F.slice(p.components(q), deep + 1, F.size(p.components(q))), "/"), F.lit("")), F.lit(".")))
+    return met.withColumn("tails", tails).drop("_first")
+
+
+def doc_rows(rows: DataFrame, base_url: str) -> DataFrame:
+    """The documents of an inventory as ``associate_by_words`` takes them: ``path, url, filename, directory, system, subsystem, distribution_root, format_family, doc_scope_hint, keyword_hits``."""
+    name = p.file_name(F.col("path"))
+    words = F.array(*[F.lit(w) for w in sorted(DOC_WORDS)])
+    in_docs = F.arrays_overlap(F.transform(p.components(F.col("path")), F.lower), F.array(F.lit("doc"), F.lit("docs")))
+    scope = F.when(in_docs & F.col("subsystem").isNull(), "system").when(F.col("subsystem").isNotNull(), "subsystem").otherwise("generic")
+    return rows.where("asset_kind = 'doc'").select(
+        "path", F.concat(F.lit(base_url.rstrip("/")), "path").alias("url"), name.alias("filename"), "directory", "system", "subsystem", "distribution_root", "format_family", scope.alias("doc_scope_hint"), F.filter(words, lambda w: F.lower(name).contains(w)).alias("keyword_hits"),
+    )
+
+
 def panel_files(rows: DataFrame) -> DataFrame:
     """The best file of each family, period and state."""
     return best_files(data_files(rows).where(F.col("geo_code").isin(p.UF)), [*FAMILY, "period", "geo_code"])

@@ -74,15 +74,15 @@ def schema_signature(profiles: DataFrame) -> DataFrame:
 
 
 def variable_catalog(profiles: DataFrame, members: DataFrame | None = None, per_list: int = 12) -> DataFrame:
-    """One row per variable (upper case): families and files that have it, its types by frequency, frequent samples.
+    """One row per variable (upper case): families and files that have it, those families (``scopes``), its types, samples and signals by frequency.
 
     ``members`` maps ``path`` to ``family_id``, one path to any number of families.
     """
     rows = profiles.withColumn("variable", F.upper("name"))
     if members is not None:
-        families = rows.join(members.select("path", "family_id").distinct(), "path", "left").groupBy("variable").agg(F.countDistinct("family_id").alias("family_count"))
+        families = rows.join(members.select("path", "family_id").distinct(), "path", "left").groupBy("variable").agg(F.countDistinct("family_id").alias("family_count"), F.sort_array(F.collect_set("family_id")).alias("scopes"))
     else:
-        families = rows.groupBy("variable").agg(F.lit(0).cast("long").alias("family_count"))
+        families = rows.groupBy("variable").agg(F.lit(0).cast("long").alias("family_count"), F.any_value(F.array().cast("array<string>")).alias("scopes"))
     base = rows.groupBy("variable").agg(F.countDistinct("path").alias("file_count"))
 
     def ranked(value: Column, name: str, source: DataFrame) -> DataFrame:
@@ -93,7 +93,10 @@ def variable_catalog(profiles: DataFrame, members: DataFrame | None = None, per_
 
     types = ranked(F.col("primitive_type"), "primitive_types", rows)
     samples = ranked(F.col("s"), "samples", rows.withColumn("s", F.explode("samples")))
-    return reduce(lambda a, b: a.join(b, "variable", "left"), [types, samples], base.join(families, "variable"))
+    lists = [types, samples]
+    if "signals" in profiles.columns:
+        lists.append(ranked(F.col("s"), "signals", rows.withColumn("s", F.explode("signals"))))
+    return reduce(lambda a, b: a.join(b, "variable", "left"), lists, base.join(families, "variable"))
 
 
 def jaccard_pairs(members: DataFrame, item: str, value: str, least: float = 0.0) -> DataFrame:

@@ -42,7 +42,7 @@ def metrics(pairs: DataFrame) -> DataFrame:
 
 def most_disputed(measured: DataFrame, most: int = 50) -> DataFrame:
     """The ``most`` pairs on which the measures differ most, with their rank."""
-    top = measured.orderBy(F.desc("spread"), "a", "b").limit(most)
+    top = measured.where("spread is not null").orderBy(F.desc("spread"), "a", "b").limit(most)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("spread"), "a", "b")))
 
 

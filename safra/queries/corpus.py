@@ -48,7 +48,7 @@ def partition_classify(spark, d):
 def series_catalog(spark, d):
     s = c.series_catalog(_files(spark, d))
     meanings = F.array_join(F.transform(F.map_entries("path_semantics"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
-    return s.select("series_id", "partition_type", "date_format", "first_period", "last_period", "time_range_display", F.array_join("geo_coverage", ",").alias("geo_coverage"), "file_count", F.array_join("source_paths", ",").alias("source_paths"), meanings.alias("path_semantics"))
+    return s.select("series_id", "partition_type", "date_format", "first_period", "last_period", "time_range_display", F.array_join("geo_coverage", ",").alias("geo_coverage"), "file_count", F.array_join("source_paths", ",").alias("source_paths"), meanings.alias("path_semantics"), F.array_join("file_samples", ",").alias("file_samples"))
 
 
 def physical_groups(spark, d):
@@ -168,7 +168,17 @@ def family_issue_matrix(spark, d):
 
 def orphan_documents(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
-    return docs.join(table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_anti").groupBy("source").agg(F.count(F.lit(1)).alias("orphans"))
+    return docs_.orphans(docs, table(spark, d, "labels"), "doc_id").groupBy("source").agg(F.count(F.lit(1)).alias("orphans"))
+
+
+def matched_documents(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    return docs_.matched(docs, table(spark, d, "labels"), "doc_id").groupBy("source").agg(F.count(F.lit(1)).alias("matched"))
+
+
+def validated_series(spark, d):
+    joined = lambda k: F.array_join(k, ",").alias(k)
+    return c.validated_series(_files(spark, d)).select("series_prefix", "partition_type", "first_code", "last_code", joined("geo_coverage"), "file_count", joined("source_paths"))
 
 
 def doc_token_overlap(spark, d):
@@ -204,7 +214,7 @@ QUERIES = {
     for f in (
         filename_grammar, discard_reasons, date_format_infer, normalized_periods, partition_classify, series_catalog, physical_groups, dataset_families, family_clusters, family_rank_ids,
         preferred_series, series_segments, preferred_working_series, family_summary, candidate_docs, group_pairs, coverage_gaps, compress_ranges, state_panel, multi_grammar_parse, scan_diff, family_registry, family_audit, family_issue_matrix,
-        orphan_documents, doc_token_overlap, candidate_select, download_plan,
+        orphan_documents, matched_documents, validated_series, doc_token_overlap, candidate_select, download_plan,
     )
 }
 
@@ -259,10 +269,10 @@ SQL = {
     "normalized_periods": f"WITH {MANIFEST_SQL}, m AS (SELECT path, {_PERIOD} AS period FROM manifest) SELECT path, period, {_SHOW.format('period')} AS shown FROM m",
     "partition_classify": f"WITH {MANIFEST_SQL} SELECT prefix AS series_prefix, directory, CAST(count(DISTINCT geo) AS INTEGER) AS places, {_PART} AS partition_type FROM manifest GROUP BY 1, 2",
     "series_catalog": f"""WITH {MANIFEST_SQL}, m AS (SELECT *, {_PERIOD} AS period, {_SYSTEM} AS sys FROM manifest), k AS (SELECT *, count(*) OVER (PARTITION BY directory) AS n FROM m), v AS (SELECT * FROM k WHERE n >= 5),
-        s AS (SELECT prefix, min(sys) AS sys, {_PART} AS partition_type, {_FMT} AS date_format, min(period) AS first_period, max(period) AS last_period, array_to_string(list_sort(list(DISTINCT geo)), ',') AS geo_coverage, count(*) AS file_count, array_to_string(list_sort(list(DISTINCT directory)), ',') AS source_paths FROM v GROUP BY prefix),
+        s AS (SELECT prefix, min(sys) AS sys, {_PART} AS partition_type, {_FMT} AS date_format, min(period) AS first_period, max(period) AS last_period, array_to_string(list_sort(list(DISTINCT geo)), ',') AS geo_coverage, count(*) AS file_count, array_to_string(list_sort(list(DISTINCT directory)), ',') AS source_paths, array_to_string(list(regexp_extract(path, '[^/]*$') ORDER BY path)[1:10], ',') AS file_samples FROM v GROUP BY prefix),
         d AS (SELECT prefix, directory, max(period) AS own, max(max(period)) OVER (PARTITION BY prefix) AS top FROM v GROUP BY 1, 2),
         w AS (SELECT prefix, string_agg(directory || '=' || CASE WHEN directory LIKE '%PRELIM%' THEN '[Staging]' WHEN top - own > CASE WHEN prefix = 'SMALL' THEN 5 ELSE 500 END THEN '[Legacy Archive]' ELSE '[Primary]' END, ';' ORDER BY directory) AS path_semantics FROM d GROUP BY 1)
-        SELECT sys || ':' || prefix AS series_id, partition_type, date_format, first_period, last_period, {_SHOW.format('first_period')} || ' to ' || {_SHOW.format('last_period')} AS time_range_display, geo_coverage, file_count, source_paths, path_semantics FROM s JOIN w USING (prefix) WHERE partition_type <> 'Unknown'""",
+        SELECT sys || ':' || prefix AS series_id, partition_type, date_format, first_period, last_period, {_SHOW.format('first_period')} || ' to ' || {_SHOW.format('last_period')} AS time_range_display, geo_coverage, file_count, source_paths, path_semantics, file_samples FROM s JOIN w USING (prefix) WHERE partition_type <> 'Unknown'""",
     "physical_groups": f"""WITH {MANIFEST_SQL}, m AS (SELECT *, {_PERIOD} AS period, {_SYSTEM} AS sys, {_FAMILY} AS fam FROM manifest)
         SELECT sys AS system_guess, prefix AS series_prefix, {_PART} AS partition_type, {_FMT} AS date_format, min(period) AS time_min, max(period) AS time_max, count(*) AS file_count, array_to_string(list_sort(list(DISTINCT fam)), ',') AS format_families FROM m GROUP BY sys, prefix""",
     "dataset_families": f"""{_PREF}, {_FAMILIES}
@@ -299,6 +309,10 @@ SQL = {
     "family_audit": f"{_ISSUES} SELECT split_part(c, ':', 1) AS code, split_part(c, ':', 2) AS severity, count(DISTINCT family_id) AS families, array_to_string(list_sort(list(DISTINCT family_id)), ',') AS family_ids FROM i WHERE c IS NOT NULL GROUP BY 1, 2",
     "family_issue_matrix": _ISSUES + " SELECT CAST(l AS INTEGER) AS systems, " + ", ".join(f"count(*) FILTER (WHERE c LIKE '{k}:%') AS {k}" for k in ("coverage_gaps", "missing_date_format", "multi_source_system_family", "no_associated_docs", "stitched_preferred_working_series", "unknown_partition_type")) + " FROM i WHERE c IS NOT NULL GROUP BY 1",
     "orphan_documents": "SELECT source, count(*) AS orphans FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1",
+    "matched_documents": "SELECT source, count(*) AS matched FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1",
+    "validated_series": f"""WITH {MANIFEST_SQL}, s AS (SELECT prefix, list_sort(list(DISTINCT geo)) AS g, min(CAST(code AS BIGINT)) AS a, max(CAST(code AS BIGINT)) AS b, count(*) AS n, array_to_string(list_sort(list(DISTINCT directory)), ',') AS paths FROM manifest GROUP BY 1),
+        u AS (SELECT *, len(list_intersect(g, {UF_LIST})) AS k, list_contains(g, 'BR') AS br FROM s), t AS (SELECT *, k >= 4 AND k / len(g) >= 0.35 AS st FROM u)
+        SELECT prefix AS series_prefix, CASE WHEN st AND br THEN 'Mixed-Partition' WHEN st THEN 'State-Partitioned' ELSE 'Nation-Wide' END AS partition_type, a AS first_code, b AS last_code, array_to_string(g, ',') AS geo_coverage, n AS file_count, paths AS source_paths FROM t WHERE st OR br""",
     "doc_token_overlap": f"""WITH w AS (SELECT p_partkey, p_type, unnest({_WORDS}) AS word FROM part), f AS (SELECT DISTINCT p_type AS family, word FROM w),
         o AS (SELECT family, p_partkey, count(*) AS overlap FROM f JOIN w USING (word) GROUP BY 1, 2 HAVING count(*) >= 2) SELECT family, count(*) AS documents, CAST(sum(overlap) AS BIGINT) AS overlap FROM o GROUP BY 1""",
     "download_plan": f"WITH {MANIFEST_SQL} SELECT path, 'https://example.org' || path AS url, '/lake/raw' || path AS target_path, 'planned' AS status FROM manifest",

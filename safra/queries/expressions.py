@@ -89,6 +89,21 @@ def string_metrics(spark, d):
     return strings.metrics(strings.similar_names(table(spark, d, "part").select("p_name"), "p_name", 0.5)).select("a", "b", "edits", "damerau", "hamming", rounded("jaro_winkler"), rounded("jaccard"), rounded("dice"), rounded("overlap"), rounded("cosine"), rounded("spread"))
 
 
+def disputed_pairs(spark, d):
+    """Pairs of names on which the measures differ most."""
+    from ..operators import strings
+
+    told = strings.metrics(strings.similar_names(table(spark, d, "part").select("p_name"), "p_name", 0.5))
+    return strings.most_disputed(told.withColumn("spread", F.round("spread", 6)), 20).select("a", "b", "spread", "rank")
+
+
+def row_sample(spark, d):
+    """A thousand order lines, the same ones in any run."""
+    from ..operators import extensions
+
+    return extensions.sample_rows(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], 1000)
+
+
 def signatures(spark, d):
     return table(spark, d, "nation").select("n_nationkey", codes.signature(F.array(F.lit("n_name"), F.col("n_name"))).alias("signature"), F.sha2("n_name", 256).alias("sha256"))
 
@@ -113,13 +128,17 @@ QUERIES = {
     f.__name__: f
     for f in (
         municipality_normalize, date_parse_multi, text_normalize, text_normalize_exact, code_normalize_list, path_parse, suffix_chain, period_ord_kind, payload_normalize, aggregate_to_record,
-        string_metrics, signatures, column_summary, list_lines,
+        string_metrics, disputed_pairs, row_sample, signatures, column_summary, list_lines,
     )
 }
 
 _PATH = "regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '[?#].*$', '')"
 _NORM = "regexp_replace(trim(regexp_replace(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^\\p{L}\\p{N}_\\s-]', ' ', 'g'), '[\\s\\x{00a0}]+', ' ', 'g')), ' *- *', '-', 'g')"
 _LIST = ",".join(f"'{x}'" for x in _NAMES)
+_METRICS = """WITH p AS (SELECT DISTINCT p_name AS n FROM part), g AS (SELECT n, list_distinct([substr(n, i, 3) FOR i IN range(1, length(n) - 1)]) AS g FROM p),
+        k AS (SELECT x.n AS a, y.n AS b, len(list_intersect(x.g, y.g)) AS i, len(x.g) AS u, len(y.g) AS v FROM g x JOIN g y ON x.n < y.n),
+        m AS (SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS edits, CAST(damerau_levenshtein(a, b) AS INTEGER) AS damerau, jaro_winkler_similarity(a, b) AS jw, CASE WHEN length(a) = length(b) THEN CAST(hamming(a, b) AS INTEGER) END AS hamming, CAST(i AS DOUBLE) / (u + v - i) AS jaccard, 2.0 * i / (u + v) AS dice, CAST(i AS DOUBLE) / least(u, v) AS overlap, i / sqrt(u * v) AS cosine FROM k WHERE CAST(i AS DOUBLE) / (u + v - i) >= 0.5)
+        SELECT a, b, edits, damerau, hamming, round(jw, 6) AS jaro_winkler, round(jaccard, 6) AS jaccard, round(dice, 6) AS dice, round(overlap, 6) AS overlap, round(cosine, 6) AS cosine, round(list_stddev_pop([jaccard, dice, overlap, cosine]), 6) AS spread FROM m"""
 SQL = {
     "municipality_normalize": """SELECT c_custkey, CASE length(s) WHEN 6 THEN s || '0' WHEN 7 THEN s END AS code FROM (SELECT c_custkey,
         left(lpad(CAST(c_custkey AS VARCHAR), CAST(5 + c_custkey % 4 AS INTEGER), '1'), CAST(5 + c_custkey % 4 AS INTEGER)) AS s FROM customer)""",
@@ -145,10 +164,8 @@ SQL = {
         CASE WHEN k < 3 THEN CAST(year(t) AS INTEGER) END AS year, CASE WHEN k IN (1, 2) THEN CAST(month(t) AS INTEGER) END AS month FROM s""",
     "payload_normalize": """SELECT event_id, CASE event_id % 5 WHEN 0 THEN CAST(json_extract_string(props, '$.k') || '.5' AS DOUBLE) WHEN 4 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS value FROM events""",
     "aggregate_to_record": """SELECT lpad(CAST(user_id AS VARCHAR), 7, '3') AS municipality, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, value IS NOT NULL AS included, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1,2,3,4""",
-    "string_metrics": """WITH p AS (SELECT DISTINCT p_name AS n FROM part), g AS (SELECT n, list_distinct([substr(n, i, 3) FOR i IN range(1, length(n) - 1)]) AS g FROM p),
-        k AS (SELECT x.n AS a, y.n AS b, len(list_intersect(x.g, y.g)) AS i, len(x.g) AS u, len(y.g) AS v FROM g x JOIN g y ON x.n < y.n),
-        m AS (SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS edits, CAST(damerau_levenshtein(a, b) AS INTEGER) AS damerau, jaro_winkler_similarity(a, b) AS jw, CASE WHEN length(a) = length(b) THEN CAST(hamming(a, b) AS INTEGER) END AS hamming, CAST(i AS DOUBLE) / (u + v - i) AS jaccard, 2.0 * i / (u + v) AS dice, CAST(i AS DOUBLE) / least(u, v) AS overlap, i / sqrt(u * v) AS cosine FROM k WHERE CAST(i AS DOUBLE) / (u + v - i) >= 0.5)
-        SELECT a, b, edits, damerau, hamming, round(jw, 6) AS jaro_winkler, round(jaccard, 6) AS jaccard, round(dice, 6) AS dice, round(overlap, 6) AS overlap, round(cosine, 6) AS cosine, round(list_stddev_pop([jaccard, dice, overlap, cosine]), 6) AS spread FROM m""",
+    "string_metrics": _METRICS,
+    "disputed_pairs": f"SELECT a, b, spread, CAST(row_number() OVER (ORDER BY spread DESC, a, b) AS INTEGER) AS rank FROM ({_METRICS}) WHERE spread IS NOT NULL ORDER BY spread DESC, a, b LIMIT 20",
     "signatures": "SELECT n_nationkey, left(sha1('n_name|' || n_name), 16) AS signature, sha256(n_name) AS sha256 FROM nation",
     "column_summary": """WITH p AS (SELECT p_type, CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END AS v FROM part)
         SELECT p_type, count(*) AS n, round(avg(CASE WHEN v IS NULL THEN 1 ELSE 0 END), 9) AS na_rate, min(v) AS low, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS median, round(avg(v), 6) AS mean, round(quantile_cont(v, 0.75), 6) AS q3, max(v) AS high FROM p GROUP BY 1""",

@@ -16,7 +16,7 @@ from .profile import _FACTS, _SIG, _cells
 
 
 #: Files that hold no data: a document of a system and of a subsystem, a table of codes, a program; a number each nation.
-_OTHERS = ["SYSA/DOCS/LAYOUT{}.pdf", "SYSB/ESPECIAL/DOCS/GUIA{}.pdf", "SYSC/TABELAS/CODIGOS{}.cnv", "SYSA/programa{}.exe"]
+_OTHERS = ["SYSA/DOCS/LAYOUT{}.pdf", "SYSB/ESPECIAL/DOCS/GUIA{}.pdf", "SYSC/TABELAS/CODIGOS{}.cnv", "SYSA/instalador{}.exe", "SYSC/TABELAS/dicionario{}.pdf"]
 
 
 def _files(spark, d):
@@ -51,6 +51,15 @@ def common_roots(spark, d):
     return l.common_root(l.data_files(_files(spark, d)), ["system"], "path")
 
 
+def path_tails(spark, d):
+    return l.compress_paths(l.data_files(_files(spark, d)), ["system"], "path").withColumn("tails", F.array_join("tails", ","))
+
+
+def doc_rows(spark, d):
+    told = l.doc_rows(_files(spark, d), "https://example.org/")
+    return told.select("path", "url", "filename", "directory", "system", "subsystem", "format_family", "doc_scope_hint", F.array_join("keyword_hits", ",").alias("keyword_hits"))
+
+
 def _members(spark):
     return spark.createDataFrame([("part", "A"), ("part", "B"), ("customer", "A"), ("supplier", "B")], "path string, family_id string")
 
@@ -138,7 +147,7 @@ def series_by_system(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        logical_inventory, logical_families, logical_variants, panel_files, common_roots, translation_bundle, document_registry, request_shards, national_coverage, catalog_candidates, observable_forms,
+        logical_inventory, logical_families, logical_variants, panel_files, common_roots, path_tails, doc_rows, translation_bundle, document_registry, request_shards, national_coverage, catalog_candidates, observable_forms,
         observable_templates, observable_lags, latest_orders, table_overview, vector_cosines, value_frequencies, family_schemas, series_by_system,
     )
 }
@@ -149,7 +158,7 @@ _LOGICAL = f"""WITH {MANIFEST_SQL}, i AS (SELECT '/dissemin/publicos' || substr(
     known AS (SELECT DISTINCT sys, own FROM i WHERE geo IS NOT NULL), d AS (SELECT i.*, coalesce(k.own, i.prefix) AS pre FROM i LEFT JOIN known k ON k.sys = i.sys AND k.own = i.own)"""
 _FORMAT = "substr(pe, 2)"
 SQL = {
-    "logical_inventory": f"{_LOGICAL} SELECT path, 'data' AS asset_kind, sys AS distribution_root, sys AS system, CAST(NULL AS VARCHAR) AS subsystem, CASE stage WHEN 'PRELIM' THEN '[Staging]' ELSE '[Primary]' END AS path_semantic, prefix, kind AS date_kind, geo AS geo_code, CAST(period AS BIGINT) AS period, geo IS NOT NULL AS uses_geo FROM i UNION ALL SELECT '/dissemin/publicos/' || replace(o.path, '{{}}', lpad(CAST(n_nationkey AS VARCHAR), 2, '0')), o.kind, left(o.path, 4), left(o.path, 4), o.sub, '[Primary]', o.prefix, 'yy', NULL, (2000 + n_nationkey) * 100, false FROM nation, (VALUES ('SYSA/DOCS/LAYOUT{{}}.pdf', 'doc', NULL, 'LAYOUT'), ('SYSB/ESPECIAL/DOCS/GUIA{{}}.pdf', 'doc', 'ESPECIAL', 'GUIA'), ('SYSC/TABELAS/CODIGOS{{}}.cnv', 'aux', NULL, 'CODIGOS'), ('SYSA/programa{{}}.exe', 'other', NULL, 'PROGRAMA')) o(path, kind, sub, prefix)",
+    "logical_inventory": f"{_LOGICAL} SELECT path, 'data' AS asset_kind, sys AS distribution_root, sys AS system, CAST(NULL AS VARCHAR) AS subsystem, CASE stage WHEN 'PRELIM' THEN '[Staging]' ELSE '[Primary]' END AS path_semantic, prefix, kind AS date_kind, geo AS geo_code, CAST(period AS BIGINT) AS period, geo IS NOT NULL AS uses_geo FROM i UNION ALL SELECT '/dissemin/publicos/' || replace(o.path, '{{}}', lpad(CAST(n_nationkey AS VARCHAR), 2, '0')), o.kind, left(o.path, 4), left(o.path, 4), o.sub, '[Primary]', o.prefix, 'yy', NULL, (2000 + n_nationkey) * 100, false FROM nation, (VALUES ('SYSA/DOCS/LAYOUT{{}}.pdf', 'doc', NULL, 'LAYOUT'), ('SYSB/ESPECIAL/DOCS/GUIA{{}}.pdf', 'doc', 'ESPECIAL', 'GUIA'), ('SYSC/TABELAS/CODIGOS{{}}.cnv', 'aux', NULL, 'CODIGOS'), ('SYSA/instalador{{}}.exe', 'other', NULL, 'INSTALADOR'), ('SYSC/TABELAS/dicionario{{}}.pdf', 'doc', NULL, 'DICIONARIO')) o(path, kind, sub, prefix)",
     "logical_families": f"""{_LOGICAL}, pp AS (SELECT sys, pre, kind, period, count(*) AS files, len(list_intersect(list(DISTINCT geo), {UF_LIST})) AS states, bool_or(geo IS NOT NULL) AS used FROM d GROUP BY 1, 2, 3, 4),
         g AS (SELECT sys, pre, list_sort(list(DISTINCT geo) FILTER (WHERE geo IS NOT NULL)) AS geos FROM d GROUP BY 1, 2),
         f AS (SELECT sys, pre, kind, CAST(sum(files) AS BIGINT) AS file_count, min(period) AS a, max(period) AS b, count(*) AS periods, max(files) AS most, bool_or(used) AS used, count(*) FILTER (WHERE states BETWEEN 1 AND 26) AS part, count(*) FILTER (WHERE states = 0) AS bare, min(states) FILTER (WHERE states > 0) AS least FROM pp GROUP BY 1, 2, 3),
@@ -168,6 +177,11 @@ SQL = {
     "panel_files": f"""{_LOGICAL}, r AS (SELECT *, row_number() OVER (PARTITION BY sys, prefix, period, geo ORDER BY CASE pe WHEN '.json' THEN 0 WHEN '.csv' THEN 3 ELSE 5 END, CASE stage WHEN 'PRELIM' THEN 2 ELSE 0 END, length(path), path) AS k FROM i WHERE list_contains({UF_LIST}, geo))
         SELECT sys AS system, prefix, CAST(period AS BIGINT) AS period, geo AS geo_code, path FROM r WHERE k = 1""",
     "common_roots": f"{_LOGICAL} SELECT sys AS system, count(DISTINCT path) AS count, '/dissemin/publicos/' || sys || CASE WHEN count(DISTINCT stage) = 1 THEN '/' || min(stage) ELSE '' END AS common_prefix FROM i GROUP BY 1",
+    "path_tails": f"""{_LOGICAL}, c AS (SELECT sys AS system, count(DISTINCT path) AS count, '/dissemin/publicos/' || sys || CASE WHEN count(DISTINCT stage) = 1 THEN '/' || min(stage) ELSE '' END AS common_prefix FROM i GROUP BY 1),
+        t AS (SELECT sys AS system, path, row_number() OVER (PARTITION BY sys ORDER BY path) AS r FROM (SELECT DISTINCT sys, path FROM i))
+        SELECT system, count, common_prefix, string_agg(substr(path, length(common_prefix) + 2), ',' ORDER BY r) AS tails FROM c JOIN t USING (system) WHERE r <= 8 GROUP BY ALL""",
+    "doc_rows": """SELECT '/dissemin/publicos/' || d || '/' || f AS path, 'https://example.org/dissemin/publicos/' || d || '/' || f AS url, f AS filename, '/dissemin/publicos/' || d AS directory, left(d, 4) AS system, sub AS subsystem, 'pdf' AS format_family, scope AS doc_scope_hint, hits AS keyword_hits
+        FROM (SELECT o.d, o.name || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || '.pdf' AS f, sub, scope, hits FROM nation, (VALUES ('SYSA/DOCS', 'LAYOUT', NULL, 'system', 'layout'), ('SYSB/ESPECIAL/DOCS', 'GUIA', 'ESPECIAL', 'subsystem', ''), ('SYSC/TABELAS', 'dicionario', NULL, 'generic', 'dicionario')) o(d, name, sub, scope, hits))""",
     "translation_bundle": f"""WITH {_FACTS}, m(path, family_id) AS (VALUES ('part', 'A'), ('part', 'B'), ('customer', 'A'), ('supplier', 'B')), vc AS (SELECT upper(name) AS variable, count(DISTINCT family_id) AS fc FROM typed LEFT JOIN m USING (path) GROUP BY 1),
         six AS (SELECT path, name, string_agg(v, ', ' ORDER BY r) AS samp FROM ranked WHERE r <= 6 AND v IS NOT NULL GROUP BY 1, 2), f AS (SELECT family_id, path, upper(name) AS name, fc, '- ' || upper(name) || ' | ' || primitive_type || ' | shared=' || fc || ' | sig= | samp=' || samp AS line FROM m JOIN typed USING (path) JOIN six USING (path, name) JOIN vc ON vc.variable = upper(name)),
         t AS (SELECT family_id, count(*) AS n, string_agg(line, chr(10) ORDER BY fc DESC, name, path) AS lines FROM f GROUP BY 1), h AS (SELECT family_id, count(*) AS files, min(path) AS prefix, string_agg('- ' || CAST(CAST(length(path) AS DOUBLE) AS VARCHAR) || ' https://example.org/' || path, chr(10) ORDER BY length(path) DESC, path) AS docs FROM m GROUP BY 1)

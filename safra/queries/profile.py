@@ -25,7 +25,7 @@ def field_profile(spark, d):
 def variable_catalog(spark, d):
     members = spark.createDataFrame([("part", "A"), ("part", "B"), ("customer", "A"), ("supplier", "B")], "path string, family_id string")
     out = p.variable_catalog(p.field_profiles(_cells(spark, d)), members, 3)
-    return out.select("variable", "family_count", "file_count", F.array_join("primitive_types", ",").alias("primitive_types"))
+    return out.select("variable", "family_count", "file_count", F.array_join("scopes", ",").alias("scopes"), F.array_join("primitive_types", ",").alias("primitive_types"), F.array_join("samples", "|").alias("samples"))
 
 
 def schema_signature(spark, d):
@@ -99,16 +99,22 @@ _FACTS = f"""{_CELLS}, ranked AS (SELECT path, name, v, n, row_number() OVER (PA
 _SIG = ", ".join(f"('{t}', '{'|'.join(sorted(cs))}', {len(cs)})" for t, cs in _COLUMNS.items())
 _SUP = """e AS (SELECT DISTINCT l_orderkey AS i, p_brand || '|' || CAST(l_suppkey AS VARCHAR) AS v FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT i, count(*) AS n FROM e GROUP BY 1),
     s AS (SELECT l.i AS a, r.i AS b, count(*) AS shared FROM e l JOIN e r ON l.v = r.v AND l.i < r.i GROUP BY 1, 2), j AS (SELECT a, b, shared, CAST(shared AS DOUBLE) / (x.n + y.n - shared) AS similarity FROM s JOIN n x ON x.i = a JOIN n y ON y.i = b)"""
+_SIMILAR = """WITH q AS (SELECT DISTINCT c_nationkey AS n, quarter(o_orderdate) AS s FROM orders JOIN customer ON o_custkey = c_custkey),
+        v AS (SELECT DISTINCT c_nationkey AS n, quarter(o_orderdate) AS s, unnest([{'k': 'PRIORITY_CODE', 'v': o_orderpriority}, {'k': 'STATUS_CODE', 'v': o_orderstatus}]) AS c FROM orders JOIN customer ON o_custkey = c_custkey),
+        x AS (SELECT n, s, c.k AS k, list(DISTINCT c.v) AS space FROM v GROUP BY 1, 2, 3),
+        j AS (SELECT l.n, l.k, l.s AS ls, r.s AS rs, CAST(len(list_intersect(l.space, r.space)) AS DOUBLE) / len(list_distinct(l.space || r.space)) AS w FROM x l JOIN x r ON l.n = r.n AND l.k = r.k AND l.s < r.s)
+        SELECT CAST(n AS VARCHAR) AS component, k || ls AS a, k || rs AS b, round(2.0 * (length(k) - 1) / (2 * length(k)), 4) AS name_similarity, round(w, 4) AS value_similarity FROM j WHERE w >= 0.6"""
 SQL = {
     "field_profile": f"WITH {_FACTS} SELECT path, name, primitive_type, non_null, nulls, distinct_seen, samples FROM typed JOIN tops USING (path, name)",
     "variable_catalog": f"""WITH {_FACTS}, m(path, family_id) AS (VALUES ('part', 'A'), ('part', 'B'), ('customer', 'A'), ('supplier', 'B'))
-        SELECT upper(name) AS variable, count(DISTINCT family_id) AS family_count, count(DISTINCT path) AS file_count, min(primitive_type) AS primitive_types FROM typed LEFT JOIN m USING (path) GROUP BY 1""",
+        SELECT upper(name) AS variable, count(DISTINCT family_id) AS family_count, count(DISTINCT path) AS file_count, coalesce(string_agg(DISTINCT family_id, ',' ORDER BY family_id), '') AS scopes, min(primitive_type) AS primitive_types, any_value(s3) AS samples
+        FROM typed LEFT JOIN m USING (path) JOIN (SELECT path, name, string_agg(v, '|' ORDER BY v) AS s3 FROM (SELECT *, row_number() OVER (PARTITION BY path, name ORDER BY v) AS nth FROM ranked WHERE r <= 12 AND v IS NOT NULL) WHERE nth <= 3 GROUP BY 1, 2) USING (path, name) GROUP BY 1""",
     "schema_signature": f"SELECT path, left(sha1(names), 16) AS schema_signature, CAST(n AS BIGINT) AS fields FROM (VALUES {_SIG}) t(path, names, n)",
     "family_jaccard": f"WITH {_SUP} SELECT a, b, shared, round(similarity, 9) AS similarity FROM j WHERE similarity >= 0.6",
-    "variable_similarity": """WITH q AS (SELECT DISTINCT c_nationkey AS n, quarter(o_orderdate) AS s FROM orders JOIN customer ON o_custkey = c_custkey),
-        v AS (SELECT DISTINCT c_nationkey AS n, quarter(o_orderdate) AS s, unnest([{'k': 'PRIORITY_CODE', 'v': o_orderpriority}, {'k': 'STATUS_CODE', 'v': o_orderstatus}]) AS c FROM orders JOIN customer ON o_custkey = c_custkey),
-        x AS (SELECT n, s, c.k AS k, list(DISTINCT c.v) AS space FROM v GROUP BY 1, 2, 3),
-        j AS (SELECT l.n, l.k, l.s AS ls, r.s AS rs, CAST(len(list_intersect(l.space, r.space)) AS DOUBLE) / len(list_distinct(l.space || r.space)) AS w FROM x l JOIN x r ON l.n = r.n AND l.k = r.k AND l.s < r.s)
-        SELECT CAST(n AS VARCHAR) AS component, k || ls AS a, k || rs AS b, round(2.0 * (length(k) - 1) / (2 * length(k)), 4) AS name_similarity, round(w, 4) AS value_similarity FROM j WHERE w >= 0.6""",
+    "variable_similarity": _SIMILAR,
+    "variable_clusters": f"""WITH RECURSIVE s AS ({_SIMILAR}), l AS (SELECT component, a, b FROM s UNION SELECT component, b, a FROM s),
+        w AS (SELECT component, a AS x, a AS y FROM l UNION SELECT w.component, w.x, l.b FROM w JOIN l ON l.component = w.component AND l.a = w.y), p AS (SELECT component, x, min(y) AS part FROM w GROUP BY 1, 2),
+        t AS (SELECT p.component, part, max(name_similarity) AS n, max(value_similarity) AS v FROM s JOIN p ON p.component = s.component AND p.x = s.a GROUP BY 1, 2)
+        SELECT component, string_agg(x, ',' ORDER BY x) AS variables, string_agg(DISTINCT component || '/' || right(x, 1), ',' ORDER BY component || '/' || right(x, 1)) AS families, n AS strongest_name_similarity, v AS strongest_value_similarity FROM p JOIN t USING (component, part) GROUP BY component, part, n, v""",
     "components": f"""WITH RECURSIVE {_SUP}, l AS (SELECT a, b FROM j WHERE similarity >= 0.7 UNION SELECT b, a FROM j WHERE similarity >= 0.7), w AS (SELECT i AS a, i AS b FROM n UNION SELECT w.a, l.b FROM w JOIN l ON w.b = l.a) SELECT a AS node, min(b) AS component FROM w GROUP BY 1""",
 }

@@ -432,3 +432,22 @@ def test_similarity_report(spark):
     pairs, clusters = records.similarity_report(frame, "i", "v", 0.7)
     assert [tuple(x) for x in pairs.collect()] == [("c", "d", 0.75, 3, 4, 3), ("a", "b", 0.6667, 2, 2, 3)]
     assert rows(clusters) == [("family_cluster_1", "a"), ("family_cluster_2", "b"), ("family_cluster_3", "c"), ("family_cluster_3", "d"), ("family_cluster_4", "e")]
+
+
+def test_variable_catalog_signals(spark):
+    from safra.operators import profile
+
+    cells = [("a", "DTOBITO", k, "20200101") for k in range(3)] + [("b", "dtobito", 0, "01012020"), ("b", "CODMUNRES", 0, "355030"), ("c", "dtobito", 0, "x"), ("c", "RACACOR", 0, None)]
+    profiles = profile.field_profiles(spark.createDataFrame(cells, "path string, name string, position long, value string"))
+    members = spark.createDataFrame([("a", "F1"), ("b", "F2"), ("b", "F1")], "path string, family_id string")
+    got = {r.variable: r for r in profile.variable_catalog(profiles, members).collect()}
+    assert got["DTOBITO"].signals[0] == "date_name_hint" and got["DTOBITO"].scopes == ["F1", "F2"] and got["DTOBITO"].file_count == 3
+    assert got["CODMUNRES"].signals == ["municipality_name_hint"] and got["RACACOR"].signals is None and got["RACACOR"].scopes == []
+
+
+def test_samples_are_the_same_in_any_order(spark):
+    from safra.operators import extensions
+
+    frame = spark.range(5000).withColumn("v", F.col("id") % 7)
+    one = rows(extensions.sample_rows(frame, ["id"], 200))
+    assert len(one) == 200 and one == rows(extensions.sample_rows(frame.orderBy(F.desc("v")).repartition(9), ["id"], 200)) and one != rows(extensions.sample_rows(frame, ["id"], 200, seed=2))
