@@ -20,13 +20,3 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, schem
 def windowed_counts(stream: DataFrame, time: str, by: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Events per window and key; windows close when the watermark passes them."""
     return stream.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), by, "n")
-
-
-def new_since(batch: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """For ``foreachBatch``: the rows whose key is not known yet."""
-    return batch.join(known.select(key).distinct(), key, "left_anti")
-
-
-def scan_warning(entries: DataFrame) -> DataFrame:
-    """One row: how many entries, and a flag for an empty scan."""
-    return entries.agg(F.count(F.lit(1)).alias("entries")).withColumn("warning", F.when(F.col("entries") == 0, "empty_scan"))
