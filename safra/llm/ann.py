@@ -3,11 +3,13 @@
 Vectors are scaled to length one and turned by a random rotation, so that any few
 leading dimensions estimate a distance without bias. They are filed in lists around
 centroids fitted on a bounded sample; there are about as many lists as the root of the rows, so
-both filing and searching grow by the power 1.5. How many lists are probed is measured:
-for some vectors the true neighbours are found in one pass over all rows, and the
-lists that hold ``RECALL`` of them suffice.
+filing grows by the power 1.5. How many lists may be probed is measured: for some vectors
+outside the sample that the centroids are fitted on, the true neighbours are found in one pass over all
+rows, and the lists that hold ``RECALL`` of them suffice. Where vectors form no clusters that is most
+lists, and searching then grows by the square.
 
-A query first reads its nearest list whole, which gives it a k-th distance to beat. In every other probed list it
+A query first reads its nearest list whole, which gives it a k-th distance to beat. A list whose widest angle, taken from the
+query's angle to its centroid, leaves no room for a nearer vector is not read at all. In every other probed list it
 scans the candidates in column blocks and after each block abandons those whose partial
 distance, by a hypothesis test, puts them beyond that distance.
 What is left is measured exactly, in double precision, on the original vectors.
@@ -76,6 +78,11 @@ def fit_centroids(sample: np.ndarray, lists: int, rounds: int = 8, seed: int = S
     return centre
 
 
+def _angles(dots: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Angles to centres that may be shorter than one, from the dot products."""
+    return np.arccos(np.clip(dots / np.maximum(np.linalg.norm(centres, axis=1), 1e-300), -1, 1))
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each row of ``a`` with the row of ``b``, in double precision; huge or tiny components do not overflow."""
     a, b = a / np.abs(a).max(1, keepdims=True), b / np.abs(b).max(1, keepdims=True)
@@ -148,13 +155,15 @@ def nearest(
     distinct = materialize(_smallest_ids(good, k + 1), "vectors")
 
     wanted = lists or max(1, round(float(rows) ** 0.5))
-    picked = distinct.orderBy(F.xxhash64("v"), "v").limit(min(SAMPLE, SAMPLE_PER_LIST * wanted)).select("v").toArrow()
+    picked = distinct.orderBy(F.xxhash64("v"), "v").limit(min(SAMPLE, SAMPLE_PER_LIST * wanted) + MEASURED).select("v").toArrow()
     turn = rotation(dim)
     points = _unit(_vectors(picked.column("v").combine_chunks())) @ turn
+    apart = min(MEASURED, len(points) // 4)  # measured on, not fitted on
+    points, measured = (points[:-apart], points[-apart:]) if apart else (points, points)
     centroids = fit_centroids(points, min(wanted, max(1, len(points) // 8)))
     index = spark.sparkContext.broadcast((turn, centroids))
     if probes is None:
-        probes = _probes_for(distinct, points[:MEASURED], index, k, recall)
+        probes = _probes_for(distinct, measured, index, k, recall)
     probed = min(len(centroids), max(LEAST_PROBES, probes))
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,22 +171,26 @@ def nearest(
         for batch in batches:
             x = _vectors(batch.column(0))
             if len(x):
-                at = (_unit(x) @ turn @ centre.T).argmax(1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(at), batch.column(0), batch.column(1)], ["list", "v", "ids"])
+                near = _unit(x) @ turn @ centre.T
+                at = near.argmax(1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(at), batch.column(0), batch.column(1), pa.array(_angles(near[np.arange(len(x)), at], centre[at]))], ["list", "v", "ids", "angle"])
 
-    filed = materialize(distinct.select("v", "ids").mapInArrow(file, "list int, v array<double>, ids array<long>"), "lists")
+    filed = materialize(distinct.select("v", "ids").mapInArrow(file, "list int, v array<double>, ids array<long>, angle double"), "lists")
+    widths = materialize(filed.groupBy("list").agg(F.max("angle").alias("width")), "widths")  # a row a list, SAMPLE / 8 at most
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn, centre = index.value
         for batch in batches:
             x = _vectors(batch.column(1))
             if len(x):
-                near = np.argsort(-(_unit(x) @ turn @ centre.T), axis=1, kind="stable")[:, :probed].astype(np.int32)
+                score = _unit(x) @ turn @ centre.T
+                near = np.argsort(-score, axis=1, kind="stable")[:, :probed].astype(np.int32)
+                angle = _angles(np.take_along_axis(score, near, 1).ravel(), centre[near.ravel()])
                 row = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
                 order = pa.array(np.tile(np.arange(near.shape[1], dtype=np.int32), len(x)))
-                yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), order, batch.column(0).take(row), batch.column(1).take(row)], ["list", "near", "query_id", "q"])
+                yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), order, batch.column(0).take(row), batch.column(1).take(row), pa.array(angle)], ["list", "near", "query_id", "q", "angle"])
 
-    probing = materialize(asked.select("query_id", "q").mapInArrow(probe, "list int, near int, query_id long, q array<double>"), "probes")
+    probing = materialize(asked.select("query_id", "q").mapInArrow(probe, "list int, near int, query_id long, q array<double>, angle double"), "probes")
 
     def scan(held: pd.DataFrame, probing: pd.DataFrame) -> pd.DataFrame:
         types = {"query_id": "int64", "vec_id": "int64", "score": "float64", "limit": "float64"}
@@ -214,6 +227,9 @@ def nearest(
     first = materialize(search(probing.where("near = 0").withColumn("limit", F.lit(float("inf")))), "first")
     limits = first.groupBy("query_id").agg(F.min("limit").alias("limit"))
     others = probing.where("near > 0").join(limits, "query_id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+    # The nearest that a vector of a list can be: the angle to the centroid less the list's width.
+    closest = 2 - 2 * F.cos(F.greatest(F.lit(0.0), F.col("angle") - F.col("width") - 1e-9))
+    others = others.join(F.broadcast(widths), "list").where(closest <= F.col("limit") + 1e-9)
     hits = first.select("query_id", "vec_id", "score").unionByName(search(materialize(others, "others")).select("query_id", "vec_id", "score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

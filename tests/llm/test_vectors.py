@@ -60,3 +60,17 @@ def test_recall_where_nothing_clusters(spark):
         score[q] = -9
         hit += len(set(np.argsort(-score)[:5].tolist()) & {r.vec_id for r in got if r.query_id == q})
     assert hit / 400 >= 0.9
+
+
+def test_lists_without_room_are_not_read(spark):
+    """Tight clusters far apart: with all lists to probe, the result is that of brute force, though most lists are left out."""
+    rng = np.random.default_rng(9)
+    centre = rng.standard_normal((30, 16)) * 9
+    x = (centre[rng.integers(0, 30, 1500)] + 0.2 * rng.standard_normal((1500, 16))).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = ann.nearest(table, table.where("vec_id % 50 = 0"), probes=60, lists=60, epsilon=50.0).collect()
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    for q in range(0, 1500, 50):
+        score = unit @ unit[q]
+        score[q] = -9
+        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == np.argsort(-score, kind="stable")[:5].tolist()
