@@ -418,6 +418,20 @@ def summary(files: DataFrame, families_: DataFrame) -> DataFrame:
     return fate
 
 
+def asset_entries(entries: DataFrame, kind: str) -> DataFrame:
+    """Selected files or documents under one set of names: ``asset_kind, selection_rank, selection_reason, source_url, source_path, filename``.
+
+    A URL may stand under ``url``, its path is taken where none is given, and the name from the path; missing numbers are 0, missing texts empty.
+    """
+    given = lambda *names: F.coalesce(*[F.nullif(F.col(n).cast("string"), F.lit("")) for n in names if n in entries.columns], F.lit(""))
+    url = given("source_url", "url")
+    path = F.coalesce(F.nullif(given("source_path"), F.lit("")), F.regexp_replace(p.without_host(url), r"[?#].*$", ""))
+    rank = F.coalesce(F.col("selection_rank").cast("int"), F.lit(0)) if "selection_rank" in entries.columns else F.lit(0)
+    named = entries.select("*", url.alias("_url"), path.alias("_path"))
+    own = [c for c in ("family_id", "geo_code", "date_code") if c in entries.columns]
+    return named.select(*own, F.lit(kind).alias("asset_kind"), rank.alias("selection_rank"), given("selection_reason").alias("selection_reason"), F.col("_url").alias("source_url"), F.col("_path").alias("source_path"), F.coalesce(F.nullif(given("filename"), F.lit("")), p.file_name(F.col("_path"))).alias("filename"))
+
+
 def download_plan(files: DataFrame, root: str, base_url: str) -> DataFrame:
     path = F.col("path")
     return files.select("path", F.concat(F.lit(base_url.rstrip("/")), path).alias("url"), p.target_path(root, path).alias("target_path"), F.lit("planned").alias("status"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as p
 from ..functions import periods as t
+from .graph import cut
 from .intervals import beside
 
 # Directory and file-name words, period bounds, scores of readings of a name.
@@ -277,6 +278,30 @@ def missing_states(rows: DataFrame) -> DataFrame:
     return told.join(tops, "family_id")
 
 
+def gap_detail(rows: DataFrame, examples: int = 12) -> DataFrame:
+    """``family_id, missing_period_count, missing_period_ranges`` (``Jan 2001`` or ``Jan 2001 to Mar 2001``, in order) of families with periods missing between their first and last; a period of a family of states counts when no state has it.
+
+    With ``partial_panel_examples``: the first ``examples`` periods that lack some states (``period, territory_count, missing``).
+    """
+    data = main_kind(coalesce_prefixes(data_files(rows).where("system is not null")), FAMILY).withColumn("family_id", F.concat_ws(":", *FAMILY))
+    states = F.array(*[F.lit(u) for u in p.UF])
+    monthly = F.when(F.col("date_kind") == "yymm", "YYMM").otherwise("YY")
+    periods = data.groupBy("family_id", "period", monthly.alias("date_format")).agg(F.array_intersect(states, F.collect_set("geo_code")).alias("have"))
+    any_states = Window.partitionBy("family_id")
+    periods = cut(periods.withColumn("_panel", F.max(F.size("have") > 0).over(any_states)))
+    span = periods.groupBy("family_id").agg(F.min("period").alias("a"), F.max("period").alias("b"), F.first("date_format").alias("date_format"))
+    due = span.select("family_id", "date_format", F.explode(t.calendar(F.col("a"), F.col("b"), F.col("date_format"))).alias("period"))
+    there = periods.where(~F.col("_panel") | (F.size("have") > 0)).select("family_id", "period")
+    gone = due.join(there, ["family_id", "period"], "left_anti")
+    run = gone.withColumn("_n", t.ordinal(F.col("period"), F.col("date_format")))
+    run = run.withColumn("_run", F.col("_n") - F.row_number().over(Window.partitionBy("family_id").orderBy("_n")))
+    each = run.groupBy("family_id", "_run").agg(F.min("period").alias("a"), F.max("period").alias("b"), F.count(F.lit(1)).alias("n"))
+    told = each.groupBy("family_id").agg(F.sum("n").alias("missing_period_count"), F.transform(F.sort_array(F.collect_list(F.struct("a", "b"))), lambda s: t.display_range(s["a"], s["b"])).alias("missing_period_ranges"))
+    partial = periods.where(F.size("have").between(1, len(p.UF) - 1)).withColumn("_r", F.row_number().over(any_states.orderBy("period"))).where(F.col("_r") <= examples)
+    shown = partial.groupBy("family_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("period", F.size("have").alias("territory_count"), F.array_except(states, "have").alias("missing")))), lambda s: F.struct(t.display(s["period"]).alias("period"), s["territory_count"].alias("territory_count"), s["missing"].alias("missing"))).alias("partial_panel_examples"))
+    return told.join(shown, "family_id", "full")
+
+
 def system_rollup(audited: DataFrame) -> DataFrame:
     """``system, section, item, n``: families of each system by partition, coverage and date kind, those with issues, and how many have each issue; one pass."""
     said = lambda section, item, when=None: F.when(F.lit(True) if when is None else when, F.struct(F.lit(section).alias("section"), item.alias("item")))

@@ -205,6 +205,13 @@ def group_pairs(spark, d):
     return c.compatible_groups(cut(c.physical_groups(_files(spark, d))))
 
 
+def asset_entries(spark, d):
+    """Pages as chosen documents, some with their path or name, most with their URL only."""
+    n = F.col("page_id")
+    pages = table(spark, d, "pages").select("page_id", "url", F.when(n % 3 == 0, F.concat(F.lit("/x/"), n.cast("string"), F.lit(".pdf"))).alias("source_path"), F.when(n % 5 == 0, "named.pdf").otherwise("").alias("filename"), F.when(n % 2 == 0, n).alias("selection_rank"), n.alias("family_id"))
+    return c.asset_entries(pages, "doc")
+
+
 def download_plan(spark, d):
     return c.download_plan(manifest(spark, d), "/lake/raw", "https://example.org")
 
@@ -214,7 +221,7 @@ QUERIES = {
     for f in (
         filename_grammar, discard_reasons, date_format_infer, normalized_periods, partition_classify, series_catalog, physical_groups, dataset_families, family_clusters, family_rank_ids,
         preferred_series, series_segments, preferred_working_series, family_summary, candidate_docs, group_pairs, coverage_gaps, compress_ranges, state_panel, multi_grammar_parse, scan_diff, family_registry, family_audit, family_issue_matrix,
-        orphan_documents, matched_documents, validated_series, doc_token_overlap, candidate_select, download_plan,
+        orphan_documents, matched_documents, validated_series, doc_token_overlap, asset_entries, candidate_select, download_plan,
     )
 }
 
@@ -309,6 +316,8 @@ SQL = {
     "family_audit": f"{_ISSUES} SELECT split_part(c, ':', 1) AS code, split_part(c, ':', 2) AS severity, count(DISTINCT family_id) AS families, array_to_string(list_sort(list(DISTINCT family_id)), ',') AS family_ids FROM i WHERE c IS NOT NULL GROUP BY 1, 2",
     "family_issue_matrix": _ISSUES + " SELECT CAST(l AS INTEGER) AS systems, " + ", ".join(f"count(*) FILTER (WHERE c LIKE '{k}:%') AS {k}" for k in ("coverage_gaps", "missing_date_format", "multi_source_system_family", "no_associated_docs", "stitched_preferred_working_series", "unknown_partition_type")) + " FROM i WHERE c IS NOT NULL GROUP BY 1",
     "orphan_documents": "SELECT source, count(*) AS orphans FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1",
+    "asset_entries": """WITH x AS (SELECT *, CASE WHEN page_id % 3 = 0 THEN '/x/' || page_id || '.pdf' ELSE regexp_replace(regexp_replace(url, '^[a-z]+://[^/]*', ''), '[?#].*$', '') END AS path FROM pages)
+        SELECT page_id AS family_id, 'doc' AS asset_kind, CAST(CASE WHEN page_id % 2 = 0 THEN page_id ELSE 0 END AS INTEGER) AS selection_rank, '' AS selection_reason, url AS source_url, path AS source_path, CASE WHEN page_id % 5 = 0 THEN 'named.pdf' ELSE regexp_extract(path, '([^/]*)/*$', 1) END AS filename FROM x""",
     "matched_documents": "SELECT source, count(*) AS matched FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1",
     "validated_series": f"""WITH {MANIFEST_SQL}, s AS (SELECT prefix, list_sort(list(DISTINCT geo)) AS g, min(CAST(code AS BIGINT)) AS a, max(CAST(code AS BIGINT)) AS b, count(*) AS n, array_to_string(list_sort(list(DISTINCT directory)), ',') AS paths FROM manifest GROUP BY 1),
         u AS (SELECT *, len(list_intersect(g, {UF_LIST})) AS k, list_contains(g, 'BR') AS br FROM s), t AS (SELECT *, k >= 4 AND k / len(g) >= 0.35 AS st FROM u)

@@ -81,6 +81,12 @@ def missing_states(spark, d):
     return told.withColumn("top_missing", F.array_join(F.transform("top_missing", lambda e: F.concat_ws(":", e["state"], e["n"].cast("string"))), ","))
 
 
+def gap_detail(spark, d):
+    told = l.gap_detail(_logical_files(spark, d), 3)
+    shown = F.array_join(F.transform("partial_panel_examples", lambda e: F.concat(e["period"], F.lit(":"), e["territory_count"].cast("string"), F.lit(":"), F.array_join(e["missing"], "/"))), ",")
+    return told.select("family_id", "missing_period_count", F.array_join("missing_period_ranges", ",").alias("missing_period_ranges"), shown.alias("partial_panel_examples"))
+
+
 def system_rollup(spark, d):
     return l.system_rollup(_audited(spark, d))
 
@@ -93,7 +99,7 @@ def worst_families(spark, d):
     return l.worst_families(_audited(spark, d), 3)
 
 
-QUERIES = {f.__name__: f for f in (family_record, family_compact, family_overview, family_audit_rows, family_candidates, similarity_clusters, missing_states, system_rollup, system_issue_matrix, worst_families)}
+QUERIES = {f.__name__: f for f in (family_record, family_compact, family_overview, family_audit_rows, family_candidates, similarity_clusters, missing_states, gap_detail, system_rollup, system_issue_matrix, worst_families)}
 
 _RECORDS = f"""WITH RECURSIVE {MANIFEST_SQL}, v AS (SELECT *, {_PERIOD} AS period, {_PRIMARY} AS pe, {_FAMILY} AS fam, {_SYSTEM} AS sys FROM manifest), {_FAMILIES},
     fm AS (SELECT v.*, fam.family_id AS fid FROM v JOIN cl ON cl.id = v.sys || '|' || v.prefix JOIN fam ON fam.prefix = v.prefix AND fam.c = cl.c),
@@ -117,6 +123,7 @@ def _said(texts):
     return "concat_ws('|', " + ", ".join(f"CASE WHEN {_SAY[k]} THEN {t} END" for k, t in texts.items()) + ")"
 
 
+_LABEL = "CASE kind WHEN 'yy' THEN CAST({0} AS VARCHAR) ELSE strftime(make_date(CAST(({0} - 1) // 12 AS BIGINT), CAST(({0} - 1) % 12 + 1 AS BIGINT), 1), '%b %Y') END"
 _AUDIT = LOGICAL_SQL["logical_families"]
 _EACH = f"a AS ({_AUDIT}), b AS (SELECT *, split_part(family_id, ':', 1) AS system, CASE WHEN issues = '' THEN [] ELSE list_transform(string_split(issues, ','), lambda i: split_part(i, ':', 1)) END AS codes FROM a)"
 _SECTIONS = {
@@ -144,6 +151,14 @@ SQL = {
         t AS (SELECT family_id, state, count(*) AS n FROM (SELECT family_id, unnest(list_filter({UF_LIST}, lambda u: NOT list_contains(have, u))) AS state FROM w) GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY family_id ORDER BY n DESC, state) AS nth FROM t),
         s AS (SELECT family_id, string_agg(state || ':' || n, ',' ORDER BY nth) AS top_missing FROM o WHERE nth <= 12 GROUP BY 1)
         SELECT family_id, count(*) AS partial_panels, CAST(min(len(have)) AS INTEGER) AS least_places, CAST(max(len(have)) AS INTEGER) AS most_places, top_missing FROM w JOIN s USING (family_id) GROUP BY family_id, top_missing""",
+    "gap_detail": f"""{_LOGICAL}, q AS (SELECT sys || ':' || pre AS family_id, kind, period, CASE kind WHEN 'yy' THEN period // 100 ELSE period // 100 * 12 + period % 100 END AS n, list_filter({UF_LIST}, lambda u: list_contains(list(DISTINCT geo), u)) AS have FROM d GROUP BY sys, pre, kind, period),
+        k AS (SELECT *, bool_or(len(have) > 0) OVER (PARTITION BY family_id) AS panel FROM q), due AS (SELECT family_id, any_value(kind) AS kind, unnest(range(min(n), max(n) + 1)) AS n FROM k GROUP BY 1),
+        gone AS (SELECT *, n - row_number() OVER (PARTITION BY family_id ORDER BY n) AS run FROM due ANTI JOIN (SELECT family_id, n FROM k WHERE NOT panel OR len(have) > 0) USING (family_id, n)),
+        r AS (SELECT family_id, kind, run, min(n) AS lo, max(n) AS hi, count(*) AS c FROM gone GROUP BY 1, 2, 3),
+        s AS (SELECT family_id, lo, hi, c, {_LABEL.format('lo')} AS x, {_LABEL.format('hi')} AS y FROM r), m AS (SELECT family_id, CAST(sum(c) AS BIGINT) AS missing_period_count, string_agg(CASE WHEN lo = hi THEN x ELSE x || ' to ' || y END, ',' ORDER BY lo) AS missing_period_ranges FROM s GROUP BY 1),
+        e AS (SELECT *, row_number() OVER (PARTITION BY family_id ORDER BY period) AS nth FROM k WHERE len(have) BETWEEN 1 AND 26),
+        o AS (SELECT family_id, string_agg({_LABEL.format('n')} || ':' || len(have) || ':' || array_to_string(list_filter({UF_LIST}, lambda u: NOT list_contains(have, u)), '/'), ',' ORDER BY period) AS partial_panel_examples FROM e WHERE nth <= 3 GROUP BY 1)
+        SELECT family_id, missing_period_count, missing_period_ranges, partial_panel_examples FROM m FULL JOIN o USING (family_id)""",
     "system_rollup": f"""WITH {_EACH}, s AS (SELECT system, 'families' AS section, 'all' AS item FROM b UNION ALL SELECT system, 'families', 'problem' FROM b WHERE len(codes) > 0 UNION ALL SELECT system, 'partition_type', partition_type FROM b UNION ALL SELECT system, 'coverage_status', coverage_status FROM b
         UNION ALL SELECT system, 'date_kind', date_kind FROM b UNION ALL SELECT system, 'issue', unnest(codes) FROM b) SELECT system, section, item, count(*) AS n FROM s GROUP BY 1, 2, 3""",
     "system_issue_matrix": f"WITH {_EACH} SELECT system, " + ", ".join(f"count(*) FILTER (WHERE list_contains(codes, '{k}')) AS {k}" for k in CODES) + " FROM b GROUP BY 1",
