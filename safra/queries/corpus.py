@@ -14,7 +14,8 @@ from .common import MANIFEST_SQL, UF_LIST, manifest, table
 
 
 def _files(spark, d):
-    return c.inventory(manifest(spark, d))
+    """The inventory, written once: most operators read it several times."""
+    return cut(c.inventory(manifest(spark, d)))
 
 
 def filename_grammar(spark, d):
@@ -107,7 +108,7 @@ def preferred_working_series(spark, d):
 
 
 def family_summary(spark, d):
-    files = cut(_files(spark, d))
+    files = _files(spark, d)
     shaped = files.withColumn("path_type", F.when(F.col("geo_code") == "AC", "Auxiliary").otherwise(F.col("path_type")))
     found = c.families(files).select("family_id", "series_prefix", "partition_type", "date_format", "source_systems")
     rows = found.join(_series(spark, d), "series_prefix").withColumns({"gap_count": F.size("coverage_gaps"), "doc_count": F.length("family_id") % 2})
