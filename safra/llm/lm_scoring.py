@@ -4,10 +4,11 @@ Every word has a path of ``levels`` digits below ``BRANCH`` in a tree of classes
 P(word | history) is the product, over the path, of P(digit | digits so far, history), each a
 softmax over the sum of hashed feature rows of the history: the previous word, the
 previous two, and two skips (the word before the previous one, and the one before
-that), each crossed with the digits so far; deeper levels do without the skips. Twelve sixteenths of the leaves hold one frequent
+that), each crossed with the digits so far, at every level. Twelve sixteenths of the leaves hold one frequent
 word each; each other leaf holds the words of some endings, weighted by their
-smoothed counts. The depth of the tree grows with the number of distinct words, so a leaf
-holds about as many words at any size; the feature rows are hashed into tables of fixed size.
+smoothed counts. The depth of the tree grows with the number of distinct words, to ``MOST_LEVELS``, so a leaf
+holds about as many words at any size up to there; the hashed tables of feature rows grow with the training tokens,
+from ``ROWS`` to ``MOST_ROWS`` rows. What a task holds of the model is so bounded, whatever the corpus.
 
 Weights are trained by rounds of distributed gradient updates: every task descends over its
 rows from the round's weights, and the tasks' changes, weighted by how often each row of
@@ -44,14 +45,21 @@ OWN = 12
 ENDING = 3
 #: The tree deepens until a leaf stands for as many distinct words at most.
 LEAF_WORDS = 256
-#: Features of the first level: the previous word, the previous two, two skips; each level below does without the last one, down to two.
+#: Depth of the tree at most: 16**5 leaves, 8 MB of masses.
+MOST_LEVELS = 5
+#: Features of every level: the previous word, the previous two, two skips.
 FEATURES = 4
-#: Rows of each table of weights: one table a level and feature.
+#: Rows of each table of weights, one table a level and feature: at least, and at most (84 MB of weights at the greatest depth).
 ROWS = 1 << 14
+MOST_ROWS = 1 << 16
+#: Training tokens a row from which tables double with every fourfold of the tokens.
+ROW_TOKENS = 1 << 12
 BLOCK = 256
 ROUNDS = 2
 RATE = 0.2
-BATCH = 32_768
+#: Tokens scored at once, and tokens whose gradients are summed for one step.
+BATCH = 1 << 15
+STEP = 1 << 16
 CHUNK = 1 << 16
 DISTINCT = 200_000
 _MULT = np.uint32(2654435761)
@@ -86,23 +94,27 @@ def _counted(held: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "n"])
 
 
-def features_at(level: int) -> int:
-    return max(2, FEATURES - level)
-
-
 def table_of(level: int, feature: int) -> int:
     """Number of a level's and feature's table of weights; of feature 0 of the level below the last, how many there are."""
-    return sum(features_at(k) for k in range(level)) + feature
+    return level * FEATURES + feature
 
 
 def levels_for(distinct: int) -> int:
-    """Depth of the class tree for so many distinct words: 3 at least."""
+    """Depth of the class tree for so many distinct words: 3 at least, ``MOST_LEVELS`` at most."""
     levels = 3
-    while BRANCH**levels * LEAF_WORDS < distinct:
+    while levels < MOST_LEVELS and BRANCH**levels * LEAF_WORDS < distinct:
         levels += 1
     return levels
 
 
+def rows_for(tokens: int) -> int:
+    """Rows of a table of weights for so many training tokens: they grow with the root of the tokens, between ``ROWS`` and ``MOST_ROWS``."""
+    rows, reach = ROWS, 4 * ROWS * ROW_TOKENS
+    while rows < MOST_ROWS and reach <= tokens:
+        rows, reach = 2 * rows, 4 * reach
+    return rows
+
+
 class Vocabulary:
     """The most frequent words with their counts and leaves; the words and types of every shared leaf."""
 
@@ -172,40 +184,39 @@ def _histories(key: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return [back[0] * _MULT, (back[0] * np.uint32(40503) ^ back[1] * np.uint32(2246822519)) * _MULT, (back[1] ^ np.uint32(0x5BD1E995)) * _MULT, (back[2] ^ np.uint32(0x1B873593)) * _MULT]
 
 
-def _rows(history: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Row of weights of a history crossed with a node of the tree."""
+def _rows(history: np.ndarray, node: np.ndarray, size: int) -> np.ndarray:
+    """Row of weights, of ``size`` (a power of two), of a history crossed with a node of the tree."""
     m = history ^ node.astype(np.uint32) * np.uint32(374761393)
     m ^= m >> np.uint32(15)
     m *= np.uint32(3266489917)
-    return (m >> np.uint32(32 - int(ROWS).bit_length() + 1)).astype(np.uint16)
+    return (m >> np.uint32(33 - size.bit_length())).astype(np.intp)
+
+
+def _path(leaf: np.ndarray, level: int, levels: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of a level that the leaves lie below, and the digits that lead on."""
+    below = BRANCH ** (levels - level - 1)
+    return leaf // (below * BRANCH), leaf // below % BRANCH
 
 
 class Model:
-    """One table of weights a level and feature, ROWS x BRANCH each; ``ROWS`` is 65,536 at most."""
+    """One table of weights a level and feature, rows x BRANCH each."""
 
-    def __init__(self, levels: int, weights: np.ndarray | None = None):
+    def __init__(self, levels: int, weights: np.ndarray | None = None, rows: int = ROWS):
         self.levels = levels
-        self.weights = np.zeros((table_of(levels, 0), ROWS, BRANCH), np.float32) if weights is None else weights
-
-    def _level(self, vocabulary: Vocabulary, level: int, histories: list[np.ndarray], leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Logits of the digits (BRANCH x tokens), the digits that came, the rows used."""
-        below = BRANCH ** (self.levels - level - 1)
-        node, digit = leaf // (below * BRANCH), leaf // below % BRANCH
-        rows = [_rows(h, node) for h in histories[: features_at(level)]]
-        z = vocabulary.bias[level].take(node, axis=0)
-        for f, own in enumerate(rows):
-            z += self.weights[table_of(level, f)].take(own, axis=0)
-        return np.ascontiguousarray(z.T), digit, rows
+        self.weights = np.zeros((table_of(levels, 0), rows, BRANCH), np.float32) if weights is None else weights
 
     def log10(self, vocabulary: Vocabulary, key: np.ndarray, leaf: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 P of every token, without the smoothed count of a word of a shared leaf."""
-        histories = _histories(key, sizes)
+        histories, size = _histories(key, sizes), self.weights.shape[1]
         out = np.zeros(len(key))
         for a in range(0, len(key), BATCH):
             part = slice(a, a + BATCH)
-            own = [h[part] for h in histories]
             for level in range(self.levels):
-                z, digit, _ = self._level(vocabulary, level, own, leaf[part])
+                node, digit = _path(leaf[part], level, self.levels)
+                z = vocabulary.bias[level].take(node, axis=0)
+                for f, history in enumerate(histories):
+                    z += self.weights[table_of(level, f)].take(_rows(history[part], node, size), axis=0)
+                z = np.ascontiguousarray(z.T)
                 top = z.max(0)
                 out[part] += z[digit, np.arange(len(digit))] - top
                 z -= top
@@ -215,24 +226,49 @@ class Model:
         out[shared] -= vocabulary.log_shared[leaf[shared] - vocabulary.first_shared]
         return out
 
-    def learn(self, vocabulary: Vocabulary, key: np.ndarray, leaf: np.ndarray, sizes: np.ndarray, seen: np.ndarray, rate: float) -> None:
-        """Descend by batches: the gradients of a row's uses are summed, and its steps shrink with the root of all its uses."""
-        histories, total = _histories(key, sizes), np.empty((BRANCH, ROWS))
-        for a in range(0, len(key), BATCH):
-            part = slice(a, a + BATCH)
-            own = [h[part] for h in histories]
+
+class Learner:
+    """A model under training. Its tables lie digit by digit (BRANCH x rows): the sums of gradients come so, and a digit's row fits the cache."""
+
+    def __init__(self, model: Model, vocabulary: Vocabulary):
+        self.vocabulary, self.levels = vocabulary, model.levels
+        self.tables = np.ascontiguousarray(model.weights.transpose(0, 2, 1))
+        self.bias = [np.ascontiguousarray(b.T) for b in vocabulary.bias]
+        self.size = model.weights.shape[1]
+        #: How often each row of weights was updated.
+        self.seen = np.zeros((len(self.tables), self.size), np.float32)
+
+    def _errors(self, level: int, histories: list[np.ndarray], leaf: np.ndarray, out: np.ndarray) -> list[np.ndarray]:
+        """Writes probabilities less what came (BRANCH x tokens) to ``out``; the rows used, a feature each."""
+        node, digit = _path(leaf, level, self.levels)
+        rows = [_rows(h, node, self.size) for h in histories]
+        z, drawn = np.empty((BRANCH, len(leaf)), np.float32), np.empty(len(leaf), np.float32)
+        for b in range(BRANCH):
+            np.take(self.bias[level][b], node, out=z[b], mode="clip")
+            for f, row in enumerate(rows):
+                np.take(self.tables[table_of(level, f), b], row, out=drawn, mode="clip")
+                z[b] += drawn
+        z -= z.max(0)
+        np.exp(z, out=z)
+        z *= 1 / z.sum(0)
+        z[digit, np.arange(len(digit))] -= 1
+        out[:] = z
+        return rows
+
+    def learn(self, key: np.ndarray, leaf: np.ndarray, sizes: np.ndarray, rate: float) -> None:
+        """Descend in equal steps of about ``STEP`` tokens: the gradients of a row's uses are summed, and its steps shrink with the root of all its uses."""
+        histories = _histories(key, sizes)
+        bounds = np.linspace(0, len(key), max(1, round(len(key) / STEP)) + 1).astype(int).tolist()
+        for start, end in zip(bounds, bounds[1:], strict=False):
+            errors = np.empty((BRANCH, end - start))
             for level in range(self.levels):
-                z, digit, rows = self._level(vocabulary, level, own, leaf[part])
-                g = np.exp(z - z.max(0))
-                g /= g.sum(0)
-                g[digit, np.arange(len(digit))] -= 1
-                for f, row in enumerate(rows):
-                    t, at = table_of(level, f), row.astype(np.intp)
+                parts = [self._errors(level, [h[a : min(a + BATCH, end)] for h in histories], leaf[a : min(a + BATCH, end)], errors[:, a - start : a - start + BATCH]) for a in range(start, end, BATCH)]
+                for f, pieces in enumerate(zip(*parts, strict=True)):
+                    t, row = table_of(level, f), np.concatenate(pieces)
+                    self.seen[t] += np.bincount(row, minlength=self.size)
+                    step = rate / np.sqrt(np.maximum(self.seen[t], 1))
                     for b in range(BRANCH):
-                        total[b] = np.bincount(at, g[b], ROWS)
-                    seen[t] += np.bincount(at, minlength=ROWS)
-                    np.multiply(total, rate / np.sqrt(np.maximum(seen[t], 1)), out=total)
-                    self.weights[t] -= total.T
+                        self.tables[t, b] -= np.bincount(row, errors[b], self.size) * step
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -253,23 +289,24 @@ def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, rate: f
     spark = rows.sparkSession
     words = spark.sparkContext.broadcast(vocabulary)
     levels = vocabulary.levels
-    model = Model(levels)
-    per_table = ROWS // BLOCK
+    model = Model(levels, rows=rows_for(vocabulary.total))
+    size = model.weights.shape[1]
+    per_table = size // BLOCK
     for turn in range(rounds):
         begun = spark.sparkContext.broadcast(model.weights)
 
         @handing_back
         def descend(batches: Iterator[pa.RecordBatch], begun=begun) -> Iterator[pa.RecordBatch]:
-            own = Model(levels, begun.value.copy())
-            seen = np.zeros((len(own.weights), ROWS), np.float32)
+            own = Learner(Model(levels, begun.value), words.value)
             for batch in batches:
                 for _, _, texts in _chunks(batch.column(0)):
                     _, _, key, leaf, sizes = words.value.encode(texts)
-                    own.learn(words.value, key, leaf, sizes, seen, rate)
+                    own.learn(key, leaf, sizes, rate)
             context = TaskContext.get()
             task = context.partitionId() if context else 0
-            for t in range(len(own.weights)):
-                change = (own.weights[t] - begun.value[t]) * seen[t][:, None]
+            seen = own.seen
+            for t in range(len(seen)):
+                change = (own.tables[t].T - begun.value[t]) * seen[t][:, None]
                 for k in range(per_table):
                     at = slice(k * BLOCK, (k + 1) * BLOCK)
                     if seen[t, at].any():

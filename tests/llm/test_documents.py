@@ -417,6 +417,98 @@ def test_lm_is_a_distribution():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def _plain_lm(weights, vocabulary, key, leaf, sizes):
+    """Of each token and level: node, digit, the rows of its features and the digits' probabilities, by loops over whole numbers."""
+    mask, mult, out, start = 2**32 - 1, 2654435761, [], 0
+    bits = weights.shape[1].bit_length() - 1
+    for size in sizes:
+        for i in range(start, start + size):
+            back = [int(key[i - d]) if i - d >= start else 1 for d in (1, 2, 3)]
+            mixed = [back[0], back[0] * 40503 & mask ^ back[1] * 2246822519 & mask, back[1] ^ 0x5BD1E995, back[2] ^ 0x1B873593]
+            for level in range(3):
+                below = 16 ** (2 - level)
+                node, digit, rows = int(leaf[i]) // (below * 16), int(leaf[i]) // below % 16, []
+                for h in mixed:
+                    m = h * mult & mask ^ node * 374761393 & mask
+                    m ^= m >> 15
+                    rows.append((m * 3266489917 & mask) >> (32 - bits))
+                z = np.array(vocabulary.bias[level][node], float) + sum(weights[4 * level + f][row].astype(float) for f, row in enumerate(rows))
+                e = np.exp(z - z.max())
+                out.append((i, level, digit, rows, e / e.sum()))
+        start += size
+    return out
+
+
+def _small_lm(tokens):
+    shared = (lm_scoring.BRANCH - lm_scoring.OWN) * lm_scoring.BRANCH**2
+    words, types = np.zeros(shared), np.zeros(shared)
+    counts = list(range(len(tokens), 0, -1))
+    for t, n in zip(tokens, counts, strict=True):
+        c = crc32(t[-lm_scoring.ENDING :]) % shared
+        words[c] += n
+        types[c] += 1
+    return lm_scoring.Vocabulary(list(tokens), counts, 3, words, types)
+
+
+@pytest.mark.parametrize("rows", [1 << 9, 1 << 14])
+def test_lm_scores_and_learns_as_plain_loops_do(rows):
+    """Every level with all four features: probabilities, and one step down the gradient, for tables of two sizes."""
+    rng = np.random.default_rng(10)
+    vocabulary = _small_lm([b"\n"] + [f"w{i}".encode() for i in range(30)])
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 40, n)).encode() for n in (9, 0, 25)]
+    _, _, key, leaf, sizes = vocabulary.encode(texts)
+    weights = rng.standard_normal((12, rows, 16)).astype(np.float32) * 0.3
+    plain = _plain_lm(weights, vocabulary, key, leaf, sizes.tolist())
+    want = np.zeros(len(key))
+    want_tables, seen, gradient = weights.astype(float), np.zeros((12, rows)), np.zeros((12, rows, 16))
+    for i, level, digit, own, p in plain:
+        want[i] += np.log10(p[digit])
+        for f, row in enumerate(own):
+            seen[4 * level + f, row] += 1
+            gradient[4 * level + f, row] += p
+            gradient[4 * level + f, row, digit] -= 1
+    shared = leaf >= vocabulary.first_shared
+    want[shared] -= vocabulary.log_shared[leaf[shared] - vocabulary.first_shared]
+    model = lm_scoring.Model(3, weights)
+    assert np.allclose(model.log10(vocabulary, key, leaf, sizes), want, atol=1e-4)
+    learner = lm_scoring.Learner(model, vocabulary)
+    learner.learn(key, leaf, sizes, 0.2)
+    want_tables -= 0.2 * gradient / np.sqrt(np.maximum(seen, 1))[:, :, None]
+    assert (learner.seen == seen).all()
+    assert np.allclose(learner.tables.transpose(0, 2, 1), want_tables, atol=1e-4)
+    assert (model.weights == weights).all()
+
+
+def test_lm_steps_cover_every_token_once(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BATCH", 7)
+    monkeypatch.setattr(lm_scoring, "STEP", 20)
+    vocabulary = _small_lm([b"\n"] + [f"w{i}".encode() for i in range(30)])
+    for n in (0, 1, 19, 31, 100):
+        _, _, key, leaf, sizes = vocabulary.encode([b" ".join([b"w1"] * n)])
+        learner = lm_scoring.Learner(lm_scoring.Model(3), vocabulary)
+        learner.learn(key, leaf, sizes, 0.2)
+        assert (learner.seen.sum(1) == n + 1).all()
+
+
+def test_lm_sizes_follow_the_corpus_within_bounds():
+    assert [lm_scoring.levels_for(n) for n in (0, 2**20, 2**20 + 1, 10**15)] == [3, 3, 4, lm_scoring.MOST_LEVELS]
+    base = lm_scoring.ROWS * lm_scoring.ROW_TOKENS
+    assert [lm_scoring.rows_for(n) // lm_scoring.ROWS for n in (0, base, 4 * base - 1, 4 * base, 16 * base, 10**18)] == [1, 1, 1, 2, 4, lm_scoring.MOST_ROWS // lm_scoring.ROWS]
+
+
+def test_lm_with_tables_that_have_grown(spark, monkeypatch):
+    """A low bound makes the tables of a small corpus grow; the model still beats single counts and reruns agree."""
+    monkeypatch.setattr(lm_scoring, "ROW_TOKENS", 0.01)
+    ring = [f"wort{i}" for i in np.random.default_rng(9).permutation(50)]
+    texts = [" ".join(ring[(s + k) % 50] for k in range(60)) for s in np.random.default_rng(11).integers(0, 50, 200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    assert lm_scoring.rows_for(160 * 61) == lm_scoring.MOST_ROWS
+    first, again = ({r.doc_id: r.score for r in lm_scoring.score_documents(docs).collect()} for _ in range(2))
+    assert first == pytest.approx(again)
+    rows = [r for r in lm_scoring.score_documents(docs).collect() if r.held_out]
+    assert sum(r.score for r in rows) > 0.85 * sum(r.base_score for r in rows)
+
+
 def test_lm_learns_what_counts_cannot_tell(spark):
     """In each text words follow one another in a fixed order from a random start: a model of history beats single counts."""
     rng = np.random.default_rng(9)
