@@ -5,8 +5,9 @@ Every text becomes the set of its ``WIDTH``-word shingles and an embedding of
 A record starts as many walks as the target recall takes. At each step it follows the tokens whose hash,
 salted with the path so far, is among the chosen ones (``PICKS`` expected): records that
 share a chosen token land in the same bucket. Buckets above ``LIMIT`` split again on further
-tokens; buckets whose records resemble each other, which splitting would not shrink, and
-small ones are searched by brute force, large ones in pairs of blocks. A pair of
+tokens while all of them together ask for more than ``LIMIT / 2`` comparisons a class; buckets whose
+records resemble each other, which splitting would not shrink, and all others are searched by brute
+force, large ones in pairs of blocks. A pair of
 similarity 0.8 meets in a run with probability 0.80 at the first step, 0.72 over two, 0.69
 over three and 0.65 over ten. ``runs_for`` derives the number of walks from the target
 ``RECALL`` at the similarity asked for and the survival over ``DEPTH`` steps, the worst
@@ -38,8 +39,13 @@ RECALL = 0.998
 LIMIT = 256
 DENSE = 0.5
 DEPTH = 10
-BLOCK = 512
-#: Records that a task compares at once: whole parts of buckets, 2 * BLOCK at most each.
+#: Records of a block, and shingles of all of them (8 MB), on average.
+BLOCK = 2048
+BLOCK_SHINGLES = 1 << 20
+#: Parts of more records are compared one by one; pairs held at once while their full sets are compared.
+SMALL_PART = 16
+HELD_PAIRS = 1 << 20
+#: Records that a task compares at once: whole parts of buckets, about 2 * BLOCK at most each.
 PART_ROWS = 8192
 #: Leading tokens of a sketch (their lowest bytes) by which a bucket's likeness is judged.
 BRIEF = 16
@@ -222,7 +228,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
 
 
 def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
-    """``class, path`` one step on from ``class, sketch, path``, or from the start where there is no path."""
+    """``class, n, path`` one step on from ``class, sketch, n, path``, or from the start where there is no path."""
     start = "path" not in rows.columns
 
     @handing_back
@@ -230,17 +236,17 @@ def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
         for batch in batches:
             sketch = _sketches(batch.column(1))
             for a in range(0, len(sketch), 4096):
-                own, keys = sketch[a : a + 4096], batch.column(0).slice(a, 4096)
-                for path in [np.full(len(own), s, np.uint64) for s in _seeds(runs, 11)] if start else [batch.column(2).to_numpy(zero_copy_only=False)[a : a + 4096].view(np.uint64)]:
+                own, keys, n = sketch[a : a + 4096], batch.column(0).slice(a, 4096), batch.column(2).slice(a, 4096)
+                for path in [np.full(len(own), s, np.uint64) for s in _seeds(runs, 11)] if start else [batch.column(3).to_numpy(zero_copy_only=False)[a : a + 4096].view(np.uint64)]:
                     row, to = _children(path, own, picks)
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(row)), _signed(to)], ["class", "path"])
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(row)), n.take(pa.array(row)), _signed(to)], ["class", "n", "path"])
 
-    return rows.mapInArrow(walk, "class binary, path long")
+    return rows.mapInArrow(walk, "class binary, n int, path long")
 
 
 def _nodes(sets: DataFrame) -> DataFrame:
-    """The classes: ``class, sketch, copies, row`` (a hash of one row's id and text)."""
-    return sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"), F.min(F.xxhash64("doc_id", "key")).alias("row"))
+    """The classes: ``class, sketch, n, copies, row`` (a hash of one row's id and text)."""
+    return sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.first("n").cast("int").alias("n"), F.count(F.lit(1)).alias("copies"), F.min(F.xxhash64("doc_id", "key")).alias("row"))
 
 
 def _few(df: DataFrame) -> bool:
@@ -266,34 +272,40 @@ def _likeness(members: DataFrame, big: DataFrame, nodes: DataFrame) -> DataFrame
     return own.mapInArrow(compare, "path long, like double").groupBy("path").agg(F.avg("like").alias("like"))
 
 
-def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int) -> DataFrame:
-    """``class, path, held``: the final buckets of two classes or more and the classes in them."""
-    rows, done = _step(nodes.select("class", "sketch"), picks, runs), None
+def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int, block: int) -> DataFrame:
+    """``class, path, blocks``: the final buckets of two classes or more, the classes in them, and how many blocks each is compared in."""
+    rows, done = _step(nodes.select("class", "sketch", "n"), picks, runs), None
+    worth = nodes.count() * limit / 2
+    pairs = F.sum(F.col("held") * (F.col("held") - 1.0) / 2)
     for level in range(depth):
         rows = materialize(rows, "walk")
-        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held"), F.min(F.xxhash64("class")).alias("lowest")).where("held > 1")
-        sizes = materialize(sizes, "sizes")
+        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("n"), F.min(F.xxhash64("class")).alias("lowest")).where("held > 1")
+        sizes = materialize(sizes.withColumn("blocks", F.ceil(F.greatest(F.col("held") / F.lit(block), F.col("n") / F.lit(BLOCK_SHINGLES))).cast("int")).drop("n"), "sizes")
         # One row a bucket against its records: a bucket of very many is split by Spark, as nothing above the join asks for its key.
-        live = materialize(rows.join(sizes.select("path", "held").hint("merge"), "path"), "live")
+        live = materialize(rows.join(sizes.select("path", "held", "blocks").hint("merge"), "path"), "live")
         discard(rows)
         big = sizes.where(F.col("held") > limit)
-        if level + 1 == depth or not big.limit(1).count():
+        split = level + 1 < depth and (big.agg(pairs).first()[0] or 0) > worth
+        if split:
+            like = _likeness(live.where(F.col("held") > limit), big, nodes)
+            loose = materialize(like.where(F.col("like") < DENSE).select("path").join(big.select("path", "held"), "path"), "like")
+            split = (loose.agg(pairs).first()[0] or 0) > worth
+        if not split:
             done = live if done is None else done.unionByName(live)
             break
-        like = materialize(_likeness(live.where(F.col("held") > limit), big, nodes), "like")
-        splits = like.where(F.col("like") < DENSE).select("path")
+        splits = loose.select("path")
         splits = F.broadcast(splits) if _few(splits) else splits
         stay, go = live.join(splits, "path", "left_anti"), live.join(splits, "path", "left_semi")
         done = stay if done is None else done.unionByName(stay)
-        rows = _step(go.select("class", "path").join(nodes.select("class", "sketch"), "class").select("class", "sketch", "path"), picks, runs)
-    return done.select("class", "path", "held")
+        rows = _step(go.select("class", "path").join(nodes.select("class", "sketch", "n"), "class").select("class", "sketch", "n", "path"), picks, runs)
+    return done.select("class", "path", "blocks")
 
 
-def _in_blocks(members: DataFrame, block: int) -> DataFrame:
+def _in_blocks(members: DataFrame) -> DataFrame:
     """Adds ``a, b, block``: every unordered pair of blocks of a bucket; a record is of block a or b in its parts."""
-    blocks = F.ceil(F.col("held") / F.lit(block)).cast("int")
+    blocks = F.col("blocks")
     own = F.pmod(F.xxhash64("class", "path"), blocks).cast("int")
-    return members.withColumn("block", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"a": F.least("block", "_other"), "b": F.greatest("block", "_other")}).drop("_other", "held")
+    return members.withColumn("block", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"a": F.least("block", "_other"), "b": F.greatest("block", "_other")}).drop("_other", "blocks")
 
 
 def _whole_parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -326,13 +338,13 @@ def _pairs(edges: np.ndarray, block: np.ndarray, a: np.ndarray, b: np.ndarray, m
     """Record numbers of all pairs within each part, about ``most`` at a time."""
     size, first = np.diff(edges), edges[:-1]
     same = a[first] == b[first]
-    for n in np.unique(size[same & (size <= 64)]).tolist():
+    for n in np.unique(size[same & (size <= SMALL_PART)]).tolist():
         x, y = np.triu_indices(n, 1)
         own = first[same & (size == n)]
         step = max(1, most // max(1, len(x)))
         for i in range(0, len(own), step):
             yield (own[i : i + step, None] + x).ravel(), (own[i : i + step, None] + y).ravel()
-    for i in np.flatnonzero(~same | (size > 64)).tolist():
+    for i in np.flatnonzero(~same | (size > SMALL_PART)).tolist():
         at = np.arange(edges[i], edges[i + 1])
         if same[i]:
             near = far = at
@@ -349,47 +361,46 @@ def _pairs(edges: np.ndarray, block: np.ndarray, a: np.ndarray, b: np.ndarray, m
             yield x, y
 
 
-def _earlier(paths: pa.Array, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each record's buckets before its own ``path`` in two matrices, filled up with different numbers."""
+def _masks(paths: pa.Array, path: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """A bit for each bucket before its own that a record has in common with another one of its part."""
     offsets = paths.offsets.to_numpy().astype(np.int64)
     flat = paths.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
     owner = np.repeat(np.arange(len(path)), np.diff(offsets))
     keep = flat < path[owner]
     flat, owner = flat[keep], owner[keep]
-    n = np.bincount(owner, minlength=len(path))
-    place = np.arange(len(flat)) - (np.cumsum(n) - n)[owner]
-    top = np.iinfo(np.int64).max
-    one = np.full((len(path), int(n.max(initial=0))), top)
-    one[owner, place] = flat
-    two = one.copy()
-    two[two == top] = top - 1
-    return one, two
-
-
-def _met_before(one: np.ndarray, two: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which of the pairs have an earlier bucket in common."""
-    out = np.zeros(len(x), bool)
-    width = one.shape[1]
-    step = max(1, (1 << 18) // max(1, width))
-    for i in range(0, len(x), step):
-        left, right = one[x[i : i + step]], two[y[i : i + step]]
-        for k in range(width):
-            out[i : i + step] |= (left[:, k : k + 1] == right).any(1)
-    return out
-
-
-def _near(table: pa.Table, edges: np.ndarray, lowest: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    part = np.searchsorted(edges, owner, side="right") - 1
+    order = np.lexsort((flat, part))
+    flat, owner, part = flat[order], owner[order], part[order]
+    new = np.ones(len(flat), bool)
+    new[1:] = (flat[1:] != flat[:-1]) | (part[1:] != part[:-1])
+    group = np.cumsum(new) - 1
+    several = np.flatnonzero(np.bincount(group) > 1)
+    within = part[new][several]
+    bit = np.full(int(new.sum()), -1)
+    bit[several] = np.arange(len(several)) - np.searchsorted(within, within)
+    bit = bit[group]
+    owner, bit = owner[bit >= 0], bit[bit >= 0]
+    masks = np.zeros((int(bit.max(initial=0)) // 64 + 1, len(path)), np.uint64)
+    np.bitwise_or.at(masks, (bit // 64, owner), np.uint64(1) << (bit % 64).astype(np.uint64))
+    return masks
+
+
+def _near(table: pa.Table, edges: np.ndarray, lowest: float, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The pairs of each part that are alike by their sketches and in no earlier bucket."""
     column = {c: table.column(c).combine_chunks() for c in ("path", "a", "b", "block", "low", "paths")}
     low = flat_bytes(column["low"])[0].reshape(len(table), -1)
     path, a, b, block = (column[c].to_numpy() for c in ("path", "a", "b", "block"))
-    one, two = _earlier(column["paths"], path)
-    for x, y in _pairs(edges, block, a, b):
-        good = np.concatenate([(low[x[i : i + 8192]] == low[y[i : i + 8192]]).sum(1, dtype=np.uint8) for i in range(0, len(x), 8192)] or [np.zeros(0, np.uint8)]) >= lowest * low.shape[1]
+    masks = _masks(column["paths"], path, edges)
+    for x, y in _pairs(edges, block, a, b, most):
+        good = np.zeros(len(x), bool)
+        for i in range(0, len(x), 8192):
+            equal = np.packbits(low[x[i : i + 8192]] == low[y[i : i + 8192]], axis=1).view(np.uint64)
+            good[i : i + 8192] = np.bitwise_count(equal).sum(1) >= lowest * low.shape[1]
         x, y = x[good], y[good]
-        fresh = ~_met_before(one, two, x, y)
-        yield x[fresh], y[fresh]
+        met = np.zeros(len(x), bool)
+        for mask in masks:
+            met |= mask[x] & mask[y] != 0
+        yield x[~met], y[~met]
 
 
 def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -405,14 +416,15 @@ def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _common_dense(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The same for many pairs of few sets, by matrix products over ranges of elements of bounded size."""
-    which = np.unique(np.concatenate([x, y]))
-    place = np.full(len(sets), -1)
-    place[which] = np.arange(len(which))
+    rows, row = np.unique(x, return_inverse=True)
+    columns, column = np.unique(y, return_inverse=True)
+    which = np.unique(np.concatenate([rows, columns]))
+    row_at, column_at = np.searchsorted(which, rows), np.searchsorted(which, columns)
     own = [sets[i] for i in which.tolist()]
     ranges = max(1, -(-sum(map(len, own)) // (1 << 19)))
     bounds = (np.arange(1, ranges) * ((1 << 64) // ranges)).astype(np.uint64) if ranges > 1 else np.zeros(0, np.uint64)
     cuts = np.array([[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in own])
-    shared = np.zeros((len(own), len(own)), np.float32)
+    shared = np.zeros((len(rows), len(columns)), np.float32)
     for r in range(ranges):
         parts = [s[c[r] : c[r + 1]] for s, c in zip(own, cuts, strict=True)]
         owner = np.repeat(np.arange(len(own)), [len(q) for q in parts])
@@ -425,13 +437,12 @@ def _common_dense(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
             hit = (at >= c) & (at < c + 2048)
             table = np.zeros((len(own), min(2048, len(several) - c)), np.float32)
             table[owner[hit], at[hit] - c] = 1
-            shared += table @ table.T
-    return shared[place[x], place[y]].astype(np.int64)
+            shared += table[row_at] @ table[column_at].T
+    return shared[row, column].astype(np.int64)
 
 
-def _forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links."""
-    parent = list(range(n))
+def _forest(parent: list[int], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join trees of the forest ``parent``, which grows by them."""
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -448,13 +459,13 @@ def _forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]
     return kept
 
 
-def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float, block: int) -> DataFrame:
+def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
     """``class, links`` (a class's weight of links found) and ``other`` (forest edges, links 0)."""
     lowest = similarity - SLACK
-    own = buckets.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("path", "held"))).alias("own"))
+    own = buckets.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("path", "blocks"))).alias("own"))
     known = nodes.select("class", F.substring("sketch", 1, TOKENS).alias("low"), "copies")
     members = own.join(known.hint("merge"), "class").select("class", "low", "copies", F.col("own.path").alias("paths"), F.explode("own").alias("at"))
-    members = _in_blocks(members.select("class", "low", "copies", "paths", "at.path", "at.held"), block)
+    members = _in_blocks(members.select("class", "low", "copies", "paths", "at.path", "at.blocks"))
     part, kept = ["path", "a", "b"], ["class", "path", "a", "b", "block", "copies", "low", "paths"]
     types = "class binary, path long, a int, b int, block int, copies long, low binary, paths array<long>"
 
@@ -466,7 +477,7 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
                 active[x] = active[y] = True
             yield from table.take(pa.array(np.flatnonzero(active))).combine_chunks().to_batches()
 
-    # A part has 2 * block records at most, however large its bucket.
+    # A part has about 2 * block records at most, however large its bucket.
     active = members.select(*kept).repartition(*part).sortWithinPartitions(*part).mapInArrow(near, types)
     active = materialize(active, "active")
 
@@ -494,35 +505,32 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
 
     @handing_back
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in _whole_parts(batches, block):
+        for table, edges in _whole_parts(batches, 1):
             flat, offsets = flat_bytes(table.column("elements").combine_chunks())
             elements = flat.view(np.uint64)
             sets = [elements[a:b] for a, b in zip(offsets[:-1] // 8, offsets[1:] // 8, strict=True)]
             size = np.diff(offsets) // 8
             weight = table.column("copies").to_numpy()
             links = np.zeros(len(table), np.int64)
-            pairs = list(_near(table, edges, lowest))
-            x, y = (np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, np.int64) for i in (0, 1))
-            # Sets of which one is smaller than the similarity allows need no comparison.
-            fits = np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y]) - 1e-9
-            x, y = x[fits], y[fits]
-            own = np.searchsorted(edges, x, side="right") - 1
-            many = np.bincount(own, minlength=len(edges) - 1) > 8 * np.diff(edges)
-            shared = np.zeros(len(x), np.int64)
-            few = ~many[own]
-            shared[few] = _common(sets, x[few], y[few])
-            for part_no in np.flatnonzero(many).tolist():
-                at = own == part_no
-                shared[at] = _common_dense(sets, x[at], y[at])
-            good = shared >= similarity * (size[x] + size[y] - shared) - 1e-9
-            x, y = x[good], y[good]
-            np.add.at(links, x, weight[y])
-            np.add.at(links, y, weight[x])
+            parent, forest = list(range(len(table))), []
+            for x, y in _near(table, edges, lowest, HELD_PAIRS):
+                # Sets of which one is smaller than the similarity allows need no comparison.
+                fits = np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y]) - 1e-9
+                x, y = x[fits], y[fits]
+                if not len(x):
+                    continue
+                own = np.searchsorted(edges, x[[0, -1]], side="right")
+                one = own[0] == own[1] and len(x) > 8 * (own_size := edges[own[0]] - edges[own[0] - 1]) and own_size > SMALL_PART
+                shared = (_common_dense if one else _common)(sets, x, y)
+                good = shared >= similarity * (size[x] + size[y] - shared) - 1e-9
+                x, y = x[good], y[good]
+                np.add.at(links, x, weight[y])
+                np.add.at(links, y, weight[x])
+                forest += _forest(parent, x, y)
             name = table.column("class").to_pylist()
             some = np.flatnonzero(links).tolist()
-            edges = _forest(len(table), x, y)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name[i] for i in some] + [name[x] for x, _ in edges], pa.binary()), pa.array(links[some].tolist() + [0] * len(edges), pa.int64()), pa.array([None] * len(some) + [name[y] for _, y in edges], pa.binary())], ["class", "links", "other"]
+                [pa.array([name[i] for i in some] + [name[x] for x, _ in forest], pa.binary()), pa.array(links[some].tolist() + [0] * len(forest), pa.int64()), pa.array([None] * len(some) + [name[y] for _, y in forest], pa.binary())], ["class", "links", "other"]
             )
 
     ready = active.join(full.hint("merge"), "class").repartition(*part).sortWithinPartitions(*part)
@@ -560,8 +568,8 @@ def _grouped(
     sets = materialize(_sets(docs, id_col, text_col, width), "sets")
     worded = sets.where("class is not null")
     nodes = materialize(_nodes(worded), "nodes")
-    buckets = _buckets(nodes, picks, runs_for(recall, similarity, picks, TOKENS, depth), limit, depth)
-    links = _links(buckets, nodes, docs, id_col, text_col, width, similarity, block)
+    buckets = _buckets(nodes, picks, runs_for(recall, similarity, picks, TOKENS, depth), limit, depth, block)
+    links = _links(buckets, nodes, docs, id_col, text_col, width, similarity)
     sums = links.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(links.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     roots = materialize(roots, "roots")

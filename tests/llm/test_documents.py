@@ -102,6 +102,32 @@ def test_jaccard_join_in_large_groups(spark):
     assert sum(got.values()) >= 0.99 * sum(want) and all(got[i] <= n for i, n in enumerate(want))
 
 
+def test_jaccard_join_sends_a_large_group_in_few_parts(spark, monkeypatch):
+    """A thousand near copies of one text, most of them no links: every link of brute force, few rows sent, no further splitting of a bucket that is worth comparing."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(f"x{int(rng.integers(0, 10**9))}" if k in gone else w for k, w in enumerate(words)) for gone in (set(rng.choice(60, int(rng.integers(1, 3)), replace=False).tolist()) for _ in range(1000))]
+    sent, materialize = {}, jaccard_join.materialize
+
+    def counted(df, tag):
+        out = materialize(df, tag)
+        sent.setdefault(tag, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    width = {g: k for k, g in enumerate(sorted(set().union(*sets)))}
+    table = np.zeros((len(sets), len(width)), np.float32)
+    for i, s in enumerate(sets):
+        table[i, [width[g] for g in s]] = 1
+    shared, size = table @ table.T, table.sum(1)
+    links = (shared >= 0.8 * (size[:, None] + size - shared) - 1e-6).sum(1) - 1
+    assert sum(got.values()) >= 0.998 * links.sum() and all(got[i] <= n for i, n in enumerate(links.tolist()))
+    assert sent["active"][0] <= 5 * len(texts)
+    assert len(sent["walk"]) <= 2
+
+
 def test_jaccard_join_tells_rows_without_an_id_of_their_own_apart(spark):
     one, two, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
     rows = [(None, one), (None, one + " fim"), (1, two), (2, two + " fim"), (2, other), (None, two + " um"), (5, other + " fim"), (7, "só isto"), (7, "só isto"), (None, ""), (None, None)]
