@@ -1,5 +1,8 @@
 """Functions and operators on cases worked out by hand."""
 
+import re
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +231,25 @@ def test_field_types(spark):
 def test_no_row_at_a_time_python_in_built_in_queries(spark):
     df = spark.range(3).select(F.lit("/a/B/DNSP2401.dbc").alias("path"))
     assert "BatchEvalPython" not in corpus.inventory(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_normalize_exact_holds_few_texts_at_once(spark):
+    """Equal to the plain rule on odd texts; a batch's Python strings stay far below its size."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [None, "", "  Á\u0301çãO -- x_y ", "ﬁm\u00a0½ Ⅷ", "ΑΣ-  ΑΣ", "a\n\t-\tb!"] * 200 + ["é -" * 4000] * 400
+    tracemalloc.start()
+    got = text.normalize_exact.func(pa.array(texts, pa.string())).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+
+    def plain(t):
+        t = "".join(c for c in unicodedata.normalize("NFKD", t or "") if not unicodedata.combining(c)).lower()
+        return re.sub(r" *- *", "-", re.sub(r"\s+", " ", re.sub(r"[^\w\s-]", " ", t)).strip())
+
+    assert got == [plain(t) for t in texts]
+    assert peak < 60_000_000 and text.normalize_exact.func(pa.array([], pa.string())).to_pylist() == []
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts[:6])], "k int, t string").select("k", text.normalize_exact("t")).collect()
+    assert dict(map(tuple, rows)) == {k: plain(t) for k, t in enumerate(texts[:6])}
