@@ -537,14 +537,21 @@ def _links(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     return materialize(ready.select(*kept, "elements").mapInArrow(verify, "class binary, links long, other binary"), "links")
 
 
+def _chained(edges: DataFrame) -> bool:
+    """Whether a vertex ``a`` has several edges ``a, b`` or is another one's ``b``."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+    met = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return bool(met.where("up > 1 or up = 1 and least = 0").limit(1).count())
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root``: the smallest node of each component, by alternating large and small stars until nothing changes.
+    """``node, root``: the smallest node of each component, by alternating large and small stars until every edge leads to the centre of a star.
 
     ``edges`` has ``a, b``. Each round writes its edges to the shared folder; a vertex sends its
     edges to its smallest neighbour, so no vertex gathers a component.
     """
     work = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    while True:
+    while _chained(work):
         both = work.unionByName(work.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
@@ -552,11 +559,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         small = materialize(small, "small")
-        same = small.count() == work.count() and not small.join(work, ["a", "b"], "left_anti").limit(1).count()
         discard(large), discard(work)
         work = small
-        if same:
-            break
     return work.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
 
 

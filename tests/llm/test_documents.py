@@ -102,6 +102,16 @@ def test_jaccard_join_in_large_groups(spark):
     assert sum(got.values()) >= 0.99 * sum(want) and all(got[i] <= n for i, n in enumerate(want))
 
 
+def test_components_end_once_all_are_stars(spark, monkeypatch):
+    rounds, materialize = [], jaccard_join.materialize
+    monkeypatch.setattr(jaccard_join, "materialize", lambda df, tag: rounds.append(tag) or materialize(df, tag))
+    of = lambda edges: dict(map(tuple, jaccard_join.components(spark.createDataFrame(edges, "a int, b int")).select("node", "root").collect()))
+    assert of([(2, 1), (1, 3), (7, 9)]) == {2: 1, 3: 1, 9: 7} and "large" not in rounds
+    chain = [(k, k + 1) for k in range(1, 20)] + [(30, 31), (32, 31)]
+    assert of(chain) == {k: 1 for k in range(2, 21)} | {31: 30, 32: 30}
+    assert of([]) == {}
+
+
 def test_jaccard_join_sends_a_large_group_in_few_parts(spark, monkeypatch):
     """A thousand near copies of one text, most of them no links: every link of brute force, few rows sent, no further splitting of a bucket that is worth comparing."""
     rng = np.random.default_rng(8)
