@@ -14,6 +14,8 @@ from .graph import connected_components
 SAMPLE_ROWS = 500
 DISTINCT_HEAD = 1000
 TOP_VALUES = 12
+#: Sets of so many values at most travel with their index entries, so that pairs of them are judged where they meet.
+SHORT_SET = 32
 
 
 def long_form(rows: DataFrame, source: str, sample_rows: int | None = SAMPLE_ROWS, order: str | None = None) -> DataFrame:
@@ -104,17 +106,22 @@ def jaccard_pairs(members: DataFrame, item: str, value: str, least: float = 0.0)
 
     With values in order from rare to frequent, two sets of similarity ``least`` or more share one of the first
     ``n - ceil(least * n) + 1`` values of each, so only those are joined: a value that most items have, which comes
-    last, makes no pairs. Sizes bound the pairs as well. Pairs without a common value have similarity 0 and no row.
+    last, makes no pairs. Sizes bound the pairs as well, and pairs of short sets are judged where they meet, so only
+    those that are alike are sent on. Pairs without a common value have similarity 0 and no row.
     """
     each = members.select(F.col(item).alias("i"), F.col(value).alias("v")).where("i is not null and v is not null").distinct()
     often = each.groupBy("v").agg(F.count(F.lit(1)).alias("f"))
     sets = each.join(often, "v").groupBy("i").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))
     sets = sets.select("i", F.transform("s", lambda e: e["v"]).alias("s"), F.size("s").alias("n"))
     reach = F.col("n") - F.greatest(F.ceil(F.col("n") * F.lit(least) - 1e-9), F.lit(1)).cast("int") + 1
-    index = sets.select("i", "n", F.explode(F.slice("s", 1, reach)).alias("v"))
+    index = sets.select("i", "n", F.when(F.col("n") <= SHORT_SET, F.col("s")).alias("s"), F.posexplode(F.slice("s", 1, reach)).alias("at", "v"))
     l, r = index.alias("l"), index.alias("r")
     sized = F.least("l.n", "r.n") >= F.lit(least) * F.greatest("l.n", "r.n") - 1e-9
-    met = l.join(r, (F.col("l.v") == F.col("r.v")) & (F.col("l.i") < F.col("r.i")) & sized).select(F.col("l.i").alias("a"), F.col("r.i").alias("b")).distinct()
+    # What two sets must have in common; from their first common value on, they have no more than the rest of each.
+    needed = F.lit(least / (1 + least)) * (F.col("l.n") + F.col("r.n")) - 1e-9
+    room = F.least(F.col("l.n") - F.col("l.at"), F.col("r.n") - F.col("r.at")) >= needed
+    alike = F.when(F.col("l.s").isNull() | F.col("r.s").isNull(), True).otherwise(F.size(F.array_intersect("l.s", "r.s")) >= needed)
+    met = l.join(r, (F.col("l.v") == F.col("r.v")) & (F.col("l.i") < F.col("r.i")) & sized & room & alike).select(F.col("l.i").alias("a"), F.col("r.i").alias("b")).distinct()
     side = lambda s: sets.select(F.col("i").alias(s), F.col("s").alias(f"s{s}"))
     both = met.join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.size(F.array_intersect("sa", "sb")).cast("long"))
     out = both.withColumn("similarity", F.col("shared") / (F.size("sa") + F.size("sb") - F.col("shared")))

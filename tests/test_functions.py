@@ -253,3 +253,19 @@ def test_normalize_exact_holds_few_texts_at_once(spark):
     assert peak < 60_000_000 and text.normalize_exact.func(pa.array([], pa.string())).to_pylist() == []
     rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts[:6])], "k int, t string").select("k", text.normalize_exact("t")).collect()
     assert dict(map(tuple, rows)) == {k: plain(t) for k, t in enumerate(texts[:6])}
+
+
+def test_jaccard_pairs_judge_short_sets_where_they_meet(spark):
+    """Equal to brute force, for sets shorter and longer than those that travel along; the join itself drops pairs that are not alike."""
+    import random
+
+    draw = random.Random(5)
+    sets = {k: {draw.randrange(12) for _ in range(draw.randrange(1, 7))} for k in range(60)} | {k: set(draw.sample(range(60), draw.randrange(28, 55))) for k in range(60, 80)}
+    rows = spark.createDataFrame([(k, v) for k, s in sets.items() for v in s], "i int, v int")
+    for least in (0.0, 0.5, 0.7):
+        pairs = profile.jaccard_pairs(rows, "i", "v", least)
+        got = {(r.a, r.b): (r.shared, round(r.similarity, 9)) for r in pairs.collect()}
+        alike = {(a, b): (len(x & y), round(len(x & y) / len(x | y), 9)) for a, x in sets.items() for b, y in sets.items() if a < b and x & y}
+        assert got == {p: m for p, m in alike.items() if m[1] >= least}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in line and "array_intersect" in line for line in plan.splitlines())
