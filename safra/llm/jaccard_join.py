@@ -228,22 +228,30 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
 
 
 def _step(rows: DataFrame, picks: float, runs: int) -> DataFrame:
-    """``class, n, path`` one step on from ``class, sketch, n, path``, or from the start where there is no path."""
-    start = "path" not in rows.columns
+    """``class, n, path`` one step on from ``class, sketch, n, paths``, or from the start where there are no paths."""
+    start = "paths" not in rows.columns
 
     @handing_back
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sketch = _sketches(batch.column(1))
-            for a in range(0, len(sketch), 4096):
-                own, keys, n = sketch[a : a + 4096], batch.column(0).slice(a, 4096), batch.column(2).slice(a, 4096)
-                for path in [np.full(len(own), s, np.uint64) for s in _seeds(runs, 11)] if start else [batch.column(3).to_numpy(zero_copy_only=False)[a : a + 4096].view(np.uint64)]:
-                    row, to = _children(path, own, picks)
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(row)), n.take(pa.array(row)), _signed(to)], ["class", "n", "path"])
+            if start:
+                at, paths = np.tile(np.arange(len(sketch)), runs), np.repeat(_seeds(runs, 11), len(sketch))
+            else:
+                at, paths = np.repeat(np.arange(len(sketch)), np.diff(batch.column(3).offsets.to_numpy())), batch.column(3).flatten().to_numpy().view(np.uint64)
+            for a in range(0, len(at), 4096):
+                row, to = _children(paths[a : a + 4096], sketch[at[a : a + 4096]], picks)
+                own = pa.array(at[a : a + 4096][row])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(2).take(own), _signed(to)], ["class", "n", "path"])
 
     return rows.mapInArrow(walk, "class binary, n int, path long")
 
 
+def _gathered(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``nodes`` that are in some bucket of ``members``, with their ``paths``: a class meets its sketch once, in however many buckets it is."""
+    return members.groupBy("class").agg(F.collect_list("path").alias("paths")).join(nodes, "class")
+
+
 def _nodes(sets: DataFrame) -> DataFrame:
     """The classes: ``class, sketch, n, copies, row`` (a hash of one row's id and text)."""
     return sets.groupBy("class").agg(F.first("sketch").alias("sketch"), F.first("n").cast("int").alias("n"), F.count(F.lit(1)).alias("copies"), F.min(F.xxhash64("doc_id", "key")).alias("row"))
@@ -261,7 +269,8 @@ def _likeness(members: DataFrame, big: DataFrame, nodes: DataFrame) -> DataFrame
     brief = F.substring("sketch", 1, BRIEF)
     pivots = big.join(nodes.select(F.xxhash64("class").alias("lowest"), brief.alias("pivot")), "lowest").groupBy("path").agg(F.min("pivot").alias("pivot"))
     pivots = materialize(pivots, "pivots")
-    own = members.join(F.broadcast(pivots) if _few(pivots) else pivots, "path").join(nodes.select("class", brief.alias("brief")), "class").select("path", "brief", "pivot")
+    held = _gathered(members, nodes.select("class", brief.alias("brief"))).select("brief", F.explode("paths").alias("path"))
+    own = held.join(F.broadcast(pivots) if _few(pivots) else pivots, "path").select("path", "brief", "pivot")
 
     @handing_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +306,7 @@ def _buckets(nodes: DataFrame, picks: float, runs: int, limit: int, depth: int,
         splits = F.broadcast(splits) if _few(splits) else splits
         stay, go = live.join(splits, "path", "left_anti"), live.join(splits, "path", "left_semi")
         done = stay if done is None else done.unionByName(stay)
-        rows = _step(go.select("class", "path").join(nodes.select("class", "sketch", "n"), "class").select("class", "sketch", "n", "path"), picks, runs)
+        rows = _step(_gathered(go, nodes.select("class", "sketch", "n")).select("class", "sketch", "n", "paths"), picks, runs)
     return done.select("class", "path", "blocks")
 
 

@@ -138,6 +138,24 @@ def test_jaccard_join_sends_a_large_group_in_few_parts(spark, monkeypatch):
     assert len(sent["walk"]) <= 2
 
 
+def test_jaccard_join_brings_a_class_its_sketch_once(spark, monkeypatch):
+    """Near copies that share many large buckets: what the next step reads has a row a class, not one a bucket."""
+    words = [f"w{k}" for k in range(150)]
+    texts = [" ".join([*words[: i % 150], f"x{i}", *words[i % 150 + 1 :]]) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(jaccard_join, "DENSE", 2.0)  # every large bucket splits
+    stepped, step = [], jaccard_join._step
+
+    def seen(rows, *more):
+        stepped.append((rows.count(), rows.select("class").distinct().count()))
+        return step(rows, *more)
+
+    monkeypatch.setattr(jaccard_join, "_step", seen)
+    got = jaccard_join.jaccard_classes(docs, limit=16, depth=2)
+    assert {r.class_id for r in got.collect()} == {0}
+    assert len(stepped) == 2 and all(n == own for n, own in stepped)
+
+
 def test_jaccard_join_tells_rows_without_an_id_of_their_own_apart(spark):
     one, two, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
     rows = [(None, one), (None, one + " fim"), (1, two), (2, two + " fim"), (2, other), (None, two + " um"), (5, other + " fim"), (7, "só isto"), (7, "só isto"), (None, ""), (None, None)]
