@@ -2,9 +2,11 @@
 
 Vectors, scaled to length 1, are assigned to the nearest of some pivots; a cell is written with
 its widest angle. The best pairs within each piece of a cell give a first bound. Two cells
-whose angle, less their widths, allows no pair above it are never compared. Pieces that are
-compared are multiplied a block of columns at a time: a pair whose sum so far plus the
-product of both remaining norms stays below the bound is given up.
+whose angle, less their widths, allows no pair above it are never compared. Cells, or parts of large
+ones, are packed into blocks, of which there are a fixed number until they fill ``BLOCK_BYTES``: a vector is
+sent once for each block that it may meet, so what is sent grows with the vectors, not with their
+square. Within a task pieces are multiplied a block of columns at a time: a pair whose sum so far
+plus the product of both remaining norms stays below the bound is given up.
 """
 
 from __future__ import annotations
@@ -22,11 +24,14 @@ from .graph import cut
 PIECE = 1024
 PIVOTS = 512
 COLUMNS = 16
+#: Blocks of vectors, about; and bytes of a block at most, beyond which there are more of them.
+BLOCKS = 24
+BLOCK_BYTES = 64 << 20
 _PAIRS = "a long, b long, cosine double"
 
 
 def _rows(column: pa.ChunkedArray) -> np.ndarray:
-    return np.array([np.frombuffer(v, np.float64) for v in column.to_pylist()])
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
 
 
 def _compare(left: tuple, right: tuple | None, bound: float, most: int, columns: int) -> pa.Table:
@@ -55,16 +60,65 @@ def _compare(left: tuple, right: tuple | None, bound: float, most: int, columns:
     return pa.table({"a": pa.array(a[best], pa.int64()), "b": pa.array(b[best], pa.int64()), "cosine": pa.array(score[best], pa.float64())})
 
 
-def _piece(table: pa.Table) -> tuple:
-    order = np.argsort(table["id"].to_numpy(), kind="stable")
-    return table["id"].to_numpy()[order], np.array(table["kind"].to_pylist(), object)[order], _rows(table["v"])[order]
+def _units(table: pa.Table) -> dict[int, tuple]:
+    """The vectors (ids, groups, vectors, by id) of each unit."""
+    if not len(table):
+        return {}
+    unit, ids = table["unit"].to_numpy(), table["id"].to_numpy()
+    order = np.lexsort((ids, unit))
+    groups, x = np.array(table["kind"].to_pylist(), object), _rows(table["v"])
+    edges = np.flatnonzero(np.diff(unit[order])) + 1
+    return {int(unit[at[0]]): (ids[at], groups[at], x[at]) for at in np.split(order, edges)}
+
+
+def _best(found: list[pa.Table], most: int) -> pa.Table:
+    all_ = pa.concat_tables(found)
+    return all_.sort_by([("cosine", "descending"), ("a", "ascending"), ("b", "ascending")]).slice(0, most)
+
+
+def _compare_units(left: dict[int, tuple], right: dict[int, tuple], pairs: list[tuple[int, int]], bound: float, most: int, piece: int, columns: int) -> pa.Table:
+    """The ``most`` best pairs of the pairs of units, or within a unit where both are the same, ``piece`` vectors at a time.
+
+    Once ``most`` pairs are found, the least of them is the bound of the pieces to come.
+    """
+    cuts = lambda side: [tuple(c[i : i + piece] for c in side) for i in range(0, len(side[0]), piece)]
+    best = _best([pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})], most)
+    for c, d in pairs:
+        if c not in left or d not in right:
+            continue
+        one, other = cuts(left[c]), cuts(right[d])
+        for i, x in enumerate(one):
+            for j in range(i if c == d else 0, len(other)):
+                found = _compare(x, None if c == d and i == j else other[j], bound, most, columns)
+                if len(found):
+                    best = _best([best, found], most)
+                    if len(best) == most:
+                        bound = max(bound, best["cosine"][most - 1].as_py())
+    return best
+
+
+def _layout(cells: dict[int, int], near: np.ndarray, rows: int) -> list[tuple[int, int, int]]:
+    """``cell, part, block`` of each unit: a part of a cell of ``rows`` vectors at most, about; units are packed into blocks of so many, near cells together."""
+    left, at = sorted(cells), None
+    out, block, held = [], 0, 0
+    while left:
+        at = left[0] if at is None else max(left, key=lambda c: near[at, c])
+        left.remove(at)
+        parts = -(-cells[at] // rows)
+        size = cells[at] / parts
+        for part in range(parts):
+            if held and held + size > rows:
+                block, held = block + 1, 0
+            out.append((at, part, block))
+            held += size
+    return out
 
 
 def top_pairs(vectors: DataFrame, id_: str, vector: str, group: str, most: int, piece: int = PIECE, pivots: int = PIVOTS, columns: int = COLUMNS) -> DataFrame:
     """``a, b, cosine``: the ``most`` pairs (a before b) of different groups with the largest cosine; ties by a, then b.
 
     Exact. Rows whose id or group is null, or whose vector is null, zero or holds a null or a number that is not finite,
-    take no part; vectors must have one length. Pivots are vectors of smallest seeded hash; only they, a width a cell and the bound reach the driver.
+    take no part; vectors must have one length. Pivots are vectors of smallest seeded hash; only they, a size and a width a cell and the bound reach the driver.
     """
     v = F.transform(vector, lambda e: e.cast("double"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e))
@@ -88,26 +142,41 @@ def top_pairs(vectors: DataFrame, id_: str, vector: str, group: str, most: int,
 
     placed = cut(sound.mapInArrow(assign, "id long, kind string, v binary, cell int, angle double"))
     cells = {r.cell: (r.n, r.wide) for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("wide")).collect()}
-    parts = spark.createDataFrame([(c, -(-k // piece)) for c, (k, _) in cells.items()], "cell int, parts int")
-    held = cut(placed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), F.col("parts")).cast("int")).drop("angle"))
+    near = chosen @ chosen.T
+    rows = min(max(piece, -(-n // BLOCKS)), max(piece, BLOCK_BYTES // (8 * chosen.shape[1])))
+    layout = _layout({c: k for c, (k, _) in cells.items()}, near, rows)
+    units = spark.createDataFrame([(u, c, p) for u, (c, p, _) in enumerate(layout)], "unit int, cell int, part int")
+    parts = spark.createDataFrame([(c, -(-k // rows)) for c, (k, _) in cells.items()], "cell int, parts int")
+    held = placed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), F.col("parts")).cast("int"))
+    held = cut(held.join(F.broadcast(units), ["cell", "part"]).select("id", "kind", "v", "unit"))
 
     def best(found: DataFrame) -> DataFrame:
         return found.orderBy(F.desc("cosine"), "a", "b").limit(most)
 
-    own = cut(best(held.groupBy("cell", "part").applyInArrow(lambda t: _compare(_piece(t), None, -2.0, most, columns), _PAIRS)))
+    def within(table: pa.Table) -> pa.Table:
+        own = _units(table)
+        return _compare_units(own, own, [(u, u) for u in own], -2.0, most, piece, columns)
+
+    own = cut(best(held.groupBy("unit").applyInArrow(within, _PAIRS)))
     low = own.agg(F.when(F.count(F.lit(1)) >= most, F.min("cosine"))).first()[0]
     bound = -2.0 if low is None else low
 
-    between = np.arccos(np.clip(chosen @ chosen.T, -1, 1))
-    met = [(c, d) for c in cells for d in cells if c <= d and np.cos(max(0.0, between[c, d] - cells[c][1] - cells[d][1])) >= bound - 1e-9]
-    size = lambda c: F.element_at(F.create_map(*[F.lit(x) for k, (m, _) in cells.items() for x in (k, -(-m // piece))]), c)
-    tasks = spark.createDataFrame(met, "c int, d int").withColumns({"p": F.explode(F.sequence(F.lit(0), size(F.col("c")) - 1))}).withColumn("q", F.explode(F.sequence(F.lit(0), size(F.col("d")) - 1)))
-    tasks = cut(tasks.where("c < d or p < q").withColumn("task", F.monotonically_increasing_id()))
-    sides = tasks.select("task", F.col("c").alias("cell"), F.col("p").alias("part"), F.lit(0).alias("side")).unionByName(tasks.select("task", F.col("d").alias("cell"), F.col("q").alias("part"), F.lit(1).alias("side")))
-    sent = held.select("id", "kind", "v", "cell", "part").join(sides, ["cell", "part"])
+    between = np.arccos(np.clip(near, -1, 1))
+    wide = np.array([cells[c][1] for c, _, _ in layout])
+    of = np.array([c for c, _, _ in layout])
+    meet = np.triu(np.cos(np.maximum(0.0, between[np.ix_(of, of)] - wide[:, None] - wide[None, :])) >= bound - 1e-9, 1)
+    block = np.array([b for _, _, b in layout])
+    # A task is a pair of blocks; of each it gets the units that may meet one of the other.
+    x, y = np.nonzero(meet)
+    task = block[x] * (block[-1] + 1) + block[y]
+    sides = np.unique(np.concatenate([np.stack([task, x], 1), np.stack([task, y], 1)]), axis=0)
+    sides = cut(spark.createDataFrame(sides.tolist(), "task long, unit int"))
+    sent = held.join(F.broadcast(sides), "unit")
 
     def both(table: pa.Table) -> pa.Table:
-        side = table["side"].to_numpy()
-        return _compare(*[_piece(table.filter(pa.array(side == k))) for k in (0, 1)], bound, most, columns)
+        own = _units(table)
+        first, second = divmod(table["task"][0].as_py(), int(block[-1]) + 1)
+        pairs = [(c, d) for c in own for d in own if meet[c, d] and block[c] == first and block[d] == second]
+        return _compare_units(own, own, pairs, bound, most, piece, columns)
 
     return best(own.unionByName(sent.groupBy("task").applyInArrow(both, _PAIRS)))

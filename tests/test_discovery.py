@@ -292,6 +292,24 @@ def test_top_cosine_pairs(spark, clustered):
     assert few == 5 and nearest.top_pairs(frame.limit(0), "id", "v", "kind", 5).count() == 0
 
 
+def test_top_cosine_pairs_sends_a_vector_to_few_tasks(spark, monkeypatch):
+    """Sixty pieces: tasks and copies of a vector are bounded by the blocks, whatever the number of pieces."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1200, 8))
+    kinds = [f"k{k % 3}" for k in range(1200)]
+    frame = spark.createDataFrame([(k, x[k].tolist(), kinds[k]) for k in range(1200)], "id long, v array<double>, kind string")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    score = unit @ unit.T
+    score[[[kinds[a] == kinds[b] or a >= b for b in range(1200)] for a in range(1200)]] = -2
+    want = sorted((-score[a, b], a, b) for a, b in zip(*np.nonzero(score > 0.8), strict=True))[:300]
+    tasks, cut = [], nearest.cut
+    monkeypatch.setattr(nearest, "cut", lambda df: (tasks.append(df) if "task" in df.columns else None) or cut(df))
+    monkeypatch.setattr(nearest, "BLOCKS", 5, raising=False)
+    got = nearest.top_pairs(frame, "id", "v", "kind", 300, piece=20, pivots=4)
+    assert len(want) == 300 and {(r.a, r.b) for r in got.collect()} == {(a, b) for _, a, b in want}
+    assert tasks[0].select("task").distinct().count() <= 66
+
+
 # ---------------------------------------------------------------- ranking, hierarchies
 
 
