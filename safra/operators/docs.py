@@ -53,16 +53,17 @@ def associate(series: DataFrame, files: DataFrame, threshold: float = THRESHOLD,
     called = F.col("name" if "name" in series.columns else "series").alias("called")
     data = cut(series.select("series", called, F.col("source_path").alias("a")).where("series is not null and a is not null and a != ''").distinct())
     near = near_directories(data.select(F.col("a").alias("directory")), pdfs.select(F.col("b").alias("directory")), reach)
-    both = near.join(data, "a").join(pdfs, "b")
-    likeness = both.withColumns(
-        {
-            "by_name": x.partial_ratio(F.lower("called"), F.col("name")),
-            "by_path": x.token_set_ratio(F.lower(F.concat_ws(" ", "called", tail(p.components(F.col("a"))))), F.lower(F.concat_ws(" ", "name", tail(p.components(F.col("b")))))),
-        }
-    )
+    # Pairs are many to a byte read: dealt out by number, as few large tasks would otherwise compare them all.
+    both = near.join(data, "a").join(pdfs, "b").repartition(4 * files.sparkSession.sparkContext.defaultParallelism, "series", "url")
+    by_path = x.token_set_ratio(F.lower(F.concat_ws(" ", "called", tail(p.components(F.col("a"))))), F.lower(F.concat_ws(" ", "name", tail(p.components(F.col("b"))))))
     bonus = F.when(has_word(F.col("name")), 25).otherwise(0)
-    score = 0.35 * F.greatest(F.lit(0), 100 - 20 * F.col("distance")) + 0.25 * F.col("by_name") + 0.40 * F.col("by_path") + bonus
-    best = likeness.withColumns({"score": score, "bonus": bonus}).groupBy("series", "url").agg(F.max(F.struct("score", (-F.col("distance")).alias("near"), "bonus")).alias("_b"))
+    near_ = 0.35 * F.greatest(F.lit(0), 100 - 20 * F.col("distance"))
+    rated = lambda by_name, by_path: near_ + 0.25 * by_name + 0.40 * by_path + F.col("bonus")
+    # Name likeness, the slow part, comes last, and only where full marks for it could reach the threshold; elsewhere it is null.
+    full, floor = F.lit(100.0), threshold - 1e-6
+    some = both.withColumn("bonus", bonus).where(rated(full, full) >= floor).withColumn("by_path", by_path)
+    likeness = some.withColumn("by_name", x.partial_ratio(F.when(rated(full, F.col("by_path")) >= floor, F.lower("called")), F.col("name")))
+    best = likeness.withColumn("score", rated(F.col("by_name"), F.col("by_path"))).groupBy("series", "url").agg(F.max(F.struct("score", (-F.col("distance")).alias("near"), "bonus")).alias("_b"))
     told = best.select("series", "url", (-F.col("_b.near")).alias("distance"), F.col("_b.bonus").alias("bonus"), F.col("_b.score").alias("score"))
     return told.where(F.col("score") >= threshold).withColumn("score", F.bround("score", 2))
 

@@ -58,6 +58,17 @@ def test_associate(spark):
     assert (r.distance, r.bonus) == (1, 25) and r.score == pytest.approx(0.35 * 80 + 0.25 * text._partial("promo", "layout_promo") + 0.4 * text._token_set("promo data sim", "layout_promo sim docs") + 25, abs=0.01)
 
 
+def test_associate_asks_for_name_likeness_only_where_it_decides(spark, monkeypatch):
+    series = spark.createDataFrame([("PROMO", "/a/b/c"), ("PROMO", "/a")], "series string, source_path string")
+    files = spark.createDataFrame([("/a/x/y/w/nada.pdf",), ("/a/b/c/promo_layout.pdf",)], "url string")
+    want = [r.url for r in docs.associate(series, files).collect()]
+    asked = lambda a, b: F.when(a.isNotNull() & (b == "nada"), F.raise_error(F.lit("asked"))).when(a.isNotNull(), F.lit(100.0)).cast("double")
+    monkeypatch.setattr(docs.x, "partial_ratio", asked)
+    assert [r.url for r in docs.associate(series, files).collect()] == want == ["/a/b/c/promo_layout.pdf"]
+    monkeypatch.setattr(text, "common_length", lambda a, b: 1 / 0)
+    assert text._partial("abc", "xxabcxx") == 100
+
+
 def test_published_ratios():
     assert text._partial("abc", "xxabcxx") == 100 and text._partial("", "") == 100 and text._partial("", "a") == 0
     assert text._alike("this is a test", "this is a test!") == pytest.approx(96.551724, abs=1e-5)
