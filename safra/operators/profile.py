@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +20,9 @@ DISTINCT_HEAD = 1000
 TOP_VALUES = 12
 #: Sets of so many values at most travel with their index entries, so that pairs of them are judged where they meet.
 SHORT_SET = 32
+#: Cells, and bytes of them, that a task holds at most while it reduces its own, but for one batch more.
+HELD = 131_072
+HELD_BYTES = 1 << 24
 
 
 def long_form(rows: DataFrame, source: str, sample_rows: int | None = SAMPLE_ROWS, order: str | None = None) -> DataFrame:
@@ -40,6 +47,72 @@ def primitive_type(name: Column, s: dict[str, Column]) -> Column:
     )
 
 
+def _first_cells(batches: Iterator[pa.RecordBatch], most: int, held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Of a task's ``path, name, position, value``, at least the first ``most`` of each field by position (nulls first).
+
+    A cell that comes after ``most`` held ones of its field is dropped at once. Where fields are so many that their first
+    cells alone are over the limit, they are handed on and the task begins anew.
+    """
+    fields: dict[tuple, int] = {}
+    last: list = []  # by field, the position of the last of its first cells, once there are so many
+    kept: list[pa.Table] = []
+    rows = size = full = 0
+
+    def first() -> pa.Table:
+        table = pa.concat_tables(kept).combine_chunks()
+        table = table.take(pc.sort_indices(table.select(["field", "position"]), sort_keys=[("field", "ascending"), ("position", "ascending")], null_placement="at_start"))
+        field = table["field"].to_numpy()
+        begin = np.flatnonzero(np.diff(field, prepend=-1))
+        nth = np.arange(len(field)) - np.repeat(begin, np.diff(begin, append=len(field)))
+        for i in np.flatnonzero(nth == most - 1):
+            last[field[i]] = table["position"][int(i)].as_py()
+        return table.filter(pa.array(nth < most))
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        path, name = (batch[k].dictionary_encode(null_encoding="encode") for k in ("path", "name"))
+        pairs, of = np.unique(path.indices.to_numpy().astype(np.int64) * len(name.dictionary) + name.indices.to_numpy(), return_inverse=True)
+        told = []
+        for p, n in zip(*divmod(pairs, len(name.dictionary)), strict=True):
+            told.append(fields.setdefault((path.dictionary[int(p)].as_py(), name.dictionary[int(n)].as_py()), len(fields)))
+        last += [None] * (len(fields) - len(last))
+        field = np.array(told, np.int64)[of]
+        bound = pa.array([last[f] for f in told], batch["position"].type).take(pa.array(of))
+        table = pa.table({**{k: batch[k] for k in batch.schema.names}, "field": field}).filter(pc.fill_null(pc.less(batch["position"], bound), True))
+        if len(table):
+            kept.append(table)
+            rows, size = rows + len(table), size + table.nbytes
+        if rows > full + held or size > HELD_BYTES:
+            kept = [first()]
+            rows = full = len(kept[0])
+            size = kept[0].nbytes
+            if rows > held or size > HELD_BYTES // 2:
+                yield from kept[0].drop_columns("field").to_batches()
+                fields, last, kept, rows, size, full = {}, [], [], 0, 0, 0
+    if kept:
+        yield from first().drop_columns("field").to_batches()
+
+
+def _counted_cells(batches: Iterator[pa.RecordBatch], held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """``path, name, value, n, at``: a task's equal cells counted, with their least position, so many cells at a time."""
+
+    def counted(cells: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        told = pa.Table.from_batches(cells).group_by(["path", "name", "value"], use_threads=False).aggregate([([], "count_all"), ("position", "min")])
+        return told.select(["path", "name", "value", "count_all", "position_min"]).rename_columns(["path", "name", "value", "n", "at"]).to_batches()
+
+    some: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        some.append(batch)
+        rows, size = rows + len(batch), size + batch.nbytes
+        if rows >= held or size > HELD_BYTES:
+            yield from counted(some)
+            some, rows, size = [], 0, 0
+    if rows:
+        yield from counted(some)
+
+
 def field_profiles(cells: DataFrame) -> DataFrame:
     """One row per (path, name): counts, distinct among the first thousand values, the twelve most frequent
     values (ties by first appearance), an inferred type and signals."""
@@ -47,9 +120,10 @@ def field_profiles(cells: DataFrame) -> DataFrame:
     v = F.col("value")
     plain = F.regexp_replace(v, "[-/]", "")
     counts = cells.groupBy(*keys).agg(F.count(v).alias("non_null"), F.count_if(v.isNull()).alias("nulls"), F.bool_and(F.when(v.isNotNull(), v.rlike("^[0-9]+$"))).alias("digits"))
-    # Only the first thousand values of a field are numbered: each task hands on no more than so many.
+    filled = cells.where(v.isNotNull()).select(*keys, "position", "value")
+    # Only the first thousand values of a field are numbered: each task hands on no more than so many, and sorts no others.
     first = Window.partitionBy(*keys).orderBy("position")
-    head = cells.where(v.isNotNull()).withColumn("k", F.row_number().over(first)).where(F.col("k") <= DISTINCT_HEAD)
+    head = filled.mapInArrow(lambda batches: _first_cells(batches, DISTINCT_HEAD), filled.schema).withColumn("k", F.row_number().over(first)).where(F.col("k") <= DISTINCT_HEAD)
     of = lambda n: F.col("k") <= n
     early = head.groupBy(*keys).agg(
         F.countDistinct(v).alias("distinct_seen"), F.max(F.when(of(100), F.length(v))).alias("len100"), F.min(F.when(of(100), F.length(v))).alias("short100"),
@@ -57,7 +131,13 @@ def field_profiles(cells: DataFrame) -> DataFrame:
         F.bool_and(F.when(of(50), plain.rlike("^([0-9]{6}|[0-9]{8})$"))).alias("dates50"), F.bool_and(F.when(of(50), x.lenient_double(v).isNotNull())).alias("floats50"),
     )
     facts = counts.join(early, keys, "left").withColumn("distinct_seen", F.coalesce("distinct_seen", F.lit(0)))
-    seen = cells.where(v.isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("at"))
+    # A table of a task's distinct values would grow with the task, so equal values are counted a stretch at a time and meet after the
+    # shuffle. Its number of parts is given, since small parts of well-packed values would be put together into large tables.
+    spark = cells.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    types = {f.name: f.dataType.simpleString() for f in filled.schema}
+    runs = filled.mapInArrow(_counted_cells, f"path {types['path']}, name {types['name']}, value {types['value']}, n long, at {types['position']}")
+    seen = runs.repartition(parts, *keys, "value").groupBy(*keys, "value").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
     best = Window.partitionBy(*keys).orderBy(F.desc("n"), "at")
     top = seen.withColumn("r", F.row_number().over(best)).where(F.col("r") <= TOP_VALUES)
     samples = top.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "value"))), lambda s: s["value"]).alias("samples"))

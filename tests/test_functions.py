@@ -228,6 +228,87 @@ def test_field_types(spark):
     assert got == {"id": "integer", "DTX": "date", "v": "numeric", "k": "categorical_text", "CODMUN": "municipality_code"}
 
 
+def test_field_profiles_of_long_tables_in_any_order(spark):
+    """Equal to plain loops over more cells than a task holds, in ascending and descending positions, with nulls, rare and unique values."""
+    from collections import Counter
+
+    n = 80_000
+    value = {"few": lambda i: str(i * 7919 % 97), "own": str, "late": lambda i: None if i % 3 or i < 600 else f"v{i * 31 % 5000}"}
+    for order in ("id", "-id"):
+        rows = spark.range(0, n, 1, 2).withColumn("position", F.expr(order))
+        one = [F.struct(F.lit(k).alias("name"), F.col(k).alias("value")) for k in value]
+        id_ = F.col("id")
+        values = {"few": (id_ * 7919 % 97).cast("string"), "own": id_.cast("string"), "late": F.when((id_ % 3 == 0) & (id_ >= 600), F.concat(F.lit("v"), (id_ * 31 % 5000).cast("string")))}
+        cells = rows.withColumns(values).select(F.lit("t").alias("path"), F.explode(F.array(*one)).alias("c"), "position").select("path", "c.name", "position", "c.value")
+        got = {r.name: r for r in profile.field_profiles(cells).collect()}
+        for name, of in value.items():
+            filled = [v for i in (range(n) if order == "id" else reversed(range(n))) if (v := of(i)) is not None]
+            at = {v: k for k, v in reversed(list(enumerate(filled)))}
+            best = sorted(Counter(filled).items(), key=lambda e: (-e[1], at[e[0]]))[:12]
+            assert got[name].samples == [v for v, _ in best], (order, name)
+            assert (got[name].non_null, got[name].nulls, got[name].distinct_seen) == (len(filled), n - len(filled), len(set(filled[:1000]))), (order, name)
+
+
+def _cell_batches(cells, size=1000):
+    import pyarrow as pa
+
+    schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("position", pa.int64()), ("value", pa.string())])
+    for i in range(0, len(cells), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells[i : i + size]), schema.types)], schema=schema)
+
+
+@pytest.mark.parametrize("order", ["up", "down", "mixed"])
+def test_first_cells_of_a_task(order):
+    """The first cells of each field, nulls first, are among those handed on; a few fields hand on no others, many are handed on in turns."""
+    import random
+
+    for fields, held in ((5, 500), (400, 500), (400, 100_000)):
+        cells = [(None if i % fields == 3 else "t", None if i % fields == 1 else f"f{i % fields}", None if i == 7777 else i, f"v{i % 50}") for i in range(20_000)]
+        cells = cells if order == "up" else cells[::-1] if order == "down" else random.Random(3).sample(cells, len(cells))
+        out = [tuple(r.values()) for b in profile._first_cells(_cell_batches(cells), 20, held) for r in b.to_pylist()]
+        want = {}
+        for c in sorted(cells, key=lambda c: -1 if c[2] is None else c[2]):
+            want.setdefault(c[:2], []).append(c)
+        want = [c for of in want.values() for c in of[:20]]
+        assert len(set(out)) == len(out) and set(want) <= set(out) <= set(cells)
+        if fields * 20 <= held:
+            assert len(out) == len(want)
+    assert list(profile._first_cells(iter([]), 20)) == []
+
+
+def test_counted_cells_of_a_task():
+    """Counts and least positions are whole, whatever the stretches; a stretch holds no more than it may."""
+    cells = [("t", None if i % 4 == 1 else f"f{i % 4}", None if i % 10 == 0 else 9000 - i, f"v{i % 8}") for i in range(9000)]
+    for held in (1, 3000, 100_000):
+        got = {}
+        for b in profile._counted_cells(_cell_batches(cells), held):
+            assert len(b) <= 8
+            for p, n, v, k, at in (r.values() for r in b.to_pylist()):
+                count, least = got.get((p, n, v), (0, None))
+                got[p, n, v] = (count + k, at if least is None else least if at is None else min(at, least))
+        want = {}
+        for p, n, at, v in cells:
+            count, least = want.get((p, n, v), (0, None))
+            want[p, n, v] = (count + 1, at if least is None else least if at is None else min(at, least))
+        assert got == want
+
+
+def test_field_profiles_neither_sort_nor_table_all_cells_of_a_task(spark):
+    """Until a task's cells are reduced or shuffled, none sorts them or groups them by value: either would grow with the task."""
+    cells = profile.long_form(spark.range(10).withColumn("v", F.col("id") % 3), "t", None, "id")
+
+    def steps(node):
+        """Sorts and aggregates of cells as they are read."""
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        below = [steps(c) for c in children]
+        done = node.nodeName() in ("Exchange", "MapInArrow") or any(d for d, _ in below)
+        own = [node.simpleString(200)] if not done and ("Aggregate" in node.nodeName() or node.nodeName() == "Sort") else []
+        return done, own + [x for _, found in below for x in found]
+
+    found = steps(profile.field_profiles(cells)._jdf.queryExecution().executedPlan().initialPlan())[1]
+    assert found and not [s for s in found if s.startswith("Sort ") or "value#" in s.split("functions=")[0]]
+
+
 def test_no_row_at_a_time_python_in_built_in_queries(spark):
     df = spark.range(3).select(F.lit("/a/B/DNSP2401.dbc").alias("path"))
     assert "BatchEvalPython" not in corpus.inventory(df)._jdf.queryExecution().executedPlan().toString()
