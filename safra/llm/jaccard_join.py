@@ -431,7 +431,7 @@ def _common_dense(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
     row_at, column_at = np.searchsorted(which, rows), np.searchsorted(which, columns)
     own = [sets[i] for i in which.tolist()]
     ranges = max(1, -(-sum(map(len, own)) // (1 << 19)))
-    bounds = (np.arange(1, ranges) * ((1 << 64) // ranges)).astype(np.uint64) if ranges > 1 else np.zeros(0, np.uint64)
+    bounds = np.arange(1, ranges, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // ranges)  # half of the range is no signed number
     cuts = np.array([[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in own])
     shared = np.zeros((len(rows), len(columns)), np.float32)
     for r in range(ranges):

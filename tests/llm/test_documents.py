@@ -156,6 +156,24 @@ def test_jaccard_join_brings_a_class_its_sketch_once(spark, monkeypatch):
     assert len(stepped) == 2 and all(n == own for n, own in stepped)
 
 
+@pytest.mark.parametrize(("held", "ranges"), [(2000, 1), (12_000, 2), (20_000, 3), (30_000, 4)])
+def test_sets_are_counted_alike_in_any_number_of_ranges(held, ranges):
+    rng = np.random.default_rng(held)
+    pool = rng.integers(0, 1 << 64, 2 * held, np.uint64)
+    sets = [np.unique(rng.choice(pool, held, replace=False)) for _ in range(64)]
+    assert -(-sum(map(len, sets)) // (1 << 19)) == ranges
+    x, y = np.triu_indices(64, 1)
+    assert (jaccard_join._common_dense(sets, x, y) == jaccard_join._common(sets, x, y)).all()
+
+
+def test_jaccard_join_in_a_large_group_of_long_texts(spark):
+    """Their shingles are compared in two ranges."""
+    words = [f"w{k}" for k in range(6000)]
+    texts = [" ".join([*words[: 30 * i], f"x{i}", *words[30 * i + 1 :]]) for i in range(120)]
+    got = jaccard_join.jaccard_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {(r.class_id, r.n_links) for r in got.collect()} == {(0, 119)}
+
+
 def test_jaccard_join_tells_rows_without_an_id_of_their_own_apart(spark):
     one, two, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
     rows = [(None, one), (None, one + " fim"), (1, two), (2, two + " fim"), (2, other), (None, two + " um"), (5, other + " fim"), (7, "só isto"), (7, "só isto"), (None, ""), (None, None)]
