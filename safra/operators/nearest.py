@@ -5,12 +5,14 @@ its widest angle. The best pairs within each piece of a cell give a first bound.
 whose angle, less their widths, allows no pair above it are never compared. Cells, or parts of large
 ones, are packed into blocks, of which there are a fixed number until they fill ``BLOCK_BYTES``: a vector is
 sent once for each block that it may meet, so what is sent grows with the vectors, not with their
-square. Within a task pieces are multiplied a block of columns at a time: a pair whose sum so far
-plus the product of both remaining norms stays below the bound is given up.
+square. Within a task pieces are multiplied in single precision, first a prefix of the columns where that pays: a row whose
+best sum so far plus the product of the remaining norms stays below the bound is given up. Pairs that
+reach the bound, less the error of such products, are multiplied once more in double precision.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import cut
+from .graph import cut, drop
 
 #: Vectors of a piece, pivots at most, columns of a block.
 PIECE = 1024
@@ -34,67 +36,96 @@ def _rows(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
 
 
-def _compare(left: tuple, right: tuple | None, bound: float, most: int, columns: int) -> pa.Table:
-    """The ``most`` best pairs of two pieces (ids, groups, vectors), or within one, at ``bound`` or more."""
-    ids, groups, x = left
-    other_ids, other_groups, y = right or left
-    live = groups[:, None] != other_groups[None, :]
-    if right is None:
-        live &= ids[:, None] < other_ids[None, :]
-    total = np.zeros((len(ids), len(other_ids)))
-    tail = lambda v: np.sqrt(np.maximum(np.cumsum((v * v)[:, ::-1], axis=1)[:, ::-1], 0))
-    rest_x, rest_y = tail(x), tail(y)
-    for start in range(0, x.shape[1], columns):
-        rows, others = live.any(axis=1), live.any(axis=0)
-        if not rows.any():
-            break
-        part = np.ix_(rows, others)
-        total[part] += x[rows, start : start + columns] @ y[others, start : start + columns].T
-        stop = start + columns
-        left_over = np.outer(rest_x[rows, stop], rest_y[others, stop]) if stop < x.shape[1] else 0.0
-        live[part] &= total[part] + left_over >= bound - 1e-12
-    i, j = np.nonzero(live)
-    score = total[i, j]
-    a, b = np.minimum(ids[i], other_ids[j]), np.maximum(ids[i], other_ids[j])
-    best = np.lexsort((b, a, -score))[:most]
-    return pa.table({"a": pa.array(a[best], pa.int64()), "b": pa.array(b[best], pa.int64()), "cosine": pa.array(score[best], pa.float64())})
-
-
-def _units(table: pa.Table) -> dict[int, tuple]:
-    """The vectors (ids, groups, vectors, by id) of each unit."""
-    if not len(table):
-        return {}
-    unit, ids = table["unit"].to_numpy(), table["id"].to_numpy()
-    order = np.lexsort((ids, unit))
-    groups, x = np.array(table["kind"].to_pylist(), object), _rows(table["v"])
-    edges = np.flatnonzero(np.diff(unit[order])) + 1
-    return {int(unit[at[0]]): (ids[at], groups[at], x[at]) for at in np.split(order, edges)}
-
-
-def _best(found: list[pa.Table], most: int) -> pa.Table:
-    all_ = pa.concat_tables(found)
-    return all_.sort_by([("cosine", "descending"), ("a", "ascending"), ("b", "ascending")]).slice(0, most)
-
-
-def _compare_units(left: dict[int, tuple], right: dict[int, tuple], pairs: list[tuple[int, int]], bound: float, most: int, piece: int, columns: int) -> pa.Table:
-    """The ``most`` best pairs of the pairs of units, or within a unit where both are the same, ``piece`` vectors at a time.
-
-    Once ``most`` pairs are found, the least of them is the bound of the pieces to come.
+class _Units:
+    """The vectors of a task by unit and id: ``ids``, ``groups`` (numbered), ``x``, ``single`` (x in single precision), and ``span``, the rows of each unit."""
+
+    def __init__(self, table: pa.Table):
+        unit, ids = table["unit"].to_numpy(), table["id"].to_numpy()
+        at = np.lexsort((ids, unit))
+        self.ids, self.x = ids[at], _rows(table["v"])[at] if len(at) else np.zeros((0, 1))
+        self.groups = table["kind"].combine_chunks().dictionary_encode().indices.to_numpy()[at]
+        self.single = self.x.astype(np.float32)
+        cuts = [0, *(np.flatnonzero(np.diff(unit[at])) + 1).tolist(), len(at)]
+        self.span = {int(unit[at[a]]): (a, b) for a, b in itertools.pairwise(cuts) if b > a}
+
+    def rests(self, columns: int) -> tuple[np.ndarray, list[int]]:
+        """Norms of what is left of each vector after so many columns, and those numbers of columns."""
+        stops = list(range(columns, self.x.shape[1], columns))
+        return np.stack([np.linalg.norm(self.x[:, s:], axis=1) for s in stops], axis=1) if stops else np.zeros((len(self.x), 0)), stops
+
+
+def _table(a: np.ndarray, b: np.ndarray, score: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "cosine": pa.array(score, pa.float64())})
+
+
+def _best(a: np.ndarray, b: np.ndarray, score: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = np.lexsort((b, a, -score))[:most]
+    return a[at], b[at], score[at]
+
+
+def _compare_units(units: _Units, meets: Iterator[tuple[int, list[int]]], bound: float, most: int, piece: int, columns: int) -> pa.Table:
+    """The ``most`` best pairs, at ``bound`` or more, of each unit of ``meets`` with the units listed for it, or with itself where it is listed.
+
+    Products in single precision, whose error is ``slack`` at most, tell which pairs are worth an exact product.
+    Once ``most`` pairs are found, the least of them is the bound of the pieces to come. Rows are left
+    out by a prefix of the columns as long as that leaves out half of a pair of pieces.
     """
-    cuts = lambda side: [tuple(c[i : i + piece] for c in side) for i in range(0, len(side[0]), piece)]
-    best = _best([pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})], most)
-    for c, d in pairs:
-        if c not in left or d not in right:
-            continue
-        one, other = cuts(left[c]), cuts(right[d])
-        for i, x in enumerate(one):
-            for j in range(i if c == d else 0, len(other)):
-                found = _compare(x, None if c == d and i == j else other[j], bound, most, columns)
-                if len(found):
-                    best = _best([best, found], most)
-                    if len(best) == most:
-                        bound = max(bound, best["cosine"][most - 1].as_py())
-    return best
+    slack = (units.x.shape[1] + 8) * 2.0**-23
+    best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    rests, stops = units.rests(columns)
+    buffer = np.empty(piece * piece, np.float32)
+    exact = max(1, (16 << 20) // (8 * units.x.shape[1]))
+
+    def likely(left: np.ndarray, right: np.ndarray, low: float, stop: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+        """Rows of both, and products, of the pairs at ``low`` or more; and whether the prefix has left out half of them or more."""
+        spared = False
+        if stop is not None:
+            x, y = rests[left, stop], rests[right, stop]
+            part = units.single[left, : stops[stop]] @ units.single[right, : stops[stop]].T
+            rows, others = part.max(1) + x * y.max() >= low, part.max(0) + y * x.max() >= low
+            spared = 2 * rows.sum() * others.sum() <= part.size
+            left, right = left[rows], right[others]
+        out = np.matmul(units.single[left], units.single[right].T, out=buffer[: len(left) * len(right)].reshape(len(left), len(right)))
+        rows = np.flatnonzero(out.max(1) >= low) if out.size else np.zeros(0, np.int64)
+        i, j = np.nonzero(out[rows] >= low)
+        return left[rows[i]], right[j], out[rows[i], j], spared
+
+    for c, others in meets:
+        own = np.arange(*units.span[c])
+        # A unit met with itself comes last, so that the rows of all others are cut into whole pieces.
+        far = np.concatenate([np.arange(*units.span[d]) for d in others if d != c] or [own[:0]])
+        tiles = [(x, y, False) for x in _pieces(own, piece) for y in _pieces(far, piece)]
+        if c in others:
+            cuts = _pieces(own, piece)
+            tiles += [(x, y, x is y) for k, x in enumerate(cuts) for y in cuts[k:]]
+        by_prefix = True
+        for x, y, same in tiles:
+            low = bound - slack
+            stop = next((k for k in range(len(stops)) if rests[x, k].max() * rests[y, k].max() < low), None) if by_prefix else None
+            i, j, score, spared = likely(x, y, low, stop)
+            by_prefix = by_prefix and (stop is None or spared)
+            live = (units.groups[i] != units.groups[j]) & (units.ids[i] != units.ids[j])
+            if same:
+                live &= i < j
+            i, j, score = i[live], j[live], score[live]
+            if len(i) > most:
+                enough = score >= np.partition(score, -most)[-most] - 2 * slack
+                i, j = i[enough], j[enough]
+            for k in range(0, len(i), exact):
+                left, right = i[k : k + exact], j[k : k + exact]
+                score = np.einsum("ij,ij->i", units.x[left], units.x[right])
+                a, b = units.ids[left], units.ids[right]
+                keep = score >= bound - 1e-12
+                found = np.minimum(a, b)[keep], np.maximum(a, b)[keep], score[keep]
+                best = _best(*(np.concatenate(z) for z in zip(best, found, strict=True)), most)
+                if len(best[0]) == most:
+                    bound = max(bound, best[2][-1])
+    return _table(*best)
+
+
+def _pieces(rows: np.ndarray, piece: int) -> list[np.ndarray]:
+    """Equal parts of ``piece`` rows at most."""
+    return np.array_split(rows, -(-len(rows) // piece)) if len(rows) else []
 
 
 def _layout(cells: dict[int, int], near: np.ndarray, rows: int) -> list[tuple[int, int, int]]:
@@ -124,7 +155,7 @@ def top_pairs(vectors: DataFrame, id_: str, vector: str, group: str, most: int,
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e))
     sound = vectors.where(F.col(id_).isNotNull() & F.col(group).isNotNull()).select(F.col(id_).cast("long").alias("id"), F.col(group).cast("string").alias("kind"), v.alias("v"))
     sound = sound.where(F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e))).withColumn("norm", norm).where((F.col("norm") > 0) & (F.col("norm") < float("inf")))
-    sound = sound.select("id", "kind", F.transform("v", lambda e: e / F.col("norm")).alias("v"))
+    sound = cut(sound.select("id", "kind", F.transform("v", lambda e: e / F.col("norm")).alias("v")))
     n = sound.count()
     spark = vectors.sparkSession
     if not n:
@@ -141,6 +172,7 @@ def top_pairs(vectors: DataFrame, id_: str, vector: str, group: str, most: int,
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(cell.astype(np.int32)), pa.array(angle)], ["id", "kind", "v", "cell", "angle"])
 
     placed = cut(sound.mapInArrow(assign, "id long, kind string, v binary, cell int, angle double"))
+    drop(sound)
     cells = {r.cell: (r.n, r.wide) for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("wide")).collect()}
     near = chosen @ chosen.T
     rows = min(max(piece, -(-n // BLOCKS)), max(piece, BLOCK_BYTES // (8 * chosen.shape[1])))
@@ -149,13 +181,14 @@ def top_pairs(vectors: DataFrame, id_: str, vector: str, group: str, most: int,
     parts = spark.createDataFrame([(c, -(-k // rows)) for c, (k, _) in cells.items()], "cell int, parts int")
     held = placed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), F.col("parts")).cast("int"))
     held = cut(held.join(F.broadcast(units), ["cell", "part"]).select("id", "kind", "v", "unit"))
+    drop(placed)
 
     def best(found: DataFrame) -> DataFrame:
         return found.orderBy(F.desc("cosine"), "a", "b").limit(most)
 
     def within(table: pa.Table) -> pa.Table:
-        own = _units(table)
-        return _compare_units(own, own, [(u, u) for u in own], -2.0, most, piece, columns)
+        own = _Units(table)
+        return _compare_units(own, ((u, [u]) for u in own.span), -2.0, most, piece, columns)
 
     own = cut(best(held.groupBy("unit").applyInArrow(within, _PAIRS)))
     low = own.agg(F.when(F.count(F.lit(1)) >= most, F.min("cosine"))).first()[0]
@@ -174,9 +207,9 @@ def top_pairs(vectors: DataFrame, id_: str, vector: str, group: str, most: int,
     sent = held.join(F.broadcast(sides), "unit")
 
     def both(table: pa.Table) -> pa.Table:
-        own = _units(table)
+        own = _Units(table)
         first, second = divmod(table["task"][0].as_py(), int(block[-1]) + 1)
-        pairs = [(c, d) for c in own for d in own if meet[c, d] and block[c] == first and block[d] == second]
-        return _compare_units(own, own, pairs, bound, most, piece, columns)
+        meets = ((c, [d for d in own.span if meet[c, d] and block[d] == second]) for c in own.span if block[c] == first)
+        return _compare_units(own, meets, bound, most, piece, columns)
 
     return best(own.unionByName(sent.groupBy("task").applyInArrow(both, _PAIRS)))

@@ -321,6 +321,40 @@ def test_top_cosine_pairs_sends_a_vector_to_few_tasks(spark, monkeypatch):
     assert tasks[0].select("task").distinct().count() <= 66
 
 
+def test_top_cosine_pairs_multiplies_few_pairs_twice(monkeypatch):
+    """Of eight million pairs only those at the bound, but for the error of single precision, get an exact product; prefixes leave nothing out that counts."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(4000, 48))
+    x[:, 8:] *= np.where(np.arange(4000) < 2000, 1.0, 0.05)[:, None]  # a prefix tells for the second half
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    kinds, unit = np.arange(4000) % 3, np.arange(4000) // 1000
+    table = nearest.pa.table({"id": np.arange(4000), "kind": [f"k{k}" for k in kinds], "v": [r.tobytes() for r in x], "unit": unit.astype(np.int32)})
+    score = np.where((kinds[:, None] != kinds) & np.triu(np.ones((4000, 4000), bool), 1), x @ x.T, -2)
+    a, b = np.unravel_index(np.argsort(-score, axis=None)[:100], score.shape)
+    exact, einsum = [], np.einsum
+    monkeypatch.setattr(nearest.np, "einsum", lambda how, left, right: exact.append(len(left)) or einsum(how, left, right))
+    for columns in (8, 16, 48):
+        got = nearest._compare_units(nearest._Units(table), ((c, [0, 1, 2, 3][c:]) for c in range(4)), -2.0, 100, 256, columns).to_pydict()
+        assert list(zip(got["a"], got["b"], strict=True)) == list(zip(a.tolist(), b.tolist(), strict=True))
+        assert sum(exact) < 40_000
+        exact.clear()
+
+
+def test_top_cosine_pairs_of_equal_vectors_and_ids(spark):
+    """Ties go by a, then b, wherever their vectors are compared; a row never pairs with one of its own id."""
+    rng = np.random.default_rng(10)
+    base = rng.normal(size=(7, 33))
+    rows = [(int(k), base[k % 7].tolist(), f"k{k % 4}") for k in rng.permutation(140)] + [(5, base[5].tolist(), "k0"), (5, base[5].tolist(), "k2")]
+    kinds = [(i, i % 7, g) for i, _, g in rows]
+    pairs = sorted((min(i, j), max(i, j)) for (i, c, g), (j, d, h) in combinations(kinds, 2) if c == d and g != h and i != j)
+    got = nearest.top_pairs(spark.createDataFrame(rows, "id long, v array<double>, kind string"), "id", "v", "kind", 90, piece=9, pivots=5).collect()
+    assert [r.cosine for r in got] == pytest.approx([1.0] * 90, abs=1e-12) and all(r.a < r.b for r in got)
+    by_score = sorted((-r.cosine, r.a, r.b) for r in got)
+    assert [(r.a, r.b) for r in got] == [p[1:] for p in by_score] and {(r.a, r.b) for r in got} <= set(pairs)
+    one = nearest.top_pairs(spark.createDataFrame([r for r in rows if r[0] % 7 == 5], "id long, v array<double>, kind string"), "id", "v", "kind", 90, piece=9, pivots=5).collect()
+    assert [(r.a, r.b) for r in one] == [p for p in pairs if p[0] % 7 == 5][:90]
+
+
 # ---------------------------------------------------------------- ranking, hierarchies
 
 
